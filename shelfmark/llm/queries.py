@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import exact_dedup, ring_sharding
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, ring_sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +24,18 @@ def op4_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = harmonic_packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_harmonic_packing": op3_harmonic_packing,
+    "op9_bpe_automaton": op9_bpe_automaton,
     "op4_ring_sharding": op4_ring_sharding,
 }
