@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, ring_sharding
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, quality_gam, ring_sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,9 +33,16 @@ def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_gam.score(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op7_quality_gam": op7_quality_gam,
     "op9_bpe_automaton": op9_bpe_automaton,
     "op4_ring_sharding": op4_ring_sharding,
 }
