@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, quality_gam, ring_sharding
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, quality_gam, ring_sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,10 +39,16 @@ def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs, model)
 
 
+def op10_language_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language_bigru.languages(docs, language_bigru.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op7_quality_gam": op7_quality_gam,
+    "op10_language_bigru": op10_language_bigru,
     "op9_bpe_automaton": op9_bpe_automaton,
     "op4_ring_sharding": op4_ring_sharding,
 }
