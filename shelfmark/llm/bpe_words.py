@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
+from itertools import compress
 
 import regex
 
@@ -23,7 +24,7 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 RARE = re.compile("[^\x00-\u024f\u2010-\u2027\u20ac]")
 
 #: Words, or chunks, in one generation of a worker's cache; two generations are held.
-KEPT = 200_000
+KEPT = 400_000
 
 
 def normal(chunk: str) -> str:
@@ -58,17 +59,18 @@ class Generations:
     def __init__(self, make: Callable[[list[str]], list[bytes]], size: int = KEPT):
         self.make, self.size, self.young, self.old = make, size, {}, {}
 
-    def hold(self, keys: Iterable[str]) -> dict[str, bytes]:
+    def hold(self, keys: set[str]) -> dict[str, bytes]:
         """A table that has all of keys, for now."""
         if len(self.young) > self.size:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        absent = [k for k in keys if k not in young]
-        if found := [k for k in absent if k in old]:
-            young.update((k, old[k]) for k in found)
-            absent = [k for k in absent if k not in young]
+        absent = keys - young.keys()
+        if found := absent & old.keys():
+            young.update(zip(found, map(old.__getitem__, found), strict=True))
+            absent -= found
         if absent:
-            young.update(zip(absent, self.make(absent), strict=True))
+            new = list(absent)
+            young.update(zip(new, self.make(new), strict=True))
         return young
 
 
@@ -85,10 +87,21 @@ class TextEncoder:
         self.words = Generations(encode_words)
         self.chunks = Generations(self._encode_chunks)
 
+    def _split(self, chunk: str, lower: str) -> list[str]:
+        if lower[:-1].isalpha() and lower[-1] in ".,;:!?" and (chunk.isascii() or not RARE.search(chunk)):
+            return [lower[:-1], lower[-1]]
+        if not chunk.isascii() and RARE.search(chunk):
+            return self.split_rare(chunk)
+        return PATTERN.findall(normal(chunk))
+
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        split = [PATTERN.findall(normal(c)) if not RARE.search(c) else self.split_rare(c) for c in chunks]
-        table = self.words.hold({w for ws in split for w in ws})
-        return [table[ws[0]] if len(ws) == 1 else b"".join([table[w] for w in ws]) for ws in split]
+        # Most chunks are one word: composed letters of the Latin script, which are in NFC already.
+        lower = [c.lower() for c in chunks]
+        one = [w.isalpha() and (w.isascii() or not RARE.search(c)) for c, w in zip(chunks, lower, strict=True)]
+        split = [None if o else self._split(c, w) for c, w, o in zip(chunks, lower, one, strict=True)]
+        words = set(compress(lower, one)).union(*filter(None, split))
+        table = self.words.hold(words)
+        return [table[w] if ws is None else b"".join([table[x] for x in ws]) for w, ws in zip(lower, split, strict=True)]
 
     def _cut(self, text: str) -> list[str]:
         return text.split() if not SEPARATORS.search(text) else [c for c in SPACES.split(text) if c]
@@ -104,4 +117,4 @@ class TextEncoder:
         table = self.chunks.hold(distinct - self.specials.keys())
         if distinct & self.specials.keys():
             table = table | self.specials
-        return [b"".join([table[c] for c in cs]) for cs in cut]
+        return [b"".join(map(table.__getitem__, cs)) for cs in cut]

@@ -12,16 +12,14 @@ pieces, so those too have a power-of-two length and need no padding.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.bpe_words import TextEncoder, library_splitter
+from shelfmark.llm.bpe_automaton import load
 from shelfmark.llm.common import batch, rows, small_batches, texts
 
 CAPACITY = 4096
@@ -33,27 +31,6 @@ PER_PARTITION = 1 << 32
 PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 PIECES_SQL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
-_encoders: dict[str, TextEncoder] = {}
-
-
-def library_encoder(path: str) -> TextEncoder:
-    """An encoder whose words the tokenizers library encodes; one for each process."""
-    if path not in _encoders:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
-
-        def encode_words(words: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(words, add_special_tokens=False)]
-
-        specials = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-        _encoders[path] = TextEncoder(encode_words, specials, library_splitter(path))
-    return _encoders[path]
-
-
 def cuts(tokens: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole sequences, then reciprocals of the capacity, longest first."""
     out = [(k * capacity, capacity) for k in range(tokens // capacity)]
@@ -107,7 +84,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, d
     mark = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, bins = library_encoder(path), Bins(capacity, TaskContext.get().partitionId() * PER_PARTITION)
+        (_, encoder), bins = load(path), Bins(capacity, TaskContext.get().partitionId() * PER_PARTITION)
 
         def table(placed: list) -> pa.RecordBatch:
             pieces, sequences, offsets = zip(*placed, strict=True)
