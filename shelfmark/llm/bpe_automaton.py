@@ -104,6 +104,8 @@ class TokenizationAutomaton:
             table, label = (self.at_end, label[: -len(suffix)]) if label.endswith(suffix) else (self.inside, label)
             table[bytes(map(byte_of.__getitem__, label))] = w
         self.alone: dict[tuple[int, int], bool] = {}
+        self.merge_of = {(vocabulary[a], vocabulary[b]): k + 1 for k, (a, b) in enumerate(merges)}
+        self.trees = list(zip(self.born.tolist(), self.left.tolist(), self.right.tolist(), strict=True))
         self.arc_keys = np.full(1 << ARC_BITS, np.uint64(2**64 - 1))
         self.arc_open = np.zeros(1 << ARC_BITS, bool)
 
@@ -163,6 +165,18 @@ class TokenizationAutomaton:
             assert not len(todo), "every prefix has one encoding"
         return last
 
+    def _outlived_alone(self, a: int, b: int) -> bool:
+        """The same as _outlived() for one arc."""
+        until = 1 << 60
+        while True:
+            (ba, _, right), (bb, left, last) = self.trees[a], self.trees[b]
+            if self.merge_of.get((a, b), until) < until or (bb > ba and left == last == a):
+                return False
+            if not ba and not bb:
+                return True
+            until = max(ba, bb)
+            a, b = right if ba >= bb else a, left if bb >= ba else b
+
     def _read_alone(self, word: bytes) -> bytes:
         """The ids of one long word, symbol by symbol."""
         last, longest = [-1] * (len(word) + 1), len(self.power) - 1
@@ -176,7 +190,7 @@ class TokenizationAutomaton:
                     if span < j:
                         arc = (last[j - span], token)
                         if (fits := self.alone.get(arc)) is None:
-                            fits = self.alone[arc] = bool(self.arcs(np.array(arc[:1]), np.array(arc[1:]))[0])
+                            fits = self.alone[arc] = self._outlived_alone(*arc)
                         if not fits:
                             continue
                     last[j] = token

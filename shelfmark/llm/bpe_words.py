@@ -12,6 +12,9 @@ import unicodedata
 from collections.abc import Callable
 from itertools import compress
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # The splitting pattern of the vocabulary file, and what Unicode calls white space.
@@ -103,18 +106,30 @@ class TextEncoder:
         table = self.words.hold(words)
         return [table[w] if ws is None else b"".join([table[x] for x in ws]) for w, ws in zip(lower, split, strict=True)]
 
-    def _cut(self, text: str) -> list[str]:
-        return text.split() if not SEPARATORS.search(text) else [c for c in SPACES.split(text) if c]
+    def _encode_odd(self, text: str) -> bytes:
+        """One text that holds special tokens or separator controls."""
+        cut = []
+        for k, part in enumerate(self.special.split(text) if self.special else [text]):
+            cut += [part] if k % 2 else [c for c in SPACES.split(part) if c]
+        table = self.chunks.hold(set(cut) - self.specials.keys())
+        return b"".join([self.specials.get(c) or table[c] for c in cut])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        for t in texts:
-            if self.special and "<|" in t and self.special.search(t):
-                cut.append([c for k, part in enumerate(self.special.split(t)) for c in ([part] if k % 2 else self._cut(part))])
-            else:
-                cut.append(self._cut(t))
-        distinct = set().union(*cut)
-        table = self.chunks.hold(distinct - self.specials.keys())
-        if distinct & self.specials.keys():
-            table = table | self.specials
-        return [b"".join(map(table.__getitem__, cs)) for cs in cut]
+        """The ids of each text. Distinct chunks of the whole batch are looked up once; the rest is array work."""
+        odd = {k for k, t in enumerate(texts) if SEPARATORS.search(t) or ("<|" in t and self.special and self.special.search(t))}
+        cut = pc.utf8_split_whitespace(pa.array(["" if k in odd else t for k, t in enumerate(texts)], pa.large_string()))
+        starts = cut.offsets.to_numpy()
+        flat = cut.values
+        whole = flat.dictionary_encode()
+        names = whole.dictionary.to_pylist()
+        table = self.chunks.hold({n for n in names if n})
+        ids = [table[n] if n else b"" for n in names]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, first = np.frombuffer(b"".join(ids), "<u4"), np.concatenate([[0], sizes.cumsum()])
+        at = whole.indices.to_numpy().astype(np.int64)
+        counts = sizes[at]
+        ends = np.concatenate([[0], counts.cumsum()])
+        # Position k of the output reads from the pool at the first id of its chunk plus its place in the chunk.
+        data = pool[np.repeat(first[at] - ends[:-1], counts) + np.arange(ends[-1])].tobytes() if len(at) else b""
+        bounds = (4 * ends[starts]).tolist()
+        return [self._encode_odd(t) if k in odd else data[bounds[k] : bounds[k + 1]] for k, t in enumerate(texts)]
