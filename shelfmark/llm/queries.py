@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, minhash, quality_gam, ring_sharding
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, minhash, near_dedup, quality_gam, ring_sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,12 +49,17 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op6_minhash": op6_minhash,
     "op7_quality_gam": op7_quality_gam,
     "op10_language_bigru": op10_language_bigru,
+    "op8_near_dedup": op8_near_dedup,
     "op9_bpe_automaton": op9_bpe_automaton,
     "op4_ring_sharding": op4_ring_sharding,
 }
