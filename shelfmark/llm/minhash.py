@@ -45,7 +45,7 @@ def shingle_hashes(ws: list[bytes], size: int = SHINGLE) -> np.ndarray:
     if not ws:
         return np.zeros(0, np.uint64)
     h = word_hashes(ws)
-    out = np.full(max(1, len(h) - size + 1), np.uint64(min(len(h), size)) * np.uint64(0x9E3779B97F4A7C15))
+    out = np.full(max(1, len(h) - size + 1), np.uint64(min(len(h), size)))
     for k in range(min(size, len(h))):
         out = (out ^ h[k : k + len(out)]) * np.uint64(0xD6E8FEB86659FD93)
         out ^= out >> np.uint64(32)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, minhash, near_dedup, quality_gam, ring_sharding
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, minhash, near_dedup, quality_gam, ring_sharding, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +53,13 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_substrings(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op6_minhash": op6_minhash,
     "op7_quality_gam": op7_quality_gam,
