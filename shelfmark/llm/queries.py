@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, minhash, near_dedup, quality_gam, ring_sharding, substring_dedup
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, masked_lm, minhash, near_dedup, quality_gam, ring_sharding, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +57,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_substrings(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_harmonic_packing": op3_harmonic_packing,
+    "op5_masked_lm": op5_masked_lm,
     "op6_minhash": op6_minhash,
     "op7_quality_gam": op7_quality_gam,
     "op10_language_bigru": op10_language_bigru,
