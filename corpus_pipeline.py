@@ -1,20 +1,55 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but
+the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfmark.llm import exact_dedup, harmonic_packing, near_dedup, quality_gam, substring_dedup
 from shelfmark.llm.common import Stored
-from shelfmark.llm.exact_dedup import drop_exact_duplicates
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from the labels of documents outside the held-out fold."""
+    model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_gam.keep_good(docs, model)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, the one with the largest doc_id stays."""
-    return drop_exact_duplicates(docs)
+    return exact_dedup.drop_exact_duplicates(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of 0.75 and more connect, the one with the smallest doc_id stays."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; passages of 50 words and more that an earlier document has too are cut out of it."""
+    return substring_dedup.drop_repeated_substrings(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids, placed in sequences of at most 4096."""
+    pieces = harmonic_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+STAGES = [
+    ("quality", quality),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("repeated_passages", repeated_passages),
+    ("packing", packing),
+]
 
+#: A fitted classifier and a tokenizer are not SQL: tests/llm holds the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
