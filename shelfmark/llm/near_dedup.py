@@ -8,8 +8,8 @@ confirmed on the full sets. Equal sets are folded into one node first.
 A group of near copies is not compared pair by pair. In each band the members are
 matched with one leader, the member that shares most bands with others; what is linked is one
 component. Only members of a band that are still in different components are compared further, in
-tiles of bounded size: first each with the likeliest partner in every other component, then, for
-the few that remain apart, with all of them. So a link between different components
+tiles of bounded size: first each with its likeliest partner in another component, then, for
+the few that remain apart, with all of them. Bitmaps of small sets rule out there what cannot be a link. So a link between different components
 is never left out, and pairs inside a component cost nothing.
 """
 
@@ -35,6 +35,8 @@ SEED = 8
 PERCENT = 75
 #: Deviations of the estimate below the threshold down to which a candidate is confirmed.
 DEVIATIONS = 5
+#: Sets up to this size also have a bitmap of hashed shingles, which bounds what two sets can share.
+MAPPED, MAP_BITS = 512, 8192
 #: Members of a band, and members apart, compared in one tile.
 TILE = 1024
 #: A list of ids is broadcast up to so many (8 bytes each); beyond, the join shuffles.
@@ -43,7 +45,7 @@ BROADCAST_ROWS = 1 << 20
 NIBBLES = np.uint64(0x1111111111111111)
 
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
-SETS = pa.schema([("key", pa.binary()), ("shingles", pa.binary())])
+SETS = pa.schema([("key", pa.binary()), ("shingles", pa.binary()), ("map", pa.binary())])
 PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("other", pa.binary()), ("estimate", pa.float64())])
 EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -63,6 +65,24 @@ def pack(signature: np.ndarray) -> bytes:
     return (low[0::2] | low[1::2] << 4).tobytes()
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """A bit for each shingle's hash; empty for a set too large."""
+    if len(shingles) > MAPPED:
+        return b""
+    bits = np.zeros(MAP_BITS, bool)
+    bits[(shingles >> np.uint64(51)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def could_link(maps: np.ndarray, sizes: np.ndarray, one: np.ndarray, size: int, percent: int) -> np.ndarray:
+    """Whether sets can be similar enough by their bitmaps. Never wrong about a link: what
+    a set shares is at most the bits in common and its own shingles that fell on a taken bit."""
+    common = np.bitwise_count(maps & one).sum(-1, dtype=np.int64)
+    hidden = np.minimum(sizes - np.bitwise_count(maps).sum(-1, dtype=np.int64), size - int(np.bitwise_count(one).sum()))
+    most = np.minimum(common + hidden, np.minimum(sizes, size))
+    return 100 * most >= percent * (sizes + size - most)
+
+
 def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Similarity of packed signatures (rows of uint64) by counting bits; broadcasts."""
     x = a ^ b
@@ -106,7 +126,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (bodies,) in rows(batches, "text"):
         sets = [s for s in map(shingle_set, bodies) if len(s)]
-        yield batch(SETS, [set_key(s) for s in sets], [s.tobytes() for s in sets])
+        yield batch(SETS, [set_key(s) for s in sets], [s.tobytes() for s in sets], [bitmap(s) for s in sets])
 
 
 def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,21 +155,23 @@ def _tiles(percent: int, best: bool):
             return
         sig = np.frombuffer(b"".join([r[6] for r in every]), np.uint64).reshape(len(every), -1)
         sizes, comps = np.array([r[7] for r in every]), np.array([r[5] for r in every], dtype=object)
+        mapped = np.flatnonzero([bool(r[8]) for r in every])
+        maps = np.frombuffer(b"".join([r[8] for r in every]), np.uint64).reshape(len(mapped), MAP_BITS // 64)
         for r in apart:
-            small = 100 * np.minimum(sizes, r[7]) >= percent * np.maximum(sizes, r[7])
             e = estimates(sig, np.frombuffer(r[6], np.uint64))
-            hits = np.flatnonzero(small & (e >= least) & (comps != r[5]))
+            good = (100 * np.minimum(sizes, r[7]) >= percent * np.maximum(sizes, r[7])) & (e >= least) & (comps != r[5])
+            if r[8] and good.any():
+                some = good[mapped]
+                good[mapped[some]] = could_link(maps[some], sizes[mapped[some]], np.frombuffer(r[8], np.uint64), r[7], percent)
+            hits = np.flatnonzero(good)
             if best and len(hits):
-                top: dict[bytes, int] = {}
-                for k in hits[np.argsort(e[hits], kind="stable")].tolist():
-                    top[comps[k]] = k
-                hits = np.array(list(top.values()))
+                hits = hits[[int(np.argmax(e[hits]))]]
             for k in hits.tolist():
                 yield r[4], every[k][4], comps[k], float(e[k])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile: list[tuple] = []
-        for columns in rows(batches, "band", "i", "j", "apart", "key", "comp", "sig", "n"):
+        for columns in rows(batches, "band", "i", "j", "apart", "key", "comp", "sig", "n", "map"):
             out: list[tuple] = []
             for r in zip(*columns, strict=True):
                 if tile and r[:3] != tile[0][:3]:
@@ -181,7 +203,7 @@ class _Search:
         few = self.keys.count() <= BROADCAST_ROWS
         bodies = self.source.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
         nameless = self.source.filter("doc_id IS NULL")
-        self.sets = Stored(bodies.unionByName(nameless).mapInArrow(_sets, "key binary, shingles binary").dropDuplicates(["key"]).join(self.keys.select("key"), "key", "left_semi"), "sets").df()
+        self.sets = Stored(bodies.unionByName(nameless).mapInArrow(_sets, "key binary, shingles binary, map binary").dropDuplicates(["key"]).join(self.keys.select("key"), "key", "left_semi"), "sets").df()
         self.roots: Stored | None = None
         self.edges: DataFrame | None = None
 
@@ -229,14 +251,14 @@ class _Search:
         counts = mixed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
         bands = counts.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"))
         bands = bands.select("band", F.col("top.comp").alias("main"), F.ceil(F.col("all") / TILE).cast("int").alias("is"), F.ceil((F.col("all") - F.col("top.c")) / TILE).cast("int").alias("js"))
-        rich = mixed.join(bands, "band").join(self.nodes.select("key", "sig", "n"), "key")
+        rich = mixed.join(bands, "band").join(self.nodes.select("key", "sig", "n"), "key").join(self.sets.select("key", "map"), "key")
         own = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n)).cast("int")
-        every = rich.select("band", own("is", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("j"), F.lit(False).alias("apart"), "key", "comp", "sig", "n")
-        alone = rich.filter("comp <> main").select("band", F.explode(F.sequence(F.lit(0), F.col("is") - 1)).alias("i"), own("js", 2).alias("j"), F.lit(True).alias("apart"), "key", "comp", "sig", "n")
+        every = rich.select("band", own("is", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("j"), F.lit(False).alias("apart"), "key", "comp", "sig", "n", "map")
+        alone = rich.filter("comp <> main").select("band", F.explode(F.sequence(F.lit(0), F.col("is") - 1)).alias("i"), own("js", 2).alias("j"), F.lit(True).alias("apart"), "key", "comp", "sig", "n", "map")
         dealt = every.unionByName(alone).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
         found = dealt.mapInArrow(_tiles(self.percent, best), "a binary, b binary, other binary, estimate double")
         if best:
-            found = found.groupBy("a", "other").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+            found = found.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
         return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
