@@ -27,8 +27,8 @@ from shelfmark.llm.common import Stored, batch, rows, small_batches, words
 from shelfmark.llm.minhash import shingle_hashes, word_hashes
 
 WINDOW, PHRASE = 50, 8
-#: Phrase occurrences in the texts of one automaton's shard, about.
-SHARD_PHRASES = 20_000
+#: Phrase occurrences in the texts of one automaton's shard, about, and bytes of its texts.
+SHARD_PHRASES, SHARD_BYTES = 8_000, 4_000_000
 #: Lists of recurring phrases are broadcast up to so many phrases in all (8 bytes each); beyond, the join shuffles.
 BROADCAST_PHRASES = 1 << 20
 
@@ -86,7 +86,10 @@ class Shard:
     """Documents whose recurring phrases are compiled into one automaton."""
 
     def __init__(self):
-        self.docs, self.phrases, self.size = [], set(), 0
+        self.docs, self.phrases, self.size, self.bytes = [], set(), 0, 0
+
+    def full(self) -> bool:
+        return self.size >= SHARD_PHRASES or self.bytes >= SHARD_BYTES
 
     def add(self, doc_id: int, body: bytes, recurring: list[int]) -> None:
         ws = words(body)
@@ -96,8 +99,9 @@ class Shard:
         at = np.flatnonzero(np.isin(hashes.view(np.int64), np.array(recurring, np.int64)))
         # One byte, one letter; the blanks on both sides make occurrences begin and end with words.
         self.phrases.update(" %s " % b" ".join(ws[p : p + PHRASE]).decode("latin-1") for p in at.tolist())
-        self.docs.append((doc_id, ws, hashes))
+        self.docs.append((doc_id, body))
         self.size += len(at)
+        self.bytes += len(body)
 
     def windows(self) -> Iterator[pa.RecordBatch]:
         """The distinct windows of each document that an occurrence marks."""
@@ -107,7 +111,9 @@ class Shard:
         if not self.phrases:
             return
         automaton.make_automaton()
-        for doc_id, ws, hashes in self.docs:
+        for doc_id, body in self.docs:
+            ws = words(body)
+            hashes = shingle_hashes(ws, PHRASE)
             lengths = np.fromiter(map(len, ws), np.int64, len(ws))
             blanks = np.concatenate([[0], np.cumsum(lengths + 1)])  # of " w1 w2 ... wn "
             ends = np.fromiter((end for end, _ in automaton.iter(" %s " % b" ".join(ws).decode("latin-1"))), np.int64)
@@ -124,7 +130,7 @@ def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, bodies, recurring in rows(batches, "doc_id", "text", "recurring"):
         for row in zip(ids, bodies, recurring, strict=True):
             shard.add(*row)
-            if shard.size >= SHARD_PHRASES:
+            if shard.full():
                 yield from shard.windows()
                 shard = Shard()
     yield from shard.windows()
