@@ -1,10 +1,14 @@
-"""The registered queries: name -> callable(spark, sf_dir)."""
+"""All registered queries and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.plans import product_queries
+from shelfmark.plans.registry import ORACLES, QUERIES
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/region.parquet")
+__all__ = ["ORACLES", "QUERIES", "flagship"]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_queries.ui_search(spark, sf_dir)
