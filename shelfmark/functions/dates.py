@@ -37,7 +37,7 @@ def well_ordered(start: Column, end: Column) -> Column:
 
 def days(start: Column, end: Column) -> Column:
     """Every day of a closed range as ISO text; empty where a date is no date or the range runs backwards."""
-    a, b = F.try_to_date(start, F.lit("yyyy-MM-dd")), F.try_to_date(end, F.lit("yyyy-MM-dd"))
+    a, b = F.try_to_date(start, "yyyy-MM-dd"), F.try_to_date(end, "yyyy-MM-dd")
     some = F.transform(F.sequence(a, F.greatest(a, b)), lambda d: d.cast("string"))
     return F.when(a.isNotNull() & b.isNotNull() & (a <= b), some).otherwise(F.array().cast("array<string>"))
 
@@ -49,7 +49,7 @@ def iso(year: Column, month: Column, day: Column) -> Column:
 
 def real(date: Column) -> Column:
     """The date if there is such a day, else null."""
-    return F.when(F.try_to_date(date, F.lit("yyyy-MM-dd")).isNotNull(), date)
+    return F.when(F.try_to_date(date, "yyyy-MM-dd").isNotNull(), date)
 
 
 def squeezed(text: Column) -> Column:
@@ -79,7 +79,7 @@ def update_week(text: Column, year: int) -> Column:
     """struct(start, end): seven days from an update stamp, with its year or without; null dates if there is none."""
     stamp, short = r"(20\d{2})[-年/](\d{1,2})[-月/](\d{1,2})日?更新", r"(\d{1,2})月(\d{1,2})日更新"
     start = F.coalesce(real(iso(found(text, stamp, 1), found(text, stamp, 2), found(text, stamp, 3))), F.when(~text.rlike(stamp), real(iso(F.lit(year), found(text, short, 1), found(text, short, 2)))))
-    return F.struct(start.alias("start"), F.date_add(F.try_to_date(start, F.lit("yyyy-MM-dd")), 6).cast("string").alias("end"))
+    return F.struct(start.alias("start"), F.date_add(F.try_to_date(start, "yyyy-MM-dd"), 6).cast("string").alias("end"))
 
 
 def token_date(text: Column, year: int) -> Column:
@@ -138,7 +138,7 @@ def resolved_scope(parent_start: Column, parent_end: Column, rules: Column, toda
     """The period that rules leave of a parent's: the surest explicit date (the first of equals), then today, then the parent."""
     now = F.lit(today) if isinstance(today, str) else blank_null(today)
     start, end = blank_null(parent_start), blank_null(parent_end)
-    last = lambda kind, field: F.coalesce(F.element_at(F.filter(rules, lambda r: r["rule_type"] == kind), -1)[field], F.lit(""))
+    last = lambda kind, field: F.coalesce(F.try_element_at(F.filter(rules, lambda r: r["rule_type"] == kind), F.lit(-1))[field], F.lit(""))
     kinds = F.transform(rules, lambda r: r["rule_type"])
     dated = F.filter(rules, lambda r: ~r["rule_type"].isin("time_start", "recurring_weekday", "relative_today") & (r["start_date"] != ""))
     best = F.aggregate(dated, F.lit(None).cast(RULE), lambda a, r: F.when(a.isNull() | (r["confidence"] > a["confidence"]), r).otherwise(a))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Categories and words that mark household goods.
 HOUSEHOLD_CATEGORIES = ("日用品", "日用雑貨", "生活用品", "生活雑貨", "家庭用品", "ホーム用品", "洗剤", "紙製品", "衛生用品", "掃除用品", "キッチン用品")
@@ -28,7 +29,7 @@ JAPANESE_ONLY_DROPS = r"[（）()\[\]【】「」『』<>〈〉《》:：;；,
 UNITS = "連|mm|cm|ml|l|g|kg|枚|個|コ|袋|本|巻|組|カン|缶|パック|本入|袋入"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(value: pd.Series) -> pd.Series:
     return value.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s), na_action="ignore")
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.plans import evidence_queries, product_queries
+from shelfmark.plans import evidence_queries, product_queries, text_queries
 from shelfmark.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "evidence_queries", "flagship"]
+__all__ = ["ORACLES", "QUERIES", "evidence_queries", "flagship", "text_queries"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
