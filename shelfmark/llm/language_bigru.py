@@ -22,7 +22,7 @@ from shelfmark.llm.quality_gam import fold
 
 #: Labelled documents that the network is trained on, at most (those with the least hashes of their ids), and segments of each, evenly spread.
 TRAIN_DOCS, SEGMENTS_PER_DOC = 4000, 6
-TRAIN_LENGTH, EPOCHS, TRAIN_BATCH, RATE, SEED = 64, 4, 256, 0.01, 7
+TRAIN_LENGTH, STEPS, TRAIN_BATCH, RATE, SEED = 64, 500, 256, 0.01, 7
 HIDDEN = 8
 #: Bytes of a segment when scoring, and segments read together.
 LENGTH, TOGETHER = 128, 2048
@@ -159,24 +159,22 @@ class BiGRU:
 
 
 def fit(rows_: np.ndarray, y: np.ndarray, langs: list[str]) -> BiGRU:
-    """Adam over shuffled segments; deterministic."""
+    """Adam over shuffled segments, as many steps for any number of them; deterministic."""
     net, rng = BiGRU.new(langs), np.random.default_rng(SEED)
-    names, moments, k = ("x", "u", "v", "c"), None, 0
-    steps = EPOCHS * -(-len(rows_) // TRAIN_BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(rows_))
-        for at in range(0, len(rows_), TRAIN_BATCH):
-            chosen = order[at : at + TRAIN_BATCH]
-            _, gradients = net.step(rows_[chosen], y[chosen])
-            moments = moments or [(np.zeros_like(g), np.zeros_like(g)) for g in gradients]
-            k += 1
-            rate = RATE * (1 - 0.9 * k / steps)
-            for name, g, (m, s) in zip(names, gradients, moments, strict=True):
-                g = np.clip(g, -1, 1)
-                m += 0.1 * (g - m)
-                s += 0.01 * (g * g - s)
-                getattr(net, name)[...] -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.99**k)) + 1e-8)
-            net.pin()
+    names, moments, waiting = ("x", "u", "v", "c"), None, np.zeros(0, np.int64)
+    for k in range(1, STEPS + 1):
+        while len(waiting) < min(TRAIN_BATCH, len(rows_)):
+            waiting = np.concatenate([waiting, rng.permutation(len(rows_))])
+        chosen, waiting = waiting[:TRAIN_BATCH], waiting[TRAIN_BATCH:]
+        _, gradients = net.step(rows_[chosen], y[chosen])
+        moments = moments or [(np.zeros_like(g), np.zeros_like(g)) for g in gradients]
+        rate = RATE * (1 - 0.9 * k / STEPS)
+        for name, g, (m, s) in zip(names, gradients, moments, strict=True):
+            g = np.clip(g, -1, 1)
+            m += 0.1 * (g - m)
+            s += 0.01 * (g * g - s)
+            getattr(net, name)[...] -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.99**k)) + 1e-8)
+        net.pin()
     return net
 
 
