@@ -15,4 +15,30 @@ SELECT doc_id,
 FROM normal
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1}
+SPLIT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+OP2 = f"""
+WITH w AS (SELECT doc_id, {SPLIT.format("coalesce(text, '')")} AS ws FROM documents),
+runs AS (SELECT doc_id, k, array_to_string(ws[k:k + 49], ' ') AS run FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS k FROM w WHERE len(ws) >= 50)),
+firsts AS (SELECT run, min(doc_id) AS first FROM runs GROUP BY run),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 50)) AS j FROM runs JOIN firsts USING (run) WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(removed.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+OP8 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {SPLIT.format(NORMAL)} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[k:k + 4], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS k FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.size + nb.size - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON a = other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op8_near_dedup": OP8}
