@@ -236,11 +236,14 @@ class TokenizationAutomaton:
         return " ".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-_loaded: dict[str, tuple[TokenizationAutomaton, TextEncoder]] = {}
+_loaded: dict[str, tuple] = {}
 
 
 def load(path: str) -> tuple[TokenizationAutomaton, TextEncoder]:
-    """The automaton of a vocabulary file and an encoder for texts; one for each process."""
+    """The automaton of a vocabulary file, one for each process, and a new encoder for texts.
+
+    An encoder's cache lives as long as the task that asked for it, so idle workers hold none.
+    """
     if path not in _loaded:
         with open(path, encoding="utf8") as f:
             file = json.load(f)
@@ -249,8 +252,9 @@ def load(path: str) -> tuple[TokenizationAutomaton, TextEncoder]:
         for label, i in specials.items():
             automaton.labels.extend([""] * (i + 1 - len(automaton.labels)))
             automaton.labels[i] = label
-        _loaded[path] = automaton, TextEncoder(automaton.encode_words, specials, library_splitter(path))
-    return _loaded[path]
+        _loaded[path] = automaton, specials, library_splitter(path)
+    automaton, specials, splitter = _loaded[path]
+    return automaton, TextEncoder(automaton.encode_words, specials, splitter)
 
 
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])

@@ -34,20 +34,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Stored:
-    """A table written to the shared folder; reading it needs nothing that came before."""
+    """A table written to the shared folder; reading it needs nothing that came before. It goes when the driver ends."""
 
     def __init__(self, df: DataFrame, name: str):
         self.spark, self.schema = df.sparkSession, df.schema
         self.path = f"{shared_dir(self.spark)}/shelfmark/{name}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
+        self._place()[0].deleteOnExit(self._place()[1])
+
+    def _place(self) -> tuple:
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
 
     def df(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        fs, path = self._place()
+        fs.delete(path, True)
 
 
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", empty: bool = True) -> DataFrame:
@@ -60,7 +65,7 @@ def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", empty: bo
 
 
 def restored(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs, all columns, whose id is among ids.doc_id (null ids match null ids)."""
+    """The rows of docs, all columns, whose id is among ids.doc_id. Rows that share an id, and those without one, stay or go together."""
     key = ids.select(F.col("doc_id").alias("__kept_id")).distinct()
     return docs.join(key, F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
 
