@@ -146,3 +146,43 @@ def longest_fragment(text: Column, normal: bool = True) -> Column:
     )
     best = F.array_max(F.transform(fits, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
     return F.coalesce(best["t"], F.lit(""))
+
+
+# Words that a product's name is not made of, and quantities.
+NAMELESS = (
+    "100gあたり", "100g当り", "パック当り", "当りパック", "お買い得", "コーナー", "本体価格", "1パック", "お買得", "あたり", "パック", "バック", "フェア", "販売", "特売", "商品", "定番", "水曜", "月曜", "火曜", "木曜", "金曜", "土曜", "日曜",
+    "限り", "より", "税込", "税抜", "本体", "価格", "当り", "各", "円",
+)
+QUANTITY = r"(?i)\d+(?:[.,]\d+)?(?:kg|g|ml|l|L|個|本|枚|袋|パック|入|連|束|玉|尾|切|食)?"
+PRICE_LIKE = r"^[\s\d.,/%+×xX\-~〜～円税込本体価格]+$"
+LETTERS = r"[一-龥ぁ-んァ-ヶA-Za-z]"
+
+
+def is_name_token(text: Column, confidence: Column) -> Column:
+    """A recognised word that can belong to a name: sure enough, not a price, with a letter."""
+    t = F.trim(blank_null(text))
+    return (confidence >= 5) & (t != "") & ~t.rlike(PRICE_LIKE) & t.rlike(LETTERS)
+
+
+def name_evidence(texts: Column) -> Column:
+    """What is left of some words when quantities, prices and general terms are gone: letters alone."""
+    joined = F.array_join(F.transform(texts, lambda t: F.regexp_replace(t, r"(?U)[\s・/／()（）\[\]【】]+", "")), "")
+    out = F.regexp_replace(joined, QUANTITY, "")
+    for term in NAMELESS:
+        out = F.replace(out, F.lit(term), F.lit(""))
+    return F.regexp_replace(F.regexp_replace(out, "[円%％税込税抜本体価格]+", ""), "[^一-龥ぁ-んァ-ヶA-Za-z]", "")
+
+
+def is_specific(evidence: Column) -> Column:
+    """Two Japanese letters make a name, or four Latin ones."""
+    return (F.regexp_count(evidence, F.lit("[一-龥ぁ-んァ-ヶ]")) >= 2) | (F.regexp_count(evidence, F.lit("[A-Za-z]")) >= 4)
+
+
+def repaired_price(digits: Column, second: Column, lead: Column) -> Column:
+    """struct(value, confidence, status) of recognised digits: no price begins with 0; a close second 9 (lead within .03) takes its place."""
+    first = F.when((F.size(digits) >= 2) & (digits[0] == "0") & (second == "9") & (lead <= 0.03), F.lit("9")).otherwise(digits[0])
+    whole = F.concat(first, F.array_join(F.slice(digits, 2, 20), ""))
+    value = whole.try_cast("int")
+    status = F.when(first == "0", "invalid_leading_zero").when(value.isNull() | ~value.between(10, 9999), "invalid_value").otherwise("ok")
+    good = status == "ok"
+    return F.struct(F.when(good, value).alias("value"), F.when(good, F.when(F.size(digits) == 2, 0.96).otherwise(0.85)).otherwise(0.0).alias("confidence"), status.alias("status"))

@@ -135,9 +135,23 @@ def lint_sources(groups: DataFrame) -> DataFrame:
     rules = {
         "no_images": F.size("images") <= 0,
         "no_anchor_prices": F.col("anchors") <= 0,
-        "bad_minimum_recall": ~F.coalesce(F.col("minimum_recall").between(0, 1), F.lit(False)),
-        "unknown_mode": ~F.coalesce(F.col("mode").isin("red_only", "hybrid_ocr"), F.lit(False)),
+        "bad_minimum_recall": ~F.coalesce((F.col("minimum_recall") > 0) & (F.col("minimum_recall") <= 1), F.lit(False)),
+        "unknown_mode": F.col("mode").isNotNull() & ~F.col("mode").isin("red_only", "hybrid_ocr"),
         "not_https": F.exists("images", lambda u: ~u.startswith("https://")),
     }
     found = groups.select("id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in rules.items()]))).alias("fault"))
     return seen.unionByName(found)
+
+
+def artifact_faults(canonical: DataFrame, published: DataFrame, payloads: list[DataFrame], bytes_equal: bool) -> DataFrame:
+    """One row: what differs between the canonical table, its published copy and the products of the payloads. Compared as bags, by name."""
+    from shelfmark.operators.sets import same_content
+
+    cols = canonical.columns
+    out = None
+    for k, other in enumerate([published, *payloads]):
+        d = same_content(canonical, other.select(*cols)).select(((F.col("only_first") + F.col("only_second")) > 0).alias(f"d{k}"), (F.col("only_first") != F.col("only_second")).alias(f"c{k}"))
+        out = d if out is None else out.crossJoin(d)  # one row each
+    n = range(1 + len(payloads))
+    some = lambda p: F.greatest(*[F.col(f"{p}{k}") for k in n], F.lit(False))
+    return out.select(F.array_compact(F.array(F.when(some("c"), "artifact_count_mismatch"), F.when(some("d"), "artifact_content_mismatch"), F.when(F.lit(not bytes_equal), "payload_bytes_mismatch"))).alias("errors"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import fuzzy, text
@@ -59,6 +59,21 @@ def majority(reads: DataFrame, key: str, read: str) -> DataFrame:
     return counts.groupBy(key).agg(F.min_by(read, order).alias("value"), F.max("n").alias("n"))
 
 
-def evidence_tier(score, name, spec, margin, coverage):
+def evidence_tier(score: Column, name: Column, spec: Column, distinctive: Column, margin: Column) -> Column:
     """How sure a column of evidence is: strong, rescued by a distinctive specification, medium, or none; margins under 5 never count."""
-    return F.when(margin < 5, "none").when(score >= 72, "strong").when((name >= 45) & (spec >= 70) & (coverage >= 58), "rescued").when(score >= 60, "medium").otherwise("none")
+    return F.when(margin < 5, "none").when(score >= 72, "strong").when((name >= 45) & distinctive & (spec >= 70) & (score >= 58), "rescued").when(score >= 60, "medium").otherwise("none")
+
+
+def record_scores(texts: DataFrame, records: DataFrame) -> DataFrame:
+    """Every text (text_id, text) against every record (name, specification) of a bounded dictionary: score, name_score, spec_score.
+
+    A specification that no other record has, of three letters and more, may lift a name that has some
+    support of its own; it never makes a match by itself.
+    """
+    keyed = records.withColumn("spec_key", text.japanese_only(F.col("specification")))
+    counts = keyed.groupBy("spec_key").agg(F.count(F.lit(1)).alias("times"))
+    shown = keyed.join(counts, "spec_key").withColumn("distinctive", (F.length("spec_key") >= 3) & (F.col("times") == 1)).drop("times", "spec_key")
+    pairs = texts.crossJoin(F.broadcast(shown)).withColumns({"name_score": fuzzy.dictionary_score_udf("name", "text"), "spec_score": fuzzy.dictionary_score_udf("specification", "text")})
+    fused = 0.58 * F.col("name_score") + 0.42 * F.col("spec_score")
+    lifted = F.when(F.col("distinctive") & (F.col("name_score") >= 25) & (F.col("spec_score") > 0), F.greatest("name_score", fused)).otherwise(F.col("name_score"))
+    return pairs.withColumn("score", F.least(F.lit(100.0), lifted))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def bag_counts(expected: DataFrame, got: DataFrame, keys: list[str]) -> DataFrame:
     """Per value how often each side has it: one aggregate in place of intersectAll and exceptAll."""
-    both = expected.select(*keys, F.lit(1).alias("e"), F.lit(0).alias("g")).unionByName(got.select(*keys, F.lit(0).alias("e"), F.lit(1).alias("g")))
-    return both.groupBy(*keys).agg(F.sum("e").alias("expected"), F.sum("g").alias("got"))
+    sides = [df.select(*keys, F.lit(e).alias("__expected"), F.lit(1 - e).alias("__got")) for df, e in ((expected, 1), (got, 0))]
+    return sides[0].unionByName(sides[1]).groupBy(*keys).agg(F.sum("__expected").alias("expected"), F.sum("__got").alias("got"))
 
 
 def recall(expected: DataFrame, got: DataFrame, keys: list[str], by: list[str] | None = None) -> DataFrame:

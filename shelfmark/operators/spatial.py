@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -61,3 +61,24 @@ def nearest_template(vectors: DataFrame, templates: DataFrame, value: Column, te
     dist = F.aggregate(F.zip_with(value, template, lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x) / F.size(value)
     pairs = vectors.crossJoin(F.broadcast(templates)).withColumn("distance", dist)
     return first_match(pairs, keys, ["distance", label], [label, "distance"])
+
+
+def anchor_cells(anchors: DataFrame, key: list[str], ident: str, width: float) -> DataFrame:
+    """anchors (line, x, bottom) with the area that each one's name can be in: x1, x2, y1, and its column."""
+    lines = anchors.groupBy(*key, "line").agg(F.max("bottom").alias("__b"))
+    above = lines.withColumn("y1", F.coalesce(F.lag("__b").over(Window.partitionBy(*key).orderBy("line")), F.lit(0.0))).drop("__b")
+    w = Window.partitionBy(*key, "line").orderBy("x", ident)
+    placed = anchors.join(above, [*key, "line"])
+    return placed.withColumns({"x1": F.coalesce((F.lag("x").over(w) + F.col("x")) / 2, F.lit(0.0)), "x2": F.coalesce((F.col("x") + F.lead("x").over(w)) / 2, F.lit(width)), "col": F.row_number().over(w).cast("long")})
+
+
+def is_banner(width: int, height: int, least_fill: float = 0.45) -> Column:
+    """Components (w, h, fill) that are filled banners of a page of this size."""
+    w, h = F.col("w"), F.col("h")
+    return (w >= max(120, int(width * 0.10))) & (h >= max(28, int(height * 0.025))) & (h <= int(height * 0.18)) & (w * h >= height * width * 0.003) & (F.col("fill") >= least_fill)
+
+
+def is_glyph(width: int, height: int) -> Column:
+    """Components (w, h, fill) that can be digits of a price on a page of this size."""
+    w, h = F.col("w"), F.col("h")
+    return (w * h * F.col("fill") >= max(12, int(height * width * 0.000015))) & w.between(2, max(80, int(width * 0.09))) & h.between(max(15, int(height * 0.018)), max(70, int(height * 0.10)))

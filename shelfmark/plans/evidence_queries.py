@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfmark.functions import text
 from shelfmark.operators import cluster, names, sets, spatial
 from shelfmark.plans.registry import query, table
 
@@ -192,12 +193,12 @@ def consensus(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "evidence_tiers",
-    """WITH s AS (SELECT event_id, value AS score, (value * 7) % 100 AS nm, (value * 13) % 100 AS spec, value % 20 AS margin, (value * 3) % 100 AS cov FROM events)
-    SELECT event_id, CASE WHEN margin < 5 THEN 'none' WHEN score >= 72 THEN 'strong' WHEN nm >= 45 AND spec >= 70 AND cov >= 58 THEN 'rescued' WHEN score >= 60 THEN 'medium' ELSE 'none' END AS tier FROM s""",
+    """WITH s AS (SELECT event_id, value AS score, (value * 7) % 100 AS nm, (value * 13) % 100 AS spec, value % 20 AS margin, event_id % 2 = 0 AS one FROM events)
+    SELECT event_id, CASE WHEN margin < 5 THEN 'none' WHEN score >= 72 THEN 'strong' WHEN nm >= 45 AND one AND spec >= 70 AND score >= 58 THEN 'rescued' WHEN score >= 60 THEN 'medium' ELSE 'none' END AS tier FROM s""",
 )
 def evidence_tiers(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("value")
-    return table(spark, d, "events").select("event_id", names.evidence_tier(v, (v * 7) % 100, (v * 13) % 100, v % 20, (v * 3) % 100).alias("tier"))
+    return table(spark, d, "events").select("event_id", names.evidence_tier(v, (v * 7) % 100, (v * 13) % 100, F.col("event_id") % 2 == 0, v % 20).alias("tier"))
 
 
 @query(
@@ -284,3 +285,92 @@ def set_ops(spark: SparkSession, d: str) -> DataFrame:
     for m in more:
         one = one.unionByName(m)
     return one
+
+
+@query(
+    "price_cells",
+    """WITH a AS (SELECT user_id, event_id, hour(ts) // 4 AS line, value AS x, value / 10 + hour(ts) AS bottom FROM events), l AS (SELECT user_id, line, max(bottom) AS bottom FROM a GROUP BY 1, 2),
+    r AS (SELECT user_id, line, coalesce(lag(bottom) OVER (PARTITION BY user_id ORDER BY line), 0) AS y1 FROM l)
+    SELECT user_id, event_id, coalesce((lag(x) OVER w + x) / 2, 0) AS x1, coalesce((x + lead(x) OVER w) / 2, 1000) AS x2, y1, CAST(row_number() OVER w AS BIGINT) AS col FROM a JOIN r USING (user_id, line) WINDOW w AS (PARTITION BY user_id, line ORDER BY x, event_id)""",
+)
+def price_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Areas of anchors: midpoints to the neighbours of a line, the bottom of the line before, the page's edges."""
+    a = table(spark, d, "events").select("user_id", "event_id", F.floor(F.hour("ts") / 4).alias("line"), F.col("value").alias("x"), (F.col("value") / 10 + F.hour("ts")).alias("bottom"))
+    return spatial.anchor_cells(a, ["user_id"], "event_id", 1000.0).select("user_id", "event_id", "x1", "x2", "y1", "col")
+
+
+@query(
+    "component_filter",
+    """WITH c AS (SELECT event_id, value AS w, value * 0.7::DOUBLE AS h, 0.3::DOUBLE + (event_id % 7) / 10.0::DOUBLE AS fill FROM events)
+    SELECT event_id, w >= 120 AND h >= 40 AND h <= 288 AND w * h >= 3840 AND fill >= 0.45::DOUBLE AS banner, w * h * fill >= 19 AND w BETWEEN 2 AND 80 AND h BETWEEN 28 AND 160 AS glyph FROM c""",
+)
+def component_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Components of a page of 800 by 1600 that can be banners, and those that can be digits."""
+    c = table(spark, d, "events").select("event_id", F.col("value").alias("w"), (F.col("value") * 0.7).alias("h"), (0.3 + (F.col("event_id") % 7) / 10.0).alias("fill"))
+    return c.select("event_id", spatial.is_banner(800, 1600).alias("banner"), spatial.is_glyph(800, 1600).alias("glyph"))
+
+
+@query(
+    "candidate_order",
+    """WITH c AS (SELECT user_id, event_id, round(value % 3) AS conf, event_type || CASE WHEN event_id % 2 = 0 THEN '/' ELSE '' END || CASE WHEN event_id % 3 = 0 THEN '〜' ELSE '' END AS t FROM events)
+    SELECT user_id, event_id, t AS best FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY conf DESC, contains(t, '/') DESC, contains(t, '〜') DESC, length(t) DESC, event_id) = 1""",
+)
+def candidate_order(spark: SparkSession, d: str) -> DataFrame:
+    """The reading to believe: surest, then with a slash, with a range sign, longest, first."""
+    t = F.concat("event_type", F.when(F.col("event_id") % 2 == 0, "/").otherwise(""), F.when(F.col("event_id") % 3 == 0, "〜").otherwise(""))
+    c = table(spark, d, "events").select("user_id", "event_id", F.round(F.col("value") % 3).alias("conf"), t.alias("t"))
+    order = F.struct("conf", F.col("t").contains("/"), F.col("t").contains("〜"), F.length("t"), -F.col("event_id"))
+    best = c.groupBy("user_id").agg(F.max_by(F.struct("event_id", "t"), order).alias("b"))
+    return best.select("user_id", F.col("b.event_id").alias("event_id"), F.col("b.t").alias("best"))
+
+
+@query(
+    "leading_zero",
+    """WITH p AS (SELECT event_id, lpad(CAST(CAST(floor(value) AS BIGINT) AS VARCHAR), 3, '0') AS t, event_id % 2 = 0 AS nine, event_id % 5 / 100.0::DOUBLE AS lead FROM events),
+    q AS (SELECT event_id, CASE WHEN t[1] = '0' AND nine AND lead <= 0.03::DOUBLE THEN '9' || t[2:] ELSE t END AS t FROM p)
+    SELECT event_id, CASE WHEN t[1] = '0' THEN 'invalid_leading_zero' WHEN CAST(t AS INTEGER) BETWEEN 10 AND 9999 THEN 'ok' ELSE 'invalid_value' END AS status, CASE WHEN t[1] <> '0' AND CAST(t AS INTEGER) BETWEEN 10 AND 9999 THEN CAST(t AS INTEGER) END AS value FROM q""",
+)
+def leading_zero(spark: SparkSession, d: str) -> DataFrame:
+    digits = F.split(F.lpad(F.floor("value").cast("string"), 3, "0"), "")
+    e = table(spark, d, "events").select("event_id", text.repaired_price(digits, F.when(F.col("event_id") % 2 == 0, "9").otherwise("8"), F.col("event_id") % 5 / 100.0).alias("p"))
+    return e.select("event_id", "p.status", "p.value")
+
+
+@query(
+    "regression_gate",
+    """WITH e AS (SELECT l_suppkey AS g, l_quantity AS q, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2), f AS (SELECT l_suppkey AS g, l_quantity AS q, count(*) AS n FROM lineitem WHERE l_linenumber > 2 AND l_returnflag <> 'R' GROUP BY 1, 2),
+    r AS (SELECT g, CAST(sum(least(e.n, coalesce(f.n, 0))) AS DOUBLE) / CAST(sum(e.n) AS DOUBLE) AS recall FROM e LEFT JOIN f USING (g, q) GROUP BY 1),
+    c AS (SELECT l_suppkey AS g, count(*) AS found, count(*) FILTER (l_linestatus = 'F') AS named FROM lineitem GROUP BY 1)
+    SELECT g, recall, CASE WHEN g % 10 = 0 THEN 9999.0::DOUBLE ELSE found / (g % 10)::DOUBLE END AS density, named / found::DOUBLE AS coverage, recall >= 0.8::DOUBLE AND g % 10 <> 0 AND found / (g % 10)::DOUBLE <= 400 AND named / found::DOUBLE >= 0.49::DOUBLE AS passes FROM r JOIN c USING (g)""",
+)
+def regression_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Recall, finds per megapixel and the share of finds with a name, of each group, against their thresholds."""
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("g"), F.col("l_quantity").alias("q"), "l_linenumber", "l_returnflag", "l_linestatus")
+    r = sets.recall(li.filter("l_linenumber <= 2").select("g", "q"), li.filter("l_linenumber > 2 AND l_returnflag <> 'R'").select("g", "q"), ["q"], ["g"]).filter("expected > 0")
+    c = li.groupBy("g").agg(F.count(F.lit(1)).alias("found"), F.count_if(F.col("l_linestatus") == "F").alias("named"))
+    density = F.when(F.col("g") % 10 > 0, F.col("found") / (F.col("g") % 10)).otherwise(9999.0)
+    shown = r.join(c, "g").select("g", "recall", density.alias("density"), (F.col("named") / F.col("found")).alias("coverage"))
+    return shown.withColumn("passes", (F.col("recall") >= 0.8) & (F.col("density") <= 400) & (F.col("coverage") >= 0.49))
+
+
+@query(
+    "event_rollup",
+    """SELECT coalesce(event_type, 'all') AS kind, coalesce(CAST(day AS VARCHAR), 'all') AS day, count(*) AS n, CAST(grouping(event_type) * 2 + grouping(day) AS BIGINT) AS level FROM (SELECT event_type, CAST(ts AS DATE) AS day FROM events) GROUP BY CUBE (event_type, day)""",
+)
+def event_rollup(spark: SparkSession, d: str) -> DataFrame:
+    """Spark's own, without a counterpart: subtotals on every level."""
+    e = table(spark, d, "events").select("event_type", F.col("ts").cast("date").alias("day"))
+    c = e.cube("event_type", "day").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("level"))
+    return c.select(F.coalesce("event_type", F.lit("all")).alias("kind"), F.coalesce(F.col("day").cast("string"), F.lit("all")).alias("day"), "n", "level")
+
+
+@query(
+    "event_windows",
+    """SELECT CAST(epoch(date_trunc('day', ts) + CAST(hour(ts) // 6 * 6 AS INTEGER) * INTERVAL 1 HOUR) AS BIGINT) AS start_s, event_type, count(*) AS n FROM events GROUP BY 1, 2""",
+)
+def event_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Spark's own, without a counterpart: the batch form of the streamed windows."""
+    from shelfmark.streaming.updates import windowed_counts
+
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return windowed_counts(e, "6 hours").select(F.unix_seconds("start").alias("start_s"), "event_type", "n")

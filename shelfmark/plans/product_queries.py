@@ -256,3 +256,28 @@ def parent_price_broadcast(spark: SparkSession, d: str) -> DataFrame:
     parent = p.agg(price.floor_yen(F.min("p_retailprice")).alias("price_ex_tax_yen"))
     rows = p.filter("p_size < 25").select("p_partkey").crossJoin(F.broadcast(parent))  # one row
     return rows.withColumn("price_in_tax_yen", price.tax_included(F.col("price_ex_tax_yen"), F.lit(0.08)))
+
+
+@query(
+    "expected_counts",
+    f"""WITH {PRODUCTS}, s AS (SELECT store_id, count(*) AS shown FROM shelf WHERE product_name NOT LIKE 'small%' GROUP BY 1), e AS (SELECT store_id, count(*) AS expected FROM shelf GROUP BY 1)
+    SELECT CAST(s_suppkey AS VARCHAR) AS store_id, coalesce(expected, 0) AS expected, coalesce(shown, 0) AS shown, coalesce(expected, 0) = coalesce(shown, 0) AS passes FROM supplier LEFT JOIN e ON e.store_id = CAST(s_suppkey AS VARCHAR) LEFT JOIN s ON s.store_id = CAST(s_suppkey AS VARCHAR)""",
+)
+def expected_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What a page shows of each store against what the table has; stores without products count too."""
+    rows = shelf(spark, d).select("store_id", (~F.col("product_name").like("small%")).alias("visible"))
+    stores = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("store_id"))
+    both = sets.zero_kept(rows, stores, "store_id", {"expected": F.count(F.lit(1)), "shown": F.count_if("visible")})
+    return both.withColumn("passes", F.col("expected") == F.col("shown"))
+
+
+@query("display_gate", "SELECT 'same' AS pair, '' AS errors UNION ALL SELECT 'other', 'artifact_content_mismatch' UNION ALL SELECT 'less', 'artifact_count_mismatch,artifact_content_mismatch,payload_bytes_mismatch'")
+def display_gate(spark: SparkSession, d: str) -> DataFrame:
+    """The canonical table against its copies: equal, with a changed value, with rows missing."""
+    p = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    changed = p.withColumn("p_name", F.when(F.col("p_partkey") == 1, "?").otherwise(F.col("p_name")))
+    cases = {"same": (p, [p, p], True), "other": (p, [p, changed], True), "less": (p.filter("p_partkey > 3"), [p, p], False)}
+    one, *more = [gates.artifact_faults(p, a, b, same).select(F.lit(k).alias("pair"), F.array_join("errors", ",").alias("errors")) for k, (a, b, same) in cases.items()]
+    for m in more:
+        one = one.unionByName(m)
+    return one

@@ -290,3 +290,22 @@ def mime_kinds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy(urls.mime_of(content).alias("mime")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("record_scores")
+def record_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Japanese texts made of part keys against a few records, some with a specification of their own."""
+    records = spark.createDataFrame([("国産鶏むね肉", "大容量"), ("国産鶏もも肉", "100g当り"), ("北海道牛乳", "100g当り"), ("讃岐うどん", "冷凍三食入り")], "name string, specification string")
+    k = F.col("p_partkey") % 4
+    shown = F.when(k == 0, "国産鶏むね 大容量").when(k == 1, "国産 鶏もも肉").when(k == 2, "道牛乳 当り").otherwise("うとん 冷凍三食入り")
+    read = table(spark, d, "part").filter("p_partkey % 20 < 4").select(F.col("p_partkey").alias("text_id"), shown.alias("text"))
+    return names.record_scores(read, records).select("text_id", "name", F.round("score", 6).alias("score"), "name_score", "spec_score")
+
+
+@query(
+    "name_tokens",
+    """WITH t AS (SELECT doc_id, doc_id % 12 AS conf, string_split(substr(text, 1, 30), ' ') AS w FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, conf >= 5 AND regexp_matches(w[1], '[A-Za-z]') AND NOT regexp_full_match(w[1], '[\\s\\d.,/%+×xX\\-~〜～円税込本体価格]+') AS token FROM t""",
+)
+def name_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Which first words can belong to a name."""
+    docs = table(spark, d, "documents").filter("text IS NOT NULL")
+    return docs.select("doc_id", text.is_name_token(F.split(F.substring("text", 1, 30), " ")[0], F.col("doc_id") % 12).alias("token"))

@@ -166,3 +166,15 @@ def test_support():
     assert fuzzy.signature_support("ヨーグルト3連", "ヨーグルト4連") == 0.0
     assert fuzzy.signature_support("商品1", "商品 199円") == 0.0
     assert fuzzy.dictionary_score("りんご", "国産りんご") == pytest.approx(100.0)
+
+
+def test_names_and_digits(spark):
+    evidence = text.name_evidence(F.array(F.lit("国産 りんご"), F.lit("100g当り"), F.lit("198円"), F.lit("税込")))
+    assert value(spark, evidence) == "国産りんご"
+    assert value(spark, text.is_specific(F.lit("りんご"))) and not value(spark, text.is_specific(F.lit("abc")))
+    assert not value(spark, text.is_name_token(F.lit("198円"), F.lit(90.0))) and value(spark, text.is_name_token(F.lit("りんご"), F.lit(5.0)))
+    price_ = lambda ds, second, lead: tuple(value(spark, text.repaired_price(F.array(*map(F.lit, ds)), F.lit(second), F.lit(lead))))
+    assert price_("09", "9", 0.02) == (99, 0.96, "ok")
+    assert price_("09", "9", 0.05) == (None, 0.0, "invalid_leading_zero")
+    assert price_("198", "8", 0.5) == (198, 0.85, "ok")
+    assert price_("5", "8", 0.5) == (None, 0.0, "invalid_value")

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from shelfmark.plans.queries import ORACLES, QUERIES
 from tests.oracle import both, connect
 
-ROWS_ONLY = {"cluster_running_median", "greedy_spatial_dedupe", "suppress_repeats", "nfkc_key", "dictionary_resolve", "page_discovery"}
+ROWS_ONLY = {"cluster_running_median", "greedy_spatial_dedupe", "suppress_repeats", "nfkc_key", "dictionary_resolve", "page_discovery", "record_scores"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
