@@ -54,9 +54,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_add(day, (F.col("l_linenumber") - 1).cast("int")).cast("string").alias("sale_end"),
         )
     )
-    first = base.withColumns({"copy": F.lit(0), "product_name": F.col("p_name")})
-    again = base.filter("l_orderkey % 10 = 0").withColumns({"copy": F.lit(1), "product_name": F.concat(F.lit("  "), F.upper("p_name"))})
-    return first.unionByName(again).drop("p_name")
+    copies = F.explode(F.when(k % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    again = F.when(F.col("copy") == 1, F.concat(F.lit("  "), F.upper("p_name"))).otherwise(F.col("p_name"))
+    return base.withColumn("copy", copies).withColumn("product_name", again).drop("p_name")
 
 
 PRODUCTS = """

@@ -29,7 +29,26 @@ class PageSource(DataSource):
         return PageReader(self.options)
 
 
+def fetched(url: str, timeout: float, most: int = MOST_BYTES) -> tuple[int | None, bytes | None, str | None, str]:
+    """status, content, content type and error: three tries with growing pauses, and a limit of size."""
+    error = ""
+    for k in range(TRIES):
+        try:
+            with urllib.request.urlopen(url, timeout=timeout) as r:
+                body = r.read(most + 1)
+                if len(body) > most:
+                    raise ValueError("too large")
+                return r.status, body, r.headers.get("Content-Type"), ""
+        except (OSError, ValueError) as e:
+            error = repr(e)
+            if k + 1 < TRIES:
+                time.sleep(min(2**k, 4))
+    return None, None, None, error
+
+
 class PageReader(DataSourceReader):
+    """What fails in the end is a row with its error, not a failed job."""
+
     def __init__(self, options: dict):
         self.urls = [u for u in options.get("urls", "").split("\n") if u]
         self.timeout = float(options.get("timeout", "30"))
@@ -38,21 +57,37 @@ class PageReader(DataSourceReader):
         return [InputPartition(u) for u in self.urls]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        """Three tries with growing pauses; what fails in the end is a row with its error, not a failed job."""
-        error = ""
-        for k in range(TRIES):
-            try:
-                with urllib.request.urlopen(partition.value, timeout=self.timeout) as r:
-                    body = r.read(MOST_BYTES + 1)
-                    if len(body) > MOST_BYTES:
-                        raise ValueError("too large")
-                    yield partition.value, r.status, body.decode("utf8", "replace"), None
-                    return
-            except (OSError, ValueError) as e:
-                error = repr(e)
-                if k + 1 < TRIES:
-                    time.sleep(min(2**k, 4))
-        yield partition.value, None, None, error
+        status, body, _, error = fetched(partition.value, self.timeout)
+        yield partition.value, status, None if body is None else body.decode("utf8", "replace"), error or None
+
+
+class ImageSource(DataSource):
+    """spark.read.format("images").option("urls", ...): each image's content with what provenance keeps of its fetch."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "images"
+
+    def schema(self) -> str:
+        return "source_url string, acquisition_method string, fetched_at_utc string, http_status int, content_type_header string, content binary, error string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return ImageReader(self.options)
+
+
+class ImageReader(PageReader):
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        status, body, kind, error = fetched(partition.value, self.timeout)
+        yield partition.value, "http_fetch_v1", time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), status, kind, body, error or None
+
+
+def provenance(images: DataFrame) -> DataFrame:
+    """Entries of provenance for fetched images: name in the cache, hash, size and kind of the content."""
+    c = F.col("content")
+    return images.filter("content IS NOT NULL").select(
+        "source_url", urls.cache_name(F.col("source_url")).alias("cache_filename"), "acquisition_method", "fetched_at_utc", "http_status",
+        urls.content_type(F.col("content_type_header")).alias("content_type_header"), F.col("source_url").alias("final_url"), F.sha2(c, 256).alias("sha256"), F.octet_length(c).cast("long").alias("bytes"), urls.mime_of(c).alias("mime_magic"),
+    )
 
 
 def groups(pages: DataFrame, year: int) -> DataFrame:

@@ -73,6 +73,9 @@ def test_pages_over_http(spark):
     base = f"http://127.0.0.1:{server.server_port}"
     spark.dataSource.register(discovery.PageSource)
     got = {r["url"][-1]: (r["status"], r["html"], r["error"] is None) for r in spark.read.format("pages").option("urls", f"{base}/a\n{base}/b").load().collect()}
+    spark.dataSource.register(discovery.ImageSource)
+    entry = discovery.provenance(spark.read.format("images").option("urls", f"{base}/a\n{base}/b").load()).collect()
+    assert [(e["bytes"], e["mime_magic"], e["http_status"], e["acquisition_method"]) for e in entry] == [(9, None, 200, "http_fetch_v1")]
     server.shutdown()
     assert got == {"a": (200, "<p>hi</p>", True), "b": (None, None, False)}
 
