@@ -196,7 +196,7 @@ class _Search:
             self.signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes"
         ).df()
         banded = self.nodes.select("key", F.explode("bands").alias("band"))
-        shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        shared = Stored(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared").df()
         self.members = Stored(banded.join(shared, "band"), "members").df()
         self.keys = Stored(self.members.groupBy("key").agg(F.sum("size").alias("popularity")), "keys").df()
         needed = self.nodes.join(self.keys, "key", "left_semi").select(F.col("first").alias("doc_id")).filter("doc_id IS NOT NULL")
@@ -237,6 +237,7 @@ class _Search:
         """Each member with the leader of one of its bands: the one it is likeliest similar to."""
         popular = self.members.join(self.keys, "key")
         leader = popular.groupBy("band").agg(F.max(F.struct("popularity", "key")).alias("top")).select("band", F.col("top.key").alias("b"))
+        leader = Stored(leader, "leaders").df()  # read anew, so that a join with a hot band can be split
         pairs = self.members.join(leader, "band").filter("key <> b").select(F.col("key").alias("a"), "b").distinct()
         sig = self.nodes.select("key", "sig")
         both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
@@ -246,11 +247,12 @@ class _Search:
     def apart(self, best: bool) -> DataFrame:
         """Candidate pairs (a, b) between members of a band in different components."""
         now = Stored(self.members.select("band", "key").join(self.components(), "key"), "now").df()
-        mixed = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-        mixed = Stored(now.join(mixed, "band", "left_semi"), "mixed").df()
+        several = Stored(now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band"), "several").df()
+        mixed = Stored(now.join(several, "band", "left_semi"), "mixed").df()
         counts = mixed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
         bands = counts.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"))
         bands = bands.select("band", F.col("top.comp").alias("main"), F.ceil(F.col("all") / TILE).cast("int").alias("is"), F.ceil((F.col("all") - F.col("top.c")) / TILE).cast("int").alias("js"))
+        bands = Stored(bands, "bands").df()
         rich = mixed.join(bands, "band").join(self.nodes.select("key", "sig", "n"), "key").join(self.sets.select("key", "map"), "key")
         own = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n)).cast("int")
         every = rich.select("band", own("is", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("j"), F.lit(False).alias("apart"), "key", "comp", "sig", "n", "map")
@@ -277,7 +279,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     s.confirm(s.apart(best=True))
     s.confirm(s.apart(best=False))
     comp = s.nodes.select("key", "first").join(s.components(), "key", "left").select("key", "first", F.coalesce("comp", "key").alias("comp"))
-    least = comp.groupBy("comp").agg(F.min("first").alias("component_id"))
+    comp = Stored(comp, "comps").df()
+    least = Stored(comp.groupBy("comp").agg(F.min("first").alias("component_id")), "least").df()
     final = comp.join(least, "comp").select("key", "component_id", F.lit(True).alias("known"))
     out = s.signed.select("doc_id", "n_shingles", "key").join(final, "key", "left")
     component = F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id"))
