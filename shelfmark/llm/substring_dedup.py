@@ -182,12 +182,13 @@ def repeated_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     # Of documents with the same words all but the first lose every word, and say nothing new.
     firsts = Stored(read.filter(f"n_words >= {WINDOW} AND doc_id IS NOT NULL").groupBy("words_sha256").agg(F.min("doc_id").alias("first"), F.first("markers").alias("markers")), "firsts").df()
     marked = firsts.select(F.col("first").alias("doc_id"), F.explode("markers").alias("marker"))
-    recurring = marked.groupBy("marker").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("marker")
+    recurring = Stored(marked.groupBy("marker").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("marker"), "phrases").df()
     lists = Stored(marked.join(recurring, "marker", "left_semi").groupBy("doc_id").agg(F.collect_set("marker").alias("recurring")), "recurring").df()
     few = (lists.agg(F.sum(F.size("recurring"))).first()[0] or 0) <= BROADCAST_PHRASES
     suspects = Stored(source.join(F.broadcast(lists) if few else lists, "doc_id"), "suspects").df()
     windows = Stored(suspects.mapInArrow(_located, "doc_id long, h1 long, h2 long"), "windows").df()
     owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
+    owners = Stored(owners, "owners").df()  # read anew, so that the join with a hot window can be split
     removed = windows.join(owners, ["h1", "h2"]).filter("doc_id > lo").groupBy("doc_id").agg(F.collect_list("h1").alias("h1"), F.collect_list("h2").alias("h2"))
     changed = suspects.drop("recurring").join(removed, "doc_id").mapInArrow(_cut, "doc_id long, text_key long, n_removed long, kept_sha256 string, kept_text string")
     changed = Stored(changed, "changed").df().dropDuplicates(["doc_id", "text_key"])
