@@ -38,6 +38,12 @@ def row_report(rows: DataFrame, order: list[Column], day: str) -> DataFrame:
     return row_faults(rows, order).groupBy("store_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(dates.active_on(day, F.col("sale_start"), F.col("sale_end"))).alias("active"), *counts)
 
 
+def fault_samples(rows: DataFrame, order: list[Column], most: int = 10) -> DataFrame:
+    """The first rows of each kind of fault, with its name; the limit is taken before the shuffle too."""
+    kinds = F.explode(F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in FAULTS])))
+    return ranked(row_faults(rows, order).withColumn("fault", kinds), [F.col("fault")], order).filter(F.col("rn") <= most).drop("rn")
+
+
 def row_verdict(report: DataFrame) -> DataFrame:
     """One row: whether no store has a fault, and the faults as text in their order."""
     total = report.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in FAULTS])

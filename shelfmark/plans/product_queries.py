@@ -115,8 +115,12 @@ def single_days(spark: SparkSession, d: str) -> DataFrame:
     FROM shelf WHERE sale_start LIKE '1998-06-%' AND sale_start = sale_end AND contains(lower(product_name || ' ' || specification), '{WORD}')""",
 )
 def ui_search(spark: SparkSession, d: str) -> DataFrame:
-    """What a reader sees: single days of a month, a word in name or specification, in Japanese order."""
-    rows = shelf(spark, d).filter(F.col("sale_start").startswith("1998-06-") & (F.col("sale_start") == F.col("sale_end")))
+    return search(spark, d, "1998-06-")
+
+
+def search(spark: SparkSession, d: str, month: str = "") -> DataFrame:
+    """What a reader sees: single days (of a month), a word in name or specification, in Japanese order."""
+    rows = shelf(spark, d).filter(F.col("sale_start").startswith(month) & (F.col("sale_start") == F.col("sale_end")))
     rows = rows.filter(F.lower(F.concat_ws(" ", "product_name", "specification")).contains(WORD))
     shown = rows.select("store_id", "product_name", "specification", "price_in_tax_yen", dates.period_label(F.col("sale_start"), F.col("sale_end")).alias("period"))
     return shown.orderBy(F.collate("store_id", "ja"), F.collate("product_name", "ja"))
@@ -281,3 +285,19 @@ def display_gate(spark: SparkSession, d: str) -> DataFrame:
     for m in more:
         one = one.unionByName(m)
     return one
+
+
+@query(
+    "fault_samples",
+    f"""WITH {PRODUCTS}, f AS (SELECT *, CASE WHEN l_orderkey % 101 = 0 THEN ' ' ELSE product_name END AS nm, CASE WHEN l_orderkey % 53 = 0 THEN '1998-6-1' ELSE sale_start END AS st,
+      CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN 'x' ELSE CAST(CAST(floor(price_ex) AS BIGINT) AS VARCHAR) END AS pr FROM product),
+    g AS (SELECT *, CAST(trunc(coalesce(try_cast(pr AS DOUBLE), 0)) AS BIGINT) AS i FROM f),
+    h AS (SELECT *, row_number() OVER (PARTITION BY store_id, st, sale_end, lower(regexp_replace(nm, '\\s+', '', 'g')), specification, i ORDER BY {ORDER_SQL}) AS rn FROM g),
+    a AS (SELECT 'bad_price' AS fault, {ORDER_SQL} FROM h WHERE i <= 0 UNION ALL SELECT 'blank_name', {ORDER_SQL} FROM h WHERE trim(nm) = '' UNION ALL SELECT 'duplicate', {ORDER_SQL} FROM h WHERE rn > 1
+      UNION ALL SELECT 'bad_dates', {ORDER_SQL} FROM h WHERE NOT regexp_full_match(st, '\\d{{4}}-\\d{{2}}-\\d{{2}}') OR st > sale_end UNION ALL SELECT 'percent_only', {ORDER_SQL} FROM h WHERE l_orderkey % 14 = 0 AND pr IS NULL
+      UNION ALL SELECT 'missing_provenance', {ORDER_SQL} FROM h WHERE l_orderkey % 29 = 0 OR l_orderkey % 31 = 0)
+    SELECT fault, {IDS_SQL}, copy FROM a QUALIFY row_number() OVER (PARTITION BY fault ORDER BY {ORDER_SQL}) <= 10""",
+)
+def fault_samples(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten rows of each kind of fault."""
+    return gates.fault_samples(faulty(spark, d), order(*ORDINAL)).select("fault", *ORDINAL)

@@ -17,6 +17,10 @@ class GateError(Exception):
     """A staged snapshot that must not be published."""
 
 
+class Busy(Exception):
+    """Another writer is at work: there is one at a time."""
+
+
 class Store:
     """Snapshots under one root, which driver and executors share."""
 
@@ -57,7 +61,11 @@ class Store:
     def publish(self, rows: DataFrame, gate: Callable[[DataFrame], list[str]], fault: Callable[[str], None] = lambda _: None) -> str:
         """Writes the snapshot, reads it back for the gate, and points to it. fault is called at each step, for tests."""
         name = f"snapshot-{uuid.uuid4().hex}"
-        staged = f"{self.root}/{name}"
+        staged, lock = f"{self.root}/{name}", self.path(f"{self.root}/.lock")
+        try:
+            self.fs.create(lock, False).close()
+        except Exception as e:
+            raise Busy(f"another writer holds {lock}") from e
         try:
             rows.write.parquet(staged)
             fault("after_write")
@@ -68,6 +76,8 @@ class Store:
         except BaseException:
             self.fs.delete(self.path(staged), True)
             raise
+        finally:
+            self.fs.delete(lock, False)
         return name
 
 

@@ -11,4 +11,4 @@ __all__ = ["ORACLES", "QUERIES", "evidence_queries", "flagship", "text_queries"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return product_queries.ui_search(spark, sf_dir)
+    return product_queries.search(spark, sf_dir)

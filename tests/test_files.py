@@ -94,6 +94,10 @@ def test_publish_and_faults(spark, tmp_path):
         with pytest.raises(RuntimeError):
             store.publish(new, passes, fault)
         assert store.current_id() == first
+    store.fs.create(store.path(f"{store.root}/.lock"), False).close()
+    with pytest.raises(publish.Busy):
+        store.publish(new, passes)
+    store.fs.delete(store.path(f"{store.root}/.lock"), False)
     with pytest.raises(publish.GateError):
         store.publish(new, lambda df: ["bad"])
     assert [r["a"] for r in store.current().collect()] == [1]
