@@ -18,25 +18,26 @@ def siblings(names: DataFrame) -> DataFrame:
 
 
 def ranks(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """Every text (text_id, text) against every name of the dictionary (name, ordinal), with its rank.
+    """Every different text (text) against every name of the dictionary (name, ordinal), with its rank.
 
-    names: a dictionary of bounded size; each text is scored against all of it, and pairs that repeat are scored once
-    a batch. Vetoed names come last; then the score, the support, and the dictionary's order.
+    names: a dictionary of bounded size; each text is scored against all of it. Vetoed names come last; then the
+    score, the support, and the dictionary's order.
     """
-    pairs = texts.crossJoin(F.broadcast(siblings(names)))
+    distinct = texts.select("text").distinct()
+    pairs = distinct.crossJoin(F.broadcast(siblings(names)))
     scored = pairs.withColumns({"base_score": fuzzy.base_score_udf("name", "text"), "support": fuzzy.support_udf("name", "text")})
     veto = F.col("numeric") & (F.col("support") <= 0)
     gain = F.when(veto, -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)
     scored = scored.withColumns({"veto": veto, "score": F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("base_score") + gain))})
-    order = Window.partitionBy("text_id").orderBy(F.col("veto"), F.desc("score"), F.desc("support"), "ordinal")
+    order = Window.partitionBy("text").orderBy(F.col("veto"), F.desc("score"), F.desc("support"), "ordinal")
     return scored.withColumn("rank", F.row_number().over(order))
 
 
 def resolve(texts: DataFrame, names: DataFrame, min_score: float = MIN_SCORE, min_margin: float = MIN_MARGIN) -> DataFrame:
     """A row for each text: text_id, name, status, score, margin, reason. Without a dictionary all texts stay unverified."""
     top = ranks(texts, names).filter("rank <= 2")
-    best = top.groupBy("text_id").agg(*[F.max(F.when(F.col("rank") == k, F.struct("name", "score", "veto", "support", "sibling_group"))).alias(f"r{k}") for k in (1, 2)])
-    j = texts.join(best, "text_id", "left")
+    best = top.groupBy("text").agg(*[F.max(F.when(F.col("rank") == k, F.struct("name", "score", "veto", "support", "sibling_group"))).alias(f"r{k}") for k in (1, 2)])
+    j = texts.join(best, "text", "left")
     one, two = F.col("r1"), F.col("r2")
     viable = one.isNotNull() & ~one["veto"]
     second = F.when(two.isNotNull() & ~two["veto"], two["score"]).otherwise(0.0)

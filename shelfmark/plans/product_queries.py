@@ -41,9 +41,13 @@ def policy_normalize(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.priced(products(spark, d)).select(*ORDINAL, "store_id", "product_name", "price_ex_tax_yen", "price_in_tax_yen")
 
 
-def shelf(spark: SparkSession, d: str) -> DataFrame:
-    """The published products: priced, the first of each key. These names are ASCII, so NFKC has nothing to do."""
-    return dedupe.output_policy(products(spark, d), order(*ORDINAL), normal=False)
+def shelf(spark: SparkSession, d: str, lines: str = "true", period: str = "true") -> DataFrame:
+    """The published products: priced, the first of each key. These names are ASCII, so NFKC has nothing to do.
+
+    lines and period narrow the days before anything is sorted, the one in the scan, the other by the period. Days
+    are part of the key, so the same rows come first as in the whole table.
+    """
+    return dedupe.output_policy(products(spark, d, lines).filter(period), order(*ORDINAL), normal=False)
 
 
 @query("dedupe_first_wins", f"WITH {PRODUCTS} SELECT {ORDER_SQL}, store_id, product_name, inc AS price_in_tax_yen FROM shelf")
@@ -97,14 +101,14 @@ def active_on_day(spark: SparkSession, d: str) -> DataFrame:
 )
 def exact_day_counts(spark: SparkSession, d: str) -> DataFrame:
     days = spark.sql("SELECT explode(sequence(DATE'1998-05-20', DATE'1998-06-30')) AS d").select(F.col("d").cast("string").alias("day"))
-    single = shelf(spark, d).filter("sale_start = sale_end").withColumnRenamed("sale_start", "day")
+    single = shelf(spark, d, "l_shipdate >= timestamp_ntz'1998-05-20' AND l_shipdate < timestamp_ntz'1998-07-01'", "sale_start = sale_end").withColumnRenamed("sale_start", "day")
     return sets.zero_kept(single, days, "day", {"n": F.count(F.lit(1)), "stores": F.count_distinct("store_id")})
 
 
 @query("single_days", f"WITH {PRODUCTS} SELECT store_id, string_agg(DISTINCT sale_start, ',' ORDER BY sale_start) AS days FROM shelf WHERE sale_start = sale_end GROUP BY 1")
 def single_days(spark: SparkSession, d: str) -> DataFrame:
     """The days with a button of their own, for each store."""
-    one = shelf(spark, d).filter("sale_start = sale_end")
+    one = shelf(spark, d, period="sale_start = sale_end")
     return one.groupBy("store_id").agg(F.array_join(F.array_sort(F.collect_set("sale_start")), ",").alias("days"))
 
 
@@ -115,12 +119,12 @@ def single_days(spark: SparkSession, d: str) -> DataFrame:
     FROM shelf WHERE sale_start LIKE '1998-06-%' AND sale_start = sale_end AND contains(lower(product_name || ' ' || specification), '{WORD}')""",
 )
 def ui_search(spark: SparkSession, d: str) -> DataFrame:
-    return search(spark, d, "1998-06-")
+    return search(spark, d, "l_shipdate >= timestamp_ntz'1998-06-01' AND l_shipdate < timestamp_ntz'1998-07-01'")
 
 
-def search(spark: SparkSession, d: str, month: str = "") -> DataFrame:
+def search(spark: SparkSession, d: str, lines: str = "true") -> DataFrame:
     """What a reader sees: single days (of a month), a word in name or specification, in Japanese order."""
-    rows = shelf(spark, d).filter(F.col("sale_start").startswith(month) & (F.col("sale_start") == F.col("sale_end")))
+    rows = shelf(spark, d, lines, "sale_start = sale_end")
     rows = rows.filter(F.lower(F.concat_ws(" ", "product_name", "specification")).contains(WORD))
     shown = rows.select("store_id", "product_name", "specification", "price_in_tax_yen", dates.period_label(F.col("sale_start"), F.col("sale_end")).alias("period"))
     return shown.orderBy(F.collate("store_id", "ja"), F.collate("product_name", "ja"))

@@ -34,12 +34,16 @@ def order(*columns: str) -> list[Column]:
     return [F.col(c) for c in columns]
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem and part as product rows: some without a price, some negative, a tenth twice with the name written otherwise."""
+def products(spark: SparkSession, sf_dir: str, lines: str = "true") -> DataFrame:
+    """lineitem and part as product rows: some without a price, some negative, a tenth twice with the name written otherwise.
+
+    lines: a condition on lineitem, which its scan takes.
+    """
     k, price = F.col("l_orderkey"), F.col("l_extendedprice")
     day = F.col("l_shipdate").cast("date")
     base = (
         table(spark, sf_dir, "lineitem")
+        .filter(lines)
         .join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_size"), "l_partkey")
         .select(
             *[c for c in ORDINAL if c != "copy"],
