@@ -21,7 +21,7 @@ from shelfmark.llm.common import Stored, batch, rows, small_batches, texts, word
 
 SHINGLE = 5
 #: Permutations of a fingerprint, and bits of each minimum that it keeps.
-PERMUTATIONS, BITS = 128, 16
+PERMUTATIONS, BITS = 128, 8
 SEED = 1
 #: Shingles hashed together: what fits a processor's cache.
 BLOCK = 1 << 15
@@ -77,12 +77,12 @@ def signatures(shingles: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.n
 
 def fingerprint(signature: np.ndarray) -> bytes:
     """The low bits of each minimum."""
-    return (signature & np.uint32((1 << BITS) - 1)).astype("<u2").tobytes()
+    return (signature & np.uint32((1 << BITS) - 1)).astype(np.uint8).tobytes()
 
 
 def likeness(a: bytes, b: bytes) -> float:
     """The similarity that two fingerprints tell, agreements by chance taken off, 0 to 1."""
-    x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
     equal, chance = float(np.mean(x == y)), 2.0**-BITS
     return max(0.0, (equal - chance) / (1 - chance))
 
