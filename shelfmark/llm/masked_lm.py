@@ -6,6 +6,10 @@ window's words by place, has one hidden layer, and predicts in two steps: the wo
 then the word within its class. It is trained in numpy on every document of the corpus: each
 partition goes through its own text from the weights of the round before, and the weights,
 weighted by the words they saw, are averaged in Spark.
+
+The network knows the most frequent words and buckets of the others. A word of a bucket has the bucket's
+probability times its own share in it, from counts of every word of the corpus, which stay in a table
+and are joined in Spark: the vocabulary grows with the corpus, what the scorer holds does not.
 """
 
 from __future__ import annotations
@@ -40,9 +44,11 @@ VOCABULARY = FREQUENT + SHARED
 NOTHING = VOCABULARY  # before the first word and after the last
 
 COUNTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+CODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("many", pa.int32())])))])
+CODED_SQL = "row long, doc_id long, ids binary, rare array<struct<word: binary, many: int>>"
+BUCKETED = pa.schema([("word", pa.binary()), ("bucket", pa.int32()), ("n", pa.int64())])
 TRAINED = pa.schema([("place", pa.int64()), ("weights", pa.binary()), ("seen", pa.int64())])
-SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,9 +63,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(COUNTED, list(seen.keys()), list(seen.values()))
 
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): every word of all texts."""
+    return docs.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def frequent_words(docs: DataFrame, size: int = FREQUENT) -> list[bytes]:
     """The most frequent words of all texts, ties in byte order; size bounds what is collected."""
-    counts = docs.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return most_frequent(word_counts(docs), size)
+
+
+def most_frequent(counts: DataFrame, size: int = FREQUENT) -> list[bytes]:
     return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
@@ -68,22 +82,51 @@ def shared_id(word: bytes) -> int:
     return FREQUENT + xxhash.xxh3_64_intdigest(word[:2] + b" " + word[-2:]) % SHARED
 
 
-def coder(vocabulary: list[bytes]):
-    """Texts to ids (unsigned 16-bit), looking each distinct word of a batch up once."""
+def coder(vocabulary: list[bytes], rarer: bool = False):
+    """Texts to ids (unsigned 16-bit), looking each distinct word of a batch up once. rarer: also each text's words that share an id, with their number."""
     known = {w: k for k, w in enumerate(vocabulary)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 33
         for ids, bodies in rows(batches, "doc_id", "text"):
             split = [words(b.lower()) for b in bodies]
             flat = pc.dictionary_encode(pa.array([w for ws in split for w in ws], pa.binary()))
             table = np.array([known[w] if w in known else shared_id(w) for w in flat.dictionary.to_pylist()], np.uint16)
-            coded = table[flat.indices.to_numpy()] if len(flat) else np.zeros(0, np.uint16)
+            places = flat.indices.to_numpy() if len(flat) else np.zeros(0, np.int64)
+            coded = table[places]
             ends = np.cumsum([0] + [len(ws) for ws in split])
-            yield batch(CODED, ids, [coded[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)])
+            at = np.flatnonzero(coded >= FREQUENT) if rarer else np.zeros(0, np.int64)
+            text, distinct = np.searchsorted(ends, at, "right") - 1, max(1, len(table))
+            pairs, many = np.unique(text * distinct + places[at], return_counts=True)
+            cuts = np.searchsorted(pairs // distinct, np.arange(len(ids) + 1))
+            rare = pa.StructArray.from_arrays([flat.dictionary.take(pa.array(pairs % distinct, pa.int64())), pa.array(many, pa.int32())], names=["word", "many"])
+            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)
+            yield batch(CODED, np.arange(row, row + len(ids)), ids, [coded[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], lists)
+            row += len(ids)
+
+    return run
+
+
+def _bucketed(vocabulary: list[bytes]):
+    known = set(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ws, many in rows(batches, "word", "n"):
+            if rare := [(w, shared_id(w), n) for w, n in zip(ws, many, strict=True) if w not in known]:
+                yield batch(BUCKETED, *zip(*rare, strict=True))
 
     return run
 
 
+def log_shares(counts: DataFrame, vocabulary: list[bytes]) -> DataFrame:
+    """(word, log_share): each word that shares an id, and the log of its part of that id's occurrences in all texts."""
+    bucketed = Stored(counts.mapInArrow(_bucketed(vocabulary), "word binary, bucket int, n long"), "bucketed").df()
+    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("all"))  # SHARED rows at most
+    return bucketed.join(F.broadcast(totals), "bucket").select("word", F.log(F.col("n") / F.col("all")).alias("log_share"))
+
+
 @dataclass
 class WindowNet:
     """Weights in one flat array, seen as matrices; ids are dealt to classes in turn, so that frequent words spread."""
@@ -221,24 +264,44 @@ def train(coded: DataFrame, rounds: int = ROUNDS) -> WindowNet:
 def _scorer(weights: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = WindowNet(np.frombuffer(weights, np.float32).copy())
-        for ids, coded in rows(batches, "doc_id", "ids"):
+        for row, ids, coded in rows(batches, "row", "doc_id", "ids"):
             around, target, many = positions(coded)
             sums = np.concatenate([[0.0], np.cumsum(net.log_probs(around, target), dtype=np.float64)])
             ends = np.concatenate([[0], np.cumsum(many)])
-            yield batch(SCORED, ids, many, sums[ends[1:]] - sums[ends[:-1]])
+            yield batch(SCORED, row, ids, many, sums[ends[1:]] - sums[ends[:-1]])
 
     return run
 
 
+def _scored(coded: DataFrame) -> DataFrame:
+    net = train(coded)
+    return coded.select("row", "doc_id", "ids").mapInArrow(_scorer(net.flat.tobytes()), "row long, doc_id long, n_tokens long, log_prob double")
+
+
+def _with_mean(scored: DataFrame) -> DataFrame:
+    return scored.select("doc_id", "n_tokens", "log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")).alias("mean_log_prob"))
+
+
 def pseudo_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_tokens, log_prob (the sum), mean_log_prob.
+    """The network alone: log_prob is that of the ids, which rarer words share. For the words' own see token_likelihood().
 
+    One row for each row of docs: doc_id, n_tokens, log_prob (the sum), mean_log_prob.
     Words are runs without white space, A-Z in lower case. A null text, or one without
     words, has log_prob 0 and a null mean. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     source = texts(docs, doc_id, text)
-    coded = Stored(source.mapInArrow(coder(frequent_words(source)), "doc_id long, ids binary"), "coded").df()
-    net = train(coded)
-    scored = coded.mapInArrow(_scorer(net.flat.tobytes()), "doc_id long, n_tokens long, log_prob double")
-    return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+    return _with_mean(_scored(Stored(source.mapInArrow(coder(frequent_words(source)), CODED_SQL), "coded").df()))
+
+
+def token_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """As pseudo_likelihood(), of the words themselves: a rarer one has its id's probability times its share among all words of that id."""
+    small_batches(docs.sparkSession)
+    source = texts(docs, doc_id, text)
+    counts = Stored(word_counts(source), "counts").df()
+    vocabulary = most_frequent(counts)
+    coded = Stored(source.mapInArrow(coder(vocabulary, rarer=True), CODED_SQL), "coded").df()
+    each = coded.select("row", F.inline("rare")).join(log_shares(counts, vocabulary), "word")
+    own = each.groupBy("row").agg(F.sum(F.col("many") * F.col("log_share")).alias("own"))
+    scored = _scored(coded).join(own, "row", "left")
+    return _with_mean(scored.withColumn("log_prob", F.col("log_prob") + F.coalesce("own", F.lit(0.0))))

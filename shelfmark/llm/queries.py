@@ -58,7 +58,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masked_lm.pseudo_likelihood(documents(spark, sf_dir))
+    return masked_lm.token_likelihood(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -165,3 +166,29 @@ def test_masked_lm_on_awkward_rows(spark):
         n = len((text or "").encode().split())
         assert got[doc]["n_tokens"] == n and (got[doc]["mean_log_prob"] is None) == (n == 0) and got[doc]["log_prob"] <= 0
     assert lm.pseudo_likelihood(frame(spark, [])).collect() == []
+
+
+def test_masked_lm_tells_rare_words_with_the_same_ends_apart(spark, tmp_path):
+    common = [f"{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"][: lm.FREQUENT]
+    texts = [" ".join(common)] * 30 + ["aa ab walking ac ad"] * 20 + ["aa ab waxyzing ac ad", "", None]
+    frame(spark, [(k, t, "en", "s", 0) for k, t in enumerate(texts)]).coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op5_masked_lm(spark, str(tmp_path)).collect()}
+    assert lm.shared_id(b"walking") == lm.shared_id(b"waxyzing") and len(got) == len(texts)
+    assert got[30]["log_prob"] - got[50]["log_prob"] == pytest.approx(np.log(20), rel=1e-3)
+    assert got[51]["log_prob"] == got[52]["log_prob"] == 0 and got[51]["mean_log_prob"] is None
+
+
+def test_masked_lm_shares_against_brute_force(spark):
+    docs = clashing(frame(spark)).repartition(3)
+    ids = {r["doc_id"]: r["log_prob"] for r in lm.pseudo_likelihood(docs).collect()}
+    got = {r["doc_id"]: r for r in lm.token_likelihood(docs).collect()}
+    split = {r[0]: (r[1] or "").encode().lower().split() for r in awkward()}
+    known = set(lm.frequent_words(frame(spark).select(lm.F.col("text").cast("binary").alias("text")).na.drop()))
+    counts, buckets = Counter(w for ws in split.values() for w in ws if w not in known), Counter()
+    for w, n in counts.items():
+        buckets[lm.shared_id(w)] += n
+    assert len(got) == len(split) and counts
+    for doc, ws in split.items():
+        own = sum(np.log(counts[w] / buckets[lm.shared_id(w)]) for w in ws if w in counts)
+        assert got[doc]["n_tokens"] == len(ws) and got[doc]["log_prob"] == pytest.approx(ids[doc] + own, rel=1e-3, abs=1e-2)
+    assert lm.token_likelihood(frame(spark, [])).collect() == []
