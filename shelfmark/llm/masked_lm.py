@@ -32,8 +32,10 @@ FREQUENT, SHARED = 512, 512
 CLASSES = 32
 #: Words on either side, sizes of an embedding and of the hidden layer.
 SIDE, EMBED, HIDDEN = 2, 16, 32
-#: Rounds over the corpus; in each, every STRIDE-th word of each text is predicted, starting one further on in the next round.
-ROUNDS, STRIDE = 2, 4
+#: Rounds over the corpus; in each, every STRIDE-th word of each text is predicted, starting one further on in the next round:
+#: with as many rounds as the stride, every word of every text is a target once.
+STRIDE = 4
+ROUNDS = STRIDE
 STEP, RATE, SEED = 2048, 0.01, 5
 #: Words scored together.
 TOGETHER = 1 << 15

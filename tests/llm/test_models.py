@@ -192,3 +192,13 @@ def test_masked_lm_shares_against_brute_force(spark):
         own = sum(np.log(counts[w] / buckets[lm.shared_id(w)]) for w in ws if w in counts)
         assert got[doc]["n_tokens"] == len(ws) and got[doc]["log_prob"] == pytest.approx(ids[doc] + own, rel=1e-3, abs=1e-2)
     assert lm.token_likelihood(frame(spark, [])).collect() == []
+
+
+def test_masked_lm_learns_from_every_position(spark, monkeypatch):
+    n, turns = 23, []
+    coded = [np.arange(n, dtype=np.uint16).tobytes(), np.arange(n, n + 2, dtype=np.uint16).tobytes()]
+    trainer = lm._trainer
+    monkeypatch.setattr(lm, "_trainer", lambda weights, turn: turns.append(turn) or trainer(weights, turn))
+    lm.train(spark.createDataFrame([(bytearray(c),) for c in coded], "ids binary"))
+    targets = np.concatenate([lm.positions(coded, turn, lm.STRIDE)[1] for turn in turns])
+    assert sorted(targets.tolist()) == list(range(n + 2))
