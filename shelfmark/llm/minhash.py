@@ -173,14 +173,53 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 BANDED = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary()), ("bands", pa.list_(pa.int64()))])
 #: Bands of a signature and places of each: a pair at similarity 0.75 is missed once in 40 million.
 BANDS, PLACES = 32, 3
+#: Members of a band that one side of a tile holds on average.
+TILE = 1024
+PAIRED = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+PAIRED_SQL = "a long, b long"
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs (a < b) of a tile's two sides; its rows, sorted by band, i, j, come with a member's own part (own)."""
+    at, sides = None, ([], [])
+
+    def pairs() -> Iterator[pa.RecordBatch]:
+        left, right = (np.array(x, np.int64) for x in sides)
+        for x in left.tolist():
+            # Within one part each pair once; between two parts all.
+            other = right[right > x] if at[1] == at[2] else right
+            if len(other):
+                yield batch(PAIRED, np.minimum(other, x), np.maximum(other, x))
+
+    for columns in rows(batches, "band", "i", "j", "own", "doc_id"):
+        for band, i, j, own, doc in zip(*columns, strict=True):
+            if (band, i, j) != at:
+                if at is not None:
+                    yield from pairs()
+                at, sides = (band, i, j), ([], [])
+            if own == i:
+                sides[0].append(doc)
+            if own == j:
+                sides[1].append(doc)
+    if at is not None:
+        yield from pairs()
+
+
+def _candidates(banded: DataFrame) -> DataFrame:
+    """Every pair (a < b) of members of a band, once. A large band is dealt to parts, and each two parts (i <= j) meet in a tile."""
+    parts = Stored(banded.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "parts").df()
+    own = banded.join(parts, "band").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    with_all = own.select("band", "doc_id", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k"))
+    tiles = with_all.select("band", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"), "own", "doc_id")
+    return tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_tiles, PAIRED_SQL).distinct()
 
 
 def similar_pairs(docs: DataFrame, threshold: float = 0.75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Links between different shingle sets: a, b (least doc_id of each set, a < b), jaccard >= threshold.
 
     Signature bands are joined in Spark, and the Jaccard similarity of each candidate pair
-    is verified on the full sets. Copies are folded first. In each band the documents are linked through
-    its least member: for all links of one text with all others use near_dedup.
+    is verified on the full sets. Copies are folded first, so that there are as many members of a band as
+    different texts; all pairs of them are verified, in tiles if the band is large. Texts without any doc_id have no links.
     """
     small_batches(docs.sparkSession)
 
@@ -192,10 +231,8 @@ def similar_pairs(docs: DataFrame, threshold: float = 0.75, doc_id: str = "doc_i
             yield batch(BANDED, ids, [s.tobytes() for s in sets], [[xxhash.xxh3_64_intdigest(bytes([k]) + band.tobytes()) >> 1 for k, band in enumerate(s)] if len(x) else [] for s, x in zip(sig, sets, strict=True)])
 
     sets = texts(docs, doc_id, text).mapInArrow(run, "doc_id long, shingles binary, bands array<long>").groupBy("shingles").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    sets = Stored(sets, "shingles").df()
-    banded = sets.select("doc_id", F.explode("bands").alias("band"))
-    least = banded.groupBy("band").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = banded.join(least, "band").filter("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    sets = Stored(sets.filter("doc_id IS NOT NULL"), "shingles").df()
+    pairs = _candidates(sets.select("doc_id", F.explode(F.array_distinct("bands")).alias("band")))
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -202,3 +202,20 @@ def test_masked_lm_learns_from_every_position(spark, monkeypatch):
     lm.train(spark.createDataFrame([(bytearray(c),) for c in coded], "ids binary"))
     targets = np.concatenate([lm.positions(coded, turn, lm.STRIDE)[1] for turn in turns])
     assert sorted(targets.tolist()) == list(range(n + 2))
+
+
+@pytest.mark.parametrize("tile", [1024, 3])
+def test_similar_pairs_are_all_there(spark, monkeypatch, tile):
+    monkeypatch.setattr(minhash, "TILE", tile, raising=False)
+    words = [f"w{k}" for k in range(400)]
+    # Text 0 shares a bit with all others; the others are near copies of each other.
+    rows = [(0, " ".join(words[:200] + [f"z{k}" for k in range(100)]), "en", "s", 0)]
+    rows += [(k, " ".join([*words[:390], *[f"e{k}x{j}" for j in range(k % 4)]]), "en", "s", 0) for k in range(1, 25)]
+    rows += [(100 + k, " ".join(words[: 300 + 20 * k]), "en", "s", 0) for k in range(6)] + [(None, None, "en", "s", 0), (None, "no id", "en", "s", 0)]
+    first = {}
+    for doc, text, *_ in rows:
+        if text and doc is not None:
+            first.setdefault(text, doc)
+    expected = {(a, b) for x, a in first.items() for y, b in first.items() if a < b and jaccard(x, y) >= 0.75}
+    got = [(r["a"], r["b"]) for r in minhash.similar_pairs(frame(spark, rows).repartition(3)).collect()]
+    assert len(got) == len(set(got)) and set(got) == expected and any(a > 0 for a, _ in expected)
