@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from shelfmark.functions import fuzzy, text
 
 MIN_SCORE, MIN_MARGIN = 50.0, 8.0
+#: Texts and names of a tile, on average: what a task scores at once.
+TEXTS, NAMES = 256, 64
+#: Partitions of tiles at most; each then has several.
+TASKS = 4096
 
 
 def siblings(names: DataFrame) -> DataFrame:
@@ -20,11 +24,18 @@ def siblings(names: DataFrame) -> DataFrame:
 def ranks(texts: DataFrame, names: DataFrame) -> DataFrame:
     """Every different text (text) against every name of the dictionary (name, ordinal), with its rank.
 
-    names: a dictionary of bounded size; each text is scored against all of it. Vetoed names come last; then the
-    score, the support, and the dictionary's order.
+    Each text is scored against the whole dictionary, in tiles of TEXTS by NAMES that are joined by their number. Vetoed
+    names come last; then the score, the support, and the dictionary's order.
     """
     distinct = texts.select("text").distinct()
-    pairs = distinct.crossJoin(F.broadcast(siblings(names)))
+    across, down = (max(1, -(-df.count() // size)) for df, size in ((distinct, TEXTS), (names, NAMES)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = distinct.withColumn("across", F.pmod(F.xxhash64("text"), F.lit(across)).cast("int")).withColumn("down", every(down))
+    right = siblings(names).withColumn("down", F.pmod(F.xxhash64("name", "ordinal"), F.lit(down)).cast("int")).withColumn("across", every(across))
+    # A stated number of partitions: by size alone, all of these short rows would go to one task.
+    tiles = min(across * down, TASKS)
+    left, right = (df.repartition(tiles, "across", "down") for df in (left, right))
+    pairs = left.hint("merge").join(right, ["across", "down"]).drop("across", "down")
     scored = pairs.withColumns({"base_score": fuzzy.base_score_udf("name", "text"), "support": fuzzy.support_udf("name", "text")})
     veto = F.col("numeric") & (F.col("support") <= 0)
     gain = F.when(veto, -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)

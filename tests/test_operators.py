@@ -5,6 +5,7 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions import fuzzy
 from shelfmark.operators import cluster, dedupe, gates, names, sets, spatial
 from shelfmark.plans import candidates
 from shelfmark.plans.queries import QUERIES
@@ -66,6 +67,31 @@ def test_resolve_without_dictionary(spark):
     assert (got["name"], got["reason"]) == ("x", "empty_dictionary")
 
 
+@pytest.mark.parametrize("size", [1000, 3])
+def test_every_text_is_ranked_against_every_name(spark, monkeypatch, size):
+    monkeypatch.setattr(names, "TEXTS", size, raising=False)
+    monkeypatch.setattr(names, "NAMES", size, raising=False)
+    entries = [(f"{n} {k}本", 10 * i + k) for i, n in enumerate(["牛乳", "豆乳", "うどん", "large ring"]) for k in range(1, 5)]
+    reads = [(k, t) for k, t in enumerate(["牛乳 2本", "豆 乳", "largc ring 3本", "x", "", None, "うどん", "牛乳 2本"])]
+    ranked = names.ranks(spark.createDataFrame(reads, "text_id int, text string"), spark.createDataFrame(entries, "name string, ordinal int")).collect()
+    assert len(ranked) == len({t for _, t in reads}) * len(entries)
+    for text in {t for _, t in reads}:
+        mine = sorted((r for r in ranked if r["text"] == text), key=lambda r: r["rank"])
+        assert {(r["name"], r["ordinal"]) for r in mine} == set(entries) and [r["rank"] for r in mine] == list(range(1, len(entries) + 1))
+        assert mine == sorted(mine, key=lambda r: (r["veto"], -r["score"], -r["support"], r["ordinal"]))
+        assert all(r["base_score"] == fuzzy.base_score(r["name"], text) for r in mine)
+
+
+def test_all_parts_are_resolved_and_scored(spark, sf):
+    from shelfmark.plans import text_queries
+
+    keys = sorted(r[0] for r in spark.read.parquet(f"{sf}/part.parquet").select("p_partkey").collect())
+    assert sorted(r["text_id"] for r in text_queries.dictionary_resolve(spark, sf).collect()) == keys
+    assert sorted(r["text_id"] for r in text_queries.record_scores(spark, sf).collect()) == sorted(4 * keys)
+    parts = spark.read.parquet(f"{sf}/part.parquet").select("p_name", "p_size").distinct().count()
+    assert text_queries.dictionary(spark, sf).count() == parts
+
+
 def test_majority_prefers_three_letters(spark):
     df = spark.createDataFrame([("a", "198"), ("a", "1980"), ("b", "98"), ("b", "980"), ("b", "98")], "k string, r string")
     assert {r["k"]: r["value"] for r in names.majority(df, "k", "r").collect()} == {"a": "198", "b": "98"}
