@@ -22,8 +22,12 @@ def dictionary(spark: SparkSession, d: str) -> DataFrame:
 
 @query("nfkc_key")
 def nfkc_key(spark: SparkSession, d: str) -> DataFrame:
-    wide = F.concat(F.col("lang"), F.lit("　ＡＢＣ１２３ｶﾞ "), F.substring("text", 1, 20))
-    return table(spark, d, "documents").select("doc_id", text.key_form(wide).alias("key"))
+    """The key of the whole text; a long one as its hash, which no short key equals, as all have the letters put in."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"  # whole texts cross to Python: small batches bound its memory
+    spark.conf.set(rows, min(int(spark.conf.get(rows)), 500))
+    wide = F.concat(F.coalesce("lang", F.lit("")), F.lit("　ＡＢＣ１２３ｶﾞ "), F.col("text"))
+    keyed = table(spark, d, "documents").select("doc_id", text.key_form(wide).alias("whole"))
+    return keyed.select("doc_id", F.when(F.length("whole") > 64, F.sha2("whole", 256)).otherwise(F.col("whole")).alias("key"))
 
 
 @query("dictionary_resolve")
@@ -307,5 +311,4 @@ def record_scores(spark: SparkSession, d: str) -> DataFrame:
 )
 def name_tokens(spark: SparkSession, d: str) -> DataFrame:
     """Which first words can belong to a name."""
-    docs = table(spark, d, "documents").filter("text IS NOT NULL")
-    return docs.select("doc_id", text.is_name_token(F.split(F.substring("text", 1, 30), " ")[0], F.col("doc_id") % 12).alias("token"))
+    return table(spark, d, "documents").select("doc_id", text.is_name_token(F.substring_index("text", " ", 1), F.col("doc_id") % 12).alias("token"))

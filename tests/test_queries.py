@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from shelfmark.plans import text_queries
 from shelfmark.plans.queries import ORACLES, QUERIES
 from tests.oracle import both, connect
 
@@ -21,3 +22,13 @@ def test_entry_has_rows(spark):
 
 def test_only_known_queries_lack_sql():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+
+
+def test_keys_and_first_words_are_of_whole_texts(spark, tmp_path):
+    long = "ａ" * 40
+    texts = [f"{long}x", f"{long}y", f"{long} x", "ＡＢ c", "ab　C", f"{long * 3}x", f"{long * 3}y", f"{'1' * 35}abc d", "12 abc", None]
+    spark.createDataFrame([(12 * k + 6, t, "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    keys = [r["key"] for r in text_queries.nfkc_key(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert keys[0] != keys[1] and keys[0] == keys[2] and keys[3] == keys[4] and keys[5] != keys[6] and len(keys) == len(texts)
+    tokens = [r["token"] for r in text_queries.name_tokens(spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert tokens == [True, True, False, False, True, True, True, True, False, False]
