@@ -50,6 +50,20 @@ def char_coverage(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("p_name", "item_id", F.round(fuzzy.coverage_udf(text.compact(F.col("p_name")), F.col("t")), 6).alias("coverage"))
 
 
+@query(
+    "char_coverage_all",
+    """WITH n AS (SELECT DISTINCT p_name, replace(p_name, ' ', '') AS a FROM part), b AS (SELECT item_id, lower(regexp_replace(text, '\\s+', '', 'g')) AS t FROM benchmark),
+    ac AS (SELECT p_name, c, count(*) AS k FROM (SELECT p_name, unnest(string_split(a, '')) AS c FROM n) GROUP BY 1, 2), bc AS (SELECT item_id, c, count(*) AS k FROM (SELECT item_id, unnest(string_split(t, '')) AS c FROM b) GROUP BY 1, 2)
+    SELECT p_name, item_id, round(100.0::DOUBLE * sum(least(ac.k, coalesce(bc.k, 0))) / sum(ac.k), 6) AS coverage FROM ac CROSS JOIN (SELECT DISTINCT item_id FROM b) LEFT JOIN bc USING (item_id, c) GROUP BY 1, 2""",
+)
+def char_coverage_all(spark: SparkSession, d: str) -> DataFrame:
+    """How much of each name every text holds, as bags of characters; the dictionary is bounded."""
+    n = table(spark, d, "part").select("p_name").distinct()
+    b = table(spark, d, "benchmark").select("item_id", text.compact(F.col("text")).alias("t"))
+    pairs = b.crossJoin(F.broadcast(n))
+    return pairs.select("p_name", "item_id", F.round(fuzzy.coverage_udf(text.compact(F.col("p_name")), F.col("t")), 6).alias("coverage"))
+
+
 @query(
     "sibling_margin",
     """WITH n AS (SELECT DISTINCT p_name FROM part), s AS (SELECT a.p_name, 100.0::DOUBLE * (1 - CAST(levenshtein(a.p_name, b.p_name) AS DOUBLE) / greatest(length(a.p_name), length(b.p_name))) AS sim FROM n a JOIN n b ON a.p_name <> b.p_name)
@@ -70,7 +84,20 @@ def sibling_margin(spark: SparkSession, d: str) -> DataFrame:
     SELECT skeleton, count(*) AS names, count(DISTINCT sig) > 1 AS differ, CAST(sum(length(sig)) AS BIGINT) AS letters FROM s GROUP BY 1""",
 )
 def sibling_groups(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "part").filter("p_size % 9 = 0").select(F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), F.lit("cm")).alias("name")).distinct()
+    return _groups(table(spark, d, "part").filter("p_size % 9 = 0"))
+
+
+@query(
+    "sibling_groups_all",
+    """WITH n AS (SELECT DISTINCT p_name || ' ' || p_size || 'cm' AS name FROM part), s AS (SELECT name, replace(regexp_replace(name, '\\d+(\\.\\d+)?', '', 'g'), ' ', '') AS skeleton, regexp_extract(name, '\\d+cm') AS sig FROM n)
+    SELECT skeleton, count(*) AS names, count(DISTINCT sig) > 1 AS differ, CAST(sum(length(sig)) AS BIGINT) AS letters FROM s GROUP BY 1""",
+)
+def sibling_groups_all(spark: SparkSession, d: str) -> DataFrame:
+    return _groups(table(spark, d, "part"))
+
+
+def _groups(parts: DataFrame) -> DataFrame:
+    n = parts.select(F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), F.lit("cm")).alias("name")).distinct()
     sig = F.array_join(text.numeric_signatures(F.col("name"), normal=False), ",")
     shown = n.select(text.without_numbers(F.col("name"), normal=False).alias("skeleton"), sig.alias("sig"))
     return shown.groupBy("skeleton").agg(F.count(F.lit(1)).alias("names"), (F.count_distinct("sig") > 1).alias("differ"), F.sum(F.length("sig")).alias("letters"))

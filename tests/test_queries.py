@@ -32,3 +32,15 @@ def test_keys_and_first_words_are_of_whole_texts(spark, tmp_path):
     assert keys[0] != keys[1] and keys[0] == keys[2] and keys[3] == keys[4] and keys[5] != keys[6] and len(keys) == len(texts)
     tokens = [r["token"] for r in text_queries.name_tokens(spark, str(tmp_path)).orderBy("doc_id").collect()]
     assert tokens == [True, True, False, False, True, True, True, True, False, False]
+
+
+def test_coverage_and_groups_of_whole_tables(spark, sf):
+    parts, items = spark.read.parquet(f"{sf}/part.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    pairs = {(n[0], i[0]) for n in parts.select("p_name").distinct().collect() for i in items.select("item_id").collect()}
+    got = [(r["p_name"], r["item_id"]) for r in QUERIES["char_coverage_all"](spark, sf).collect()]
+    assert len(got) == len(pairs) and set(got) == pairs
+    groups = {r["skeleton"]: r["names"] for r in QUERIES["sibling_groups_all"](spark, sf).collect()}
+    sizes = {}
+    for name, size in {(r["p_name"], r["p_size"]) for r in parts.collect()}:
+        sizes.setdefault(name.replace(" ", "") + "cm", set()).add(size)
+    assert groups == {k: len(v) for k, v in sizes.items()}
