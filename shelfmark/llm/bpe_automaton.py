@@ -7,11 +7,15 @@ is built by successive gadgets, one for each merge (u, v) -> w in order of prior
   - a state for w gets a copy of the arcs that leave v;
   - every state with an arc u gets an arc w beside it (but u itself, where u = v:
     runs merge from the left).
-What is left accepts the correct encoding of each word and nothing else. Written
-out, the arcs of a vocabulary of 49,000 would be a table of 2.4 billion; a gadget
-touches only copies of older arcs, so whether the arc (a, b) outlived all gadgets is
-found by following the copies back to the single symbols, and is then held in a table
-of fixed size. Encoding is driven by tables: every prefix of a word has one correct encoding,
+What is left accepts the correct encoding of each word and nothing else.
+
+A state copied from v after some moment keeps what was closed before and shares what
+v lost until then, so numbering every token next to its copies, the latest first, makes the states
+that one gadget reaches a run of numbers; the same holds for the arcs that it takes away.
+A gadget closes one rectangle of states and arcs. States, and arcs, that no rectangle's edge tells apart share one row,
+or column, of the transition table: 12,000 by 16,000 bits for a vocabulary of 49,000.
+
+Encoding is driven by that table: every prefix of a word has one correct encoding,
 so reading a word symbol by symbol needs, for each prefix, only the last token of
 its encoding: the one token that ends there and whose arc from the state of the
 shorter prefix exists. All words of a batch advance together in numpy. Decoding
@@ -31,8 +35,8 @@ from pyspark.sql import DataFrame
 from shelfmark.llm.bpe_words import TextEncoder, byte_letters, library_splitter
 from shelfmark.llm.common import batch, rows, small_batches, texts
 
-#: Arc verdicts held at once: 2 to this power.
-ARC_BITS = 21
+#: Rows of the transition table that are drawn at once while it is compiled.
+DRAWN = 512
 #: Words read together, and the longest of them; a longer one is read alone.
 WORDS_AT_ONCE, LONGEST = 20_000, 48
 
@@ -80,12 +84,14 @@ class TokenizationAutomaton:
         # A token that no merge makes is a symbol, born at 0; merge number k gives birth at k + 1.
         self.born, self.left, self.right = (np.zeros(size, np.int64) for _ in range(3))
         self.span = np.ones(size, np.int64)
-        pairs = np.zeros(len(merges), np.uint64)
-        for k, (a, b) in enumerate(merges):
-            u, v, w = vocabulary[a], vocabulary[b], vocabulary[a + b]
+        made = [(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges]
+        for k, (u, v, w) in enumerate(made):
+            if self.born[w]:
+                raise ValueError("two merges make the same token")
             self.born[w], self.left[w], self.right[w], self.span[w] = k + 1, u, v, self.span[u] + self.span[v]
-            pairs[k] = u << 32 | v
-        self.merge_at = HashIndex(pairs, np.arange(1, len(merges) + 1))
+        if any(max(self.born[u], self.born[v]) > k for k, (u, v, _) in enumerate(made)):
+            raise ValueError("a merge comes before one of its parts")
+        self._compile(size, made)
         # The symbols of a token, spelt as a polynomial hash.
         self.base = np.uint64(0x9FB21C651E98DF25)
         self.code = (np.arange(1, size + 1).astype(np.uint64) * GOLDEN) ^ (np.arange(1, size + 1).astype(np.uint64) << np.uint64(29))
@@ -103,44 +109,54 @@ class TokenizationAutomaton:
             label = self.labels[w]
             table, label = (self.at_end, label[: -len(suffix)]) if label.endswith(suffix) else (self.inside, label)
             table[bytes(map(byte_of.__getitem__, label))] = w
-        self.alone: dict[tuple[int, int], bool] = {}
-        self.merge_of = {(vocabulary[a], vocabulary[b]): k + 1 for k, (a, b) in enumerate(merges)}
-        self.trees = list(zip(self.born.tolist(), self.left.tolist(), self.right.tolist(), strict=True))
-        self.arc_keys = np.full(1 << ARC_BITS, np.uint64(2**64 - 1))
-        self.arc_open = np.zeros(1 << ARC_BITS, bool)
-
-    def _outlived(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether each arc is left after all gadgets: it is followed back from copy to original."""
-        a, b = a.copy(), b.copy()
-        until = np.full(len(a), 1 << 60)
-        open_, live = np.ones(len(a), bool), np.arange(len(a))
-        while len(live):
-            x, y = a[live], b[live]
-            made = self.merge_at.get((x.astype(np.uint64) << np.uint64(32)) | y.astype(np.uint64))
-            bx, by = self.born[x], self.born[y]
-            closed = (made >= 0) & (made < until[live])
-            closed |= (by > bx) & (self.left[y] == self.right[y]) & (self.left[y] == x)
-            open_[live[closed]] = False
-            until[live] = np.maximum(bx, by)
-            a[live] = np.where((bx >= by) & (bx > 0), self.right[x], x)
-            b[live] = np.where((by >= bx) & (by > 0), self.left[y], y)
-            live = live[~closed & ((bx > 0) | (by > 0))]
-        return open_
+
+    def _compile(self, size: int, made: list[tuple[int, int, int]]) -> None:
+        """All gadgets, as rectangles, and the table of what they leave open.
+
+        Going back from the last merge, copies and beside count the copies that each token will have had; what a gadget
+        reaches are the token itself and its copies made later, which are numbered right behind it.
+        """
+        copies, beside = [0] * size, [0] * size  # of a state, of an arc
+        state_at, arc_at, tall, wide = [0] * size, [0] * size, [0] * len(made), [0] * len(made)
+        for k in range(len(made) - 1, -1, -1):
+            u, v, w = made[k]
+            arc_at[w] = beside[u]
+            beside[u] += 1 + beside[w]  # first, so that with u = v the arc w leaves u too
+            tall[k], wide[k] = 1 + copies[u], 1 + beside[v]
+            state_at[w] = copies[v]
+            copies[v] += 1 + copies[w]
+        state, arc, next_state, next_arc = [0] * size, [0] * size, 0, 0
+        for x in np.flatnonzero(self.born == 0).tolist():
+            state[x], arc[x] = next_state, next_arc
+            next_state, next_arc = next_state + 1 + copies[x], next_arc + 1 + beside[x]
+        for u, v, w in made:
+            state[w], arc[w] = state[v] + 1 + state_at[w], arc[u] + 1 + arc_at[w]
+        top, low = np.array([state[u] for u, _, _ in made], np.int64), np.array([arc[v] for _, v, _ in made], np.int64)
+        bottom, high = top + np.array(tall, np.int64), low + np.array(wide, np.int64)
+        rows_, columns = np.unique(np.concatenate([top, bottom])), np.unique(np.concatenate([low, high]))
+        self.row = np.searchsorted(rows_, np.array(state), "right")
+        self.column = np.searchsorted(columns, np.array(arc), "right")
+        self.width = -(-(len(columns) + 1) // 8) * 8
+        top, bottom, low, high = (np.searchsorted(edges, x, "right") for edges, x in ((rows_, top), (rows_, bottom), (columns, low), (columns, high)))
+        order = np.argsort(top, kind="stable")
+        ends, drawn, waiting, k = bottom.tolist(), [], [], 0
+        for first in range(0, len(rows_) + 1, DRAWN):
+            last = min(first + DRAWN, len(rows_) + 1)
+            block = np.zeros((last - first, self.width), bool)
+            while k < len(order) and top[order[k]] < last:
+                waiting.append(int(order[k]))
+                k += 1
+            for g in waiting:
+                block[max(0, top[g] - first) : bottom[g] - first, low[g] : high[g]] = True
+            waiting = [g for g in waiting if ends[g] > last]
+            drawn.append(np.packbits(block))
+        #: A bit for each row and column: whether the arc was taken away.
+        self.closed = np.concatenate(drawn)
 
     def arcs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        keys = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
-        at = ((keys * GOLDEN) >> np.uint64(64 - ARC_BITS)).astype(np.int64)
-        found = self.arc_open[at]
-        unknown = np.flatnonzero(self.arc_keys[at] != keys)
-        if len(unknown):
-            _, first, place = np.unique(keys[unknown], return_index=True, return_inverse=True)
-            new = unknown[first]
-            verdict = self._outlived(a[new], b[new])
-            found[unknown] = verdict[place]
-            self.arc_keys[at[new]], self.arc_open[at[new]] = keys[new], verdict
-            # Two new arcs may share a slot: let verdict and key be of the same one.
-            self.arc_open[at[new]] = np.where(self.arc_keys[at[new]] == keys[new], verdict, self.arc_open[at[new]])
-        return found
+        """Whether the state of each token a has an arc to token b."""
+        bit = self.row[a] * self.width + self.column[b]
+        return (self.closed[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 0
 
     def _read(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The last token of every prefix of each word, -1 past its end. symbols: a row a word."""
@@ -165,33 +181,17 @@ class TokenizationAutomaton:
             assert not len(todo), "every prefix has one encoding"
         return last
 
-    def _outlived_alone(self, a: int, b: int) -> bool:
-        """The same as _outlived() for one arc."""
-        until = 1 << 60
-        while True:
-            (ba, _, right), (bb, left, last) = self.trees[a], self.trees[b]
-            if self.merge_of.get((a, b), until) < until or (bb > ba and left == last == a):
-                return False
-            if not ba and not bb:
-                return True
-            until = max(ba, bb)
-            a, b = right if ba >= bb else a, left if bb >= ba else b
-
     def _read_alone(self, word: bytes) -> bytes:
         """The ids of one long word, symbol by symbol."""
         last, longest = [-1] * (len(word) + 1), len(self.power) - 1
-        if len(self.alone) > 1 << 18:
-            self.alone.clear()
         for j in range(1, len(word) + 1):
             table = self.inside if j < len(word) else self.at_end
             for span in range(min(j, longest), 0, -1):
                 token = table.get(word[j - span : j])
                 if token is not None:
                     if span < j:
-                        arc = (last[j - span], token)
-                        if (fits := self.alone.get(arc)) is None:
-                            fits = self.alone[arc] = self._outlived_alone(*arc)
-                        if not fits:
+                        bit = int(self.row[last[j - span]]) * self.width + int(self.column[token])
+                        if self.closed[bit >> 3] >> (7 - (bit & 7)) & 1:
                             continue
                     last[j] = token
                     break
@@ -264,7 +264,8 @@ DIGESTS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, ids (little-endian unsigned 32-bit integers).
 
-    path: the vocabulary file, there on every executor. A null or empty text has no ids.
+    path: the vocabulary file, there on every executor. A null or empty text has no ids; rows that repeat are
+    encoded one by one, and a null doc_id stays null. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
 
@@ -277,19 +278,22 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, text) of what encode() returned."""
+    """(doc_id, text) of what encode() returned, a row for each row. No ids, or null ones, are the empty text."""
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, _ = load(path)
         for ids, coded in rows(batches, "doc_id", "ids"):
-            yield batch(schema, ids, [automaton.decode(c) for c in coded])
+            yield batch(schema, ids, [automaton.decode(c or b"") for c in coded])
 
     return encoded.mapInArrow(run, "doc_id long, text string")
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256 (encode, then decode, in one pass)."""
+    """One row for each row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256 (encode, then decode, in one pass).
+
+    A null or empty text has no ids; rows that repeat are encoded one by one. An empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -58,6 +58,58 @@ def test_arcs_are_what_the_merges_leave():
             assert got == slow(w), w
 
 
+def outlived(automaton, merges, a, b):
+    """The rule without a table: an arc is followed back from copy to original, until a merge took it away."""
+    until = 1 << 60
+    while True:
+        ba, bb, left, right = automaton.born[a], automaton.born[b], automaton.left, automaton.right
+        if merges.get((a, b), until) < until or (bb > ba and left[b] == right[b] == a):
+            return False
+        if not ba and not bb:
+            return True
+        until = max(ba, bb)
+        a, b = right[a] if ba >= bb else a, left[b] if bb >= ba else b
+
+
+def test_table_says_what_the_gadgets_say():
+    automaton, _ = bpe_automaton.load(PATH)
+    merges = {(int(automaton.left[w]), int(automaton.right[w])): int(automaton.born[w]) for w in np.flatnonzero(automaton.born)}
+    r = np.random.default_rng(3)
+    pairs = [*r.integers(0, 49406, (4000, 2)).tolist(), *list(merges)[::37], *((a, int(automaton.left[b])) for a, b in list(merges)[::41] if automaton.born[b])]
+    a, b = np.array(pairs).T
+    assert automaton.arcs(a, b).tolist() == [outlived(automaton, merges, *p) for p in pairs]
+    assert not automaton.arcs(a, b).all() and automaton.closed.nbytes < 40 << 20
+
+
+def test_ids_come_from_the_table():
+    """One arc taken away: the words that went along it are read otherwise, or not at all."""
+    automaton, _ = bpe_automaton.load(PATH)
+    word, (a, b) = "shelfmark", ids("shelfmark")[:2]
+    bit = int(automaton.row[a]) * automaton.width + int(automaton.column[b])
+    automaton.closed[bit >> 3] ^= 128 >> (bit & 7)
+    try:
+        with pytest.raises(AssertionError):
+            automaton.encode_words([word])
+    finally:
+        automaton.closed[bit >> 3] ^= 128 >> (bit & 7)
+    assert np.frombuffer(automaton.encode_words([word])[0], "<u4").tolist() == ids(word)
+
+
+def test_merges_in_no_order_are_refused():
+    letters = bpe_automaton.byte_letters()
+    for merges in ([["ab", "c"], ["a", "b"]], [["a", "bc"], ["ab", "c"], ["b", "c"]]):
+        names = dict.fromkeys([*letters, *(x + "</w>" for x in letters), "ab", "bc", "abc"])
+        with pytest.raises(ValueError):
+            bpe_automaton.TokenizationAutomaton({n: k for k, n in enumerate(names)}, merges)
+
+
+def test_repeated_rows_and_a_very_long_text(spark):
+    long = " ".join(f"word{k % 977} ünd" for k in range(90_000))  # about 1 MB
+    rows = [(1, long, "en", "s", len(long)), (1, "same", "en", "s", 4), (1, "same", "en", "s", 4)]
+    got = sorted(r["n_tokens"] for r in bpe_automaton.digests(frame(spark, rows), PATH).collect())
+    assert got == sorted(len(ids(t)) for _, t, *_ in rows)
+
+
 def test_digests(spark):
     for df in (frame(spark), clashing(frame(spark))):
         got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in bpe_automaton.digests(df, PATH).collect()}
