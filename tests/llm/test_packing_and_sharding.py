@@ -17,29 +17,42 @@ LIBRARY = Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(1, 20_000), st.sampled_from([1, 16, 4096]))
-def test_cuts_cover_a_document(n, capacity):
-    at = 0
-    for start, length in hp.cuts(n, capacity):
-        assert start == at and capacity % length == 0
-        at += length
-    assert at == n
-
-
-@settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(0, 5), max_size=200))
-def test_bins_hold_a_fixed_count_and_need_no_padding(logs):
-    bins, placed = hp.Bins(32, 100), []
-    for k, j in enumerate(logs):
-        placed += bins.add(k, 1 << j)
-    full = {s for _, s, _ in placed}
-    assert all(sum(1 << logs[p] for p, t, _ in placed if t == s) == 32 for s in full)
+@given(st.lists(st.integers(1, 200), max_size=300), st.sampled_from([1, 16, 64]))
+def test_bins_take_whole_documents_by_class(lengths, capacity):
+    bins, placed = hp.Bins(capacity, 100, 8), []
+    for k, n in enumerate(lengths):
+        placed += bins.add(hp.Piece(k, 0, np.arange(n, dtype="<u4").tobytes(), n))
+    early = len(placed)
     placed += bins.finish()
-    assert sorted(p for p, _, _ in placed) == list(range(len(logs)))
-    for s in {s for _, s, _ in placed}:
-        own = sorted((o, 1 << logs[p]) for p, t, o in placed if t == s)
-        assert [o for o, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))]
-        assert sum(x for _, x in own).bit_count() == 1
+    for k, n in enumerate(lengths):  # every id in one piece, unchanged
+        own = sorted((p.start, p.ids) for p, _, _ in placed if p.doc_id == k)
+        assert b"".join(i for _, i in own) == np.arange(n, dtype="<u4").tobytes() and [a for a, _ in own] == [sum(len(i) // 4 for _, i in own[:j]) for j in range(len(own))]
+    sequences = {}
+    for at, (p, s, o) in enumerate(placed):
+        sequences.setdefault(s, []).append((o, p, at < early))
+    for own in sequences.values():
+        own.sort(key=lambda x: x[0])
+        assert [o for o, _, _ in own] == [sum(len(p) for _, p, _ in own[:j]) for j in range(len(own))]
+        total = sum(len(p) for _, p, _ in own)
+        assert total.bit_count() == 1 and total <= capacity
+        if own[0][2]:
+            assert total == capacity
+            # A full bin: k pieces of class k that are not cut behind, then the filler's slices.
+            kind = min(capacity // len(own[0][1]), 8)
+            ends = [p for _, p, _ in own[:kind] if p.start + len(p) == p.doc_tokens and min(capacity // len(p), 8) == kind]
+            assert len(own) == 1 or len(ends) == kind
+
+
+def test_few_documents_are_cut():
+    r = np.random.default_rng(4)
+    lengths = np.minimum(60_000, r.lognormal(6, 1, 20_000)).astype(int) + 1
+    bins, placed = hp.Bins(), []
+    for k, n in enumerate(lengths.tolist()):
+        placed += [(p.doc_id, len(p), s) for p, s, _ in bins.add(hp.Piece(k, 0, bytes(4 * n), n))]
+    placed += [(p.doc_id, len(p), s) for p, s, _ in bins.finish()]
+    assert sum(n for _, n, _ in placed) == lengths.sum()
+    assert len(placed) <= 1.3 * len(lengths)
+    assert max(bins.open, default=0) <= hp.CLASSES
 
 
 def check_pieces(pieces, docs):
@@ -65,6 +78,9 @@ def test_packing(spark, sf):
         pieces = hp.pack(df, PATH)
         check_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).collect(), docs)
     assert hp.pack(frame(spark, []), PATH).collect() == []
+    again = [(4, "one two three", "en", "s", 13)] * 5 + [(None, "no id", "en", "s", 5)]
+    twice = hp.pack(frame(spark, again), PATH).collect()
+    assert Counter((p["doc_id"], p["doc_tokens"]) for p in twice if p["start"] == 0) == {(4, 4): 5, (None, 3): 1} and sum(p["length"] for p in twice) == 23
     whole = hp.sequences(hp.pack(frame(spark), PATH)).collect()
     assert all(len(s["ids"]) == 4 * s["length"] for s in whole)
     assert sum(s["length"] for s in whole) == sum(len(LIBRARY.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in docs)
