@@ -2,14 +2,16 @@
 
 Every run of 50 words has one marker phrase of 8: the one with the least hash. Equal
 runs have equal markers, so only markers that recur in two documents can lie in a
-passage that repeats. Those phrases are confirmed by a count over all documents, compiled into
-Aho-Corasick automata, one for each shard of documents, and the shard's texts are
-streamed through its automaton, which finds every occurrence. The 50-word windows
-marked by an occurrence are then grouped by 128-bit hashes over all documents: a window that starts in a
+passage that repeats. Those are confirmed by a count over all documents, and the first document that has one
+gives its words: one list of phrases for the whole corpus. The list is dealt to shards, the phrases
+of one document, which are those of one passage as a rule, to the same shard. Each shard is compiled into an Aho-Corasick automaton, and
+every document with a phrase of the shard is streamed through it; documents without any confirmed
+phrase have nothing to be found. The occurrences that the automata report mark the
+50-word windows that can repeat; these are grouped by 128-bit hashes over all documents: a window that starts in a
 document with a smaller id too is removed from the later one.
 
-Documents with the same word sequence are folded first; an automaton's size is
-bounded by its shard's own phrases, and each text meets one automaton only.
+Documents with the same word sequence are folded first. An automaton's size is bounded by the phrases of a shard; the documents of
+a shard are dealt to parts of bounded size, each with an automaton of its own, so a hot passage is no hot task.
 """
 
 from __future__ import annotations
@@ -20,19 +22,21 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import Stored, batch, rows, small_batches, words
-from shelfmark.llm.minhash import shingle_hashes, word_hashes
+from shelfmark.llm.minhash import shingle_hashes
 
 WINDOW, PHRASE = 50, 8
-#: Phrase occurrences in the texts of one automaton's shard, about, and bytes of its texts.
-SHARD_PHRASES, SHARD_BYTES = 8_000, 4_000_000
+#: Phrases of a shard, about; those of one document that are sure to share one; bytes of text that one automaton reads, about.
+SHARD_PHRASES, OWNER_PHRASES, PART_BYTES = 8_000, 4_000, 4_000_000
 #: Lists of recurring phrases are broadcast up to so many phrases in all (8 bytes each); beyond, the join shuffles.
 BROADCAST_PHRASES = 1 << 20
 
 READ = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_words", pa.int64()), ("words_sha256", pa.string()), ("markers", pa.list_(pa.int64()))])
+PHRASES = pa.schema([("marker", pa.int64()), ("shard", pa.int64()), ("phrase", pa.binary())])
 WINDOWS = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
 CHANGED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
@@ -52,11 +56,16 @@ def marker_places(phrases: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
+def wide_hashes(ws: list[bytes]) -> np.ndarray:
+    """words x 2: 128 bits of hash for each word."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, ws)), np.uint64).reshape(-1, 2)
+
+
 def window_hashes(h: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """windows x 2 hashes of each run of words, given the words' hashes; equal runs have equal hashes."""
+    """windows x 2 hashes of each run of words, given the words' hashes (words x 2); equal runs have equal hashes."""
     out = np.empty((len(h) - window + 1, 2), np.uint64)
     for k, (base, mix) in enumerate(((0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD), (0xC2B2AE3D27D4EB4F, 0xC4CEB9FE1A85EC53))):
-        x = (h ^ (h >> np.uint64(31 + k))) * np.uint64(mix)
+        x = (h[:, k] ^ (h[:, k] >> np.uint64(31 + k))) * np.uint64(mix)
         up = np.full(len(h) + 1, np.uint64(base))
         up[0] = 1
         down = np.full(len(out), np.uint64(pow(base, -1, 1 << 64)))
@@ -82,63 +91,73 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(READ, ids, keys, [len(ws) for ws in split], [hashlib.sha256(b" ".join(ws)).hexdigest() for ws in split], markers)
 
 
-class Shard:
-    """Documents whose recurring phrases are compiled into one automaton."""
-
-    def __init__(self):
-        self.docs, self.phrases, self.size, self.bytes = [], set(), 0, 0
+def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the phrases that documents own: the confirmed ones that no document before them has."""
+    for bodies, owned in rows(batches, "text", "owned"):
+        out = []
+        for body, own in zip(bodies, owned, strict=True):
+            ws = words(body)
+            if len(ws) < WINDOW:
+                continue
+            hashes, places = np.unique(shingle_hashes(ws, PHRASE).view(np.int64), return_index=True)
+            at = np.searchsorted(hashes, [o["marker"] for o in own])
+            # Another text with the same doc_id may be the owner.
+            out += [(o["marker"], o["shard"], b" ".join(ws[(p := int(places[k])) : p + PHRASE])) for o, k in zip(own, at.tolist(), strict=True) if k < len(hashes) and hashes[k] == o["marker"]]
+        if out:
+            yield batch(PHRASES, *zip(*out, strict=True))
 
-    def full(self) -> bool:
-        return self.size >= SHARD_PHRASES or self.bytes >= SHARD_BYTES
 
-    def add(self, doc_id: int, body: bytes, recurring: list[int]) -> None:
-        ws = words(body)
-        if len(ws) < WINDOW:
-            return
-        hashes = shingle_hashes(ws, PHRASE)
-        at = np.flatnonzero(np.isin(hashes.view(np.int64), np.array(recurring, np.int64)))
+def compiled(phrases: list[bytes]) -> ahocorasick.Automaton:
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for phrase in phrases:
         # One byte, one letter; the blanks on both sides make occurrences begin and end with words.
-        self.phrases.update(" %s " % b" ".join(ws[p : p + PHRASE]).decode("latin-1") for p in at.tolist())
-        self.docs.append((doc_id, body))
-        self.size += len(at)
-        self.bytes += len(body)
-
-    def windows(self) -> Iterator[pa.RecordBatch]:
-        """The distinct windows of each document that an occurrence marks."""
-        automaton = ahocorasick.Automaton()
-        for phrase in self.phrases:
-            automaton.add_word(phrase, True)
-        if not self.phrases:
-            return
-        automaton.make_automaton()
-        for doc_id, body in self.docs:
+        automaton.add_word(" %s " % phrase.decode("latin-1"))
+    automaton.make_automaton()
+    return automaton
+
+
+def marked_windows(automaton: ahocorasick.Automaton, ws: list[bytes]) -> np.ndarray:
+    """The distinct windows (hashes, signed) whose marker is an occurrence that the automaton reports."""
+    lengths = np.fromiter(map(len, ws), np.int64, len(ws))
+    blanks = np.concatenate([[0], np.cumsum(lengths + 1)])  # of " w1 w2 ... wn "
+    ends = np.fromiter((end for end, _ in automaton.iter(" %s " % b" ".join(ws).decode("latin-1"))), np.int64)
+    found = np.zeros(len(ws) - PHRASE + 1, bool)
+    found[np.searchsorted(blanks, ends) - PHRASE] = True
+    marked = found.any() and found[marker_places(shingle_hashes(ws, PHRASE), WINDOW - PHRASE + 1)]
+    if not np.any(marked):
+        return np.zeros((0, 2), np.int64)
+    return np.unique(window_hashes(wide_hashes(ws))[marked].view(np.int64), axis=0)
+
+
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of shard, part: the shard's phrases, then the part's documents."""
+    automaton, at = None, None
+    for shards, parts, ids, bodies, lists in rows(batches, "shard", "part", "doc_id", "text", "phrases"):
+        for shard, part, doc_id, body, phrases in zip(shards, parts, ids, bodies, lists, strict=True):
+            if phrases is not None:
+                automaton, at = compiled(phrases), (shard, part)
+                continue
+            assert at == (shard, part), "a part's phrases come before its documents"
             ws = words(body)
-            hashes = shingle_hashes(ws, PHRASE)
-            lengths = np.fromiter(map(len, ws), np.int64, len(ws))
-            blanks = np.concatenate([[0], np.cumsum(lengths + 1)])  # of " w1 w2 ... wn "
-            ends = np.fromiter((end for end, _ in automaton.iter(" %s " % b" ".join(ws).decode("latin-1"))), np.int64)
-            found = np.zeros(len(hashes), bool)
-            found[np.searchsorted(blanks, ends) - PHRASE] = True
-            marked = found[marker_places(hashes, WINDOW - PHRASE + 1)]
-            if marked.any():
-                w = np.unique(window_hashes(word_hashes(ws))[marked].view(np.int64), axis=0)
+            if len(ws) >= WINDOW and len(w := marked_windows(automaton, ws)):
                 yield batch(WINDOWS, pa.array(np.full(len(w), doc_id)), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy()))
 
 
-def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shard = Shard()
-    for ids, bodies, recurring in rows(batches, "doc_id", "text", "recurring"):
-        for row in zip(ids, bodies, recurring, strict=True):
-            shard.add(*row)
-            if shard.full():
-                yield from shard.windows()
-                shard = Shard()
-    yield from shard.windows()
+def _streams(phrases: DataFrame, suspects: DataFrame) -> DataFrame:
+    """For each part of each shard its phrases, then its documents: sorted for _located()."""
+    routed = suspects.select(F.explode("shards").alias("shard"), "doc_id", "text")
+    parts = suspects.select(F.explode("shards").alias("shard"), F.octet_length("text").alias("size")).groupBy("shard").agg((1 + F.floor(F.sum("size") / PART_BYTES)).alias("parts"))
+    # SHARD_PHRASES or so in each list.
+    lists = phrases.groupBy("shard", "marker").agg(F.min("phrase").alias("phrase")).groupBy("shard").agg(F.sort_array(F.collect_list("phrase")).alias("phrases")).join(parts, "shard")
+    none = F.lit(None)
+    heads = lists.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), none.cast("long").alias("doc_id"), none.cast("binary").alias("text"), "phrases")
+    bodies = routed.join(parts, "shard").select("shard", F.pmod(F.xxhash64("doc_id", "text"), F.col("parts")).alias("part"), "doc_id", "text", none.cast("array<binary>").alias("phrases"))
+    return heads.unionByName(bodies).repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("phrases").isNull())
 
 
 def keep_mask(ws: list[bytes], repeated: np.ndarray) -> np.ndarray:
     """Which words no window among the repeated ones (windows x 2, signed) covers."""
-    w = window_hashes(word_hashes(ws)).view(np.int64)
+    w = window_hashes(wide_hashes(ws)).view(np.int64)
     both = np.isin(w[:, 0], repeated[:, 0])
     at = np.flatnonzero(both)
     pairs = set(map(tuple, repeated.tolist()))
@@ -182,16 +201,23 @@ def repeated_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     # Of documents with the same words all but the first lose every word, and say nothing new.
     firsts = Stored(read.filter(f"n_words >= {WINDOW} AND doc_id IS NOT NULL").groupBy("words_sha256").agg(F.min("doc_id").alias("first"), F.first("markers").alias("markers")), "firsts").df()
     marked = firsts.select(F.col("first").alias("doc_id"), F.explode("markers").alias("marker"))
-    recurring = Stored(marked.groupBy("marker").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("marker"), "phrases").df()
-    lists = Stored(marked.join(recurring, "marker", "left_semi").groupBy("doc_id").agg(F.collect_set("marker").alias("recurring")), "recurring").df()
-    few = (lists.agg(F.sum(F.size("recurring"))).first()[0] or 0) <= BROADCAST_PHRASES
-    suspects = Stored(source.join(F.broadcast(lists) if few else lists, "doc_id"), "suspects").df()
-    windows = Stored(suspects.mapInArrow(_located, "doc_id long, h1 long, h2 long"), "windows").df()
-    owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
-    owners = Stored(owners, "owners").df()  # read anew, so that the join with a hot window can be split
-    removed = windows.join(owners, ["h1", "h2"]).filter("doc_id > lo").groupBy("doc_id").agg(F.collect_list("h1").alias("h1"), F.collect_list("h2").alias("h2"))
-    changed = suspects.drop("recurring").join(removed, "doc_id").mapInArrow(_cut, "doc_id long, text_key long, n_removed long, kept_sha256 string, kept_text string")
+    recurring = Stored(marked.groupBy("marker").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("marker", "lo"), "recurring")
+    shards = 1 + recurring.df().count() // SHARD_PHRASES
+    owner = F.floor(F.count(F.lit(1)).over(Window.partitionBy("lo")) / OWNER_PHRASES) + 1  # a document's phrases: no more than it has words
+    confirmed = Stored(recurring.df().select("marker", "lo", F.pmod(F.xxhash64("lo", F.pmod("marker", owner)), F.lit(shards)).alias("shard")), "confirmed")
+    named = marked.join(confirmed.df(), "marker").groupBy("doc_id")
+    lists = Stored(named.agg(F.collect_set("shard").alias("shards"), F.collect_set(F.when(F.col("lo") == F.col("doc_id"), F.struct("marker", "shard"))).alias("owned"), F.count(F.lit(1)).alias("n")), "lists")
+    few = (lists.df().agg(F.sum("n")).first()[0] or 0) <= BROADCAST_PHRASES
+    suspects = Stored(source.join(F.broadcast(lists.df()) if few else lists.df(), "doc_id"), "suspects")
+    phrases = Stored(suspects.df().filter(F.size("owned") > 0).select("text", "owned").mapInArrow(_phrases, "marker long, shard long, phrase binary"), "phrases")
+    windows = Stored(_streams(phrases.df(), suspects.df()).mapInArrow(_located, "doc_id long, h1 long, h2 long"), "windows")
+    owners = windows.df().groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").drop("hi")
+    owners = Stored(owners, "owners")  # read anew, so that the join with a hot window can be split
+    removed = windows.df().join(owners.df(), ["h1", "h2"]).filter("doc_id > lo").groupBy("doc_id").agg(F.collect_list("h1").alias("h1"), F.collect_list("h2").alias("h2"))
+    changed = suspects.df().drop("shards", "owned", "n").join(removed, "doc_id").mapInArrow(_cut, "doc_id long, text_key long, n_removed long, kept_sha256 string, kept_text string")
     changed = Stored(changed, "changed").df().dropDuplicates(["doc_id", "text_key"])
+    for done in (recurring, confirmed, lists, suspects, phrases, windows, owners):
+        done.drop()
     out = read.drop("markers").join(firsts.drop("markers"), "words_sha256", "left").join(changed, ["doc_id", "text_key"], "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     return out.select(

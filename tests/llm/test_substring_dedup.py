@@ -67,8 +67,37 @@ def test_cutting_keeps_rows_and_columns(spark):
 
 
 def test_markers_and_windows_depend_on_content_alone():
-    h = np.random.default_rng(1).integers(0, 2**63, 300, dtype=np.uint64)
+    h2 = np.random.default_rng(1).integers(0, 2**63, (300, 2), dtype=np.uint64)
+    h = h2[:, 0]
     at = sd.marker_places(h, 43)
     assert all(at[k] == k + int(np.argmin(h[k : k + 43])) for k in range(len(at)))
-    w = sd.window_hashes(np.concatenate([h[:100], h[20:120]]))
+    w = sd.window_hashes(np.concatenate([h2[:100], h2[20:120]]))
     assert (w[20:51] == w[100:131]).all() and len(np.unique(w[:, 0])) == len(w) - 31
+
+
+def test_occurrences_come_from_the_automaton():
+    """Without one phrase, the windows that it marks are not found; with all, they are."""
+    r = random.Random(5)
+    ws = prose(r, 200).encode().split()
+    hashes = sd.shingle_hashes(ws, sd.PHRASE)
+    places = sd.marker_places(hashes, sd.WINDOW - sd.PHRASE + 1)
+    every = [b" ".join(ws[p : p + sd.PHRASE]) for p in np.unique(places).tolist()]
+    assert len(sd.marked_windows(sd.compiled(every), ws)) == len(ws) - sd.WINDOW + 1
+    for k, p in enumerate(np.unique(places).tolist()):
+        left = sd.marked_windows(sd.compiled(every[:k] + every[k + 1 :]), ws)
+        assert len(left) == len(places) - int((places == p).sum())
+    assert len(sd.marked_windows(sd.compiled([b"no such phrase"]), ws)) == 0
+
+
+def test_many_shards_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(sd, "SHARD_PHRASES", 5)
+    monkeypatch.setattr(sd, "OWNER_PHRASES", 3)
+    monkeypatch.setattr(sd, "PART_BYTES", 2000)
+    assert got(frame(spark)) == brute(awkward())
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(6)
+    long = prose(r, 180_000)  # over 0.7 MB
+    rows = [(1, " ".join(long.split()[500:900]), "en", "s", 0), (2, long, "en", "s", 0), (3, long + " end", "en", "s", 0)]
+    assert got(frame(spark, rows)) == brute(rows)
