@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Rows of whole documents in one Arrow batch: bounds a Python worker's memory.
 ROWS_PER_BATCH = 1000
+#: Bytes of a batch that become Python objects at once: very long texts are taken a few at a time.
+BYTES_PER_LIST = 16 << 20
 
 
 def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
@@ -70,11 +72,21 @@ def restored(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFra
     return docs.join(key, F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
 
 
+def slices(b: pa.RecordBatch, most: int = BYTES_PER_LIST) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of at most so many bytes, or of one row."""
+    if b.num_rows > 1 and b.nbytes > most:
+        half = b.num_rows // 2
+        yield from slices(b.slice(0, half), most)
+        yield from slices(b.slice(half), most)
+    elif b.num_rows:
+        yield b
+
+
 def rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[list, ...]]:
-    """The named columns of each batch as Python lists."""
+    """The named columns of each batch as Python lists; a batch of very long texts comes in pieces."""
     for b in batches:
-        if b.num_rows:
-            yield tuple(b.column(b.schema.get_field_index(c)).to_pylist() for c in columns)
+        for part in slices(b):
+            yield tuple(part.column(part.schema.get_field_index(c)).to_pylist() for c in columns)
 
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

@@ -8,21 +8,22 @@ partition goes through its own text from the weights of the round before, and th
 weighted by the words they saw, are averaged in Spark.
 
 The network knows the most frequent words and buckets of the others. A word of a bucket has the bucket's
-probability times its own share in it, from counts of every word of the corpus, which stay in a table
-and are joined in Spark: the vocabulary grows with the corpus, what the scorer holds does not.
+probability times its own share in it, from counts of every word of the corpus: the vocabulary grows
+with the corpus, what a scorer holds does not. Texts are read once, into blocks of about a million words with
+a list of the distinct words of each; only these lists are counted in Spark, and the counts return to their blocks. A word is in
+a block's list once, so no key has more rows than there are blocks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import Stored, batch, rows, small_batches, texts, words
@@ -37,96 +38,145 @@ SIDE, EMBED, HIDDEN = 2, 16, 32
 STRIDE = 4
 ROUNDS = STRIDE
 STEP, RATE, SEED = 2048, 0.01, 5
-#: Words scored together.
-TOGETHER = 1 << 15
+#: Words scored together: what fits a processor's cache.
+TOGETHER = 1 << 12
+#: Words of a block, about.
+BLOCK_WORDS = 1 << 20
 #: Averages are made in so many groups at most before the driver joins them.
 GROUPS = 32
 
 VOCABULARY = FREQUENT + SHARED
 NOTHING = VOCABULARY  # before the first word and after the last
 
-COUNTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-CODED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("many", pa.int32())])))])
-CODED_SQL = "row long, doc_id long, ids binary, rare array<struct<word: binary, many: int>>"
-BUCKETED = pa.schema([("word", pa.binary()), ("bucket", pa.int32()), ("n", pa.int64())])
+ENTRY = pa.struct([("word", pa.binary()), ("n", pa.int64())])
+BLOCKS = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary()), ("vocabulary", pa.list_(ENTRY))])
+BLOCKS_SQL = "block long, docs array<long>, lengths array<long>, codes binary, vocabulary array<struct<word: binary, n: long>>"
+CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("own", pa.float64())])
+CODED_SQL = "doc_id long, ids binary, own double"
 TRAINED = pa.schema([("place", pa.int64()), ("weights", pa.binary()), ("seen", pa.int64())])
-SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64())])
+SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("own", pa.float64())])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[bytes] = Counter()
-    for (bodies,) in rows(batches, "text"):
-        for b in bodies:
-            seen.update(words(b.lower()))
-        if len(seen) > 1 << 20:
-            yield batch(COUNTED, list(seen.keys()), list(seen.values()))
-            seen.clear()
-    if seen:
-        yield batch(COUNTED, list(seen.keys()), list(seen.values()))
+class _Block:
+    """Texts as indices into a list of their distinct words."""
 
+    def __init__(self):
+        self.words: dict[bytes, int] = {}
+        self.docs, self.lengths, self.codes, self.size = [], [], [], 0
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): every word of all texts."""
-    return docs.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def add(self, ids: list, bodies: list[bytes]) -> None:
+        split = [words(b.lower()) for b in bodies]
+        flat = pc.dictionary_encode(pa.array([w for ws in split for w in ws], pa.binary()))
+        known = self.words
+        table = np.array([known.setdefault(w, len(known)) for w in flat.dictionary.to_pylist()], np.uint32)
+        if len(flat):
+            self.codes.append(table[flat.indices.to_numpy()])
+        self.docs += ids
+        self.lengths += [len(ws) for ws in split]
+        self.size += len(flat)
 
+    def row(self, number: int) -> pa.RecordBatch:
+        codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.uint32)
+        counts = np.bincount(codes, minlength=len(self.words))
+        entries = pa.StructArray.from_arrays([pa.array(list(self.words), pa.binary()), pa.array(counts[: len(self.words)], pa.int64())], fields=list(ENTRY))
+        vocabulary = pa.ListArray.from_arrays(pa.array([0, len(self.words)], pa.int32()), entries)
+        # The low halves, then the high ones, which are nearly all zero.
+        return batch(BLOCKS, [number], [self.docs], [self.lengths], [codes.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()], vocabulary)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    number, block = TaskContext.get().partitionId() << 31, _Block()
+    for ids, bodies in rows(batches, "doc_id", "text"):
+        block.add(ids, bodies)
+        if block.size >= BLOCK_WORDS:
+            yield block.row(number)
+            number, block = number + 1, _Block()
+    if block.docs:
+        yield block.row(number)
 
-def frequent_words(docs: DataFrame, size: int = FREQUENT) -> list[bytes]:
-    """The most frequent words of all texts, ties in byte order; size bounds what is collected."""
-    return most_frequent(word_counts(docs), size)
 
+def read(docs: DataFrame) -> DataFrame:
+    """Blocks of (doc_id, text): block, docs, lengths, codes, vocabulary (distinct words and their numbers)."""
+    return docs.mapInArrow(_read, BLOCKS_SQL)
 
-def most_frequent(counts: DataFrame, size: int = FREQUENT) -> list[bytes]:
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+
+def word_totals(blocks: DataFrame) -> DataFrame:
+    """A row for each word of each block's list: block, at (its place there), total (in all texts); word, once for each word, else null."""
+    each = blocks.select("block", F.posexplode("vocabulary").alias("at", "entry")).select("block", "at", "entry.word", "entry.n")
+    by = Window.partitionBy("word")
+    return each.select("block", "at", F.sum("n").over(by).alias("total"), F.when(F.row_number().over(by.orderBy("block")) == 1, F.col("word")).alias("word"))
+
+
+def most_frequent(totals: DataFrame, size: int = FREQUENT) -> list[bytes]:
+    """The most frequent words of all texts, ties in byte order; size bounds what is collected."""
+    return [bytes(r["word"]) for r in totals.filter("word IS NOT NULL").orderBy(F.desc("total"), "word").limit(size).collect()]
 
 
 def shared_id(word: bytes) -> int:
     """The id of a rarer word: by its first two and last two bytes."""
-    return FREQUENT + xxhash.xxh3_64_intdigest(word[:2] + b" " + word[-2:]) % SHARED
-
+    return FREQUENT + zlib.crc32(word[:2] + b" " + word[-2:]) % SHARED
 
-def coder(vocabulary: list[bytes], rarer: bool = False):
-    """Texts to ids (unsigned 16-bit), looking each distinct word of a batch up once. rarer: also each text's words that share an id, with their number."""
-    known = {w: k for k, w in enumerate(vocabulary)}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def _shared(word: Column) -> Column:
+    """shared_id() in Spark."""
+    ends = F.concat(F.substring(word, 1, 2), F.lit(b" "), F.when(F.octet_length(word) < 2, word).otherwise(F.substring(word, -2, 2)))
+    return FREQUENT + F.crc32(ends) % SHARED
 
-        row = TaskContext.get().partitionId() << 33
-        for ids, bodies in rows(batches, "doc_id", "text"):
-            split = [words(b.lower()) for b in bodies]
-            flat = pc.dictionary_encode(pa.array([w for ws in split for w in ws], pa.binary()))
-            table = np.array([known[w] if w in known else shared_id(w) for w in flat.dictionary.to_pylist()], np.uint16)
-            places = flat.indices.to_numpy() if len(flat) else np.zeros(0, np.int64)
-            coded = table[places]
-            ends = np.cumsum([0] + [len(ws) for ws in split])
-            at = np.flatnonzero(coded >= FREQUENT) if rarer else np.zeros(0, np.int64)
-            text, distinct = np.searchsorted(ends, at, "right") - 1, max(1, len(table))
-            pairs, many = np.unique(text * distinct + places[at], return_counts=True)
-            cuts = np.searchsorted(pairs // distinct, np.arange(len(ids) + 1))
-            rare = pa.StructArray.from_arrays([flat.dictionary.take(pa.array(pairs % distinct, pa.int64())), pa.array(many, pa.int32())], names=["word", "many"])
-            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), rare)
-            yield batch(CODED, np.arange(row, row + len(ids)), ids, [coded[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], lists)
-            row += len(ids)
 
-    return run
+def bucket_totals(totals: DataFrame, vocabulary: list[bytes]) -> np.ndarray:
+    """How often the rarer words of each shared id occur, by id; a table of VOCABULARY numbers."""
+    out = np.zeros(VOCABULARY, np.int64)
+    frequent = totals.sparkSession.createDataFrame([(bytearray(w),) for w in vocabulary], "word binary")
+    rarer = totals.filter("word IS NOT NULL").join(F.broadcast(frequent), "word", "left_anti")
+    for r in rarer.groupBy(_shared(F.col("word")).alias("id")).agg(F.sum("total").alias("n")).collect():
+        out[r["id"]] = r["n"]
+    return out
 
 
-def _bucketed(vocabulary: list[bytes]):
-    known = set(vocabulary)
+def coder(vocabulary: list[bytes], buckets: np.ndarray):
+    """Blocks with the totals of their words to a row for each text: ids (unsigned 16-bit) and own, the sum of the logs of its rarer words' shares."""
+    frequent = pa.array(vocabulary, pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ws, many in rows(batches, "word", "n"):
-            if rare := [(w, shared_id(w), n) for w, n in zip(ws, many, strict=True) if w not in known]:
-                yield batch(BUCKETED, *zip(*rare, strict=True))
+        for b in batches:
+            for k in range(b.num_rows):
+                docs, lengths, codes, vocab, totals = (b.column(b.schema.get_field_index(c))[k] for c in ("docs", "lengths", "codes", "vocabulary", "totals"))
+                n = len(vocab)
+                ids, share = np.zeros(n, np.uint16), np.zeros(n)
+                if n:
+                    listed = vocab.values.field("word")
+                    known = pc.index_in(listed, value_set=frequent)
+                    rare = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
+                    ids[:] = known.fill_null(0).to_numpy()
+                    ids[rare] = [shared_id(w) for w in listed.take(pa.array(rare, pa.int64())).to_pylist()]
+                    total = np.zeros(n)
+                    total[totals.values.field("at").to_numpy()] = totals.values.field("total").to_numpy()
+                    share[rare] = np.log(total[rare] / buckets[ids[rare]])
+                low, high = np.frombuffer(codes.as_py(), "<u2").reshape(2, -1).astype(np.int64)
+                at = low | high << 16
+                many = lengths.values.to_numpy()
+                ends = np.concatenate([[0], np.cumsum(many)])
+                sums = np.concatenate([[0.0], np.cumsum(share[at])])
+                coded = ids[at].tobytes()
+                yield batch(CODED, docs.values, [coded[2 * x : 2 * y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)], sums[ends[1:]] - sums[ends[:-1]])
 
     return run
 
 
-def log_shares(counts: DataFrame, vocabulary: list[bytes]) -> DataFrame:
-    """(word, log_share): each word that shares an id, and the log of its part of that id's occurrences in all texts."""
-    bucketed = Stored(counts.mapInArrow(_bucketed(vocabulary), "word binary, bucket int, n long"), "bucketed").df()
-    totals = bucketed.groupBy("bucket").agg(F.sum("n").alias("all"))  # SHARED rows at most
-    return bucketed.join(F.broadcast(totals), "bucket").select("word", F.log(F.col("n") / F.col("all")).alias("log_share"))
+def coded_texts(docs: DataFrame) -> Stored:
+    """(doc_id, ids, own) of every row of (doc_id, text)."""
+    blocks = Stored(read(docs), "blocks")
+    totals = Stored(word_totals(blocks.df()), "totals")
+    vocabulary = most_frequent(totals.df())
+    buckets = bucket_totals(totals.df(), vocabulary)
+    # A list for each block, no longer than the block's.
+    lists = totals.df().groupBy("block").agg(F.collect_list(F.struct("at", "total")).alias("totals"))
+    out = Stored(blocks.df().join(lists, "block", "left").drop("block").mapInArrow(coder(vocabulary, buckets), CODED_SQL), "coded")
+    blocks.drop()
+    totals.drop()
+    return out
 
 
 @dataclass
@@ -151,44 +201,47 @@ class WindowNet:
         return out
 
     def _forward(self, v: dict, around: np.ndarray, target: np.ndarray):
+        """Of targets in order of their classes; cuts are where the classes begin."""
+        kind, member = target % CLASSES, target // CLASSES
+        cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
         x = v["embed"][around].reshape(len(around), -1)
         h = np.tanh(x @ v["w"] + v["b"])
-        kind, member = target % CLASSES, target // CLASSES
         top = _softmax(h @ v["top"] + v["top_b"])
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        leaf, sorted_h = np.empty((len(target), VOCABULARY // CLASSES), np.float32), h[order]
+        leaf = v["leaf_b"][kind]
         for c in range(CLASSES):
             lo, hi = cuts[c], cuts[c + 1]
             if lo < hi:
-                leaf[lo:hi] = sorted_h[lo:hi] @ v["leaf"][c] + v["leaf_b"][c]
-        leaf = _softmax(leaf)
+                leaf[lo:hi] += h[lo:hi] @ v["leaf"][c]
+        _softmax(leaf)
         every = np.arange(len(target))
-        log_prob = np.log(top[every, kind] + 1e-12)
-        log_prob[order] += np.log(leaf[every, member[order]] + 1e-12)
-        return x, h, top, leaf, kind, member, order, cuts, log_prob
+        log_prob = np.log(top[every, kind] + 1e-12) + np.log(leaf[every, member] + 1e-12)
+        return x, h, top, leaf, kind, member, cuts, log_prob
 
     def log_probs(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         v, out = self.views(), np.empty(len(target), np.float32)
         for k in range(0, len(target), TOGETHER):
-            out[k : k + TOGETHER] = self._forward(v, around[k : k + TOGETHER], target[k : k + TOGETHER])[-1]
+            some = k + by_class(target[k : k + TOGETHER])
+            out[some] = self._forward(v, around[some], target[some])[-1]
         return out
 
     def gradient(self, around: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
         """Of the mean negative log-probability of the targets."""
         v, flat = self.views(), np.zeros_like(self.flat)
-        g, n = self.views(flat), len(target)
-        x, h, top, leaf, kind, member, order, cuts, log_prob = self._forward(v, around, target)
-        top[np.arange(n), kind] -= 1
-        leaf[np.arange(n), member[order]] -= 1
+        g, n, order = self.views(flat), len(target), by_class(target)
+        around, target = around[order], target[order]
+        x, h, top, leaf, kind, member, cuts, log_prob = self._forward(v, around, target)
+        every = np.arange(n)
+        top[every, kind] -= 1
+        leaf[every, member] -= 1
         g["top"][...], g["top_b"][...] = h.T @ top, top.sum(0)
-        dh, sorted_h, part = top @ v["top"].T, h[order], np.empty_like(h)
+        dh = top @ v["top"].T
         for c in range(CLASSES):
             lo, hi = cuts[c], cuts[c + 1]
             if lo < hi:
-                g["leaf"][c], g["leaf_b"][c] = sorted_h[lo:hi].T @ leaf[lo:hi], leaf[lo:hi].sum(0)
-                part[lo:hi] = leaf[lo:hi] @ v["leaf"][c].T
-        dh[order] += part
+                part = leaf[lo:hi]
+                np.matmul(h[lo:hi].T, part, out=g["leaf"][c])
+                part.sum(0, out=g["leaf_b"][c])
+                dh[lo:hi] += part @ v["leaf"][c].T
         dh *= 1 - h * h
         g["w"][...], g["b"][...] = x.T @ dh, dh.sum(0)
         dx = (dh @ v["w"].T).reshape(-1, EMBED)
@@ -198,6 +251,10 @@ class WindowNet:
         return flat / np.float32(n), -float(log_prob.mean())
 
 
+def by_class(target: np.ndarray) -> np.ndarray:
+    return np.argsort((target % CLASSES).astype(np.uint8), kind="stable")
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
@@ -266,18 +323,19 @@ def train(coded: DataFrame, rounds: int = ROUNDS) -> WindowNet:
 def _scorer(weights: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = WindowNet(np.frombuffer(weights, np.float32).copy())
-        for row, ids, coded in rows(batches, "row", "doc_id", "ids"):
+        for ids, coded, own in rows(batches, "doc_id", "ids", "own"):
             around, target, many = positions(coded)
             sums = np.concatenate([[0.0], np.cumsum(net.log_probs(around, target), dtype=np.float64)])
             ends = np.concatenate([[0], np.cumsum(many)])
-            yield batch(SCORED, row, ids, many, sums[ends[1:]] - sums[ends[:-1]])
+            yield batch(SCORED, ids, many, sums[ends[1:]] - sums[ends[:-1]], own)
 
     return run
 
 
-def _scored(coded: DataFrame) -> DataFrame:
-    net = train(coded)
-    return coded.select("row", "doc_id", "ids").mapInArrow(_scorer(net.flat.tobytes()), "row long, doc_id long, n_tokens long, log_prob double")
+def _scored(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    coded = coded_texts(texts(docs, doc_id, text)).df()
+    return coded.mapInArrow(_scorer(train(coded).flat.tobytes()), "doc_id long, n_tokens long, log_prob double, own double")
 
 
 def _with_mean(scored: DataFrame) -> DataFrame:
@@ -289,21 +347,13 @@ def pseudo_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     One row for each row of docs: doc_id, n_tokens, log_prob (the sum), mean_log_prob.
     Words are runs without white space, A-Z in lower case. A null text, or one without
-    words, has log_prob 0 and a null mean. An empty table gives an empty result.
+    words, has log_prob 0 and a null mean; rows that repeat are read, and scored, one by one.
+    An empty table gives an empty result. The weights are averages over partitions, so scores differ a little with
+    the table's division into files.
     """
-    small_batches(docs.sparkSession)
-    source = texts(docs, doc_id, text)
-    return _with_mean(_scored(Stored(source.mapInArrow(coder(frequent_words(source)), CODED_SQL), "coded").df()))
+    return _with_mean(_scored(docs, doc_id, text))
 
 
 def token_likelihood(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """As pseudo_likelihood(), of the words themselves: a rarer one has its id's probability times its share among all words of that id."""
-    small_batches(docs.sparkSession)
-    source = texts(docs, doc_id, text)
-    counts = Stored(word_counts(source), "counts").df()
-    vocabulary = most_frequent(counts)
-    coded = Stored(source.mapInArrow(coder(vocabulary, rarer=True), CODED_SQL), "coded").df()
-    each = coded.select("row", F.inline("rare")).join(log_shares(counts, vocabulary), "word")
-    own = each.groupBy("row").agg(F.sum(F.col("many") * F.col("log_share")).alias("own"))
-    scored = _scored(coded).join(own, "row", "left")
-    return _with_mean(scored.withColumn("log_prob", F.col("log_prob") + F.coalesce("own", F.lit(0.0))))
+    return _with_mean(_scored(docs, doc_id, text).withColumn("log_prob", F.col("log_prob") + F.col("own")))

@@ -140,12 +140,16 @@ def test_recurrent_gradients_and_forward_agree():
     assert loss == pytest.approx(-np.log(p[np.arange(6)[:, None], np.arange(9), y[:, None]])[real].mean(), rel=1e-3)
 
 
+def frequent(docs):
+    return lm.most_frequent(lm.word_totals(lm.read(lm.texts(docs))))
+
+
 def test_masked_lm_beats_word_frequencies(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r["doc_id"]: r for r in lm.pseudo_likelihood(docs).collect()}
     rows = docs.collect()
     assert len(got) == len(rows) and all(got[r["doc_id"]]["n_tokens"] == len(r["text"].encode().split()) for r in rows)
-    vocabulary = lm.frequent_words(docs.select("doc_id", docs.text.cast("binary").alias("text")))
+    vocabulary = frequent(docs)
     coded = np.concatenate([np.array([vocabulary.index(w) if w in set(vocabulary) else lm.shared_id(w) for w in r["text"].encode().lower().split()]) for r in rows[:150]])
     share = np.bincount(coded, minlength=lm.VOCABULARY) / len(coded)
     frequencies = float(np.log(share[coded]).mean())
@@ -153,6 +157,39 @@ def test_masked_lm_beats_word_frequencies(spark):
     assert scores > frequencies
 
 
+def test_masked_lm_probabilities_one_word_at_a_time():
+    """The network restated for a single word; all the words that could stand there share probability 1."""
+    r = np.random.default_rng(2)
+    net = lm.WindowNet.new()
+    net.flat += r.normal(0, 0.2, net.flat.shape).astype(np.float32)
+    v = {k: x.astype(float) for k, x in net.views().items()}
+
+    def plain(around, target):
+        x = np.concatenate([v["embed"][i] for i in around])
+        h = np.tanh(x @ v["w"] + v["b"])
+        top = np.exp(h @ v["top"] + v["top_b"])
+        leaf = np.exp(h @ v["leaf"][target % lm.CLASSES] + v["leaf_b"][target % lm.CLASSES])
+        return np.log(top[target % lm.CLASSES] / top.sum()) + np.log(leaf[target // lm.CLASSES] / leaf.sum())
+
+    around, target, _ = lm.positions([r.integers(0, lm.VOCABULARY, 60).astype(np.uint16).tobytes(), r.integers(0, 40, 9).astype(np.uint16).tobytes()])
+    assert net.log_probs(around, target) == pytest.approx([plain(a, t) for a, t in zip(around, target, strict=True)], abs=1e-3)
+    assert sum(np.exp(plain(around[3], t)) for t in range(lm.VOCABULARY)) == pytest.approx(1)
+    # The gradient against differences.
+    g, loss = net.gradient(around, target)
+    for at in np.argsort(-np.abs(g))[:20].tolist():
+        moved = lm.WindowNet(net.flat.copy())
+        moved.flat[at] += 1e-2
+        up = -float(moved.log_probs(around, target).mean())
+        moved.flat[at] -= 2e-2
+        assert g[at] == pytest.approx((up + float(moved.log_probs(around, target).mean())) / 2e-2, rel=0.05, abs=1e-3)
+
+
+def test_masked_lm_repeated_rows(spark):
+    rows = [(1, "one two three", "en", "s", 0)] * 3 + [(None, "one two three", "en", "s", 0)]
+    got = lm.token_likelihood(frame(spark, rows)).collect()
+    assert len(got) == 4 and len({r["log_prob"] for r in got}) == 1 and [r["n_tokens"] for r in got] == [3] * 4
+
+
 def test_masked_lm_sees_both_sides_only():
     around, target, many = lm.positions([np.array([5, 6, 7], np.uint16).tobytes(), b"", np.array([9], np.uint16).tobytes()])
     n = lm.NOTHING
@@ -183,7 +220,7 @@ def test_masked_lm_shares_against_brute_force(spark):
     ids = {r["doc_id"]: r["log_prob"] for r in lm.pseudo_likelihood(docs).collect()}
     got = {r["doc_id"]: r for r in lm.token_likelihood(docs).collect()}
     split = {r[0]: (r[1] or "").encode().lower().split() for r in awkward()}
-    known = set(lm.frequent_words(frame(spark).select(lm.F.col("text").cast("binary").alias("text")).na.drop()))
+    known = set(frequent(frame(spark)))
     counts, buckets = Counter(w for ws in split.values() for w in ws if w not in known), Counter()
     for w, n in counts.items():
         buckets[lm.shared_id(w)] += n
