@@ -8,28 +8,28 @@ backpropagation through time.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import batch, rows, small_batches, texts
 from shelfmark.llm.quality_gam import fold
 
-#: Labelled documents that the network is trained on, at most (those with the least hashes of their ids), and segments of each, evenly spread.
-TRAIN_DOCS, SEGMENTS_PER_DOC = 4000, 6
-TRAIN_LENGTH, STEPS, TRAIN_BATCH, RATE, SEED = 64, 500, 256, 0.01, 7
+#: Labelled documents of each language that the network is trained on, at most: those with the least hashes of their ids. All segments
+#: of their whole texts are used, up to a bound for each language, beyond which those with the least hashes are.
+TRAIN_DOCS, TRAIN_SEGMENTS = 1000, 1 << 16
+#: Every segment is in a training step once at least; with few of them, steps are as many as this.
+TRAIN_LENGTH, STEPS, TRAIN_BATCH, RATE, SEED = 64, 500, 512, 0.01, 7
 HIDDEN = 8
 #: Bytes of a segment when scoring, and segments read together.
 LENGTH, TOGETHER = 128, 2048
 #: The symbol after the last byte of a segment: it leaves the state as it is.
 PAD = 256
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def segments(body: bytes, length: int) -> np.ndarray:
@@ -125,7 +125,7 @@ class BiGRU:
         dx, du = np.zeros_like(self.x), np.zeros_like(self.u)
         dv = np.stack((np.einsum("tnh,tnk->hk", out[0], d), np.einsum("tnh,tnk->hk", out[1][::-1], d)))
         each = (d @ self.v[0].T, d[::-1] @ self.v[1].T)
-        back = np.zeros((2, n, h), np.float32)
+        back, gates = np.zeros((2, n, h), np.float32), np.empty((2, length, n, 3 * h), self.x.dtype)
         for t in range(length - 1, -1, -1):
             before, zr, new, an = kept[t]
             z, r = zr[..., :h], zr[..., h:]
@@ -135,10 +135,12 @@ class BiGRU:
             dr = dn * an * r * (1 - r)
             dg = np.concatenate((dz, dr, dn), -1)
             da = np.concatenate((dz, dr, dn * r), -1)
-            for way in (0, 1):
-                np.add.at(dx[way], rows_[:, t if way == 0 else length - 1 - t], dg[way])
+            gates[:, t] = dg
             du += before.transpose(0, 2, 1) @ da
             back = back * z + da @ self.u.transpose(0, 2, 1)
+        for way, symbols in enumerate((rows_.T.ravel(), rows_.T[::-1].ravel())):
+            for k in range(3 * h):
+                dx[way, :, k] = np.bincount(symbols, gates[way, :, :, k].ravel(), 257)
         return loss, [dx, du, dv, d.sum((0, 1))]
 
     def document_probabilities(self, bodies: list[bytes]) -> np.ndarray:
@@ -159,16 +161,16 @@ class BiGRU:
 
 
 def fit(rows_: np.ndarray, y: np.ndarray, langs: list[str]) -> BiGRU:
-    """Adam over shuffled segments, as many steps for any number of them; deterministic."""
-    net, rng = BiGRU.new(langs), np.random.default_rng(SEED)
+    """Adam over shuffled segments, each of them once at least; deterministic."""
+    net, rng, steps = BiGRU.new(langs), np.random.default_rng(SEED), max(STEPS, -(-len(rows_) // TRAIN_BATCH))
     names, moments, waiting = ("x", "u", "v", "c"), None, np.zeros(0, np.int64)
-    for k in range(1, STEPS + 1):
+    for k in range(1, steps + 1):
         while len(waiting) < min(TRAIN_BATCH, len(rows_)):
             waiting = np.concatenate([waiting, rng.permutation(len(rows_))])
         chosen, waiting = waiting[:TRAIN_BATCH], waiting[TRAIN_BATCH:]
         _, gradients = net.step(rows_[chosen], y[chosen])
         moments = moments or [(np.zeros_like(g), np.zeros_like(g)) for g in gradients]
-        rate = RATE * (1 - 0.9 * k / STEPS)
+        rate = RATE * (1 - 0.9 * k / steps)
         for name, g, (m, s) in zip(names, gradients, moments, strict=True):
             g = np.clip(g, -1, 1)
             m += 0.1 * (g - m)
@@ -178,45 +180,52 @@ def fit(rows_: np.ndarray, y: np.ndarray, langs: list[str]) -> BiGRU:
     return net
 
 
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("part", pa.binary())])
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every segment of every text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("place", pa.int64()), ("part", pa.binary())])
     for ids, langs, bodies in rows(batches, "doc_id", "lang", "text"):
-        out = []
         for doc, lang, body in zip(ids, langs, bodies, strict=True):
-            room = max(0, len(body) - TRAIN_LENGTH)
-            places = sorted({room * k // max(1, SEGMENTS_PER_DOC - 1) for k in range(SEGMENTS_PER_DOC)})
-            out += [(doc, lang, body[p : p + TRAIN_LENGTH]) for p in places if body]
-        if out:
-            yield batch(schema, *zip(*out, strict=True))
+            places = range(0, len(body), TRAIN_LENGTH)
+            if places:
+                yield batch(schema, [doc] * len(places), [lang] * len(places), list(places), [body[p : p + TRAIN_LENGTH] for p in places])
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS) -> BiGRU:
-    """Fits on documents with a language outside the held-out fold: on all of them up to train_docs."""
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, train_segments: int = TRAIN_SEGMENTS) -> BiGRU:
+    """Fits on documents with a language outside the held-out fold: on all of them up to train_docs of each language, so that a rare language is learned too.
+
+    Whole texts are used, up to train_segments pieces of 64 bytes for each language. Rows without a language or an id teach nothing;
+    without any others the network knows no language.
+    """
     small_batches(docs.sparkSession)
     key, tongue = F.col(f"`{doc_id}`"), F.col(f"`{lang}`")
-    known = docs.select(key.alias("doc_id"), tongue.alias("lang")).filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(fold() != 0)
-    few = known.orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(train_docs).select("doc_id").distinct()
-    # Bounded by train_docs.
-    source = docs.select(key.alias("doc_id"), tongue.alias("lang"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text")).filter("lang IS NOT NULL")
-    got = source.join(F.broadcast(few), "doc_id", "left_semi").mapInArrow(_spread, "doc_id long, lang string, part binary").collect()
-    got = sorted((r["doc_id"], r["lang"], bytes(r["part"])) for r in got)
-    langs = sorted({g[1] for g in got})
+    source = docs.select(key.alias("doc_id"), tongue.alias("lang"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
+    source = source.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(fold() != 0)
+    least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    few = source.select("doc_id", "lang").withColumn("k", F.row_number().over(least)).filter(F.col("k") <= train_docs).select("doc_id", "lang").distinct()
+    pieces = source.join(F.broadcast(few), ["doc_id", "lang"], "left_semi").mapInArrow(_pieces, "doc_id long, lang string, place long, part binary")
+    spread = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "part")
+    # No more than train_segments for each language, whatever the input.
+    got = pieces.withColumn("k", F.row_number().over(spread)).filter(F.col("k") <= train_segments).select("lang", "k", "part").collect()
+    got = sorted((r["lang"], r["k"], bytes(r["part"])) for r in got)
+    langs = sorted({g[0] for g in got})
     if not langs:
         return BiGRU.new([])
-    return fit(np.concatenate([segments(g[2], TRAIN_LENGTH) for g in got]), np.array([langs.index(g[1]) for g in got]), langs)
+    return fit(np.concatenate([segments(g[2], TRAIN_LENGTH) for g in got]), np.array([langs.index(g[0]) for g in got]), langs)
 
 
 def languages(docs: DataFrame, net: BiGRU, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, held_out, lang_pred, score (of that language).
 
-    A null text and one without a letter are `und` with score 0; so are all if nothing was learned.
+    A null text and one without a letter are `und` with score 0; so are all if nothing was learned. Every
+    byte of a text is read. Rows that repeat have the same answer each; a null id is in the held-out fold.
+    An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, held, bodies in rows(batches, "doc_id", "held_out", "text"):
-            able = [bool(net.langs and LETTER.search(b.decode())) for b in bodies]
+            able = [bool(net.langs) and any(map(str.isalpha, b.decode())) for b in bodies]
             best: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(ids)
             at = [k for k, a in enumerate(able) if a]
             p = net.document_probabilities([bodies[k] for k in at])

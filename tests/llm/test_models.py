@@ -114,6 +114,50 @@ def test_language_of_awkward_rows(spark):
     assert [r["lang_pred"] for r in lb.languages(frame(spark, [(1, "text", None, "s", 1)]), nothing).collect()] == ["und"]
 
 
+def test_document_probabilities_one_byte_at_a_time():
+    """The network restated: a loop over bytes for each direction, each segment, each position."""
+    net = lb.BiGRU.new(["a", "b", "c"], hidden=5, seed=3)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def states(symbols, way):
+        h, out = np.zeros(5), []
+        for c in symbols:
+            x, u = net.x[way][c].astype(float), net.u[way].astype(float)
+            zr = sigmoid(x[:10] + h @ u[:, :10])
+            new = np.tanh(x[10:] + zr[5:] * (h @ u[:, 10:]))
+            h = zr[:5] * h + (1 - zr[:5]) * new
+            out.append(h)
+        return out
+
+    bodies = ["".join(map(chr, range(40, 400))).encode(), b"short", b"", b"x" * lb.LENGTH]
+    for body, got in zip(bodies, net.document_probabilities(bodies), strict=True):
+        each = []
+        for k in range(0, len(body), lb.LENGTH):
+            symbols = list(body[k : k + lb.LENGTH])
+            for f, g in zip(states(symbols, 0), states(symbols[::-1], 1)[::-1], strict=True):
+                y = np.exp(f @ net.v[0] + g @ net.v[1] + net.c)
+                each.append(y / y.sum())
+        assert got == pytest.approx(np.mean(each, 0) if each else np.full(3, 1 / 3), abs=1e-4)
+
+
+def test_a_rare_language_is_learned_from_whole_texts(spark):
+    """Three documents of 4,000 are in a language of their own, which only their ends show."""
+    rows = [(k, "the cat and the dog " * 5, "en", "s", 0) for k in range(4000)]
+    rows += [(5000 + k, "the cat and the dog " * 5 + "zwyx qvyx " * 400, "xx", "s", 0) for k in range(3)]
+    rows += [(None, "zwyx", "yy", "s", 0), (6000, "zwyx", None, "s", 0), (5000, "zwyx qvyx", "xx", "s", 0)]
+    net = lb.train(clashing(frame(spark, rows)))
+    assert net.langs == ["en", "xx"]
+    got = {r["doc_id"]: r for r in lb.languages(frame(spark, rows), net).collect()}
+    assert got[6000]["lang_pred"] == "xx" and got[17]["lang_pred"] == "en" and got[5001]["lang_pred"] == "xx"
+
+
+def test_what_is_a_letter(spark):
+    net = lb.fit(lb.segments(b"the cat " * 40, 64), np.array([0] * 5), ["en"])
+    texts = ["½ ²", "Ⅷ", "①", "〇", "12.5 €", "_", "ª", "ب", "字"]
+    got = {r["doc_id"]: r["lang_pred"] for r in lb.languages(frame(spark, [(k, t, "en", "s", 0) for k, t in enumerate(texts)]), net).collect()}
+    assert got == {k: "en" if any(c.isalpha() for c in t) else "und" for k, t in enumerate(texts)} and got[3] == "und"
+
+
 def test_recurrent_gradients_and_forward_agree():
     rng = np.random.default_rng(1)
     net = lb.BiGRU.new(["a", "b", "c"], hidden=4)
