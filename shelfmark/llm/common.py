@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of whole documents in one Arrow batch: bounds a Python worker's memory.
@@ -25,10 +25,13 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Without one there is no safe place for a table, so that is an error."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found:
+        # Driver and executors are one process here, so any folder is shared.
         found = tempfile.mkdtemp(prefix="shelfmark-")
         atexit.register(shutil.rmtree, found, ignore_errors=True)
         sc.setCheckpointDir(found)
@@ -58,18 +61,26 @@ class Stored:
 
 
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", empty: bool = True) -> DataFrame:
-    """(doc_id, text) alone, the text as UTF-8 bytes; a null text counts as empty, or stays null.
+    """(doc_id, text, text_key), the text as UTF-8 bytes; a null text counts as empty, or stays null.
 
     All other columns are left behind here, so none of their names can clash.
     """
     body = F.col(f"`{text}`").cast("binary")
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), (F.coalesce(body, F.lit(b"")) if empty else body).alias("text"))
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), (F.coalesce(body, F.lit(b"")) if empty else body).alias("text"), text_key(text).alias("text_key"))
 
 
-def restored(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of docs, all columns, whose id is among ids.doc_id. Rows that share an id, and those without one, stay or go together."""
-    key = ids.select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(key, F.col(f"`{doc_id}`").eqNullSafe(F.col("__kept_id")), "left_semi")
+def text_key(text: str = "text") -> Column:
+    """64 bits that tell the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")))
+
+
+def one_row_each(docs: DataFrame, stays: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """For each (doc_id, text_key) of stays one row of docs, all columns. Rows with the same id and text are told apart by nothing else: the first that comes stays."""
+    own = {"__id": F.coalesce(F.col(f"`{doc_id}`"), F.lit(0)).cast("long"), "__none": F.col(f"`{doc_id}`").isNull(), "__key": text_key(text)}
+    kept = stays.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("__id"), F.col("doc_id").isNull().alias("__none"), F.col("text_key").alias("__key"))
+    number = F.row_number().over(Window.partitionBy(*own).orderBy("__key"))
+    found = docs.withColumns(own).join(kept, list(own), "left_semi").withColumn("__number", number).filter("__number = 1")
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def slices(b: pa.RecordBatch, most: int = BYTES_PER_LIST) -> Iterator[pa.RecordBatch]:

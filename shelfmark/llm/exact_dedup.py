@@ -2,7 +2,8 @@
 
 Every partition folds the 64-bit fingerprints of its normalised texts into
 counting quotient filters, one for each shard of the fingerprint space. The
-filters of a shard merge without loss, by their sorted remainders. Only rows
+filters of a shard merge without loss: their runs of sorted remainders are
+merged, run by run, two filters at a time, and nothing is sorted again. Only rows
 whose merged count is above one are compared byte by byte; the others are
 known to be alone.
 """
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Stored, batch, restored, rows, small_batches, texts
+from shelfmark.llm.common import Stored, batch, one_row_each, rows, small_batches, texts
 
 #: Fingerprints in a merged shard, about.
 SHARD_ROWS = 1 << 20
@@ -49,12 +50,12 @@ class CountingQuotientFilter:
     counts: np.ndarray
 
     @classmethod
-    def build(cls, fingerprints: np.ndarray, counts: np.ndarray | None, bits: int) -> CountingQuotientFilter:
-        if counts is None:
-            f, n = np.unique(fingerprints, return_counts=True)
-        else:
-            f, place = np.unique(fingerprints, return_inverse=True)
-            n = np.bincount(place, weights=counts, minlength=len(f)).astype(np.int64)
+    def build(cls, fingerprints: np.ndarray, bits: int) -> CountingQuotientFilter:
+        return cls.of_sorted(*np.unique(fingerprints, return_counts=True), bits)
+
+    @classmethod
+    def of_sorted(cls, f: np.ndarray, n: np.ndarray, bits: int) -> CountingQuotientFilter:
+        """Of distinct fingerprints in ascending order and their counts."""
         q = min(bits - 1, max(1, int(len(f)).bit_length()))
         r = bits - q
         quotients = (f >> np.uint64(r)).astype(np.int64)
@@ -71,8 +72,12 @@ class CountingQuotientFilter:
         return (quotients << np.uint64(self.r)) | self.remainders, self.counts
 
     def merge(self, *others: CountingQuotientFilter) -> CountingQuotientFilter:
-        every = [x.items() for x in (self, *others)]
-        return self.build(np.concatenate([f for f, _ in every]), np.concatenate([n for _, n in every]), self.q + self.r)
+        """One filter with the counts of all: merged two by two, smallest first."""
+        every = sorted((x.items() for x in (self, *others)), key=lambda x: len(x[0]))
+        while len(every) > 1:
+            # Quotient, then remainder: the order of both filters, whatever their quotients' lengths.
+            every = [merged(*every[k], *every[k + 1]) if k + 1 < len(every) else every[k] for k in range(0, len(every), 2)]
+        return self.of_sorted(*every[0], self.q + self.r)
 
     def count(self, fingerprint: int) -> int:
         quotient = fingerprint >> self.r
@@ -111,7 +116,23 @@ class CountingQuotientFilter:
         return cls(q, r, occupied, ends, rest.view("<u8").ravel().astype(np.uint64), counts)
 
 
-HASHED = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("text_sha256", pa.string())])
+def merged(f: np.ndarray, n: np.ndarray, g: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two ascending runs of distinct fingerprints with counts, as one: equal ones add up."""
+    at = np.searchsorted(f, g)
+    same = f[np.minimum(at, len(f) - 1)] == g if len(f) else np.zeros(len(g), bool)
+    same &= at < len(f)
+    n = n.copy()
+    n[at[same]] += m[same]
+    new = ~same
+    place = at[new] + np.arange(int(new.sum()))
+    old = np.ones(len(f) + len(place), bool)
+    old[place] = False
+    out, counts = np.empty(len(old), f.dtype), np.empty(len(old), np.int64)
+    out[place], out[old], counts[place], counts[old] = g[new], f, m[new], n
+    return out, counts
+
+
+HASHED = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("text_sha256", pa.string()), ("text_key", pa.int64())])
 NORMAL = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("normal", pa.binary())])
 FILTERS = pa.schema([("shard", pa.int64()), ("filter", pa.binary())])
 REPEATED = pa.schema([("fp", pa.int64()), ("copies", pa.int64())])
@@ -126,9 +147,9 @@ def _signed(values: list[int]) -> np.ndarray:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, bodies in rows(batches, "doc_id", "text"):
+    for ids, bodies, keys in rows(batches, "doc_id", "text", "text_key"):
         normal = [b.lower() for b in bodies]  # bytes.lower() changes A-Z only
-        yield batch(HASHED, ids, _signed([fingerprint(b) for b in normal]), [hashlib.sha256(b).hexdigest() for b in normal])
+        yield batch(HASHED, ids, _signed([fingerprint(b) for b in normal]), [hashlib.sha256(b).hexdigest() for b in normal], keys)
 
 
 def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +167,7 @@ def _filters(shard_bits: int):
             shards = (f >> np.uint64(64 - shard_bits)).astype(np.int64)
             cuts = np.flatnonzero(np.diff(shards)) + 1
             low = f & np.uint64((1 << (64 - shard_bits)) - 1)
-            return batch(FILTERS, shards[np.concatenate([[0], cuts]).astype(np.int64)], [CountingQuotientFilter.build(x, None, 64 - shard_bits).to_bytes() for x in np.split(low, cuts)])
+            return batch(FILTERS, shards[np.concatenate([[0], cuts]).astype(np.int64)], [CountingQuotientFilter.build(x, 64 - shard_bits).to_bytes() for x in np.split(low, cuts)])
 
         for b in batches:
             if b.num_rows:
@@ -178,18 +199,10 @@ def repeated_fingerprints(hashed: DataFrame, total: int) -> DataFrame:
     return filters.groupBy("shard").applyInArrow(_merged(bits), "fp long, copies long")
 
 
-def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
-
-    Texts are equal when their bytes are after lower-casing A-Z; a null text is an
-    empty one, and empty texts are copies of each other. The largest doc_id of a group
-    stays. Rows that repeat both text and the largest doc_id are one document and all say
-    kept; a null doc_id is never kept unless its whole group has none, whose keep_id is
-    then null. An empty table gives an empty result.
-    """
+def _judged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     small_batches(docs.sparkSession)
     source = texts(docs, doc_id, text)
-    hashed = Stored(source.mapInArrow(_hashed, "doc_id long, fp long, text_sha256 string"), "fingerprints").df()
+    hashed = Stored(source.mapInArrow(_hashed, "doc_id long, fp long, text_sha256 string, text_key long"), "fingerprints").df()
     repeated = Stored(repeated_fingerprints(hashed, hashed.count()), "repeated").df()
     few = repeated.count() <= BROADCAST_ROWS
     suspects = repeated.select("fp")
@@ -207,9 +220,26 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
+        "text_key",
     )
 
 
+def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
+
+    Texts are equal when their bytes are after lower-casing A-Z; a null text is an
+    empty one, and empty texts are copies of each other. The largest doc_id of a group
+    stays. Rows that repeat both text and the largest doc_id are one document and all say
+    kept; a null doc_id is never kept unless its whole group has none, whose keep_id is
+    then null. An empty table gives an empty result.
+    """
+    return _judged(docs, doc_id, text).drop("text_key")
+
+
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, all columns unchanged, that exact_duplicates() keeps."""
-    return restored(docs, exact_duplicates(docs, doc_id, text).filter("kept"), doc_id)
+    """One row of docs, all columns unchanged, for each different text: one that exact_duplicates() keeps.
+
+    Where several rows have the largest doc_id, one of them stays. Rows that share a doc_id and differ in text are judged by their texts.
+    """
+    stays = _judged(docs, doc_id, text).filter("kept").groupBy("text_sha256").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
+    return one_row_each(docs, stays, doc_id, text)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import Stored, batch, restored, rows, small_batches, texts, words
+from shelfmark.llm.common import Stored, batch, one_row_each, rows, small_batches, texts, words
 from shelfmark.llm.components import components
 from shelfmark.llm.minhash import permutations, shingle_hashes, signatures
 
@@ -44,7 +44,7 @@ BROADCAST_ROWS = 1 << 20
 
 NIBBLES = np.uint64(0x1111111111111111)
 
-SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SIGNED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64())), ("text_key", pa.int64())])
 SETS = pa.schema([("key", pa.binary()), ("shingles", pa.binary()), ("map", pa.binary())])
 PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("other", pa.binary()), ("estimate", pa.float64())])
 EDGES = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -112,7 +112,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = permutations(BANDS * PLACES, SEED)
-    for ids, bodies in rows(batches, "doc_id", "text"):
+    for ids, bodies, keys in rows(batches, "doc_id", "text", "text_key"):
         sets = [shingle_set(x) for x in bodies]
         sig = signatures(sets, a, b)
         bands = sig.reshape(len(sets), BANDS, PLACES).astype(np.uint64)
@@ -120,7 +120,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(PLACES):
             h = (h ^ bands[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        yield batch(SIGNED, ids, [len(s) for s in sets], [set_key(s) if len(s) else None for s in sets], [pack(s) for s in sig], [x.tolist() if len(s) else [] for x, s in zip(h.view(np.int64), sets, strict=True)])
+        yield batch(SIGNED, ids, [len(s) for s in sets], [set_key(s) if len(s) else None for s in sets], [pack(s) for s in sig], [x.tolist() if len(s) else [] for x, s in zip(h.view(np.int64), sets, strict=True)], keys)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +191,7 @@ class _Search:
 
     def __init__(self, docs: DataFrame, doc_id: str, text: str, percent: int):
         self.percent, self.source = percent, texts(docs, doc_id, text)
-        self.signed = Stored(self.source.mapInArrow(_sign, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>"), "signed").df()
+        self.signed = Stored(self.source.mapInArrow(_sign, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>, text_key long"), "signed").df()
         self.nodes = Stored(
             self.signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes"
         ).df()
@@ -264,14 +264,7 @@ class _Search:
         return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, kept.
-
-    component_id is the smallest doc_id that links reach. A null text, or one without
-    words, has no shingles and no links: it is its own component. Rows that repeat a doc_id are
-    documents of their own; rows of a component without any doc_id have a null one and
-    are kept only where they are alone in having no words. An empty table gives an empty result.
-    """
+def _judged(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     small_batches(docs.sparkSession)
     s = _Search(docs, doc_id, text, percent)
     s.confirm(s.leaders())
@@ -281,12 +274,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     comp = s.nodes.select("key", "first").join(s.components(), "key", "left").select("key", "first", F.coalesce("comp", "key").alias("comp"))
     comp = Stored(comp, "comps").df()
     least = Stored(comp.groupBy("comp").agg(F.min("first").alias("component_id")), "least").df()
-    final = comp.join(least, "comp").select("key", "component_id", F.lit(True).alias("known"))
-    out = s.signed.select("doc_id", "n_shingles", "key").join(final, "key", "left")
-    component = F.when(F.col("known"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    final = comp.join(least, "comp").select("key", "comp", "component_id")
+    out = s.signed.select("doc_id", "n_shingles", "key", "text_key").join(final, "key", "left")
+    component = F.when(F.col("comp").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "comp", "text_key")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row for each row of docs: doc_id, n_shingles, component_id, kept.
+
+    component_id is the smallest doc_id that links reach. A null text, or one without
+    words, has no shingles and no links: it is its own component. Rows that repeat a doc_id are
+    documents of their own; rows of a component without any doc_id have a null one and
+    say kept. An empty table gives an empty result.
+    """
+    return _judged(docs, doc_id, text, percent).drop("comp", "text_key")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, all columns unchanged, that near_duplicates() keeps: one document of each group."""
-    return restored(docs, near_duplicates(docs, doc_id, text, percent).filter("kept"), doc_id)
+    """The rows of docs, all columns unchanged, that near_duplicates() keeps: one document of each group.
+
+    Where several rows of a group have its smallest doc_id, or none has one, one of them stays. Rows without words are in no group: all stay.
+    """
+    stays = _judged(docs, doc_id, text, percent).filter("kept AND comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
+    worded = F.coalesce(F.col(f"`{text}`"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
+    return one_row_each(docs.filter(worded), stays, doc_id, text).unionByName(docs.filter(~worded))

@@ -12,7 +12,7 @@ from tests.llm.fixtures import awkward, clashing, frame
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**40 - 1) | st.integers(0, 7), max_size=40), min_size=1, max_size=4))
 def test_filters_merge_without_loss(parts):
-    built = [CountingQuotientFilter.build(np.array(p, np.uint64), None, 40) for p in parts]
+    built = [CountingQuotientFilter.build(np.array(p, np.uint64), 40) for p in parts]
     merged = CountingQuotientFilter.from_bytes(built[0].merge(*built[1:]).to_bytes())
     expected = defaultdict(int)
     for p in parts:
@@ -56,3 +56,22 @@ def test_dropping_keeps_columns(spark):
     out = drop_exact_duplicates(df)
     assert out.columns == df.columns
     assert {r["doc_id"] for r in out.collect()} == {x[0] for x in brute(awkward()) if x[3]}
+
+
+def test_one_row_of_each_text_is_left(spark):
+    for rows, left in (
+        ([(2, "x"), (2, "x"), (1, "x")], [(2, "x")]),
+        ([(5, "x"), (5, "y"), (9, "x")], [(5, "y"), (9, "x")]),
+        ([(3, "x"), (3, "X"), (None, "x"), (None, "z"), (None, "Z"), (4, None), (6, "")], None),
+    ):
+        out = [(r["doc_id"], r["text"]) for r in drop_exact_duplicates(clashing(frame(spark, [(*r, "en", "s", 0) for r in rows]))).collect()]
+        assert left is None or sorted(out, key=str) == sorted(left, key=str)
+        assert len(out) == len({lower(t) for _, t in rows}) == len({lower(t) for _, t in out})
+    assert (6, "") in out and any(d == 3 for d, _ in out)
+
+
+def test_very_long_texts(spark):
+    long = "Ab " * 400_000  # 1.2 MB
+    rows = [(k, long if k % 2 else long.lower(), "en", "s", 0) for k in range(6)] + [(9, long + "c", "en", "s", 0)]
+    got = exact_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == [(k, 5, 6) for k in range(6)] + [(9, 9, 1)]

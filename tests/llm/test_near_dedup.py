@@ -75,6 +75,25 @@ def test_dropping(spark):
     assert {r["doc_id"] for r in out.collect()} == {x[0] for x in brute(awkward()) if x[3]}
 
 
+def test_one_row_of_each_group_is_left(spark):
+    base = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    for rows, left in (
+        ([(2, base), (2, base), (4, base)], 1),
+        ([(5, base), (5, base + " end"), (9, base)], 1),
+        ([(5, base), (5, "quite another text of six"), (9, base)], 2),
+        ([(None, base), (None, base + " end"), (3, ""), (3, ""), (4, None)], 4),
+    ):
+        df = clashing(frame(spark, [(*r, "en", "s", 0) for r in rows]))
+        out = near_dedup.drop_near_duplicates(df)
+        assert out.columns == df.columns and out.count() == left
+
+
+def test_a_very_long_text(spark):
+    long = prose(random.Random(8), 180_000)
+    rows = [(1, long, "en", "s", 0), (2, long + " and an end", "en", "s", 0), (3, long[: len(long) // 2], "en", "s", 0)]
+    assert got(frame(spark, rows)) == brute(rows)
+
+
 def test_bitmap_never_rules_out_a_link():
     rng = np.random.default_rng(3)
     for n in (5, 60, 400, 512):
