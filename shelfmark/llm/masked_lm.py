@@ -9,7 +9,7 @@ weighted by the words they saw, are averaged in Spark.
 
 The network knows the most frequent words and buckets of the others. A word of a bucket has the bucket's
 probability times its own share in it, from counts of every word of the corpus: the vocabulary grows
-with the corpus, what a scorer holds does not. Texts are read once, into blocks of about a million words with
+with the corpus, what a scorer holds does not. Texts are read once, into blocks of about two million words with
 a list of the distinct words of each; only these lists are counted in Spark, and the counts return to their blocks. A word is in
 a block's list once, so no key has more rows than there are blocks.
 """
@@ -41,7 +41,7 @@ STEP, RATE, SEED = 2048, 0.01, 5
 #: Words scored together: what fits a processor's cache.
 TOGETHER = 1 << 12
 #: Words of a block, about.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 21
 #: Averages are made in so many groups at most before the driver joins them.
 GROUPS = 32
 
@@ -103,10 +103,16 @@ def read(docs: DataFrame) -> DataFrame:
 
 
 def word_totals(blocks: DataFrame) -> DataFrame:
-    """A row for each word of each block's list: block, at (its place there), total (in all texts); word, once for each word, else null."""
+    """A row for each word of each block's list: block, at (its place there), total (in all texts), bucket (the id it would share).
+
+    first_block and first_at, the least place of the word in any list, tell words apart; word itself stands there alone, elsewhere it is null.
+    """
     each = blocks.select("block", F.posexplode("vocabulary").alias("at", "entry")).select("block", "at", "entry.word", "entry.n")
     by = Window.partitionBy("word")
-    return each.select("block", "at", F.sum("n").over(by).alias("total"), F.when(F.row_number().over(by.orderBy("block")) == 1, F.col("word")).alias("word"))
+    counted = each.select("block", "at", "word", F.sum("n").over(by).alias("total"), F.min(F.struct("block", "at")).over(by).alias("first"))
+    first_block, first_at = F.col("first.block"), F.col("first.at")
+    word = F.when((first_block == F.col("block")) & (first_at == F.col("at")), F.col("word"))
+    return counted.select("block", "at", "total", _shared(F.col("word")).cast("short").alias("bucket"), first_block.alias("first_block"), first_at.alias("first_at"), word.alias("word"))
 
 
 def most_frequent(totals: DataFrame, size: int = FREQUENT) -> list[bytes]:
@@ -125,55 +131,52 @@ def _shared(word: Column) -> Column:
     return FREQUENT + F.crc32(ends) % SHARED
 
 
-def bucket_totals(totals: DataFrame, vocabulary: list[bytes]) -> np.ndarray:
-    """How often the rarer words of each shared id occur, by id; a table of VOCABULARY numbers."""
-    out = np.zeros(VOCABULARY, np.int64)
-    frequent = totals.sparkSession.createDataFrame([(bytearray(w),) for w in vocabulary], "word binary")
-    rarer = totals.filter("word IS NOT NULL").join(F.broadcast(frequent), "word", "left_anti")
-    for r in rarer.groupBy(_shared(F.col("word")).alias("id")).agg(F.sum("total").alias("n")).collect():
-        out[r["id"]] = r["n"]
-    return out
-
-
-def coder(vocabulary: list[bytes], buckets: np.ndarray):
-    """Blocks with the totals of their words to a row for each text: ids (unsigned 16-bit) and own, the sum of the logs of its rarer words' shares."""
-    frequent = pa.array(vocabulary, pa.binary())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                docs, lengths, codes, vocab, totals = (b.column(b.schema.get_field_index(c))[k] for c in ("docs", "lengths", "codes", "vocabulary", "totals"))
-                n = len(vocab)
-                ids, share = np.zeros(n, np.uint16), np.zeros(n)
-                if n:
-                    listed = vocab.values.field("word")
-                    known = pc.index_in(listed, value_set=frequent)
-                    rare = np.flatnonzero(known.is_null().to_numpy(zero_copy_only=False))
-                    ids[:] = known.fill_null(0).to_numpy()
-                    ids[rare] = [shared_id(w) for w in listed.take(pa.array(rare, pa.int64())).to_pylist()]
-                    total = np.zeros(n)
-                    total[totals.values.field("at").to_numpy()] = totals.values.field("total").to_numpy()
-                    share[rare] = np.log(total[rare] / buckets[ids[rare]])
-                low, high = np.frombuffer(codes.as_py(), "<u2").reshape(2, -1).astype(np.int64)
-                at = low | high << 16
-                many = lengths.values.to_numpy()
-                ends = np.concatenate([[0], np.cumsum(many)])
-                sums = np.concatenate([[0.0], np.cumsum(share[at])])
-                coded = ids[at].tobytes()
-                yield batch(CODED, docs.values, [coded[2 * x : 2 * y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)], sums[ends[1:]] - sums[ends[:-1]])
-
-    return run
+def _numbered(totals: DataFrame, vocabulary: list[bytes]) -> DataFrame:
+    """(block, at, id, share): each listed word's id, and the log of its part of all words of that id; 0 for a word that has its own."""
+    spark = totals.sparkSession
+    named = totals.filter("word IS NOT NULL")
+    ids = spark.createDataFrame([(bytearray(w), k) for k, w in enumerate(vocabulary)], "word binary, own_id short")
+    frequent = named.join(F.broadcast(ids), "word").select("first_block", "first_at", "own_id")  # FREQUENT rows at most
+    buckets = named.join(F.broadcast(ids), "word", "left_anti").groupBy("bucket").agg(F.sum("total").alias("all"))  # SHARED rows at most
+    known = totals.select("block", "at", "total", "bucket", "first_block", "first_at").join(F.broadcast(frequent), ["first_block", "first_at"], "left").join(F.broadcast(buckets), "bucket", "left")
+    return known.select("block", "at", F.coalesce("own_id", "bucket").alias("id"), F.when(F.col("own_id").isNull(), F.log(F.col("total") / F.col("all"))).otherwise(0.0).cast("float").alias("share"))
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block its words (at, id, share), then its texts: a row for each text with ids (unsigned 16-bit) and own, the sum of its words' shares."""
+    held: list[tuple[np.ndarray, ...]] = []
+    for b in batches:
+        column = {c: b.column(b.schema.get_field_index(c)) for c in b.schema.names}
+        at, ids, share = (column[c].fill_null(0).to_numpy(zero_copy_only=False) for c in ("at", "id", "share"))
+        begin = 0
+        for end in [*np.flatnonzero(column["codes"].is_valid().to_numpy(zero_copy_only=False)).tolist(), None]:
+            if (words_ := slice(begin, end)) and len(at[words_]):
+                held.append((at[words_], ids[words_], share[words_]))
+            if end is None:
+                break
+            place, number, log = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int64),) * 3
+            id_of, log_of = np.zeros(len(place), np.uint16), np.zeros(len(place))
+            id_of[place], log_of[place] = number, log
+            low, high = np.frombuffer(column["codes"][end].as_py(), "<u2").reshape(2, -1).astype(np.int64)
+            line = low | high << 16
+            ends = np.concatenate([[0], np.cumsum(column["lengths"][end].values.to_numpy())]).astype(np.int64)
+            sums = np.concatenate([[0.0], np.cumsum(log_of[line])])
+            coded = id_of[line].tobytes()
+            yield batch(CODED, column["docs"][end].values, [coded[2 * x : 2 * y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)], sums[ends[1:]] - sums[ends[:-1]])
+            held, begin = [], end + 1
 
 
 def coded_texts(docs: DataFrame) -> Stored:
     """(doc_id, ids, own) of every row of (doc_id, text)."""
     blocks = Stored(read(docs), "blocks")
     totals = Stored(word_totals(blocks.df()), "totals")
-    vocabulary = most_frequent(totals.df())
-    buckets = bucket_totals(totals.df(), vocabulary)
-    # A list for each block, no longer than the block's.
-    lists = totals.df().groupBy("block").agg(F.collect_list(F.struct("at", "total")).alias("totals"))
-    out = Stored(blocks.df().join(lists, "block", "left").drop("block").mapInArrow(coder(vocabulary, buckets), CODED_SQL), "coded")
+    listed = _numbered(totals.df(), most_frequent(totals.df()))
+    empty = {c: F.lit(None).cast(t) for c, t in (("docs", "array<long>"), ("lengths", "array<long>"), ("codes", "binary"), ("at", "int"), ("id", "short"), ("share", "float"))}
+    words_ = listed.withColumns({c: empty[c] for c in ("docs", "lengths", "codes")})
+    bodies = blocks.df().select("block", "docs", "lengths", "codes").withColumns({c: empty[c] for c in ("at", "id", "share")})
+    # Streamed, words first: no list of a block's words is ever one value.
+    ordered = words_.unionByName(bodies).repartition("block").sortWithinPartitions("block", F.col("codes").isNotNull(), "at")
+    out = Stored(ordered.mapInArrow(_coded, CODED_SQL), "coded")
     blocks.drop()
     totals.drop()
     return out
