@@ -131,20 +131,22 @@ def direct_price(text: Column) -> Column:
     return F.when(value.between(20, 9999), value)
 
 
+# What a fragment is that can name a product. No number or price alone, no quantity at its end, no general word or sign, and a letter.
+NAME_FRAGMENT = (
+    r"^(?![\d.,%％+\-〜~円]+$)"
+    r"(?!.*(?i:\d{1,4}(?:g|kg|ml|L|個|本|枚|袋|入|パック|束|尾|切))$)"
+    rf"(?!.*(?:{'|'.join(GENERIC_WORDS)}|[{SPOILING_SIGNS}]))"
+    r".*[一-龥ぁ-んァ-ヶA-Za-z]"
+)
+
+
 def longest_fragment(text: Column, normal: bool = True) -> Column:
     """The longest fragment between blanks that can be a product's name, the last in order among equals; '' if none can."""
     base = nfkc(blank_null(text)) if normal else blank_null(text)
-    parts = F.transform(F.split(base, r"(?U)\s+"), lambda p: F.trim(p, F.lit(EDGE_SIGNS)))
-    fits = F.filter(
-        parts,
-        lambda t: F.length(t).between(2, 42)
-        & ~contains_any(t, GENERIC_WORDS)
-        & ~t.rlike(r"^[\d.,%％+\-〜~円]+$")
-        & ~t.rlike(r"(?i)\d{1,4}(?:g|kg|ml|L|個|本|枚|袋|入|パック|束|尾|切)$")
-        & t.rlike(r"[一-龥ぁ-んァ-ヶA-Za-z]")
-        & ~t.rlike(f"[{SPOILING_SIGNS}]"),
-    )
-    best = F.array_max(F.transform(fits, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
+    parts = F.array_distinct(F.transform(F.split(base, r"(?U)\s+"), lambda p: F.trim(p, F.lit(EDGE_SIGNS))))
+    able = F.filter(parts, lambda t: F.length(t).between(2, 42) & t.rlike(NAME_FRAGMENT))
+    # The best of those: by length, then in order.
+    best = F.array_max(F.transform(able, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))
     return F.coalesce(best["t"], F.lit(""))
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Callable
-from statistics import median
+from math import floor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,42 +28,63 @@ def _grouped(df: DataFrame, key: list[str], schema: str, f: Callable[[pd.DataFra
     return df.groupBy(*key).applyInPandas(f, schema)
 
 
-def running_clusters(values: list[float], most: float, centre: Callable = median) -> list[int]:
-    """The number of each value's cluster: the first whose centre, so far, is within most; values in their given order."""
-    clusters: list[list[float]] = []
+class _Running:
+    """A cluster's points in order, and its centre so far."""
+
+    def __init__(self, mean: bool):
+        self.mean, self.points, self.total = mean, [], 0.0
+
+    def add(self, v: float) -> None:
+        insort(self.points, v)
+        self.total += v
+
+    def centre(self) -> float:
+        n = len(self.points)
+        return self.total / n if self.mean else (self.points[(n - 1) // 2] + self.points[n // 2]) / 2
+
+
+def running_clusters(values: list[float], most: float, mean: bool = False) -> list[int]:
+    """The number of each value's cluster: the first whose median (or mean), so far, is within most; values in their given order."""
+    clusters: list[_Running] = []
     out = []
     for v in values:
-        for k, c in enumerate(clusters):
-            if abs(v - centre(c)) <= most:
-                c.append(v)
-                out.append(k)
-                break
-        else:
-            clusters.append([v])
-            out.append(len(clusters) - 1)
+        k = next((k for k, c in enumerate(clusters) if abs(v - c.centre()) <= most), len(clusters))
+        if k == len(clusters):
+            clusters.append(_Running(mean))
+        clusters[k].add(v)
+        out.append(k)
     return out
 
 
-def cluster_running(df: DataFrame, key: str, ident: str, pos: str, most: float, centre: Callable = median) -> DataFrame:
+def cluster_running(df: DataFrame, key: str, ident: str, pos: str, most: float, mean: bool = False) -> DataFrame:
     """(key, ident, cluster): rows in order of pos and ident; order matters, so it isn't a closure. One key's rows are held at once."""
     kinds = dict(df.dtypes)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values([pos, ident])
-        return pd.DataFrame({key: rows[key], ident: rows[ident], "cluster": running_clusters(rows[pos].tolist(), most, centre)})
+        return pd.DataFrame({key: rows[key], ident: rows[ident], "cluster": running_clusters(rows[pos].tolist(), most, mean)})
 
     return _grouped(df.select(key, ident, pos), [key], f"{key} {kinds[key]}, {ident} {kinds[ident]}, cluster long", run)
 
 
+def point_columns(df: DataFrame, key: str, ident: str, pos: str, most: float = 5.0, least: int = 3) -> DataFrame:
+    """(key, ident, column, centre) of the points in columns: clusters by running mean with least points or more, numbered from the left."""
+    points = cluster_running(df, key, ident, pos, most, mean=True).join(df.select(key, ident, pos), [key, ident])
+    centres = points.groupBy(key, "cluster").agg(F.avg(pos).alias("centre"), F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= least)
+    numbered = centres.withColumn("column", F.row_number().over(Window.partitionBy(key).orderBy("centre", "cluster")).cast("long"))
+    return points.join(numbered, [key, "cluster"]).select(key, ident, "column", "centre")
+
+
 def greedy_keep(points: list[tuple[float, float, object]], dx: float, dy: float) -> list[bool]:
-    """Which points stay: those not close to an earlier one of the same value that stayed."""
-    kept: list[tuple[float, float, object]] = []
+    """Which points stay: those not close to an earlier one of the same value that stayed. Only the cells around a point are looked at."""
+    kept: dict[tuple, list[tuple[float, float]]] = {}
     out = []
     for x, y, v in points:
-        near = any(v == w and abs(x - a) < dx and abs(y - b) < dy for a, b, w in kept)
+        i, j = floor(x / dx), floor(y / dy)
+        near = any(abs(x - a) < dx and abs(y - b) < dy for p in (i - 1, i, i + 1) for q in (j - 1, j, j + 1) for a, b in kept.get((p, q, v), ()))
         out.append(not near)
         if not near:
-            kept.append((x, y, v))
+            kept.setdefault((i, j, v), []).append((x, y))
     return out
 
 

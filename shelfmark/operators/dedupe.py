@@ -35,9 +35,13 @@ def strong_key() -> list[Column]:
 
 def priced(df: DataFrame) -> DataFrame:
     """Whole-yen prices; rows without a positive price with tax, or with a negative one without, go."""
-    ex = price.floor_yen(F.col("price_ex_tax_yen"))
-    inc = price.derived_in_tax(F.col("price_ex_tax_yen"), F.col("price_in_tax_yen"), F.col("tax_rate"))
-    return df.withColumns({"price_ex_tax_yen": ex, "price_in_tax_yen": inc}).filter("price_in_tax_yen > 0 AND coalesce(price_ex_tax_yen, 0) >= 0")
+    text_typed = {c for c, t in df.dtypes if t == "string"}
+    number = lambda c: price.to_number(F.col(c), c not in text_typed)
+    # Step by step, so that each text is read as a number once.
+    read = df.withColumns({"__ex": number("price_ex_tax_yen"), "__inc": number("price_in_tax_yen"), "__rate": number("tax_rate")})
+    whole = read.withColumn("price_ex_tax_yen", price.floor_yen(F.col("__ex"), True))
+    inc = price.derived_in_tax(F.col("price_ex_tax_yen"), F.col("__inc"), F.col("__rate"), True)
+    return whole.withColumn("price_in_tax_yen", inc).drop("__ex", "__inc", "__rate").filter("price_in_tax_yen > 0 AND coalesce(price_ex_tax_yen, 0) >= 0")
 
 
 def output_policy(df: DataFrame, order: list[Column], drop_household: bool = False, normal: bool = True) -> DataFrame:

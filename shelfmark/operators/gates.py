@@ -10,9 +10,15 @@ from shelfmark.operators.dedupe import policy_key, ranked
 
 
 def row_faults(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """rows with a flag for each kind of fault. The price is truncated, not rounded down; a blank price is 0."""
-    inc = F.coalesce(F.when(F.trim(text.blank_null(F.col("price_in_tax_yen"))) == "", F.lit(0.0)).otherwise(F.col("price_in_tax_yen").cast("string").try_cast("double")), F.lit(0.0)).cast("long")
-    shown = rows.withColumn("inc", inc)
+    """rows with a flag for each kind of fault, and inc, the price as a whole number in a double.
+
+    The price is truncated, not rounded down. One that is blank, no number, not a number or infinite is 0, which is a bad price;
+    one too large for a long is a price like any other.
+    """
+    given = F.coalesce(F.when(F.trim(text.blank_null(F.col("price_in_tax_yen"))) == "", F.lit(0.0)).otherwise(F.col("price_in_tax_yen").cast("string").try_cast("double")), F.lit(0.0))
+    finite = F.when(F.isnan(given) | (F.abs(given) == float("inf")), F.lit(0.0)).otherwise(given)
+    whole = F.when(F.abs(finite) < 2.0**53, F.when(finite < 0, F.ceil(finite)).otherwise(F.floor(finite)).cast("double")).otherwise(finite)
+    shown = rows.withColumn("inc", whole)
     key = [*policy_key(normal=False)[:-1], F.col("inc")]
     shown = ranked(shown, key, order)
     c = F.col
@@ -30,6 +36,8 @@ def row_faults(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 
 FAULTS = ("bad_price", "blank_name", "duplicate", "bad_dates", "percent_only", "missing_provenance")
+#: What a fault is called in a verdict, where that is another word.
+CALLED = {"duplicate": "duplicates"}
 
 
 def row_report(rows: DataFrame, order: list[Column], day: str) -> DataFrame:
@@ -47,7 +55,7 @@ def fault_samples(rows: DataFrame, order: list[Column], most: int = 10) -> DataF
 def row_verdict(report: DataFrame) -> DataFrame:
     """One row: whether no store has a fault, and the faults as text in their order."""
     total = report.agg(*[F.coalesce(F.sum(f), F.lit(0)).alias(f) for f in FAULTS])
-    errors = F.array_compact(F.array(*[F.when(F.col(f) > 0, F.concat(F.lit(f + "="), F.col(f).cast("string"))) for f in FAULTS]))
+    errors = F.array_compact(F.array(*[F.when(F.col(f) > 0, F.concat(F.lit(CALLED.get(f, f) + "="), F.col(f).cast("string"))) for f in FAULTS]))
     return total.select((F.size(errors) == 0).alias("passes"), errors.alias("errors"))
 
 
@@ -57,14 +65,13 @@ def issue_faults(rows: DataFrame, groups: DataFrame, report: DataFrame) -> DataF
     groups: store_id, images (how many), fingerprint. report: store_id, images, price_anchors,
     candidate_rows. A reported count of 0 candidates is taken for the rows there are.
     """
-    counted = rows.groupBy("store_id").agg(F.count(F.lit(1)).alias("n"))
-    stale = (
-        rows.join(groups.select("store_id", "fingerprint"), "store_id")
-        .groupBy("store_id")
-        .agg(F.count_if(text.blank_null(F.col("source_fingerprint")) != text.blank_null(F.col("fingerprint"))).alias("stale"), F.count_if(F.trim(text.blank_null(F.col("source_url"))) == "").alias("sourceless"))
-    )
+    # Rows are read once and counted before anything is joined: a row for each store and fingerprint.
+    blank_url = F.trim(text.blank_null(F.col("source_url"))) == ""
+    prints = rows.groupBy("store_id", text.blank_null(F.col("source_fingerprint")).alias("__print")).agg(F.count(F.lit(1)).alias("n"), F.count_if(blank_url).alias("sourceless"))
+    named = prints.join(groups.select("store_id", text.blank_null(F.col("fingerprint")).alias("__now")), "store_id", "left")
+    counted = named.groupBy("store_id").agg(F.sum("n").alias("n"), F.sum("sourceless").alias("sourceless"), F.sum(F.when(F.col("__print") != F.col("__now"), F.col("n")).otherwise(0)).alias("stale"))
     rep = report.select("store_id", F.col("images").alias("done"), "price_anchors", "candidate_rows")
-    g = groups.select("store_id", F.col("images").alias("expected")).join(rep, "store_id", "left").join(counted, "store_id", "left").join(stale, "store_id", "left")
+    g = groups.select("store_id", F.col("images").alias("expected")).join(rep, "store_id", "left").join(counted, "store_id", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     anchors, done = zero("price_anchors"), zero("done")
     candidates = F.coalesce(F.nullif(zero("candidate_rows"), F.lit(0)), zero("n"))
@@ -120,19 +127,45 @@ def provenance_faults(required: DataFrame, entries: DataFrame, files: DataFrame,
     return j.select("group_id", "source_url", F.col("name").alias("cache_filename"), found.alias("reasons")).withColumn("passes", F.size("reasons") == 0)
 
 
-def map_difference(expected: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:
-    """(key, status): missing, unexpected or changed. Nulls are values."""
-    a = expected.select(F.col(key), F.col(value).alias("__a"), F.lit(True).alias("__in_a"))
-    b = current.select(F.col(key), F.col(value).alias("__b"), F.lit(True).alias("__in_b"))
+def map_difference(expected: DataFrame, current: DataFrame, key: str, value: str, by: list[str] | None = None) -> DataFrame:
+    """(by, key, status): missing, unexpected or changed. Nulls are values."""
+    keys = [*(by or []), key]
+    a = expected.select(*keys, F.col(value).alias("__a"), F.lit(True).alias("__in_a"))
+    b = current.select(*keys, F.col(value).alias("__b"), F.lit(True).alias("__in_b"))
     status = F.when(F.col("__in_b").isNull(), "missing").when(F.col("__in_a").isNull(), "unexpected").when(~F.col("__a").eqNullSafe(F.col("__b")), "changed")
-    return a.join(b, key, "full_outer").select(key, status.alias("status")).filter("status IS NOT NULL")
+    return a.join(b, keys, "full_outer").select(*keys, status.alias("status")).filter("status IS NOT NULL")
+
+
+def same_maps(expected: DataFrame, current: DataFrame, key: str, value: str, by: list[str] | None = None) -> DataFrame:
+    """One row, or one for each group that either has: whether both maps are equal, not empty, and the current one has no blank value."""
+    by = by or []
+    diff = map_difference(expected, current, key, value, by).groupBy(*by).agg(F.count(F.lit(1)).alias("d"))
+    sizes = current.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if(text.blank_null(F.col(value)) == "").alias("blank"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    both = sizes.join(diff, by, "full_outer") if by else sizes.crossJoin(diff)  # one row each
+    return both.select(*by, ((zero("n") > 0) & (zero("blank") == 0) & (zero("d") == 0)).alias("unchanged"))
 
 
-def same_maps(expected: DataFrame, current: DataFrame, key: str, value: str) -> DataFrame:
-    """One row: whether both maps are equal, not empty, and the current one has no blank value."""
-    diff = map_difference(expected, current, key, value).agg(F.count(F.lit(1)).alias("d"))
-    sizes = current.agg(F.count(F.lit(1)).alias("n"), F.count_if(text.blank_null(F.col(value)) == "").alias("blank"))
-    return sizes.crossJoin(diff).select(((F.col("n") > 0) & (F.col("blank") == 0) & (F.col("d") == 0)).alias("unchanged"))  # one row each
+def cache_inventory(required: DataFrame, files: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """required (group_id, source_url, ...) with cache_filename, present and provenance_valid; what the verdicts don't name is not valid.
+
+    files: cache_filename of each file that is there. verdicts: group_id, source_url, passes, as provenance_faults() gives them.
+    """
+    from shelfmark.functions.urls import cache_name
+
+    held = files.select("cache_filename", F.lit(True).alias("present")).distinct()
+    valid = verdicts.groupBy("group_id", "source_url").agg(F.bool_and("passes").alias("provenance_valid"))
+    shown = required.withColumn("cache_filename", cache_name(F.col("source_url"))).join(held, "cache_filename", "left").join(valid, ["group_id", "source_url"], "left")
+    return shown.withColumns({k: F.coalesce(k, F.lit(False)) for k in ("present", "provenance_valid")})
+
+
+def inventory_report(items: DataFrame) -> DataFrame:
+    """One row: how many images are required, there, missing and valid; whether all are there, and all there and valid."""
+    n = lambda c: F.count_if(c)
+    present, valid = F.col("present"), F.col("provenance_valid")
+    counts = items.agg(F.count(F.lit(1)).alias("required_count"), n(present).alias("present_count"), n(~present).alias("missing_count"), n(valid).alias("provenance_valid_count"), n(present & valid).alias("__ready"))
+    c = F.col
+    return counts.select("required_count", "present_count", "missing_count", "provenance_valid_count", (c("missing_count") == 0).alias("complete"), (c("__ready") == c("required_count")).alias("release_source_ready"))
 
 
 def lint_sources(groups: DataFrame) -> DataFrame:
@@ -149,15 +182,17 @@ def lint_sources(groups: DataFrame) -> DataFrame:
     return seen.unionByName(found)
 
 
-def artifact_faults(canonical: DataFrame, published: DataFrame, payloads: list[DataFrame], bytes_equal: bool) -> DataFrame:
-    """One row: what differs between the canonical table, its published copy and the products of the payloads. Compared as bags, by name."""
+def artifact_faults(canonical: DataFrame, published: DataFrame, payloads: list[DataFrame], bytes_equal: bool | Column, by: list[str] | None = None) -> DataFrame:
+    """One row, or one for each group that any has: what differs between the canonical table, its published copy and the products of the payloads.
+
+    Compared as bags, by name. bytes_equal: whether the payloads' texts are the same, of the group.
+    """
     from shelfmark.operators.sets import same_content
 
-    cols = canonical.columns
-    out = None
+    by, cols, out = by or [], canonical.columns, None
     for k, other in enumerate([published, *payloads]):
-        d = same_content(canonical, other.select(*cols)).select(((F.col("only_first") + F.col("only_second")) > 0).alias(f"d{k}"), (F.col("only_first") != F.col("only_second")).alias(f"c{k}"))
-        out = d if out is None else out.crossJoin(d)  # one row each
-    n = range(1 + len(payloads))
-    some = lambda p: F.greatest(*[F.col(f"{p}{k}") for k in n], F.lit(False))
-    return out.select(F.array_compact(F.array(F.when(some("c"), "artifact_count_mismatch"), F.when(some("d"), "artifact_content_mismatch"), F.when(F.lit(not bytes_equal), "payload_bytes_mismatch"))).alias("errors"))
+        d = same_content(canonical, other.select(*cols), by).select(*by, ((F.col("only_first") + F.col("only_second")) > 0).alias(f"d{k}"), (F.col("only_first") != F.col("only_second")).alias(f"c{k}"))
+        out = d if out is None else out.join(d, by, "full_outer") if by else out.crossJoin(d)  # one row each
+    some = lambda p: F.greatest(*[F.coalesce(f"{p}{k}", F.lit(False)) for k in range(1 + len(payloads))], F.lit(False))
+    same = bytes_equal if isinstance(bytes_equal, Column) else F.lit(bytes_equal)
+    return out.select(*by, F.array_compact(F.array(F.when(some("c"), "artifact_count_mismatch"), F.when(some("d"), "artifact_content_mismatch"), F.when(~same, "payload_bytes_mismatch"))).alias("errors"))

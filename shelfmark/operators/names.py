@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from shelfmark.functions import fuzzy, text
 
 MIN_SCORE, MIN_MARGIN = 50.0, 8.0
+#: The Indel ratio from which two names are variants of each other.
+LIKE = 58.0
 #: Texts and names of a tile, on average: what a task scores at once.
 TEXTS, NAMES = 256, 64
+#: Records that are broadcast, at most.
+BROADCAST = 10_000
 #: Partitions of tiles at most; each then has several.
 TASKS = 4096
 
@@ -21,21 +25,26 @@ def siblings(names: DataFrame) -> DataFrame:
     return shown.join(groups, "skeleton").select("name", "ordinal", "sibling_group", (F.col("sig") != "").alias("numeric"))
 
 
+def all_pairs(left: DataFrame, left_key: list[str], right: DataFrame, right_key: list[str]) -> DataFrame:
+    """Every row of left with every row of right, where that is what is asked for: in tiles of TEXTS by NAMES, joined by their numbers."""
+    across, down = (max(1, -(-df.count() // size)) for df, size in ((left, TEXTS), (right, NAMES)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    own = lambda key, n: F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")
+    a = left.withColumn("__across", own(left_key, across)).withColumn("__down", every(down))
+    b = right.withColumn("__down", own(right_key, down)).withColumn("__across", every(across))
+    # A stated number of partitions: by size alone, all of these short rows would go to one task.
+    tiles = min(across * down, TASKS)
+    a, b = (df.repartition(tiles, "__across", "__down") for df in (a, b))
+    return a.hint("merge").join(b, ["__across", "__down"]).drop("__across", "__down")
+
+
 def ranks(texts: DataFrame, names: DataFrame) -> DataFrame:
     """Every different text (text) against every name of the dictionary (name, ordinal), with its rank.
 
     Each text is scored against the whole dictionary, in tiles of TEXTS by NAMES that are joined by their number. Vetoed
     names come last; then the score, the support, and the dictionary's order.
     """
-    distinct = texts.select("text").distinct()
-    across, down = (max(1, -(-df.count() // size)) for df, size in ((distinct, TEXTS), (names, NAMES)))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = distinct.withColumn("across", F.pmod(F.xxhash64("text"), F.lit(across)).cast("int")).withColumn("down", every(down))
-    right = siblings(names).withColumn("down", F.pmod(F.xxhash64("name", "ordinal"), F.lit(down)).cast("int")).withColumn("across", every(across))
-    # A stated number of partitions: by size alone, all of these short rows would go to one task.
-    tiles = min(across * down, TASKS)
-    left, right = (df.repartition(tiles, "across", "down") for df in (left, right))
-    pairs = left.hint("merge").join(right, ["across", "down"]).drop("across", "down")
+    pairs = all_pairs(texts.select("text").distinct(), ["text"], siblings(names), ["name", "ordinal"])
     scored = pairs.withColumns({"base_score": fuzzy.base_score_udf("name", "text"), "support": fuzzy.support_udf("name", "text")})
     veto = F.col("numeric") & (F.col("support") <= 0)
     gain = F.when(veto, -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)
@@ -64,11 +73,46 @@ def resolve(texts: DataFrame, names: DataFrame, min_score: float = MIN_SCORE, mi
     return j.select("text_id", F.when(good, one["name"]).otherwise(F.trim(text.blank_null(F.col("text")))).alias("name"), F.when(good, "dictionary_resolved").otherwise("ocr_unverified").alias("status"), F.coalesce(one["score"], F.lit(0.0)).alias("score"), margin.alias("margin"), reason.alias("reason"))
 
 
-def majority(reads: DataFrame, key: str, read: str) -> DataFrame:
-    """(key, value): the most frequent reading; of equals the one whose length is nearest to three, then the shorter, then the least."""
-    counts = reads.groupBy(key, read).agg(F.count(F.lit(1)).alias("n"))
-    order = F.struct(-F.col("n"), F.abs(F.length(read) - 3), F.length(read), F.col(read))
-    return counts.groupBy(key).agg(F.min_by(read, order).alias("value"), F.max("n").alias("n"))
+def majority(reads: DataFrame, key: str, read: str, ordinal: str) -> DataFrame:
+    """(key, value, reads): the number that several readings of a price agree on, and how many readings could be one.
+
+    Only digits count, two to four of them; without any such reading value is null. Where a reading of three digits begins one of four,
+    the last digit is a sign read as one: the first such reading wins. Else the most frequent one does; of equals the one whose length
+    is nearest to three, then the shorter, then the first.
+    """
+    digits = F.regexp_replace(F.coalesce(F.col(read).cast("string"), F.lit("")), r"[^\p{Nd}]", "")
+    able = F.when(F.length(digits).between(2, 4), digits)
+    # Counted first: no more rows for a key than there are numbers of two to four digits.
+    counts = reads.groupBy(key, able.alias("__v")).agg(F.count("*").alias("__n"), F.min(ordinal).alias("__first"))
+    v, size = F.col("__v"), F.length("__v")
+    order = F.struct(-F.col("__n"), F.abs(size - 3), size, F.col("__first"), v)
+    per = counts.groupBy(key).agg(
+        F.min_by(F.when(v.isNotNull(), v), F.when(v.isNotNull(), order)).alias("common"),
+        F.collect_set(F.when(size == 4, F.substring(v, 1, 3))).alias("begun"),
+        F.collect_list(F.when(size == 3, F.struct(F.col("__first").alias("first"), v.alias("v")))).alias("three"),
+        F.sum(F.when(v.isNotNull(), F.col("__n")).otherwise(0)).alias("reads"),
+    )
+    begins = F.array_min(F.filter("three", lambda t: F.array_contains("begun", t["v"])))
+    return per.select(key, F.coalesce(begins["v"], F.col("common")).cast("int").alias("value"), "reads")
+
+
+def like_names(names: DataFrame, least: float = LIKE) -> DataFrame:
+    """(name, like): pairs of different names whose Indel ratio, of their Japanese letters, is least or more.
+
+    Names are compared in tiles; a pair too unlike in length is not scored. A name that has no such letters is like none.
+    """
+    shown = names.select("name").distinct().withColumn("letters", text.japanese_only(F.col("name"))).filter("letters <> ''")
+    others = shown.select(F.col("name").alias("like"), F.col("letters").alias("other"))
+    pairs = all_pairs(shown, ["name"], others, ["like"]).filter("name <> like")
+    a, b = F.length("letters"), F.length("other")
+    could = pairs.filter(200 * F.least(a, b) >= least * (a + b))  # a common subsequence is no longer than the shorter
+    return could.filter(fuzzy.ratio_udf("letters", "other") >= least).select("name", "like")
+
+
+def sibling_margin(scores: DataFrame, least: float = LIKE) -> DataFrame:
+    """(name, margin): each name's own score (name, score) less the best score among the names like it; 100 where none is."""
+    best = like_names(scores, least).join(scores.select(F.col("name").alias("like"), "score"), "like").groupBy("name").agg(F.max("score").alias("best"))
+    return scores.join(best, "name", "left").select("name", F.coalesce(F.col("score") - F.col("best"), F.lit(100.0)).alias("margin"))
 
 
 def evidence_tier(score: Column, name: Column, spec: Column, distinctive: Column, margin: Column) -> Column:
@@ -77,7 +121,9 @@ def evidence_tier(score: Column, name: Column, spec: Column, distinctive: Column
 
 
 def record_scores(texts: DataFrame, records: DataFrame) -> DataFrame:
-    """Every text (text_id, text) against every record (name, specification) of a bounded dictionary: score, name_score, spec_score.
+    """Every text (text_id, text) against every record (name, specification) of a dictionary: score, name_score, spec_score.
+
+    Each different text is scored once. A dictionary of up to BROADCAST records is broadcast; a larger one meets the texts in tiles.
 
     A specification that no other record has, of three letters and more, may lift a name that has some
     support of its own; it never makes a match by itself.
@@ -85,7 +131,10 @@ def record_scores(texts: DataFrame, records: DataFrame) -> DataFrame:
     keyed = records.withColumn("spec_key", text.japanese_only(F.col("specification")))
     counts = keyed.groupBy("spec_key").agg(F.count(F.lit(1)).alias("times"))
     shown = keyed.join(counts, "spec_key").withColumn("distinctive", (F.length("spec_key") >= 3) & (F.col("times") == 1)).drop("times", "spec_key")
-    pairs = texts.crossJoin(F.broadcast(shown)).withColumns({"name_score": fuzzy.dictionary_score_udf("name", "text"), "spec_score": fuzzy.dictionary_score_udf("specification", "text")})
+    distinct = texts.select("text").distinct()
+    met = distinct.crossJoin(F.broadcast(shown)) if shown.count() <= BROADCAST else all_pairs(distinct, ["text"], shown, ["name", "specification"])
+    scored = met.withColumns({"name_score": fuzzy.dictionary_score_udf("name", "text"), "spec_score": fuzzy.dictionary_score_udf("specification", "text")})
+    pairs = texts.withColumnRenamed("text", "__text").join(scored, F.col("__text").eqNullSafe(F.col("text"))).drop("__text")
     fused = 0.58 * F.col("name_score") + 0.42 * F.col("spec_score")
     lifted = F.when(F.col("distinctive") & (F.col("name_score") >= 25) & (F.col("spec_score") > 0), F.greatest("name_score", fused)).otherwise(F.col("name_score"))
     return pairs.withColumn("score", F.least(F.lit(100.0), lifted))

@@ -23,12 +23,20 @@ def point_in_region(points: DataFrame, regions: DataFrame, key: str, ids: list[s
     return points.join(found, [key, *ids], "left")
 
 
-def tokens_in_cells(tokens: DataFrame, cells: DataFrame, key: str, cell: str, order: list[str], limit: int = 14, slack: int = 2) -> DataFrame:
-    """The first tokens of each cell (closed on all sides, with some slack), joined by blanks."""
+def tokens_in_cells(tokens: DataFrame, cells: DataFrame, key: str | list[str], cell: str, order: list[str], limit: int | None = 14, slack: int = 2) -> DataFrame:
+    """The first tokens of each cell (closed on all sides, with some slack), joined by blanks; all of them without a limit.
+
+    key: what a token and a cell must share, an image or an image and a variant of it.
+    """
+    key = [key] if isinstance(key, str) else key
     near = F.col("x").between(F.col("x1") - slack, F.col("x2") + slack) & F.col("y").between(F.col("y1") - slack, F.col("y2") + slack)
     hits = tokens.join(cells, key).filter(near)
-    parts = F.slice(F.array_sort(F.collect_list(F.struct(*order, "text"))), 1, limit)
-    return hits.groupBy(key, cell).agg(F.array_join(F.transform(parts, lambda t: t["text"]), " ").alias("text"), F.least(F.count(F.lit(1)), F.lit(limit)).alias("n"))
+    # The limit is taken below the shuffle too, so a crowded cell sends limit rows a task.
+    first = hits.withColumn("__rn", F.row_number().over(Window.partitionBy(*key, cell).orderBy(*order, "text")))
+    if limit is not None:
+        first = first.filter(F.col("__rn") <= limit)
+    parts = F.array_sort(F.collect_list(F.struct("__rn", "text")))
+    return first.groupBy(*key, cell).agg(F.array_join(F.transform(parts, lambda t: t["text"]), " ").alias("text"), F.count(F.lit(1)).alias("n"))
 
 
 def overlapping(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -48,6 +56,26 @@ def nearest_separator(gaps: DataFrame, lines: DataFrame, key: str, gap: str, str
     return gaps.join(best, [key, gap], "left").withColumn("separator", F.coalesce("pos", "target")).drop("pos")
 
 
+def row_windows(points: DataFrame, key: str, ident: str, y: str, height: Column, span: int = 1) -> DataFrame:
+    """(key, ident, y1, y2): the rows of text that points (bullets) begin, span of them at a time, on a page of so much height.
+
+    A row ends a tenth of the gap, three pixels at least, before the next point; the last one takes 1.7 median gaps of the page, 65 pixels
+    at least. A row is 18 pixels high at least, the page permitting. Positions are whole pixels.
+    """
+    w, page = Window.partitionBy(key).orderBy(y, ident), Window.partitionBy(key)
+    gaps = points.withColumns({"__i": F.row_number().over(w), "__gap": F.lead(y).over(w) - F.col(y)})
+    gaps = gaps.withColumns({"__middle": F.coalesce(F.median("__gap").over(page), F.lit(40.0)), "__n": F.count(F.lit(1)).over(page)})
+    # The last point of the span, or the page's last; what follows it.
+    last = F.coalesce(F.lead(F.struct(y, "__gap"), span - 1).over(w), F.last(F.struct(y, "__gap")).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    shown = gaps.withColumns({"y1": F.greatest(F.lit(0), F.col(y) - 8), "__last": last})
+    at, gap = F.col(f"__last.{y}"), F.greatest(F.lit(1), F.col("__last.__gap"))
+    before = F.greatest(F.col("y1") + 18, at + F.col("__last.__gap") - F.greatest(F.lit(3), F.bround(gap * 0.10)))
+    end = F.least(height, F.floor(at + F.greatest(F.lit(65.0), 1.7 * F.col("__middle"))))
+    y2 = F.when(F.col("__last.__gap").isNotNull(), before).otherwise(end)
+    y2 = F.when(y2 - F.col("y1") < 18, F.least(height, F.col("y1") + 24)).otherwise(y2)
+    return shown.select(key, ident, F.col("y1").cast("long").alias("y1"), F.least(height, y2).cast("long").alias("y2"))
+
+
 def left_neighbour(glyphs: DataFrame, key: str, glyph: str, reach: float, lo: float = 0.78, hi: float = 1.25) -> DataFrame:
     """Each glyph with the nearest one to its left (key, left, right, height) within reach and of like height."""
     other = glyphs.select(F.col(key), F.col(glyph).alias("neighbour"), F.col("right").alias("__r"), F.col("height").alias("__h"))

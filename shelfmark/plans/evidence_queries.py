@@ -136,19 +136,75 @@ def sticky_gap(spark: SparkSession, d: str) -> DataFrame:
     return cluster.sticky(shown, ["user_id"], [F.col("ts"), F.col("event_id")], F.col("jump"), "tall").select("user_id", "event_id", "tall", "below")
 
 
-@query("cluster_running_median")
+@query(
+    "row_windows",
+    """WITH p AS (SELECT user_id, event_id, CAST(floor(value * 4) AS BIGINT) AS y, row_number() OVER w AS i FROM events WINDOW w AS (PARTITION BY user_id ORDER BY CAST(floor(value * 4) AS BIGINT), event_id)),
+    g AS (SELECT *, lead(y) OVER (PARTITION BY user_id ORDER BY i) - y AS gap, count(*) OVER (PARTITION BY user_id) AS n FROM p), m AS (SELECT user_id, median(gap) AS middle FROM g GROUP BY 1),
+    j AS (SELECT a.user_id, a.event_id, greatest(0, a.y - 8) AS y1, b.y AS here, b.gap, coalesce(middle, 40) AS middle FROM g a JOIN g b ON b.user_id = a.user_id AND b.i = least(a.n, a.i + 1) JOIN m ON m.user_id = a.user_id),
+    e AS (SELECT *, CASE WHEN gap IS NOT NULL THEN greatest(y1 + 18, here + gap - greatest(3, round_even(greatest(1, gap) * 0.1::DOUBLE, 0))) ELSE least(1000, floor(here + greatest(65.0::DOUBLE, 1.7::DOUBLE * middle))) END AS y2 FROM j)
+    SELECT user_id, event_id, y1, CAST(least(1000, CASE WHEN y2 - y1 < 18 THEN least(1000, y1 + 24) ELSE y2 END) AS BIGINT) AS y2 FROM e""",
+)
+def row_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Two bullets a row, each ended by the bullet after; the page's last by its median gap."""
+    p = table(spark, d, "events").select("user_id", "event_id", F.floor(F.col("value") * 4).alias("y"))
+    return spatial.row_windows(p, "user_id", "event_id", "y", F.lit(1000), span=2)
+
+
+@query(
+    "slot_texts",
+    """WITH c AS (SELECT DISTINCT user_id, r, r % 3 AS variant FROM events, (SELECT range AS r FROM range(6)))
+    SELECT c.user_id, c.variant, r AS slot, string_agg(event_type, ' ' ORDER BY value, event_id) AS text, count(*) AS n FROM events e JOIN c ON c.user_id = e.user_id AND c.variant = e.event_id % 3 AND value BETWEEN r * 15 - 2 AND r * 15 + 27 AND hour(ts) BETWEEN r * 2 - 2 AND r * 2 + 14 GROUP BY 1, 2, 3""",
+)
+def slot_texts(spark: SparkSession, d: str) -> DataFrame:
+    """All words of each slot that were read in the slot's own variant of the image."""
+    slots = grid(spark, d).withColumnRenamed("ordinal", "slot").withColumn("variant", F.col("slot") % 3)
+    words = points(spark, d).withColumnRenamed("event_type", "text").withColumn("variant", F.col("event_id") % 3)
+    return spatial.tokens_in_cells(words, slots, ["user_id", "variant"], "slot", ["x", "event_id"], limit=None)
+
+
+RUNNING = """WITH RECURSIVE e AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS rn FROM events),
+    r AS (SELECT user_id, rn, event_id, value, [[value]] AS groups, 0 AS k FROM e WHERE rn = 1
+      UNION ALL SELECT user_id, rn, event_id, value, CASE WHEN hit > 0 THEN list_transform(groups, lambda g, i: CASE WHEN i = hit THEN list_append(g, value) ELSE g END) ELSE list_append(groups, [value]) END, CASE WHEN hit > 0 THEN hit - 1 ELSE len(groups) END
+      FROM (SELECT e.user_id, e.rn, e.event_id, e.value, r.groups, coalesce(list_position(list_transform(r.groups, lambda g: abs(e.value - list_aggregate(g, '{0}')) <= 5), true), 0) AS hit FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1))"""
+
+
+@query("cluster_running_median", RUNNING.format("median") + " SELECT user_id, event_id, CAST(k AS BIGINT) AS cluster FROM r")
 def cluster_running_median(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("user_id", "event_id", "value")
     return cluster.cluster_running(e, "user_id", "event_id", "value", 5.0)
 
 
-@query("greedy_spatial_dedupe")
+@query(
+    "point_columns",
+    RUNNING.format("avg") + """, c AS (SELECT user_id, k, avg(value) AS centre FROM r GROUP BY 1, 2 HAVING count(*) >= 3), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY centre, k) AS col FROM c)
+    SELECT user_id, event_id, CAST(col AS BIGINT) AS "column", round(centre, 6) AS centre FROM r JOIN n USING (user_id, k)""",
+)
+def point_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of three points and more, by the running mean of their places."""
+    e = table(spark, d, "events").select("user_id", "event_id", "value")
+    return cluster.point_columns(e, "user_id", "event_id", "value").withColumn("centre", F.round("centre", 6))
+
+
+@query(
+    "greedy_spatial_dedupe",
+    """WITH RECURSIVE e AS (SELECT user_id, event_id, value AS x, hour(ts) AS y, event_type AS kind, row_number() OVER (PARTITION BY user_id ORDER BY hour(ts), value, event_id) AS rn FROM events),
+    r AS (SELECT user_id, rn, event_id, [{'x': x, 'y': y, 'kind': kind}] AS kept, true AS stays FROM e WHERE rn = 1
+      UNION ALL SELECT user_id, rn, event_id, CASE WHEN free THEN list_append(kept, {'x': x, 'y': y, 'kind': kind}) ELSE kept END, free
+      FROM (SELECT e.*, r.kept, len(list_filter(r.kept, lambda q: q.kind = e.kind AND abs(q.x - e.x) < 12 AND abs(q.y - e.y) < 3)) = 0 AS free FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1))
+    SELECT user_id, event_id FROM r WHERE stays""",
+)
 def greedy_spatial_dedupe(spark: SparkSession, d: str) -> DataFrame:
     p = points(spark, d).withColumn("kind", F.col("event_type"))
     return cluster.greedy_dedupe(p.select("user_id", "event_id", "x", "y", "kind"), "user_id", "event_id", ["y", "x"], "kind", 12.0, 3.0)
 
 
-@query("suppress_repeats")
+@query(
+    "suppress_repeats",
+    """WITH RECURSIVE e AS (SELECT user_id, event_id, value AS x, event_type AS kind, row_number() OVER (PARTITION BY user_id ORDER BY value, event_id) AS rn FROM events),
+    r AS (SELECT user_id, rn, event_id, x, kind, true AS stays FROM e WHERE rn = 1
+      UNION ALL SELECT e.user_id, e.rn, e.event_id, CASE WHEN r.kind <> e.kind OR e.x - r.x > 30 THEN e.x ELSE r.x END, CASE WHEN r.kind <> e.kind OR e.x - r.x > 30 THEN e.kind ELSE r.kind END, r.kind <> e.kind OR e.x - r.x > 30 FROM r JOIN e ON e.user_id = r.user_id AND e.rn = r.rn + 1)
+    SELECT user_id, event_id FROM r WHERE stays""",
+)
 def suppress_repeats(spark: SparkSession, d: str) -> DataFrame:
     p = points(spark, d).withColumnRenamed("event_type", "kind")
     return cluster.suppress_repeats(p, "user_id", "event_id", "x", "kind", 30.0)
@@ -169,11 +225,26 @@ def rank_margin(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "majority_vote",
-    """WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2)
-    SELECT user_id, event_type AS value, n FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, abs(length(event_type) - 3), length(event_type), event_type) = 1""",
+    """WITH r AS (SELECT event_id // 5 AS slot, event_id, event_id // 5 * 37 % 900 + 100 AS b, event_id % 5 AS j, value, event_type FROM events),
+    t AS (SELECT slot, event_id, CASE j WHEN 0 THEN b || '円' WHEN 1 THEN CAST(CASE WHEN slot % 2 = 1 THEN b ELSE b * 10 + slot % 10 END AS VARCHAR) WHEN 2 THEN 'x' || CASE WHEN slot % 3 = 0 THEN b + 1 ELSE (b + 2) * 10 + 3 END WHEN 3 THEN event_type ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS t FROM r),
+    v AS (SELECT slot, event_id, regexp_replace(t, '[^0-9]', '', 'g') AS v FROM t), g AS (SELECT * FROM v WHERE length(v) BETWEEN 2 AND 4),
+    p AS (SELECT slot, arg_min(v, event_id) AS v FROM g a WHERE length(v) = 3 AND EXISTS (SELECT 1 FROM g b WHERE b.slot = a.slot AND length(b.v) = 4 AND starts_with(b.v, a.v)) GROUP BY 1),
+    c AS (SELECT slot, v, count(*) AS n, min(event_id) AS first FROM g GROUP BY 1, 2), m AS (SELECT slot, v FROM c QUALIFY row_number() OVER (PARTITION BY slot ORDER BY n DESC, abs(length(v) - 3), length(v), first) = 1)
+    SELECT s.slot, CAST(coalesce(p.v, m.v) AS INTEGER) AS value, count(g.v) AS reads FROM (SELECT DISTINCT slot FROM r) s LEFT JOIN p USING (slot) LEFT JOIN m USING (slot) LEFT JOIN g USING (slot) GROUP BY s.slot, p.v, m.v""",
 )
 def majority_vote(spark: SparkSession, d: str) -> DataFrame:
-    return names.majority(table(spark, d, "events"), "user_id", "event_type")
+    """Five readings of each price, some with a sign that was read as a digit, some with no digit at all."""
+    i, slot = F.col("event_id"), F.floor(F.col("event_id") / 5)
+    b, j = slot * 37 % 900 + 100, F.col("event_id") % 5
+    text_of = lambda c: c.cast("long").cast("string")
+    read = (
+        F.when(j == 0, F.concat(text_of(b), F.lit("円")))
+        .when(j == 1, text_of(F.when(slot % 2 == 1, b).otherwise(b * 10 + slot % 10)))
+        .when(j == 2, F.concat(F.lit("x"), text_of(F.when(slot % 3 == 0, b + 1).otherwise((b + 2) * 10 + 3))))
+        .when(j == 3, F.col("event_type"))
+        .otherwise(text_of(F.floor("value")))
+    )
+    return names.majority(table(spark, d, "events").select(slot.alias("slot"), i, read.alias("read")), "slot", "read", "event_id")
 
 
 @query("exact_median", "SELECT l_suppkey, median(l_quantity) AS middle, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem GROUP BY 1")
@@ -203,12 +274,13 @@ def evidence_tiers(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "multiset_recall",
-    """WITH e AS (SELECT l_linenumber AS k, l_quantity AS q, count(*) AS n FROM lineitem WHERE l_suppkey = 1 GROUP BY 1, 2), g AS (SELECT l_linenumber AS k, l_quantity AS q, count(*) AS n FROM lineitem WHERE l_suppkey = 2 GROUP BY 1, 2)
-    SELECT k, CAST(sum(least(e.n, coalesce(g.n, 0))) AS BIGINT) AS matched, CAST(sum(e.n) AS BIGINT) AS expected, CAST(sum(least(e.n, coalesce(g.n, 0))) AS DOUBLE) / CAST(sum(e.n) AS DOUBLE) AS recall FROM e LEFT JOIN g USING (k, q) GROUP BY 1""",
+    """WITH e AS (SELECT (l_suppkey + 1) // 2 AS pair, l_linenumber AS k, l_quantity AS q, count(*) AS n FROM lineitem WHERE l_suppkey % 2 = 1 GROUP BY ALL), g AS (SELECT (l_suppkey + 1) // 2 AS pair, l_linenumber AS k, l_quantity AS q, count(*) AS n FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY ALL)
+    SELECT pair, k, CAST(sum(least(e.n, coalesce(g.n, 0))) AS BIGINT) AS matched, CAST(sum(e.n) AS BIGINT) AS expected, CAST(sum(least(e.n, coalesce(g.n, 0))) AS DOUBLE) / CAST(sum(e.n) AS DOUBLE) AS recall FROM e LEFT JOIN g USING (pair, k, q) GROUP BY ALL""",
 )
 def multiset_recall(spark: SparkSession, d: str) -> DataFrame:
-    q = table(spark, d, "lineitem").select("l_suppkey", F.col("l_linenumber").alias("k"), F.col("l_quantity").alias("q"))
-    return sets.recall(q.filter("l_suppkey = 1").drop("l_suppkey"), q.filter("l_suppkey = 2").drop("l_suppkey"), ["q"], ["k"]).filter("expected > 0")
+    """Every line has a part: those of odd suppliers are expected, those of the next, even one are the finds."""
+    q = table(spark, d, "lineitem").select(F.floor((F.col("l_suppkey") + 1) / 2).alias("pair"), F.col("l_linenumber").alias("k"), F.col("l_quantity").alias("q"), (F.col("l_suppkey") % 2 == 1).alias("odd"))
+    return sets.recall(q.filter("odd").drop("odd"), q.filter("NOT odd").drop("odd"), ["q"], ["pair", "k"]).filter("expected > 0")
 
 
 @query(
@@ -229,12 +301,8 @@ def unresolved_evidence(spark: SparkSession, d: str) -> DataFrame:
     SELECT item_id, doc_id, quality FROM a JOIN b USING (k)""",
 )
 def positional_zip(spark: SparkSession, d: str) -> DataFrame:
-    """The k-th of one list with the k-th of the other; no longer than the shorter, which is small."""
-    few = table(spark, d, "benchmark").select("item_id")
-    a = few.withColumn("k", F.row_number().over(Window.orderBy("item_id")))
-    n = few.count()
-    b = table(spark, d, "labels").orderBy("doc_id").limit(n).select("doc_id", "quality").withColumn("k", F.row_number().over(Window.orderBy("doc_id")))
-    return a.join(b, "k").drop("k")
+    """The k-th of one list with the k-th of the other; no longer than the shorter."""
+    return sets.zipped(table(spark, d, "benchmark").select("item_id"), "item_id", table(spark, d, "labels").select("doc_id", "quality"), "doc_id")
 
 
 @query(
@@ -271,16 +339,19 @@ def snapshot_replace(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "set_ops",
-    """WITH c AS (SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 5000), s AS (SELECT s_nationkey AS k FROM supplier WHERE s_acctbal < 5000)
+    """WITH c AS (SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 5000), s AS (SELECT s_nationkey AS k FROM supplier WHERE s_acctbal < 5000),
+    o AS (SELECT c_nationkey AS k, c_custkey AS place, 0 AS part FROM customer WHERE c_acctbal > 9000 UNION ALL SELECT s_nationkey, s_suppkey, 1 FROM supplier WHERE s_acctbal < 5000)
     SELECT 'union_all' AS op, count(*) AS n, CAST(sum(k) AS BIGINT) AS total FROM (SELECT * FROM c UNION ALL SELECT * FROM s)
     UNION ALL SELECT 'except', count(*), CAST(sum(k) AS BIGINT) FROM (SELECT * FROM c EXCEPT SELECT * FROM s) UNION ALL SELECT 'except_all', count(*), CAST(sum(k) AS BIGINT) FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM s)
     UNION ALL SELECT 'intersect', count(*), CAST(sum(k) AS BIGINT) FROM (SELECT * FROM c INTERSECT SELECT * FROM s) UNION ALL SELECT 'intersect_all', count(*), CAST(sum(k) AS BIGINT) FROM (SELECT * FROM c INTERSECT ALL SELECT * FROM s)
-    UNION ALL SELECT 'ordered_union', count(*), CAST(sum(k) AS BIGINT) FROM (SELECT * FROM c UNION SELECT * FROM s)""",
+    UNION ALL SELECT 'ordered_union', count(*), CAST(sum(k + 100 * place) AS BIGINT) FROM (SELECT k, place FROM o QUALIFY row_number() OVER (PARTITION BY k ORDER BY part, place) = 1)""",
 )
 def set_ops(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").filter("c_acctbal > 5000").select(F.col("c_nationkey").alias("k"))
     s = table(spark, d, "supplier").filter("s_acctbal < 5000").select(F.col("s_nationkey").alias("k"))
-    every = {"union_all": c.unionByName(s), "except": c.subtract(s), "except_all": c.exceptAll(s), "intersect": c.intersect(s), "intersect_all": c.intersectAll(s), "ordered_union": c.unionByName(s).distinct()}
+    parts = [table(spark, d, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("k"), F.col("c_custkey").alias("place")), table(spark, d, "supplier").filter("s_acctbal < 5000").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("place"))]
+    ordered = sets.ordered_union(parts, ["k"], "place").select((F.col("k") + 100 * F.col("place")).alias("k"))
+    every = {"union_all": c.unionByName(s), "except": c.subtract(s), "except_all": c.exceptAll(s), "intersect": c.intersect(s), "intersect_all": c.intersectAll(s), "ordered_union": ordered}
     one, *more = [x.agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total")).select(F.lit(k).alias("op"), "n", "total") for k, x in every.items()]
     for m in more:
         one = one.unionByName(m)

@@ -122,11 +122,19 @@ def ui_search(spark: SparkSession, d: str) -> DataFrame:
     return search(spark, d, "l_shipdate >= timestamp_ntz'1998-06-01' AND l_shipdate < timestamp_ntz'1998-07-01'")
 
 
+def visible(rows: DataFrame, stores: list[str] | None = None, day: str | None = None, word: str = "") -> DataFrame:
+    """The rows that a reader asks for: of some stores, on sale on one day alone, with a word in name or specification."""
+    if stores is not None:
+        rows = rows.filter(F.col("store_id").isin(stores))
+    if day is not None:
+        rows = rows.filter(dates.exactly_on(day, F.col("sale_start"), F.col("sale_end")))
+    rows = rows.filter(F.lower(F.concat_ws(" ", "product_name", "specification")).contains(word.lower()))
+    return rows.select("store_id", "product_name", "specification", "price_in_tax_yen", dates.period_label(F.col("sale_start"), F.col("sale_end")).alias("period"))
+
+
 def search(spark: SparkSession, d: str, lines: str = "true") -> DataFrame:
     """What a reader sees: single days (of a month), a word in name or specification, in Japanese order."""
-    rows = shelf(spark, d, lines, "sale_start = sale_end")
-    rows = rows.filter(F.lower(F.concat_ws(" ", "product_name", "specification")).contains(WORD))
-    shown = rows.select("store_id", "product_name", "specification", "price_in_tax_yen", dates.period_label(F.col("sale_start"), F.col("sale_end")).alias("period"))
+    shown = visible(shelf(spark, d, lines, "sale_start = sale_end"), word=WORD)
     return shown.orderBy(F.collate("store_id", "ja"), F.collate("product_name", "ja"))
 
 
@@ -136,7 +144,7 @@ def faulty(spark: SparkSession, d: str) -> DataFrame:
         *ORDINAL, "store_id", "specification", "sale_end",
         F.when(k % 101 == 0, " ").otherwise(F.col("product_name")).alias("product_name"),
         F.when(k % 53 == 0, "1998-6-1").otherwise(F.col("sale_start")).alias("sale_start"),
-        F.when(k % 7 == 0, F.lit(None)).when(k % 11 == 0, F.lit("x")).otherwise(F.floor("price_ex_tax_yen").cast("string")).alias("price_in_tax_yen"),
+        F.when(k % 7 == 0, F.lit(None)).when(k % 11 == 0, F.lit("x")).when(k % 13 == 0, F.lit("NaN")).when(k % 17 == 0, F.lit("Infinity")).when(k % 19 == 0, F.lit("1e30")).otherwise(F.floor("price_ex_tax_yen").cast("string")).alias("price_in_tax_yen"),
         F.when(k % 14 == 0, "50% OFF").alias("promotion"),
         F.when(k % 29 != 0, "https://a.example/b.jpg").alias("source_url"),
         F.lit("b.jpg").alias("source_image"),
@@ -147,8 +155,8 @@ def faulty(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "row_integrity",
     f"""WITH {PRODUCTS}, f AS (SELECT *, CASE WHEN l_orderkey % 101 = 0 THEN ' ' ELSE product_name END AS nm, CASE WHEN l_orderkey % 53 = 0 THEN '1998-6-1' ELSE sale_start END AS st,
-      CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN 'x' ELSE CAST(CAST(floor(price_ex) AS BIGINT) AS VARCHAR) END AS pr, CASE WHEN l_orderkey % 14 = 0 THEN '50% OFF' END AS promo FROM product),
-    g AS (SELECT *, CAST(trunc(coalesce(try_cast(pr AS DOUBLE), 0)) AS BIGINT) AS i FROM f),
+      CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN 'x' WHEN l_orderkey % 13 = 0 THEN 'NaN' WHEN l_orderkey % 17 = 0 THEN 'Infinity' WHEN l_orderkey % 19 = 0 THEN '1e30' ELSE CAST(CAST(floor(price_ex) AS BIGINT) AS VARCHAR) END AS pr, CASE WHEN l_orderkey % 14 = 0 THEN '50% OFF' END AS promo FROM product),
+    g AS (SELECT *, CASE WHEN isfinite(try_cast(pr AS DOUBLE)) THEN trunc(try_cast(pr AS DOUBLE)) ELSE 0 END AS i FROM f),
     h AS (SELECT *, row_number() OVER (PARTITION BY store_id, st, sale_end, lower(regexp_replace(nm, '\\s+', '', 'g')), specification, i ORDER BY {ORDER_SQL}) AS rn FROM g)
     SELECT store_id, count(*) AS rows, count(*) FILTER (st <= '{DAY}' AND sale_end >= '{DAY}') AS active, count(*) FILTER (i <= 0) AS bad_price, count(*) FILTER (trim(nm) = '') AS blank_name,
       count(*) FILTER (rn > 1) AS duplicate, count(*) FILTER (NOT regexp_full_match(st, '\\d{{4}}-\\d{{2}}-\\d{{2}}') OR st > sale_end) AS bad_dates,
@@ -233,14 +241,18 @@ def map_diff(spark: SparkSession, d: str) -> DataFrame:
     return gates.map_difference(p.filter("p_partkey % 13 <> 0"), p.filter("p_partkey % 11 <> 0").withColumn("h", F.when(F.col("p_partkey") % 17 != 0, F.col("h"))), "p_partkey", "h")
 
 
-@query("map_unchanged", "SELECT 'same' AS pair, true AS unchanged UNION ALL SELECT 'blank', false UNION ALL SELECT 'less', false")
+@query(
+    "map_unchanged",
+    """WITH p AS (SELECT s_nationkey AS n, s_suppkey AS k, sha256(s_name) AS h FROM supplier), c AS (SELECT n, k, CASE WHEN k % 10 <> 3 THEN CASE WHEN k % 14 = 5 THEN h || '!' ELSE h END END AS h FROM p WHERE k % 12 <> 7),
+    d AS (SELECT n, count(*) AS d FROM p FULL JOIN c USING (n, k) WHERE p.h IS DISTINCT FROM c.h GROUP BY 1), s AS (SELECT n, count(*) AS size, count(*) FILTER (h IS NULL) AS blank FROM c GROUP BY 1)
+    SELECT n AS s_nationkey, coalesce(size, 0) > 0 AND coalesce(blank, 0) = 0 AND coalesce(d, 0) = 0 AS unchanged FROM (SELECT DISTINCT n FROM p) LEFT JOIN d USING (n) LEFT JOIN s USING (n)""",
+)
 def map_unchanged(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "supplier").select("s_suppkey", F.sha2("s_name", 256).alias("h"))
-    cases = {"same": p, "blank": p.withColumn("h", F.when(F.col("s_suppkey") != 1, F.col("h"))), "less": p.filter("s_suppkey <> 1")}
-    one, *more = [gates.same_maps(p, other, "s_suppkey", "h").select(F.lit(k).alias("pair"), "unchanged") for k, other in cases.items()]
-    for m in more:
-        one = one.unionByName(m)
-    return one
+    """The map of each nation's suppliers against a later one, where some are gone, blank or changed."""
+    p = table(spark, d, "supplier").select("s_nationkey", F.col("s_suppkey").alias("k"), F.sha2("s_name", 256).alias("h"))
+    k = F.col("k")
+    later = p.filter(k % 12 != 7).withColumn("h", F.when(k % 10 != 3, F.when(k % 14 == 5, F.concat("h", F.lit("!"))).otherwise(F.col("h"))))
+    return gates.same_maps(p, later, "k", "h", ["s_nationkey"])
 
 
 @query(
@@ -279,23 +291,51 @@ def expected_counts(spark: SparkSession, d: str) -> DataFrame:
     return both.withColumn("passes", F.col("expected") == F.col("shown"))
 
 
-@query("display_gate", "SELECT 'same' AS pair, '' AS errors UNION ALL SELECT 'other', 'artifact_content_mismatch' UNION ALL SELECT 'less', 'artifact_count_mismatch,artifact_content_mismatch,payload_bytes_mismatch'")
+@query(
+    "display_gate",
+    """WITH p AS (SELECT p_size, p_partkey, p_name FROM part), a AS (SELECT p_size, p_partkey, CASE WHEN p_partkey % 701 = 5 THEN '?' ELSE p_name END AS p_name FROM p), b AS (SELECT * FROM p WHERE p_partkey % 997 <> 11),
+    s AS (SELECT DISTINCT p_size FROM p), n AS (SELECT p_size, (SELECT count(*) FROM p WHERE p.p_size = s.p_size) AS n, (SELECT count(*) FROM b WHERE b.p_size = s.p_size) AS nb,
+      (SELECT count(*) FROM (SELECT * FROM p WHERE p.p_size = s.p_size EXCEPT ALL SELECT * FROM a WHERE a.p_size = s.p_size)) AS da, (SELECT count(*) FROM (SELECT * FROM p WHERE p.p_size = s.p_size EXCEPT ALL SELECT * FROM b WHERE b.p_size = s.p_size)) AS db FROM s)
+    SELECT p_size, concat_ws(',', CASE WHEN n <> nb THEN 'artifact_count_mismatch' END, CASE WHEN da > 0 OR db > 0 THEN 'artifact_content_mismatch' END, CASE WHEN p_size % 9 = 4 THEN 'payload_bytes_mismatch' END) AS errors FROM n""",
+)
 def display_gate(spark: SparkSession, d: str) -> DataFrame:
-    """The canonical table against its copies: equal, with a changed value, with rows missing."""
-    p = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
-    changed = p.withColumn("p_name", F.when(F.col("p_partkey") == 1, "?").otherwise(F.col("p_name")))
-    cases = {"same": (p, [p, p], True), "other": (p, [p, changed], True), "less": (p.filter("p_partkey > 3"), [p, p], False)}
-    one, *more = [gates.artifact_faults(p, a, b, same).select(F.lit(k).alias("pair"), F.array_join("errors", ",").alias("errors")) for k, (a, b, same) in cases.items()]
-    for m in more:
-        one = one.unionByName(m)
-    return one
+    """The canonical table of each size against its published copy, where some names differ, and a payload, where some rows are missing."""
+    p = table(spark, d, "part").select("p_size", "p_partkey", "p_name")
+    changed = p.withColumn("p_name", F.when(F.col("p_partkey") % 701 == 5, "?").otherwise(F.col("p_name")))
+    found = gates.artifact_faults(p, changed, [p.filter("p_partkey % 997 <> 11")], F.col("p_size") % 9 != 4, ["p_size"])
+    return found.select("p_size", F.array_join("errors", ",").alias("errors"))
+
+
+@query(
+    "cache_inventory",
+    """WITH i AS (SELECT 'g' || (page_id % 4) AS group_id, 'https://e.example/' || page_id AS source_url, page_id % 5 <> 0 AS present, page_id % 3 <> 0 AND page_id % 7 <> 0 AS valid FROM pages)
+    SELECT group_id, source_url, substr(sha256(source_url), 1, 20) || '.jpg' AS cache_filename, present, valid AS provenance_valid FROM i""",
+)
+def cache_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """Which required images are in the cache, and which of them are proven: those of no verdict are not."""
+    i = F.col("page_id")
+    required = table(spark, d, "pages").select(F.concat(F.lit("g"), (i % 4).cast("string")).alias("group_id"), F.concat(F.lit("https://e.example/"), i.cast("string")).alias("source_url"), "page_id")
+    files = required.filter("page_id % 5 <> 0").select(urls.cache_name(F.col("source_url")).alias("cache_filename"))
+    verdicts = required.filter("page_id % 3 <> 0").select("group_id", "source_url", (i % 7 != 0).alias("passes"))
+    return gates.cache_inventory(required, files, verdicts).select("group_id", "source_url", "cache_filename", "present", "provenance_valid")
+
+
+@query(
+    "ui_day",
+    f"""WITH {PRODUCTS} SELECT store_id, product_name, specification, inc AS price_in_tax_yen, sale_start AS period FROM shelf
+    WHERE CAST(store_id AS BIGINT) <= 60 AND sale_start = '{DAY}' AND sale_end = '{DAY}' AND contains(lower(product_name || ' ' || specification), 'e')""",
+)
+def ui_day(spark: SparkSession, d: str) -> DataFrame:
+    """What a reader sees who picks stores, a day and a word."""
+    rows = shelf(spark, d, f"l_shipdate >= timestamp_ntz'{DAY}' AND l_shipdate < timestamp_ntz'{DAY}' + INTERVAL 1 DAY")
+    return visible(rows, [str(k) for k in range(1, 61)], DAY, "e")
 
 
 @query(
     "fault_samples",
     f"""WITH {PRODUCTS}, f AS (SELECT *, CASE WHEN l_orderkey % 101 = 0 THEN ' ' ELSE product_name END AS nm, CASE WHEN l_orderkey % 53 = 0 THEN '1998-6-1' ELSE sale_start END AS st,
-      CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN 'x' ELSE CAST(CAST(floor(price_ex) AS BIGINT) AS VARCHAR) END AS pr FROM product),
-    g AS (SELECT *, CAST(trunc(coalesce(try_cast(pr AS DOUBLE), 0)) AS BIGINT) AS i FROM f),
+      CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 11 = 0 THEN 'x' WHEN l_orderkey % 13 = 0 THEN 'NaN' WHEN l_orderkey % 17 = 0 THEN 'Infinity' WHEN l_orderkey % 19 = 0 THEN '1e30' ELSE CAST(CAST(floor(price_ex) AS BIGINT) AS VARCHAR) END AS pr FROM product),
+    g AS (SELECT *, CASE WHEN isfinite(try_cast(pr AS DOUBLE)) THEN trunc(try_cast(pr AS DOUBLE)) ELSE 0 END AS i FROM f),
     h AS (SELECT *, row_number() OVER (PARTITION BY store_id, st, sale_end, lower(regexp_replace(nm, '\\s+', '', 'g')), specification, i ORDER BY {ORDER_SQL}) AS rn FROM g),
     a AS (SELECT 'bad_price' AS fault, {ORDER_SQL} FROM h WHERE i <= 0 UNION ALL SELECT 'blank_name', {ORDER_SQL} FROM h WHERE trim(nm) = '' UNION ALL SELECT 'duplicate', {ORDER_SQL} FROM h WHERE rn > 1
       UNION ALL SELECT 'bad_dates', {ORDER_SQL} FROM h WHERE NOT regexp_full_match(st, '\\d{{4}}-\\d{{2}}-\\d{{2}}') OR st > sale_end UNION ALL SELECT 'percent_only', {ORDER_SQL} FROM h WHERE l_orderkey % 14 = 0 AND pr IS NULL

@@ -14,15 +14,21 @@ YEAR = 2026
 
 
 def dictionary(spark: SparkSession, d: str) -> DataFrame:
-    """The distinct part names with their sizes as numeric variants: at most as many as there are names and sizes."""
-    p = table(spark, d, "part")
-    named = p.select(F.concat_ws(" ", "p_name", F.concat(F.col("p_size").cast("string"), F.lit("本"))).alias("name")).distinct()
-    return named.withColumn("ordinal", F.xxhash64("name"))
+    """The distinct part names with their sizes as numeric variants, in the order in which the parts have them."""
+    named = F.concat_ws(" ", "p_name", F.concat(F.col("p_size").cast("string"), F.lit("本")))
+    return table(spark, d, "part").groupBy(named.alias("name")).agg(F.min("p_partkey").alias("ordinal"))
 
 
-@query("nfkc_key")
+@query(
+    "nfkc_key",
+    """WITH k AS (SELECT doc_id, lower(regexp_replace(coalesce(lang, '') || 'abc123ガ' || nfc_normalize(text), '\\s+', '', 'g')) AS whole FROM documents)
+    SELECT doc_id, CASE WHEN length(whole) > 64 THEN sha256(whole) ELSE whole END AS key FROM k""",
+)
 def nfkc_key(spark: SparkSession, d: str) -> DataFrame:
-    """The key of the whole text; a long one as its hash, which no short key equals, as all have the letters put in."""
+    """The key of the whole text with wide letters before it; a long one as its hash, which no short key equals, as all have the letters put in.
+
+    The SQL has NFC alone, which is enough for texts without compatibility letters; those put in it has already in their common form.
+    """
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"  # whole texts cross to Python: small batches bound its memory
     spark.conf.set(rows, min(int(spark.conf.get(rows)), 500))
     wide = F.concat(F.coalesce("lang", F.lit("")), F.lit("　ＡＢＣ１２３ｶﾞ "), F.col("text"))
@@ -38,69 +44,45 @@ def dictionary_resolve(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "char_coverage",
-    """WITH n AS (SELECT DISTINCT p_name, replace(p_name, ' ', '') AS a FROM part), b AS (SELECT item_id, lower(regexp_replace(text, '\\s+', '', 'g')) AS t FROM benchmark WHERE item_id < 5),
+    """WITH n AS (SELECT DISTINCT p_name, replace(p_name, ' ', '') AS a FROM part), b AS (SELECT item_id, lower(regexp_replace(text, '\\s+', '', 'g')) AS t FROM benchmark),
     ac AS (SELECT p_name, c, count(*) AS k FROM (SELECT p_name, unnest(string_split(a, '')) AS c FROM n) GROUP BY 1, 2), bc AS (SELECT item_id, c, count(*) AS k FROM (SELECT item_id, unnest(string_split(t, '')) AS c FROM b) GROUP BY 1, 2)
     SELECT p_name, item_id, round(100.0::DOUBLE * sum(least(ac.k, coalesce(bc.k, 0))) / sum(ac.k), 6) AS coverage FROM ac CROSS JOIN (SELECT DISTINCT item_id FROM b) LEFT JOIN bc USING (item_id, c) GROUP BY 1, 2""",
 )
 def char_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """How much of each name a few short texts hold, as bags of characters."""
+    """How much of each name every text holds, as bags of characters."""
     n = table(spark, d, "part").select("p_name").distinct()
-    b = table(spark, d, "benchmark").filter("item_id < 5").select("item_id", text.compact(F.col("text")).alias("t"))  # five rows
-    pairs = n.crossJoin(F.broadcast(b))
+    b = table(spark, d, "benchmark").select("item_id", text.compact(F.col("text")).alias("t"))
+    pairs = names.all_pairs(b, ["item_id"], n, ["p_name"])
     return pairs.select("p_name", "item_id", F.round(fuzzy.coverage_udf(text.compact(F.col("p_name")), F.col("t")), 6).alias("coverage"))
 
 
-@query(
-    "char_coverage_all",
-    """WITH n AS (SELECT DISTINCT p_name, replace(p_name, ' ', '') AS a FROM part), b AS (SELECT item_id, lower(regexp_replace(text, '\\s+', '', 'g')) AS t FROM benchmark),
-    ac AS (SELECT p_name, c, count(*) AS k FROM (SELECT p_name, unnest(string_split(a, '')) AS c FROM n) GROUP BY 1, 2), bc AS (SELECT item_id, c, count(*) AS k FROM (SELECT item_id, unnest(string_split(t, '')) AS c FROM b) GROUP BY 1, 2)
-    SELECT p_name, item_id, round(100.0::DOUBLE * sum(least(ac.k, coalesce(bc.k, 0))) / sum(ac.k), 6) AS coverage FROM ac CROSS JOIN (SELECT DISTINCT item_id FROM b) LEFT JOIN bc USING (item_id, c) GROUP BY 1, 2""",
-)
-def char_coverage_all(spark: SparkSession, d: str) -> DataFrame:
-    """How much of each name every text holds, as bags of characters; the dictionary is bounded."""
-    n = table(spark, d, "part").select("p_name").distinct()
-    b = table(spark, d, "benchmark").select("item_id", text.compact(F.col("text")).alias("t"))
-    pairs = b.crossJoin(F.broadcast(n))
-    return pairs.select("p_name", "item_id", F.round(fuzzy.coverage_udf(text.compact(F.col("p_name")), F.col("t")), 6).alias("coverage"))
+KANA = ("abcdefghijklmnopqrstuvwxyz", "あいうえおかきくけこさしすせそたちつてとなにぬねのは")
 
 
 @query(
     "sibling_margin",
-    """WITH n AS (SELECT DISTINCT p_name FROM part), s AS (SELECT a.p_name, 100.0::DOUBLE * (1 - CAST(levenshtein(a.p_name, b.p_name) AS DOUBLE) / greatest(length(a.p_name), length(b.p_name))) AS sim FROM n a JOIN n b ON a.p_name <> b.p_name)
-    SELECT p_name, round(100 - coalesce(max(sim) FILTER (sim >= 58), 0), 6) AS margin FROM s GROUP BY 1""",
+    f"""WITH RECURSIVE n AS (SELECT translate(p_name, '{KANA[0]}', '{KANA[1]}') AS name, CAST(sum(p_size) % 101 AS DOUBLE) AS score FROM part GROUP BY p_name), k AS (SELECT name, score, replace(name, ' ', '') AS a FROM n),
+    c AS (SELECT a, a[i] AS ch, CAST(sum(1::BIGINT << (i - 1)) AS BIGINT) AS m FROM (SELECT DISTINCT a FROM k), LATERAL (SELECT CAST(unnest(range(1, length(a) + 1)) AS INTEGER) AS i) GROUP BY 1, 2),
+    d AS (SELECT x.name, y.name AS o, x.a, y.a AS b, 0 AS j, (1::BIGINT << length(x.a)) - 1 AS v FROM k x JOIN k y ON x.name <> y.name
+      UNION ALL SELECT name, o, d.a, b, j + 1, ((v + (v & coalesce(m, 0))) | (v - (v & coalesce(m, 0)))) & ((1::BIGINT << length(d.a)) - 1) FROM d LEFT JOIN c ON c.a = d.a AND c.ch = b[j + 1] WHERE j < length(b)),
+    l AS (SELECT name, o FROM d WHERE j = length(b) AND 200.0::DOUBLE * (length(a) - bit_count(v)) / (length(a) + length(b)) >= 58)
+    SELECT n.name, coalesce(n.score - max(s.score), 100) AS margin FROM n LEFT JOIN l ON l.name = n.name LEFT JOIN n s ON s.name = l.o GROUP BY n.name, n.score""",
 )
 def sibling_margin(spark: SparkSession, d: str) -> DataFrame:
-    """100 less the likeness of the nearest name that is like at all; the dictionary is bounded."""
-    n = table(spark, d, "part").select("p_name").distinct()
-    other = F.broadcast(n.withColumnRenamed("p_name", "o"))
-    like = 100.0 * (1 - F.levenshtein("p_name", "o") / F.greatest(F.length("p_name"), F.length("o")))
-    near = n.join(other, F.col("p_name") != F.col("o")).withColumn("sim", like)
-    return near.groupBy("p_name").agg(F.round(100 - F.coalesce(F.max(F.when(F.col("sim") >= 58, F.col("sim"))), F.lit(0.0)), 6).alias("margin"))
+    """Each name's score less the best among the names like it (Indel ratio of 58 and more); 100 without any. Names are put in kana, as only those count."""
+    scores = table(spark, d, "part").groupBy("p_name").agg((F.sum("p_size") % 101).cast("double").alias("score"))
+    return names.sibling_margin(scores.select(F.translate("p_name", *KANA).alias("name"), "score"))
 
 
 @query(
     "sibling_groups",
-    """WITH n AS (SELECT DISTINCT p_name || ' ' || p_size || 'cm' AS name FROM part WHERE p_size % 9 = 0), s AS (SELECT name, replace(regexp_replace(name, '\\d+(\\.\\d+)?', '', 'g'), ' ', '') AS skeleton, regexp_extract(name, '\\d+cm') AS sig FROM n)
-    SELECT skeleton, count(*) AS names, count(DISTINCT sig) > 1 AS differ, CAST(sum(length(sig)) AS BIGINT) AS letters FROM s GROUP BY 1""",
-)
-def sibling_groups(spark: SparkSession, d: str) -> DataFrame:
-    return _groups(table(spark, d, "part").filter("p_size % 9 = 0"))
-
-
-@query(
-    "sibling_groups_all",
     """WITH n AS (SELECT DISTINCT p_name || ' ' || p_size || 'cm' AS name FROM part), s AS (SELECT name, replace(regexp_replace(name, '\\d+(\\.\\d+)?', '', 'g'), ' ', '') AS skeleton, regexp_extract(name, '\\d+cm') AS sig FROM n)
-    SELECT skeleton, count(*) AS names, count(DISTINCT sig) > 1 AS differ, CAST(sum(length(sig)) AS BIGINT) AS letters FROM s GROUP BY 1""",
+    SELECT name, count(*) OVER w > 1 AND min(sig) OVER w <> max(sig) OVER w AS sibling_group, sig <> '' AS numeric FROM s WINDOW w AS (PARTITION BY skeleton)""",
 )
-def sibling_groups_all(spark: SparkSession, d: str) -> DataFrame:
-    return _groups(table(spark, d, "part"))
-
-
-def _groups(parts: DataFrame) -> DataFrame:
-    n = parts.select(F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), F.lit("cm")).alias("name")).distinct()
-    sig = F.array_join(text.numeric_signatures(F.col("name"), normal=False), ",")
-    shown = n.select(text.without_numbers(F.col("name"), normal=False).alias("skeleton"), sig.alias("sig"))
-    return shown.groupBy("skeleton").agg(F.count(F.lit(1)).alias("names"), (F.count_distinct("sig") > 1).alias("differ"), F.sum(F.length("sig")).alias("letters"))
+def sibling_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every name with a size: whether others differ from it by their numbers alone."""
+    n = table(spark, d, "part").groupBy(F.concat("p_name", F.lit(" "), F.col("p_size").cast("string"), F.lit("cm")).alias("name")).agg(F.min("p_partkey").alias("ordinal"))
+    return names.siblings(n).select("name", "sibling_group", "numeric")
 
 
 @query(
@@ -172,11 +154,17 @@ def url_score(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", u.alias("full_url"), urls.image_score(u).alias("score"), urls.is_original(u).alias("original"), urls.cache_name(u).alias("cache_name"))
 
 
-@query("html_links", """SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS links, list_distinct(regexp_extract_all(html, '<a href="([^"]+)"', 1)).len() AS different FROM pages""")
+@query(
+    "html_links",
+    """WITH l AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]+)"', 1) AS a, regexp_extract_all(html, 'https?:[^"''<>\\\\\\s]+?\\.(?:jpg|jpeg|png|webp)(?:\\?[^"''<>\\\\\\s]*)?', 0, 'i') AS e FROM pages)
+    SELECT page_id, len(a) + len(e) AS links, len(list_filter(a, lambda u: starts_with(u, '/'))) AS own FROM l""",
+)
 def html_links(spark: SparkSession, d: str) -> DataFrame:
-    """Addresses of anchors, where a pattern finds them as a parser would."""
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), F.lit(1))
-    return table(spark, d, "pages").select("page_id", F.size(hrefs).cast("long").alias("links"), F.size(F.array_distinct(hrefs)).cast("long").alias("different"))
+    """All addresses of each page, as a parser finds them, and how many are on the page's own host, where they are written without one."""
+    p = table(spark, d, "pages").select("page_id", F.lit("https://own.example/x/").alias("base"), "html")
+    found = p.select("page_id", urls.html_links(F.col("base"), F.col("html")).alias("l"))
+    own = F.size(F.filter("l", lambda x: x["url"].startswith("https://own.example/") & ~x["url"].startswith("https://own.example/x/")))
+    return found.select("page_id", F.size("l").cast("long").alias("links"), own.cast("long").alias("own"))
 
 
 @query("page_discovery")
@@ -333,7 +321,7 @@ def record_scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "name_tokens",
-    """WITH t AS (SELECT doc_id, doc_id % 12 AS conf, string_split(substr(text, 1, 30), ' ') AS w FROM documents WHERE text IS NOT NULL)
+    """WITH t AS (SELECT doc_id, doc_id % 12 AS conf, string_split(coalesce(text, ''), ' ') AS w FROM documents)
     SELECT doc_id, conf >= 5 AND regexp_matches(w[1], '[A-Za-z]') AND NOT regexp_full_match(w[1], '[\\s\\d.,/%+×xX\\-~〜～円税込本体価格]+') AS token FROM t""",
 )
 def name_tokens(spark: SparkSession, d: str) -> DataFrame:

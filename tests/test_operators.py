@@ -37,7 +37,7 @@ def test_gate_never_counts_rows(spark):
     assert verdict["passes"] and verdict["errors"] == []
     bad = [good, (2, *good[1:]), (3, "s", "", "", "50%OFF", "", "2026-09-14", "2026-09-13", "u", " ", "f")]
     verdict = gates.row_verdict(gates.row_report(spark.createDataFrame(bad, schema), [F.col("n")], "2026-09-12")).first()
-    assert verdict["errors"] == ["bad_price=1", "blank_name=1", "duplicate=1", "bad_dates=1", "percent_only=1", "missing_provenance=1"]
+    assert verdict["errors"] == ["bad_price=1", "blank_name=1", "duplicates=1", "bad_dates=1", "percent_only=1", "missing_provenance=1"]
 
 
 def test_recall_of_nothing_is_one(spark):
@@ -92,9 +92,102 @@ def test_all_parts_are_resolved_and_scored(spark, sf):
     assert text_queries.dictionary(spark, sf).count() == parts
 
 
-def test_majority_prefers_three_letters(spark):
-    df = spark.createDataFrame([("a", "198"), ("a", "1980"), ("b", "98"), ("b", "980"), ("b", "98")], "k string, r string")
-    assert {r["k"]: r["value"] for r in names.majority(df, "k", "r").collect()} == {"a": "198", "b": "98"}
+def test_gate_takes_prices_that_are_no_numbers(spark):
+    schema = "n int, store_id string, product_name string, specification string, promotion string, price_in_tax_yen string, sale_start string, sale_end string, source_url string, source_image string, source_fingerprint string"
+    prices = ["NaN", "Infinity", "-Infinity", "1e30", "1e30", "-0.5", "99.9", "99", "x", None, "1e400"]
+    rows = [(k, "s", "りんご", "", "", p, "2026-09-12", "2026-09-13", "u", "i", "f") for k, p in enumerate(prices)]
+    got = {r["n"]: (r["bad_price"], r["duplicate"]) for r in gates.row_faults(spark.createDataFrame(rows, schema), [F.col("n")]).collect()}
+    assert [got[k][0] for k in range(11)] == [True, True, True, False, False, True, False, False, True, True, True]
+    assert got[4][1] and got[7][1] and not got[3][1] and not got[6][1]
+    verdict = gates.row_verdict(gates.row_report(spark.createDataFrame(rows, schema), [F.col("n")], "2026-09-12")).first()
+    assert verdict["errors"] == ["bad_price=7", "duplicates=8"]
+
+
+@pytest.mark.parametrize(
+    ("reads", "expected"),
+    [(["198", "1980", "1980"], 198), (["1980", "1980", "198円"], 198), (["98", "980", "98"], 98), (["12", "3456"], 12), (["1", "x", ""], None), (["23", "234", "2345", "123"], 234), (["045", "45"], 45), (["12345", "99"], 99), (["77", "78"], 77)],
+)
+def test_majority(spark, reads, expected):
+    df = spark.createDataFrame([("a", r, k) for k, r in enumerate(reads)], "k string, r string, o int")
+    assert names.majority(df, "k", "r", "o").first()["value"] == expected
+
+
+def test_sibling_margin(spark, monkeypatch):
+    records = [("牛乳小", 70.0), ("牛乳大", 60.0), ("うどん", 90.0), ("バニラアイス", 50.0), ("抹茶アイス", 55.0), ("abc", 10.0)]
+    df = spark.createDataFrame(records, "name string, score double")
+
+    def plain(name, own):
+        t = fuzzy.japanese_only(name)
+        like = [s for n, s in records if n != name and t and fuzzy.japanese_only(n) and fuzzy.ratio(t, fuzzy.japanese_only(n)) >= 58.0]
+        return own - max(like) if like else 100.0
+
+    expected = {n: plain(n, s) for n, s in records}
+    assert expected["牛乳小"] == 10.0 and expected["うどん"] == 100.0
+    for size in (64, 2):
+        monkeypatch.setattr(names, "NAMES", size)
+        assert {r["name"]: r["margin"] for r in names.sibling_margin(df).collect()} == expected
+
+
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_records_are_scored_in_tiles_too(spark, monkeypatch, most):
+    monkeypatch.setattr(names, "BROADCAST", most)
+    records = spark.createDataFrame([("国産鶏むね肉", "大容量"), ("北海道牛乳", None)], "name string, specification string")
+    reads = spark.createDataFrame([(1, "国産鶏むね 大容量"), (2, "道牛乳"), (3, None), (4, "道牛乳")], "text_id int, text string")
+    got = {(r["text_id"], r["name"]): r["name_score"] for r in names.record_scores(reads, records).collect()}
+    assert len(got) == 8 and all(v == pytest.approx(fuzzy.dictionary_score(n, {1: "国産鶏むね 大容量", 2: "道牛乳", 3: None, 4: "道牛乳"}[k])) for (k, n), v in got.items())
+
+
+def test_inventory(spark):
+    required = spark.createDataFrame([("g", "u1"), ("g", "u2"), ("h", "u1")], "group_id string, source_url string")
+    from shelfmark.functions.urls import cache_name
+
+    files = required.filter("source_url = 'u1'").select(cache_name(F.col("source_url")).alias("cache_filename"))
+    verdicts = spark.createDataFrame([("g", "u1", True), ("g", "u2", True), ("x", "u1", True)], "group_id string, source_url string, passes boolean")
+    items = gates.cache_inventory(required, files, verdicts)
+    assert sorted((r["group_id"], r["source_url"], r["present"], r["provenance_valid"]) for r in items.collect()) == [("g", "u1", True, True), ("g", "u2", False, True), ("h", "u1", True, False)]
+    assert tuple(gates.inventory_report(items).first()) == (3, 2, 1, 2, False, False)
+
+
+def test_positions_and_ordered_union(spark):
+    a = spark.createDataFrame([(k * 7 % 100,) for k in range(100)], "x long")
+    got = {r["x"]: r["k"] for r in sets.numbered(a, "x", parts=8).collect()}
+    assert got == {x: x + 1 for x in range(100)}
+    b = spark.createDataFrame([(5, "p"), (9, "q")], "y long, v string")
+    assert sorted(map(tuple, sets.zipped(a, "x", b, "y").collect())) == [(0, 5, "p"), (1, 9, "q")]
+    parts = [spark.createDataFrame([("u2", 0), ("u1", 1)], "u string, o int"), spark.createDataFrame([("u3", 0), ("u2", 1), ("u3", 2)], "u string, o int")]
+    assert [tuple(r) for r in sets.ordered_union(parts, ["u"], "o").orderBy("part", "o").collect()] == [("u2", 0, 0), ("u1", 0, 1), ("u3", 1, 0)]
+
+
+def test_rows_of_bullets(spark):
+    def plain(ys, i, span, height):
+        j = min(len(ys) - 1, i + span - 1)
+        top = max(0, ys[i] - 8)
+        if j + 1 < len(ys):
+            gap = max(1, ys[j + 1] - ys[j])
+            bottom = max(top + 18, ys[j + 1] - max(3, round(gap * 0.10)))
+        else:
+            bottom = min(height, int(ys[j] + max(65.0, 1.7 * (median([b - a for a, b in zip(ys, ys[1:])]) if len(ys) > 1 else 40.0))))
+        if bottom - top < 18:
+            bottom = min(height, top + 24)
+        return top, min(height, bottom)
+
+    pages = {"a": [5, 40, 95, 95, 300, 990], "b": [700], "c": [3, 4, 5]}
+    df = spark.createDataFrame([(p, i, y) for p, ys in pages.items() for i, y in enumerate(ys)], "p string, i int, y int")
+    for span in (1, 2):
+        got = {(r["p"], r["i"]): (r["y1"], r["y2"]) for r in spatial.row_windows(df, "p", "i", "y", F.lit(1000), span).collect()}
+        assert got == {(p, i): plain(ys, i, span, 1000) for p, ys in pages.items() for i in range(len(ys))}
+
+
+def test_columns_have_three_points(spark):
+    xs = [10, 13, 18, 40, 41, 200, 204, 208.5, 213]
+    df = spark.createDataFrame([("p", k, float(x)) for k, x in enumerate(xs)], "p string, i int, x double")
+    got = {r["i"]: (r["column"], r["centre"]) for r in cluster.point_columns(df, "p", "i", "x").collect()}
+    groups = []
+    for k, x in enumerate(xs):
+        hit = next((g for g in groups if abs(x - sum(xs[i] for i in g) / len(g)) <= 5), None)
+        groups.append([k]) if hit is None else hit.append(k)
+    big = [g for g in groups if len(g) >= 3]
+    assert got == {i: (n + 1, pytest.approx(sum(xs[j] for j in g) / len(g))) for n, g in enumerate(big) for i in g}
 
 
 def test_running_clusters_depend_on_order():
