@@ -7,12 +7,17 @@ failure at any point leaves it in place.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Seconds that a writer may take, from its lock to its pointer; a lock older than that was left by a crash.
+LEASE = 6 * 3600.0
+
+
 class GateError(Exception):
     """A staged snapshot that must not be published."""
 
@@ -24,8 +29,8 @@ class Busy(Exception):
 class Store:
     """Snapshots under one root, which driver and executors share."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, lease: float = LEASE):
+        self.spark, self.root, self.lease = spark, root, lease
         jvm = spark.sparkContext._jvm
         self.path = jvm.org.apache.hadoop.fs.Path
         self.fs = self.path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -61,25 +66,59 @@ class Store:
     def publish(self, rows: DataFrame, gate: Callable[[DataFrame], list[str]], fault: Callable[[str], None] = lambda _: None) -> str:
         """Writes the snapshot, reads it back for the gate, and points to it. fault is called at each step, for tests."""
         name = f"snapshot-{uuid.uuid4().hex}"
-        staged, lock = f"{self.root}/{name}", self.path(f"{self.root}/.lock")
-        try:
-            self.fs.create(lock, False).close()
-        except Exception as e:
-            raise Busy(f"another writer holds {lock}") from e
+        staged = f"{self.root}/{name}"
+        self._lock(name)
         try:
             rows.write.parquet(staged)
             fault("after_write")
             if errors := gate(self.spark.read.parquet(staged)):
                 raise GateError("; ".join(errors))
             fault("after_gate")
+            if self._holder() != name:
+                raise Busy("the lock was taken over: this writer was silent for too long")
+            before = self.current_id()
             self._replace("current", name)
         except BaseException:
             self.fs.delete(self.path(staged), True)
             raise
         finally:
-            self.fs.delete(lock, False)
+            if self._holder() == name:
+                self.fs.delete(self.path(f"{self.root}/.lock"), False)
+        self._clean({name, before})
         return name
 
+    def _holder(self) -> str | None:
+        text = self._read(".lock")
+        return text.split(" ")[0] if text else None
+
+    def _lock(self, owner: str) -> None:
+        """Takes the lock, which says who has it since when. One whose holder was silent for longer than a lease is left by a crash: it is moved away, by one writer only."""
+        lock = self.path(f"{self.root}/.lock")
+        for _ in range(2):
+            try:
+                stream = self.fs.create(lock, False)
+                stream.write(bytearray(f"{owner} {time.time():.0f}".encode()))
+                stream.close()
+                return
+            except Exception as e:
+                try:
+                    age = time.time() - self.fs.getFileStatus(lock).getModificationTime() / 1000
+                except Exception:  # gone in the meantime
+                    continue
+                if age <= self.lease:
+                    raise Busy(f"another writer holds {lock}") from e
+                away = self.path(f"{self.root}/.stale-{owner}")
+                if self.fs.rename(lock, away):
+                    self.fs.delete(away, False)
+        raise Busy(f"another writer holds {lock}")
+
+    def _clean(self, keep: set[str | None]) -> None:
+        """Snapshots but for the current one and the one before it, which readers may still have open."""
+        for status in self.fs.listStatus(self.path(self.root)):
+            name = status.getPath().getName()
+            if name.startswith("snapshot-") and name not in keep and time.time() - status.getModificationTime() / 1000 > self.lease:
+                self.fs.delete(status.getPath(), True)
+
 
 def update(store: Store, old_fingerprints: dict[str, str], new_fingerprints: dict[str, str], extract: Callable[[], DataFrame], gate: Callable[[DataFrame], list[str]]) -> str:
     """unchanged, or published: nothing is extracted while every store's fingerprint stays and the current snapshot passes."""
