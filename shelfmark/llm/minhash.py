@@ -154,19 +154,22 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Documents are in the order of their ids, null ids first, texts breaking ties; after
     the last comes the first, and a single document follows itself. A null text is an
-    empty one; texts without words are alike and unlike all others. Each text crosses the
-    network once, to its place in the order; only the first and last row of each
-    partition meet again.
+    empty one; texts without words are alike and unlike all others. Rows alike in id and text follow each other
+    in any order. Each text crosses the network once, to its place in the order; only the first and last row of each
+    partition meet again. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
-    ordered = texts(docs, doc_id, text).repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    # Rows alike in id and text differ in the last key alone, so however many there are, they are dealt to several ranges.
+    ordered = texts(docs, doc_id, text).repartitionByRange(F.col("doc_id"), F.xxhash64("text"), F.monotonically_increasing_id()).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     made = Stored(ordered.mapInArrow(_run, FINGERPRINTS_SQL), "fingerprints").df()
-    # A row for each partition: no more than there are tasks.
+    # A row for each partition: no more than there are tasks. They are put in order without their texts, which then follow.
     ends = made.filter("edge IS NOT NULL")
     order = Window.orderBy("place")
-    firsts = ends.filter("edge = 'first'").select(F.row_number().over(order).alias("k"), F.col("body").alias("next_body"), F.col("fingerprint").alias("next_fingerprint"))
-    lasts = ends.filter("edge = 'last'").select("doc_id", "body", "fingerprint", F.row_number().over(order).alias("k"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
-    seams = lasts.withColumn("k", F.col("k") % F.col("n") + 1).join(firsts, "k").mapInArrow(_seams, FINGERPRINTS_SQL)
+    firsts = ends.filter("edge = 'first'").select("place").select("place", F.row_number().over(order).alias("k"))
+    lasts = ends.filter("edge = 'last'").select("place").select("place", F.row_number().over(order).alias("k"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n"))
+    met = lasts.withColumn("k", F.col("k") % F.col("n") + 1).join(firsts.withColumnRenamed("place", "next_place"), "k").select("place", "next_place")
+    after = ends.filter("edge = 'first'").select(F.col("place").alias("next_place"), F.col("body").alias("next_body"), F.col("fingerprint").alias("next_fingerprint"))
+    seams = ends.filter("edge = 'last'").select("place", "doc_id", "body", "fingerprint").join(met, "place").join(after, "next_place").mapInArrow(_seams, FINGERPRINTS_SQL)
     return made.filter("edge IS NULL").unionByName(seams).drop("place", "edge", "body")
 
 
@@ -219,7 +222,8 @@ def similar_pairs(docs: DataFrame, threshold: float = 0.75, doc_id: str = "doc_i
 
     Signature bands are joined in Spark, and the Jaccard similarity of each candidate pair
     is verified on the full sets. Copies are folded first, so that there are as many members of a band as
-    different texts; all pairs of them are verified, in tiles if the band is large. Texts without any doc_id have no links.
+    different texts; all pairs of them are verified, in tiles if the band is large. Texts without any doc_id have no links, and neither
+    have null texts or those without words. Ties do not arise: every pair that is similar enough is returned. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
 

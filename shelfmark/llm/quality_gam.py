@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import batch, rows, small_batches, texts
+from shelfmark.llm.common import batch, rows, slices, small_batches, texts
 
 #: Labelled rows that the model is fitted on, at most: those with the least hashes of their ids.
 TRAIN_ROWS = 20_000
@@ -191,7 +191,8 @@ def fold(doc_id: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> AdditiveModel:
     """Fits on labels (doc_id, quality) outside the held-out fold: on all of them up to train_rows.
 
-    An id with several labels has their mean; null labels count for nothing.
+    An id with several labels has their mean; null labels count for nothing. Of rows that share an id the one with the least features counts,
+    so that no more than train_rows are gathered. Without labels, or with those of one kind alone, the model is a constant.
     """
     small_batches(docs.sparkSession)
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").filter(fold() != 0).groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
@@ -199,14 +200,17 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     # Bounded by train_rows.
     found = texts(docs, doc_id, text).join(F.broadcast(few), "doc_id").select("doc_id", "text", "y")
     y = {r["doc_id"]: r["y"] for r in few.collect()}
-    got = found.mapInArrow(_features, "doc_id long, x array<double>").toArrow()
+    got = found.mapInArrow(_features, "doc_id long, x array<double>").groupBy("doc_id").agg(F.min("x").alias("x")).toArrow()
     ids, x = got.column("doc_id").to_pylist(), got.column("x").to_pylist()
     order = sorted(range(len(ids)), key=lambda k: (ids[k], x[k]))
     return fit(np.array([x[k] for k in order], float).reshape(-1, len(FEATURES)), np.array([y[ids[k]] for k in order], float))
 
 
 def score(docs: DataFrame, model: AdditiveModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, held_out, score, predicted. A null or empty text has the features 0."""
+    """One row for each row of docs: doc_id, held_out, score, predicted. A null or empty text has the features 0.
+
+    Rows that repeat are scored one by one; a null id is in the held-out fold. An empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,12 +223,12 @@ def score(docs: DataFrame, model: AdditiveModel, doc_id: str = "doc_id", text: s
 
 
 def keep_good(docs: DataFrame, model: AdditiveModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, all columns unchanged, that the model does not reject."""
+    """The rows of docs, all columns unchanged, that the model does not reject; rows that repeat stay or go together."""
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
+        for whole in batches:
+            for b in slices(whole):
                 bodies = b.column(b.schema.get_field_index(text)).cast(pa.binary()).to_pylist()
                 good = model.scores(np.array([features(x or b"") for x in bodies], float)) >= KEEP_FROM
                 yield b.filter(pa.array(good))

@@ -5,21 +5,25 @@ from there it goes clockwise to the first virtual node whose shard has room. Onl
 the row count of each cell (bounded by the ring, not by the data) reaches the
 driver, which walks the ring once and cuts each cell's rows into runs, a shard for
 each. Everything that touches documents is DataFrame expressions: one shuffle of
-ids by cell ranks the rows of a cell, and a broadcast of the runs places them.
+ids by cell ranks the rows of a cell, and a broadcast of the runs places them. Rows that are
+alike in id and text are ranked as one group, and a cell with very many rows, such as those of one id, is ranked in parts.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from itertools import accumulate
 
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Cells on the ring: 2 to this power.
 CELL_BITS = 14
 #: Points of each shard on the ring.
 VIRTUAL_NODES = 64
+#: Rows of a cell, or of a part of one, that one task ranks, about.
+PART_ROWS = 1 << 20
 #: What a row takes besides its text.
 ROW_BYTES = 16
 
@@ -94,18 +98,34 @@ def ring_shards(docs: DataFrame, shards: int = 40, doc_id: str = "doc_id", text:
     cell = F.shiftrightunsigned(F.xxhash64(key), 64 - CELL_BITS).cast("int")
     counts = {r["cell"]: r["n"] for r in docs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
     found = runs(counts, ring(shards, virtual_nodes), capacities(sum(counts.values()), shards, load))
+    # A row for each run of a cell. Bounded by the ring: one for each cell, and one more for each time a shard fills up.
     table = spark.createDataFrame(found, "cell int, lo long, hi long, shard int, base long")
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("hash", "doc_id", "size", "text_crc32")) - 1
-    ranked = docs.select(
-        key.alias("doc_id"),
-        (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"),
-        F.crc32(body).alias("text_crc32"),
-        F.xxhash64(key).alias("hash"),
-        cell.alias("cell"),
-    ).withColumn("rank", rank)
-    # Bounded by the ring: a run for each cell, and one more for each time a shard fills up.
-    return (
-        ranked.join(F.broadcast(table), "cell")
-        .filter("rank >= lo AND rank < hi")
-        .select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("rank") - F.col("lo")).alias("slot"))
-    )
+    rows = docs.select(key.alias("doc_id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.xxhash64(key).alias("hash"), cell.alias("cell"))
+    before = _parts(rows, {c: -(-n // PART_ROWS) for c, n in counts.items() if n > PART_ROWS})
+    alike = rows.join(F.broadcast(before), "cell", "left").withColumn("part", F.coalesce(_part(F.col("many")), F.lit(0)))
+    alike = alike.groupBy("cell", "part", "hash", "doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"), F.first("starts").alias("starts"))
+    order = Window.partitionBy("cell", "part").orderBy("hash", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n").over(order), F.lit(0)) + F.coalesce(F.get("starts", F.col("part")), F.lit(0))
+    ranked = alike.select("cell", "doc_id", "size", "text_crc32", first.alias("first"), "n")
+    # A group may reach over several runs; each takes its share of it.
+    met = ranked.join(F.broadcast(table), "cell").filter("first < hi AND first + n > lo")
+    ranks = F.explode(F.sequence(F.greatest("first", "lo"), F.least(F.col("first") + F.col("n"), F.col("hi")) - 1))
+    placed = met.select("doc_id", "size", "text_crc32", "shard", "base", "lo", ranks.alias("rank"))
+    return placed.select("doc_id", "size", "text_crc32", "shard", (F.col("base") + F.col("rank") - F.col("lo")).alias("slot"))
+
+
+def _part(many: Column) -> Column:
+    """The part of its cell in which a row is ranked: by its text, as a hot cell's rows may share one id."""
+    return F.pmod(F.xxhash64("text_crc32", "size"), many).cast("int")
+
+
+def _parts(rows: DataFrame, many: dict[int, int]) -> DataFrame:
+    """(cell, many, starts) of the cells that are ranked in parts: where each part's ranks begin. As many parts as all rows have millions, about."""
+    spark = rows.sparkSession
+    hot = spark.createDataFrame(list(many.items()), "cell int, many int")
+    if not many:
+        return hot.withColumn("starts", F.array().cast("array<long>"))
+    sizes: dict[int, list[int]] = {c: [0] * k for c, k in many.items()}
+    for r in rows.join(F.broadcast(hot), "cell").groupBy("cell", _part(F.col("many")).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect():
+        sizes[r["cell"]][r["part"]] = r["n"]
+    return spark.createDataFrame([(c, many[c], [0, *accumulate(n)][:-1]) for c, n in sizes.items()], "cell int, many int, starts array<long>")

@@ -96,6 +96,45 @@ def test_additive_model_learns_an_interaction():
     assert np.mean((model.scores(x[2000:]) > 0.5) == y[2000:]) > 0.9
 
 
+def test_additive_scores_one_row_at_a_time(spark):
+    """The model restated: for each row the base, a step of each feature's table, and one of each pair's."""
+    from bisect import bisect_right
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.random((1500, 4)) * 9)
+    y = ((x[:, 0] > 4) ^ (x[:, 2] > 3)).astype(float)
+    model = qg.fit(x, y)
+    assert model.pairs
+
+    def plain(row):
+        at = lambda edges, f: bisect_right(edges[f].tolist(), row[f])
+        total = model.base + sum(t[at(model.edges, f)] for f, t in enumerate(model.tables))
+        total += sum(t[at(model.coarse, f), at(model.coarse, g)] for (f, g), t in model.pairs.items())
+        return 1 / (1 + np.exp(-total))
+
+    some = np.concatenate([x[:200], x[:50] + 0.5, np.full((1, 4), -1.0), np.full((1, 4), 99.0)])
+    assert model.scores(some) == pytest.approx([plain(r) for r in some])
+
+
+def test_quality_of_repeated_rows_and_long_texts(spark):
+    long = "A sentence of some words, and its end. " * 30_000  # 1.2 MB
+    rows = [(k % 40, f"good words number {k} in a row. " * 20 if k % 2 else "x9 " * 50, "en", "s", 0) for k in range(80)] + [(1, long, "en", "s", 0)] * 2 + [(None, None, "en", "s", 0)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
+    model = qg.train(clashing(frame(spark, rows)), labels)
+    got = qg.score(frame(spark, rows), model).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    assert len({r["score"] for r in got if r["doc_id"] == 2}) == 1
+    kept = qg.keep_good(frame(spark, rows), model).count()
+    assert kept == sum(r["predicted"] for r in got)
+
+
+def test_fingerprints_of_repeated_rows(spark):
+    rows = [(7, "one text of some words here", "en", "s", 0)] * 40 + [(3, "a b c", "en", "s", 0), (9, None, "en", "s", 0), (None, "no id", "en", "s", 0)]
+    got = minhash.fingerprints(frame(spark, rows).repartition(6)).collect()
+    assert len(got) == len(rows) and len({r["fingerprint"] for r in got if r["doc_id"] == 7}) == 1
+    assert sorted(r["near_next"] == 1.0 for r in got if r["doc_id"] == 7) == [False] + [True] * 39
+
+
 def test_language_on_held_out_documents(spark):
     got = {r["doc_id"]: r for r in queries.op10_language_bigru(spark, SF).collect()}
     docs = [r for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if held_out(r["doc_id"])]

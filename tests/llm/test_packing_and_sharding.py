@@ -109,6 +109,23 @@ def test_sharding(spark, sf):
     assert {(r["law"], r["grown_shard"]) for r in rows} == {("rows", None)}
 
 
+def test_hot_keys_are_ranked_in_parts(spark, monkeypatch):
+    """One id with a third of all rows: in many texts, and in one text."""
+    monkeypatch.setattr(rs, "PART_ROWS", 20)
+    rows = [(5, f"text {k}", "en", "s", 0) for k in range(150)] + [(5, "again", "en", "s", 0)] * 100 + [(9, "x", "en", "s", 0)] * 90 + [(100 + k, "y", "en", "s", 0) for k in range(160)] + [(None, None, "en", "s", 0)] * 30
+    placed = rs.ring_shards(frame(spark, rows).repartition(5), 7).collect()
+    check_shards(placed, [(r[0], r[1]) for r in rows], 7)
+    assert placed and rs.ring_shards(frame(spark, rows).repartition(2), 7).count() == len(rows)
+
+
+def test_growth_under_exact_shares_moves_less_than_dealing_anew(spark):
+    """The query's law, counts at most one apart: how many of sf0.01's documents change their shard when one more comes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    a, b = ({r["doc_id"]: r["shard"] for r in rs.ring_shards(docs, n).collect()} for n in (40, 41))
+    moved = sum(a[d] != b[d] for d in a) / len(a)
+    assert moved < 0.5  # against 1 - 1/41 by id modulo shards
+
+
 def test_plan_is_native(spark, sf):
     plan = op4_ring_sharding(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "BroadcastNestedLoop" not in plan
