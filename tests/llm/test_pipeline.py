@@ -8,6 +8,7 @@ from shelfmark.llm.common import Stored
 from shelfmark.llm.oracles import ORACLES
 from shelfmark.llm.queries import QUERIES
 from tests.llm import test_near_dedup, test_packing_and_sharding, test_substring_dedup
+from tests.llm.fixtures import awkward, clashing, frame
 from tests.oracle import both, connect
 
 
@@ -57,6 +58,42 @@ def test_run_is_the_stages(spark, sf):
     assert all(sums[r["doc_id"]] == r["doc_tokens"] for r in whole.collect())
 
 
+def table(spark, path, rows, labels):
+    frame(spark, rows).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path)
+
+
+def test_awkward_tables(spark, tmp_path):
+    """Nulls, empty and long texts, copies, repeated rows and shared ids go through all stages; nothing is lost but copies."""
+    rows = awkward() + awkward()[:10] + [(7, "another text for an id that is there", "en", "s", 5)]
+    sf_dir = table(spark, tmp_path / "a", rows, [])  # without labels nothing is rejected
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = Stored(stage(spark, docs, sf_dir), name).df()
+        left[name] = docs.collect()
+    assert len(left["quality"]) == len(rows)
+    assert sorted((r["text"] or "").lower() for r in left["exact_copies"] if (r["text"] or "").isascii()) == sorted({(t or "").lower() for _, t, *_ in rows if (t or "").isascii()})
+    assert len({(r["text"] or "").encode().lower() for r in left["exact_copies"]}) == len(left["exact_copies"]) == len({(t or "").encode().lower() for _, t, *_ in rows})
+    assert len(left["repeated_passages"]) == len(left["near_copies"]) < len(left["exact_copies"])
+    assert sum(r["start"] == 0 for r in left["packing"]) == len(left["repeated_passages"])
+
+
+def test_empty_table(spark, tmp_path):
+    assert corpus_pipeline.run(spark, table(spark, tmp_path / "e", [], [])).collect() == []
+
+
+def test_columns_with_the_stages_own_names(spark, tmp_path):
+    sf_dir = table(spark, tmp_path / "c", awkward(), [(7, 1, 0)])
+    docs = clashing(frame(spark))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        docs = Stored(out, "clash").df()
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= docs.count()
+
+
 def test_sql_agrees(spark, sf):
     c = connect(sf)
     for name, sql in ORACLES.items():
