@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,11 +16,22 @@ TO = "[〜～~-]"
 RULE = "struct<rule_type:string,start_date:string,end_date:string,time_start:string,time_end:string,weekday:string,raw_text:string,confidence:double>"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def found(text: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match, null where there is none or the group took no part."""
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
+def groups(text: Column, pattern: str, many: int) -> Column:
+    """All groups of the first match, an array; '' for those that took no part, null where there is no match. The text is searched once."""
+    told = "\t".join(f"${k + 1}" for k in range(many))
+    return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", F.split(F.regexp_replace(m, f"^(?:{pattern})$", told), "\t")))
+
+
 def active_on(day: str | Column, start: Column, end: Column) -> Column:
     """Compared as text; a missing bound is ''."""
     d = F.lit(day) if isinstance(day, str) else day
@@ -58,21 +71,27 @@ def squeezed(text: Column) -> Column:
 
 def page_range(text: Column, default_year: int) -> Column:
     """struct(start, end) of the first way of writing a range that the text has, '' and '' if none. Dates are padded, not checked."""
-    t = squeezed(text)
     y = F.lit(default_year)
+    # The four ways, in order.
     full = rf"(20\d{{2}})年(\d{{1,2}})月(\d{{1,2}})日{TO}(?:(20\d{{2}})年)?(\d{{1,2}})月(\d{{1,2}})日"
     short = rf"(20\d{{2}})年(\d{{1,2}})月(\d{{1,2}})日{TO}(\d{{1,2}})日"
     bare = rf"(\d{{1,2}})月(\d{{1,2}})日{TO}(\d{{1,2}})月(\d{{1,2}})日"
     slash = rf"(\d{{1,2}})/(\d{{1,2}})[^0-9]{{0,5}}{TO}[^0-9]{{0,5}}(\d{{1,2}})/(\d{{1,2}})"
-    g = lambda p, k: found(t, p, k)
     pair = lambda a, b: F.struct(a.alias("start"), b.alias("end"))
-    return (
-        F.when(t.rlike(full), pair(iso(g(full, 1), g(full, 2), g(full, 3)), iso(F.coalesce(g(full, 4), g(full, 1)), g(full, 5), g(full, 6))))
-        .when(t.rlike(short), pair(iso(g(short, 1), g(short, 2), g(short, 3)), iso(g(short, 1), g(short, 2), g(short, 4))))
-        .when(t.rlike(bare), pair(iso(y, g(bare, 1), g(bare, 2)), iso(y, g(bare, 3), g(bare, 4))))
-        .when(t.rlike(slash), pair(iso(y, g(slash, 1), g(slash, 2)), iso(y, g(slash, 3), g(slash, 4))))
-        .otherwise(pair(F.lit(""), F.lit("")))
-    )
+    ways = [
+        (full, 6, lambda g: pair(iso(g[0], g[1], g[2]), iso(F.when(g[3] != "", g[3]).otherwise(g[0]), g[4], g[5]))),
+        (short, 4, lambda g: pair(iso(g[0], g[1], g[2]), iso(g[0], g[1], g[3]))),
+        (bare, 4, lambda g: pair(iso(y, g[0], g[1]), iso(y, g[2], g[3]))),
+        (slash, 4, lambda g: pair(iso(y, g[0], g[1]), iso(y, g[2], g[3]))),
+    ]
+
+    def first(t: Column, left: list) -> Column:
+        if not left:
+            return pair(F.lit(""), F.lit(""))
+        pattern, many, made = left[0]
+        return let(groups(t, pattern, many), lambda g: F.when(g.isNotNull(), made(g)).otherwise(first(t, left[1:])))
+
+    return let(squeezed(text), lambda t: first(t, ways))
 
 
 def update_week(text: Column, year: int) -> Column:
@@ -101,8 +120,8 @@ def temporal_rules(text: Column, year: int) -> Column:
     Kinds in order: range, pair, single day (limited, from then on, plain), weekly day,
     today. A rule whose date is no day is left out.
     """
-    raw = blank_null(text)
-    t = squeezed(raw)
+    raw, y = blank_null(text), F.lit(year)
+    # The phrases of the grammar.
     wd = rf"(?:\({WEEKDAY}\))?"
     evening, hour = r"夕方(\d{1,2})時(?:から|〜|～)", r"(?<!\d)(\d{1,2})時(?:から|〜|～)"
     span = rf"(\d{{1,2}})/(\d{{1,2}}){wd}{TO}(?:(\d{{1,2}})/)?(\d{{1,2}}){wd}"
@@ -115,23 +134,32 @@ def temporal_rules(text: Column, year: int) -> Column:
         return F.struct(lit(kind).alias("rule_type"), start.alias("start_date"), end.alias("end_date"), time.alias("time_start"), F.lit("").alias("time_end"), weekday.alias("weekday"), raw.alias("raw_text"), lit(confidence).cast("double").alias("confidence")).cast(RULE)
 
     clock = lambda h: F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":00"))
-    h1, h2 = found(t, evening).cast("int"), found(t, hour).cast("int")
-    time = F.when(t.rlike(evening), rule("time_start", 0.96, time=clock(F.when(h1.between(1, 11), h1 + 12).otherwise(h1)))).when(t.rlike(hour), rule("time_start", 0.95, time=clock(h2)))
-
-    y = F.lit(year)
-    ends = lambda p: (real(iso(y, found(t, p, 1), found(t, p, 2))), real(iso(y, F.coalesce(found(t, p, 3), found(t, p, 1)), found(t, p, 4))))
-    (s1, e1), (s2, e2) = ends(span), ends(two)
-    d = real(iso(y, found(t, one, 1), found(t, one, 2)))
-    limited, onward = t.rlike("限り|のみ|限定"), t.rlike("より販売|から販売|発売")
-    kind = F.when(limited, "single_date_limited").when(onward, "start_date_only").otherwise("single_date")
-    date = (
-        F.when(t.rlike(span), F.when(s1.isNotNull() & e1.isNotNull(), rule("date_range", 0.99, s1, e1)))
-        .when(t.rlike(two), F.when(s2.isNotNull() & e2.isNotNull(), rule("date_pair", 0.98, s2, e2)))
-        .when(t.rlike(one), F.when(d.isNotNull(), rule(kind, F.when(limited, 0.99).when(onward, 0.98).otherwise(0.94), d, F.when(~limited & onward, "").otherwise(d))))
-        .when(t.rlike(weekly), rule("recurring_weekday", 0.93, weekday=found(t, weekly)))
-        .when(t.contains("本日限り") | t.contains("今日限り"), rule("relative_today", 0.90))
-    )
-    return F.array_compact(F.array(time, date))
+    late = lambda h: F.when(h.between(1, 11), h + 12).otherwise(h)
+
+    def time(t: Column) -> Column:
+        plain = let(found(t, hour), lambda h: F.when(h.isNotNull(), rule("time_start", 0.95, time=clock(h.cast("int")))))
+        return let(found(t, evening), lambda h: F.when(h.isNotNull(), rule("time_start", 0.96, time=clock(late(h.cast("int"))))).otherwise(plain))
+
+    def both_ends(g: Column, kind: str, confidence: float) -> Column:
+        ends = F.struct(real(iso(y, g[0], g[1])).alias("a"), real(iso(y, F.when(g[2] != "", g[2]).otherwise(g[0]), g[3])).alias("b"))
+        return let(ends, lambda e: F.when(e["a"].isNotNull() & e["b"].isNotNull(), rule(kind, confidence, e["a"], e["b"])))
+
+    def single(t: Column, g: Column) -> Column:
+        limited, onward = t.rlike("限り|のみ|限定"), t.rlike("より販売|から販売|発売")
+        kinds = [("single_date_limited", 0.99, True), ("start_date_only", 0.98, False), ("single_date", 0.94, True)]
+        made = lambda d, k: rule(k[0], k[1], d, d if k[2] else F.lit(""))
+        return let(real(iso(y, g[0], g[1])), lambda d: F.when(d.isNotNull(), F.when(limited, made(d, kinds[0])).when(onward, made(d, kinds[1])).otherwise(made(d, kinds[2]))))
+
+    def undated(t: Column) -> Column:
+        today = F.when(t.contains("本日限り") | t.contains("今日限り"), rule("relative_today", 0.90))
+        return let(found(t, weekly), lambda w: F.when(w.isNotNull(), rule("recurring_weekday", 0.93, weekday=w)).otherwise(today))
+
+    def date(t: Column) -> Column:
+        third = let(groups(t, one, 2), lambda g: F.when(g.isNotNull(), single(t, g)).otherwise(undated(t)))
+        second = let(groups(t, two, 4), lambda g: F.when(g.isNotNull(), both_ends(g, "date_pair", 0.98)).otherwise(third))
+        return let(groups(t, span, 4), lambda g: F.when(g.isNotNull(), both_ends(g, "date_range", 0.99)).otherwise(second))
+
+    return let(squeezed(raw), lambda t: F.array_compact(F.array(time(t), date(t))))
 
 
 def resolved_scope(parent_start: Column, parent_end: Column, rules: Column, today: Column | str = "") -> Column:

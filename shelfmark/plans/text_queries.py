@@ -209,13 +209,13 @@ def date_range_parse(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "temporal_rules",
     f"""WITH {PHRASES}, v AS (SELECT *, try_cast('{YEAR}-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(a::VARCHAR, 2, '0') AS DATE)::VARCHAR AS da, ('{YEAR}-' || lpad(m::VARCHAR, 2, '0') || '-' || lpad(b::VARCHAR, 2, '0')) AS db FROM p)
-    SELECT o_orderkey, CASE c WHEN 0 THEN 'date_range' WHEN 1 THEN 'date_pair' WHEN 2 THEN 'time_start,single_date_limited' WHEN 3 THEN 'start_date_only' WHEN 4 THEN 'recurring_weekday' ELSE 'time_start,relative_today' END AS kinds,
-      CASE WHEN c < 4 THEN da WHEN c = 4 THEN '2026-09-01' ELSE '2026-09-13' END AS sale_start, CASE WHEN c < 2 THEN db WHEN c = 2 THEN da WHEN c IN (3, 4) THEN '2026-09-30' ELSE '2026-09-13' END AS sale_end,
+    SELECT o_orderkey, CASE WHEN c < 4 AND da IS NULL THEN CASE WHEN c = 2 THEN 'time_start' ELSE '' END ELSE CASE c WHEN 0 THEN 'date_range' WHEN 1 THEN 'date_pair' WHEN 2 THEN 'time_start,single_date_limited' WHEN 3 THEN 'start_date_only' WHEN 4 THEN 'recurring_weekday' ELSE 'time_start,relative_today' END END AS kinds,
+      CASE WHEN c < 4 THEN coalesce(da, '2026-09-01') WHEN c = 4 THEN '2026-09-01' ELSE '2026-09-13' END AS sale_start, CASE WHEN c < 4 AND da IS NULL THEN '2026-09-30' WHEN c < 2 THEN db WHEN c = 2 THEN da WHEN c IN (3, 4) THEN '2026-09-30' ELSE '2026-09-13' END AS sale_end,
       CASE c WHEN 2 THEN '16:00' WHEN 5 THEN '09:00' ELSE '' END AS time_start, CASE c WHEN 4 THEN '火' ELSE '' END AS weekday,
-      CASE c WHEN 0 THEN 'date_range' WHEN 1 THEN 'date_pair' WHEN 2 THEN 'single_date_limited' WHEN 3 THEN 'start_date_only' WHEN 4 THEN 'parent' ELSE 'relative_today' END AS date_source FROM v WHERE da IS NOT NULL OR c > 3""",
+      CASE WHEN c < 4 AND da IS NULL THEN 'parent' ELSE CASE c WHEN 0 THEN 'date_range' WHEN 1 THEN 'date_pair' WHEN 2 THEN 'single_date_limited' WHEN 3 THEN 'start_date_only' WHEN 4 THEN 'parent' ELSE 'relative_today' END END AS date_source FROM v""",
 )
 def temporal_rules(spark: SparkSession, d: str) -> DataFrame:
-    """The grammar on phrases of each kind, and the period that it leaves of a parent's."""
+    """The grammar on phrases of each kind, and the period that it leaves of a parent's. A 29th of February is no day of the year, so its rule is left out."""
     p = phrases(spark, d)
     m, a, b = (F.col(k) for k in "mab")
     join = lambda *xs: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in xs])
@@ -227,8 +227,7 @@ def temporal_rules(spark: SparkSession, d: str) -> DataFrame:
         .when(F.col("c") == 4, F.lit("毎週火曜日"))
         .otherwise(F.lit("9時から 本日限り"))
     )
-    feb29 = (m == "2") & (a == "29") & (F.col("c") < 4)
-    r = p.filter(~feb29).select("o_orderkey", dates.temporal_rules(shown, YEAR).alias("rules"))
+    r = p.select("o_orderkey", dates.temporal_rules(shown, YEAR).alias("rules"))
     r = r.select("o_orderkey", F.array_join(F.transform("rules", lambda x: x["rule_type"]), ",").alias("kinds"), dates.resolved_scope(F.lit("2026-09-01"), F.lit("2026-09-30"), F.col("rules"), "2026-09-13").alias("s"))
     return r.select("o_orderkey", "kinds", *[F.col(f"s.{c}").alias(c) for c in ("sale_start", "sale_end", "time_start", "weekday", "date_source")])
 
