@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import blank_null
+from shelfmark.functions.text import blank_null, let
 
 ISO = r"^\d{4}-\d{2}-\d{2}$"
 WEEKDAY = "[月火水木金土日]"
@@ -16,11 +14,6 @@ TO = "[〜～~-]"
 RULE = "struct<rule_type:string,start_date:string,end_date:string,time_start:string,time_end:string,weekday:string,raw_text:string,confidence:double>"
 
 
-def let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a value that is worked out once, however often f uses it."""
-    return F.transform(F.array(value), f)[0]
-
-
 def found(text: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match, null where there is none or the group took no part."""
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -48,6 +49,11 @@ def key_form(value: Column) -> Column:
     return compact(nfkc(blank_null(value)))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def contains_any(text: Column, words: tuple[str, ...]) -> Column:
     found = F.lit(False)
     for w in words:
@@ -102,9 +108,6 @@ def numeric_signatures(value: Column, normal: bool = True) -> Column:
 
 def price_hypotheses(text: Column, longest: int = 8) -> Column:
     """Prices that one recognised word may mean: runs of digits, pieces of merged runs, letters taken for digits; 20 to 9999, each once."""
-    s = F.regexp_replace(blank_null(text), "[, ]", "")
-    runs = F.regexp_extract_all(s, F.lit(r"(\d+)"), F.lit(1))
-
     def pieces(run: Column) -> Column:
         n = F.length(run)
         none = F.array().cast("array<int>")
@@ -115,12 +118,15 @@ def price_hypotheses(text: Column, longest: int = 8) -> Column:
         four = F.when((n >= 5) & (n <= min(6, longest)), F.filter(sliding(4), lambda v: (v >= 1000) & (v % 10 == 0))).otherwise(none)
         return F.concat(whole, cut, three, four)
 
-    def letter(pattern: str, digit: str) -> Column:
+    def letter(s: Column, pattern: str, digit: str) -> Column:
         found = F.regexp_extract(s, pattern, 1)
         return F.when(found != "", F.array(F.concat(F.lit(digit), found).cast("int"))).otherwise(F.array().cast("array<int>"))
 
-    every = F.concat(F.flatten(F.transform(runs, pieces)), letter(r"^[sS](\d{2})(?!\d)", "2"), letter(r"^[bB](\d{2})(?!\d)", "8"))
-    return F.array_distinct(F.filter(every, lambda v: v.between(20, 9999)))
+    def every(s: Column) -> Column:
+        runs = F.regexp_extract_all(s, F.lit(r"(\d+)"), F.lit(1))
+        return F.concat(F.flatten(F.transform(runs, pieces)), letter(s, r"^[sS](\d{2})(?!\d)", "2"), letter(s, r"^[bB](\d{2})(?!\d)", "8"))
+
+    return let(F.regexp_replace(blank_null(text), "[, ]", ""), lambda s: F.array_distinct(F.filter(every(s), lambda v: v.between(20, 9999))))
 
 
 def direct_price(text: Column) -> Column:

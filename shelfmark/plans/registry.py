@@ -26,7 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: What makes a product row unique in the lineitem table, and tells its place in the input.
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of few tasks, dealt to all cores: a small file in one row group would keep one of them busy. A large scan is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
+#: What product rows take from the lineitem table; then what makes one unique and tells its place in the input.
+LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate"]
 ORDINAL = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "copy"]
 
 
@@ -42,8 +49,7 @@ def products(spark: SparkSession, sf_dir: str, lines: str = "true") -> DataFrame
     k, price = F.col("l_orderkey"), F.col("l_extendedprice")
     day = F.col("l_shipdate").cast("date")
     base = (
-        table(spark, sf_dir, "lineitem")
-        .filter(lines)
+        spread(table(spark, sf_dir, "lineitem").select(*LINE).filter(lines))
         .join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_size"), "l_partkey")
         .select(
             *[c for c in ORDINAL if c != "copy"],

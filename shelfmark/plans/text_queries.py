@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import dates, fuzzy, text, urls
 from shelfmark.operators import gates, names
-from shelfmark.plans.registry import query, table
+from shelfmark.plans.registry import query, spread, table
 
 YEAR = 2026
 
@@ -32,7 +32,7 @@ def nfkc_key(spark: SparkSession, d: str) -> DataFrame:
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"  # whole texts cross to Python: small batches bound its memory
     spark.conf.set(rows, min(int(spark.conf.get(rows)), 500))
     wide = F.concat(F.coalesce("lang", F.lit("")), F.lit("　ＡＢＣ１２３ｶﾞ "), F.col("text"))
-    keyed = table(spark, d, "documents").select("doc_id", text.key_form(wide).alias("whole"))
+    keyed = spread(table(spark, d, "documents").select("doc_id", "lang", "text")).select("doc_id", text.key_form(wide).alias("whole"))
     return keyed.select("doc_id", F.when(F.length("whole") > 64, F.sha2("whole", 256)).otherwise(F.col("whole")).alias("key"))
 
 
@@ -102,7 +102,8 @@ def ordered_concat(spark: SparkSession, d: str) -> DataFrame:
       AND regexp_matches(t, '[一-龥ぁ-んァ-ヶA-Za-z]') AND NOT regexp_matches(t, '[□■●▲▼※★☆→←]')), '') AS name FROM p GROUP BY 1""",
 )
 def longest_fragment(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", text.longest_fragment(F.col("text"), normal=False).alias("name"))
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", text.longest_fragment(F.col("text"), normal=False).alias("name"))
 
 
 @query(
@@ -127,7 +128,8 @@ def numeric_signatures(spark: SparkSession, d: str) -> DataFrame:
 def price_hypotheses(spark: SparkSession, d: str) -> DataFrame:
     shown = F.floor("l_extendedprice").cast("string")
     vals = F.array_join(F.transform(F.array_sort(text.price_hypotheses(shown)), lambda v: v.cast("string")), ",")
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", vals.alias("vals"), text.direct_price(shown).alias("direct"))
+    lines = spread(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", vals.alias("vals"), text.direct_price(shown).alias("direct"))
 
 
 @query(
@@ -183,7 +185,7 @@ PHRASES = """p AS (SELECT o_orderkey, month(o_orderdate) AS m, day(o_orderdate)
 
 def phrases(spark: SparkSession, d: str) -> DataFrame:
     o = F.col("o_orderdate")
-    return table(spark, d, "orders").select("o_orderkey", F.month(o).cast("string").alias("m"), F.dayofmonth(o).cast("string").alias("a"), F.least(F.dayofmonth(o) + F.col("o_orderkey") % 5, F.lit(28)).cast("string").alias("b"), F.year(o).cast("string").alias("y"), (F.col("o_orderkey") % 6).alias("c"))
+    return spread(table(spark, d, "orders").select("o_orderkey", "o_orderdate")).select("o_orderkey", F.month(o).cast("string").alias("m"), F.dayofmonth(o).cast("string").alias("a"), F.least(F.dayofmonth(o) + F.col("o_orderkey") % 5, F.lit(28)).cast("string").alias("b"), F.year(o).cast("string").alias("y"), (F.col("o_orderkey") % 6).alias("c"))
 
 
 @query(
