@@ -191,32 +191,56 @@ class _Search:
 
     def __init__(self, docs: DataFrame, doc_id: str, text: str, percent: int):
         self.percent, self.source = percent, texts(docs, doc_id, text)
+        #: Tables of a round, which go when its candidates are confirmed.
+        self.scratch: list[Stored] = []
+        #: Those of the whole search.
+        self.tables: list[Stored] = []
         self.signed = Stored(self.source.mapInArrow(_sign, "doc_id long, n_shingles long, key binary, sig binary, bands array<long>, text_key long"), "signed").df()
-        self.nodes = Stored(
+        self.nodes = self.made(
             self.signed.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "nodes"
-        ).df()
+        )
         banded = self.nodes.select("key", F.explode("bands").alias("band"))
-        shared = Stored(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared").df()
-        self.members = Stored(banded.join(shared, "band"), "members").df()
-        self.keys = Stored(self.members.groupBy("key").agg(F.sum("size").alias("popularity")), "keys").df()
+        shared = Stored(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared")
+        self.members = self.made(banded.join(shared.df(), "band"), "members")
+        shared.drop()
+        self.keys = self.made(self.members.groupBy("key").agg(F.sum("size").alias("popularity")), "keys")
         needed = self.nodes.join(self.keys, "key", "left_semi").select(F.col("first").alias("doc_id")).filter("doc_id IS NOT NULL")
         few = self.keys.count() <= BROADCAST_ROWS
         bodies = self.source.join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
         nameless = self.source.filter("doc_id IS NULL")
-        self.sets = Stored(bodies.unionByName(nameless).mapInArrow(_sets, "key binary, shingles binary, map binary").dropDuplicates(["key"]).join(self.keys.select("key"), "key", "left_semi"), "sets").df()
+        self.sets = self.made(bodies.unionByName(nameless).mapInArrow(_sets, "key binary, shingles binary, map binary").dropDuplicates(["key"]).join(self.keys.select("key"), "key", "left_semi"), "sets")
         self.roots: Stored | None = None
         self.edges: DataFrame | None = None
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Adds the links among the candidate pairs (a, b); says whether there were any."""
+    def made(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(Stored(df, name))
+        return self.tables[-1].df()
+
+    def done(self) -> None:
+        for table in (*self.tables, *([self.roots] if self.roots else [])):
+            table.drop()
+
+    def held(self, df: DataFrame, name: str) -> DataFrame:
+        self.scratch.append(Stored(df, name))
+        return self.scratch[-1].df()
+
+    def confirm(self, pairs: DataFrame | None) -> None:
+        """Adds the links among the candidate pairs (a, b), if any."""
+        if pairs is not None:
+            self._confirm(pairs)
+        for done in self.scratch:
+            done.drop()
+        self.scratch = []
+
+    def _confirm(self, pairs: DataFrame) -> None:
         x = self.sets.select(F.col("key").alias("a"), F.col("shingles").alias("set_a"))
         y = self.sets.select(F.col("key").alias("b"), F.col("shingles").alias("set_b"))
-        found = Stored(pairs.select("a", "b").join(x, "a").join(y, "b").mapInArrow(_confirmed(self.percent), "a binary, b binary"), "links").df()
+        found = self.held(pairs.select("a", "b").join(x, "a").join(y, "b").mapInArrow(_confirmed(self.percent), "a binary, b binary"), "links")
         if found.isEmpty():
-            return False
+            return
         if self.roots is None:
             self.roots = components(found)
-            return True
+            return
         # The roots found so far, drawn together by the new links.
         up = self.roots.df()
         for end in ("a", "b"):
@@ -225,8 +249,9 @@ class _Search:
         moved = new.df().select(F.col("node").alias("root"), F.col("root").alias("new"))
         merged = up.join(moved, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
         fresh = new.df().join(up, "node", "left_anti")
-        self.roots = Stored(merged.unionByName(fresh), "roots")
-        return True
+        old, self.roots = self.roots, Stored(merged.unionByName(fresh), "roots")
+        old.drop()
+        new.drop()
 
     def components(self) -> DataFrame:
         if self.roots is None:
@@ -237,22 +262,24 @@ class _Search:
         """Each member with the leader of one of its bands: the one it is likeliest similar to."""
         popular = self.members.join(self.keys, "key")
         leader = popular.groupBy("band").agg(F.max(F.struct("popularity", "key")).alias("top")).select("band", F.col("top.key").alias("b"))
-        leader = Stored(leader, "leaders").df()  # read anew, so that a join with a hot band can be split
+        leader = self.held(leader, "leaders")  # read anew, so that a join with a hot band can be split
         pairs = self.members.join(leader, "band").filter("key <> b").select(F.col("key").alias("a"), "b").distinct()
         sig = self.nodes.select("key", "sig")
         both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
         near = both.mapInArrow(_estimated, "a binary, b binary, other binary, estimate double").filter(F.col("estimate") >= least_estimate(self.percent))
         return near.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
 
-    def apart(self, best: bool) -> DataFrame:
-        """Candidate pairs (a, b) between members of a band in different components."""
-        now = Stored(self.members.select("band", "key").join(self.components(), "key"), "now").df()
-        several = Stored(now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band"), "several").df()
-        mixed = Stored(now.join(several, "band", "left_semi"), "mixed").df()
+    def apart(self, best: bool) -> DataFrame | None:
+        """Candidate pairs (a, b) between members of a band in different components; None where no band has such."""
+        now = self.held(self.members.select("band", "key").join(self.components(), "key"), "now")
+        several = self.held(now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band"), "several")
+        if several.isEmpty():
+            return None
+        mixed = self.held(now.join(several, "band", "left_semi"), "mixed")
         counts = mixed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
         bands = counts.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("top"), F.sum("c").alias("all"))
         bands = bands.select("band", F.col("top.comp").alias("main"), F.ceil(F.col("all") / TILE).cast("int").alias("is"), F.ceil((F.col("all") - F.col("top.c")) / TILE).cast("int").alias("js"))
-        bands = Stored(bands, "bands").df()
+        bands = self.held(bands, "bands")
         rich = mixed.join(bands, "band").join(self.nodes.select("key", "sig", "n"), "key").join(self.sets.select("key", "map"), "key")
         own = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n)).cast("int")
         every = rich.select("band", own("is", 1).alias("i"), F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("j"), F.lit(False).alias("apart"), "key", "comp", "sig", "n", "map")
@@ -274,6 +301,7 @@ def _judged(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
     comp = s.nodes.select("key", "first").join(s.components(), "key", "left").select("key", "first", F.coalesce("comp", "key").alias("comp"))
     comp = Stored(comp, "comps").df()
     least = Stored(comp.groupBy("comp").agg(F.min("first").alias("component_id")), "least").df()
+    s.done()
     final = comp.join(least, "comp").select("key", "comp", "component_id")
     out = s.signed.select("doc_id", "n_shingles", "key", "text_key").join(final, "key", "left")
     component = F.when(F.col("comp").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
