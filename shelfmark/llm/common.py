@@ -28,7 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Without one there is no safe place for a table, so that is an error."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found and not sc.master.startswith("local"):
+    if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found:
         # Driver and executors are one process here, so any folder is shared.
