@@ -158,8 +158,8 @@ def longest_fragment(text: Column, normal: bool = True) -> Column:
 
 # Words that a product's name is not made of, and quantities.
 NAMELESS = (
-    "100gあたり", "100g当り", "パック当り", "当りパック", "お買い得", "コーナー", "本体価格", "1パック", "お買得", "あたり", "パック", "バック", "フェア", "販売", "特売", "商品", "定番", "水曜", "月曜", "火曜", "木曜", "金曜", "土曜", "日曜",
-    "限り", "より", "税込", "税抜", "本体", "価格", "当り", "各", "円",
+    "販売", "特売", "商品", "定番", "水曜", "月曜", "火曜", "木曜", "金曜", "土曜", "日曜", "フェア", "限り", "より", "税込", "税抜", "本体価格", "本体", "価格", "当り", "あたり", "パック", "バック", "各", "円", "お買得", "お買い得", "コーナー",
+    "100g当り", "100gあたり", "1パック", "パック当り", "当りパック",
 )
 QUANTITY = r"(?i)\d+(?:[.,]\d+)?(?:kg|g|ml|l|L|個|本|枚|袋|パック|入|連|束|玉|尾|切|食)?"
 PRICE_LIKE = r"^[\s\d.,/%+×xX\-~〜～円税込本体価格]+$"
@@ -176,7 +176,7 @@ def name_evidence(texts: Column) -> Column:
     """What is left of some words when quantities, prices and general terms are gone: letters alone."""
     joined = F.array_join(F.transform(texts, lambda t: F.regexp_replace(t, r"(?U)[\s・/／()（）\[\]【】]+", "")), "")
     out = F.regexp_replace(joined, QUANTITY, "")
-    for term in NAMELESS:
+    for term in sorted(NAMELESS, key=len, reverse=True):  # a term goes before one that is part of it
         out = F.replace(out, F.lit(term), F.lit(""))
     return F.regexp_replace(F.regexp_replace(out, "[円%％税込税抜本体価格]+", ""), "[^一-龥ぁ-んァ-ヶA-Za-z]", "")
 
