@@ -168,6 +168,12 @@ def inventory_report(items: DataFrame) -> DataFrame:
     return counts.select("required_count", "present_count", "missing_count", "provenance_valid_count", (c("missing_count") == 0).alias("complete"), (c("__ready") == c("required_count")).alias("release_source_ready"))
 
 
+def regression(groups: DataFrame, least_recall: float | Column, most_density: float, least_coverage: float) -> DataFrame:
+    """groups (recall, density, coverage) with passes: enough of what is expected is found, not too much besides, and enough of it is named."""
+    c = F.col
+    return groups.withColumn("passes", (c("recall") >= least_recall) & (c("density") <= most_density) & (c("coverage") >= least_coverage))
+
+
 def lint_sources(groups: DataFrame) -> DataFrame:
     """(id, fault) of a manifest's groups: id, images (urls), anchors (how many), minimum_recall, mode."""
     seen = groups.groupBy("id").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("id", F.lit("duplicate_id").alias("fault"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text
-from shelfmark.operators import cluster, names, sets, spatial
+from shelfmark.operators import cluster, gates, names, ranking, sets, spatial
 from shelfmark.plans.registry import query, table
 
 #: Seconds since midnight and since the first day of the events, in whole microseconds, so that no clock enters.
@@ -217,10 +217,9 @@ def suppress_repeats(spark: SparkSession, d: str) -> DataFrame:
 )
 def rank_margin(spark: SparkSession, d: str) -> DataFrame:
     """The best row of each part, unvetoed first, and its lead over the next."""
-    w = Window.partitionBy("l_partkey").orderBy(F.col("l_returnflag") == "R", F.desc("l_quantity"), "l_orderkey", "l_linenumber", "l_suppkey")
-    two = table(spark, d, "lineitem").withColumn("rn", F.row_number().over(w)).filter("rn <= 2")
-    by = two.groupBy("l_partkey").agg(*[F.max(F.when(F.col("rn") == k, F.struct("l_quantity", "l_orderkey"))).alias(f"r{k}") for k in (1, 2)])
-    return by.select("l_partkey", F.col("r1.l_orderkey").alias("l_orderkey"), F.col("r1.l_quantity").alias("top"), (F.col("r1.l_quantity") - F.coalesce("r2.l_quantity", F.lit(0.0))).alias("margin"))
+    order = [F.col("l_returnflag") == "R", F.desc("l_quantity"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")]
+    rows = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag")
+    return ranking.lead(rows, ["l_partkey"], order, "l_quantity", ["l_orderkey"])
 
 
 @query(
@@ -249,7 +248,7 @@ def majority_vote(spark: SparkSession, d: str) -> DataFrame:
 
 @query("exact_median", "SELECT l_suppkey, median(l_quantity) AS middle, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem GROUP BY 1")
 def exact_median(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.median("l_quantity").alias("middle"), F.min("l_extendedprice").alias("lo"), F.max("l_extendedprice").alias("hi"))
+    return ranking.extent(table(spark, d, "lineitem"), ["l_suppkey"], "l_quantity", "l_extendedprice")
 
 
 @query(
@@ -258,8 +257,8 @@ def exact_median(spark: SparkSession, d: str) -> DataFrame:
 )
 def consensus(spark: SparkSession, d: str) -> DataFrame:
     """Names seen in at least four variants of an image, with the best evidence."""
-    g = table(spark, d, "events").groupBy("user_id", F.hour("ts").alias("hour"))
-    return g.agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("variants"), F.max_by("event_type", F.struct("value", "event_id")).alias("best"), F.count(F.lit(1)).alias("n")).filter(F.size(F.split("variants", ",")) >= 4)
+    e = table(spark, d, "events").withColumn("hour", F.hour("ts"))
+    return ranking.consensus(e, ["user_id", "hour"], "event_type", [F.col("value"), F.col("event_id")], 4).withColumn("variants", F.array_join("variants", ","))
 
 
 @query(
@@ -390,9 +389,8 @@ def candidate_order(spark: SparkSession, d: str) -> DataFrame:
     """The reading to believe: surest, then with a slash, with a range sign, longest, first."""
     t = F.concat("event_type", F.when(F.col("event_id") % 2 == 0, "/").otherwise(""), F.when(F.col("event_id") % 3 == 0, "〜").otherwise(""))
     c = table(spark, d, "events").select("user_id", "event_id", F.round(F.col("value") % 3).alias("conf"), t.alias("t"))
-    order = F.struct("conf", F.col("t").contains("/"), F.col("t").contains("〜"), F.length("t"), -F.col("event_id"))
-    best = c.groupBy("user_id").agg(F.max_by(F.struct("event_id", "t"), order).alias("b"))
-    return best.select("user_id", F.col("b.event_id").alias("event_id"), F.col("b.t").alias("best"))
+    order = [F.col("conf"), F.col("t").contains("/"), F.col("t").contains("〜"), F.length("t"), -F.col("event_id")]
+    return ranking.best(c, ["user_id"], order, ["event_id", "t"]).withColumnRenamed("t", "best")
 
 
 @query(
@@ -421,7 +419,7 @@ def regression_gate(spark: SparkSession, d: str) -> DataFrame:
     c = li.groupBy("g").agg(F.count(F.lit(1)).alias("found"), F.count_if(F.col("l_linestatus") == "F").alias("named"))
     density = F.when(F.col("g") % 10 > 0, F.col("found") / (F.col("g") % 10)).otherwise(9999.0)
     shown = r.join(c, "g").select("g", "recall", density.alias("density"), (F.col("named") / F.col("found")).alias("coverage"))
-    return shown.withColumn("passes", (F.col("recall") >= 0.8) & (F.col("density") <= 400) & (F.col("coverage") >= 0.49))
+    return gates.regression(shown, 0.8, 400.0, 0.49)
 
 
 @query(

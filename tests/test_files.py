@@ -259,8 +259,10 @@ def test_streams(spark, sf, tmp_path):
     events.repartitionByRange(3, "ts").write.parquet(source)
     seen = []
     windows = updates.windowed_counts(updates.event_stream(spark, source, events.schema), "1 day", late="365 days")
-    updates.run_available(windows, str(tmp_path / "c1"), lambda df, _: seen.append(df.agg(F.sum("n")).first()[0] or 0), "update")
-    assert seen and max(seen) <= events.count()
+    updates.run_available(windows, str(tmp_path / "c1"), lambda df, _: seen.extend(df.collect()), "update")
+    last = {(r["start"], r["event_type"]): r["n"] for r in seen}
+    whole = updates.windowed_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "1 day").collect()
+    assert last == {(r["start"], r["event_type"]): r["n"] for r in whole} and sum(last.values()) == events.count()
     sessions = []
     updates.run_available(updates.sessions(updates.event_stream(spark, source, events.schema), late="1 hour"), str(tmp_path / "c2"), lambda df, _: sessions.extend(df.collect()))
     assert sum(r["n"] for r in sessions) > 0

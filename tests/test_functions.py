@@ -21,6 +21,7 @@ def test_tax(spark):
     assert value(spark, price.derived_in_tax(F.lit("100"), F.lit(None), F.lit("0"))) == 100
     assert value(spark, price.derived_in_tax(F.lit("100"), F.lit("105.9"), F.lit("0.1"))) == 105
     assert value(spark, price.derived_in_tax(F.lit("100"), F.lit(None), F.lit(""))) is None
+    assert tuple(value(spark, price.price_pair(F.lit("100.9"), F.lit("x")))) == (100, None)
     assert value(spark, price.infer_tax_rate(F.lit(100), F.lit(110))) == 0.10
     assert value(spark, price.infer_tax_rate(F.lit(100), F.lit(120))) is None
 
