@@ -40,6 +40,8 @@ ROUNDS = STRIDE
 STEP, RATE, SEED = 2048, 0.01, 5
 #: Words scored together: what fits a processor's cache.
 TOGETHER = 1 << 12
+#: Rows of a batch in which a block's words are streamed to it.
+WORD_ROWS = 1 << 15
 #: Words of a block, about.
 BLOCK_WORDS = 1 << 21
 #: Averages are made in so many groups at most before the driver joins them.
@@ -49,8 +51,8 @@ VOCABULARY = FREQUENT + SHARED
 NOTHING = VOCABULARY  # before the first word and after the last
 
 ENTRY = pa.struct([("word", pa.binary()), ("n", pa.int64())])
-BLOCKS = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("codes", pa.binary()), ("vocabulary", pa.list_(ENTRY))])
-BLOCKS_SQL = "block long, docs array<long>, lengths array<long>, codes binary, vocabulary array<struct<word: binary, n: long>>"
+BLOCKS = pa.schema([("block", pa.int64()), ("body", pa.binary()), ("vocabulary", pa.list_(ENTRY))])
+BLOCKS_SQL = "block long, body binary, vocabulary array<struct<word: binary, n: long>>"
 CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("own", pa.float64())])
 CODED_SQL = "doc_id long, ids binary, own double"
 TRAINED = pa.schema([("place", pa.int64()), ("weights", pa.binary()), ("seen", pa.int64())])
@@ -80,8 +82,22 @@ class _Block:
         counts = np.bincount(codes, minlength=len(self.words))
         entries = pa.StructArray.from_arrays([pa.array(list(self.words), pa.binary()), pa.array(counts[: len(self.words)], pa.int64())], fields=list(ENTRY))
         vocabulary = pa.ListArray.from_arrays(pa.array([0, len(self.words)], pa.int32()), entries)
-        # The low halves, then the high ones, which are nearly all zero.
-        return batch(BLOCKS, [number], [self.docs], [self.lengths], [codes.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()], vocabulary)
+        return batch(BLOCKS, [number], [packed(self.docs, self.lengths, codes)], vocabulary)
+
+
+def packed(docs: list[int | None], lengths: list[int], codes: np.ndarray) -> bytes:
+    """A block's texts as bytes: how many, their ids, which have one, their lengths, and the codes: low halves, then the high ones, which are nearly all zero."""
+    ids = np.array([d or 0 for d in docs], "<i8")
+    named = np.array([d is not None for d in docs], np.uint8)
+    return b"".join((len(docs).to_bytes(8, "little"), ids.tobytes(), named.tobytes(), np.array(lengths, "<i8").tobytes(), codes.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()))
+
+
+def unpacked(body: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Ids, lengths and codes of packed()."""
+    n = int.from_bytes(body[:8], "little")
+    ids, named = np.frombuffer(body, "<i8", n, 8), np.frombuffer(body, np.uint8, n, 8 + 8 * n)
+    low, high = np.frombuffer(body, "<u2", -1, 8 + 17 * n).reshape(2, -1).astype(np.int64)
+    return pa.array(ids, mask=named == 0), np.frombuffer(body, "<i8", n, 8 + 9 * n), low | high << 16
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +114,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read(docs: DataFrame) -> DataFrame:
-    """Blocks of (doc_id, text): block, docs, lengths, codes, vocabulary (distinct words and their numbers)."""
+    """Blocks of (doc_id, text): block, body (its texts, packed), vocabulary (distinct words and their numbers)."""
     return docs.mapInArrow(_read, BLOCKS_SQL)
 
 
@@ -143,40 +159,49 @@ def _numbered(totals: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each block its words (at, id, share), then its texts: a row for each text with ids (unsigned 16-bit) and own, the sum of its words' shares."""
-    held: list[tuple[np.ndarray, ...]] = []
+    """Of each block its words (id, share) in their places, then its texts: a row for each text with ids (unsigned 16-bit) and own, the sum of its words' shares."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for b in batches:
-        column = {c: b.column(b.schema.get_field_index(c)) for c in b.schema.names}
-        at, ids, share = (column[c].fill_null(0).to_numpy(zero_copy_only=False) for c in ("at", "id", "share"))
+        ids, share, bodies = (b.column(b.schema.get_field_index(c)) for c in ("id", "share", "body"))
+        ids, share = (c.fill_null(0).to_numpy(zero_copy_only=False) for c in (ids, share))
         begin = 0
-        for end in [*np.flatnonzero(column["codes"].is_valid().to_numpy(zero_copy_only=False)).tolist(), None]:
-            if (words_ := slice(begin, end)) and len(at[words_]):
-                held.append((at[words_], ids[words_], share[words_]))
+        for end in [*np.flatnonzero(bodies.is_valid().to_numpy(zero_copy_only=False)).tolist(), None]:
+            if len(ids[begin:end]):
+                held.append((ids[begin:end], share[begin:end]))
             if end is None:
                 break
-            place, number, log = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int64),) * 3
-            id_of, log_of = np.zeros(len(place), np.uint16), np.zeros(len(place))
-            id_of[place], log_of[place] = number, log
-            low, high = np.frombuffer(column["codes"][end].as_py(), "<u2").reshape(2, -1).astype(np.int64)
-            line = low | high << 16
-            ends = np.concatenate([[0], np.cumsum(column["lengths"][end].values.to_numpy())]).astype(np.int64)
-            sums = np.concatenate([[0.0], np.cumsum(log_of[line])])
-            coded = id_of[line].tobytes()
-            yield batch(CODED, column["docs"][end].values, [coded[2 * x : 2 * y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)], sums[ends[1:]] - sums[ends[:-1]])
+            id_of, log_of = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int16), np.zeros(0))
+            docs, lengths, line = unpacked(bodies[end].as_py())
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            sums = np.concatenate([[0.0], np.cumsum(log_of.astype(np.float64)[line])])
+            coded = id_of.astype(np.uint16)[line].tobytes()
+            yield batch(CODED, docs, [coded[2 * x : 2 * y] for x, y in zip(ends.tolist(), ends[1:].tolist(), strict=False)], sums[ends[1:]] - sums[ends[:-1]])
             held, begin = [], end + 1
 
 
+def _dealt(block: Column, tasks: int) -> Column:
+    """The task of a block: a partition's blocks, and those of its neighbours, go to tasks side by side."""
+    return F.pmod(F.shiftright(block, 31) * 4 + block.bitwiseAND(F.lit((1 << 31) - 1)), F.lit(tasks)).cast("int")
+
+
 def coded_texts(docs: DataFrame) -> Stored:
     """(doc_id, ids, own) of every row of (doc_id, text)."""
     blocks = Stored(read(docs), "blocks")
     totals = Stored(word_totals(blocks.df()), "totals")
     listed = _numbered(totals.df(), most_frequent(totals.df()))
-    empty = {c: F.lit(None).cast(t) for c, t in (("docs", "array<long>"), ("lengths", "array<long>"), ("codes", "binary"), ("at", "int"), ("id", "short"), ("share", "float"))}
-    words_ = listed.withColumns({c: empty[c] for c in ("docs", "lengths", "codes")})
-    bodies = blocks.df().select("block", "docs", "lengths", "codes").withColumns({c: empty[c] for c in ("at", "id", "share")})
+    words_ = listed.select("block", "at", "id", "share", F.lit(None).cast("binary").alias("body"))
+    bodies = blocks.df().select("block", F.lit(None).cast("int").alias("at"), F.lit(None).cast("short").alias("id"), F.lit(None).cast("float").alias("share"), "body")
     # Streamed, words first: no list of a block's words is ever one value.
-    ordered = words_.unionByName(bodies).repartition("block").sortWithinPartitions("block", F.col("codes").isNotNull(), "at")
-    out = Stored(ordered.mapInArrow(_coded, CODED_SQL), "coded")
+    spark = docs.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = words_.unionByName(bodies).repartitionById(tasks, _dealt(F.col("block"), tasks)).sortWithinPartitions("block", F.col("body").isNotNull(), "at")
+    length = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(length)
+    spark.conf.set(length, WORD_ROWS)  # short rows but for one in each block
+    try:
+        out = Stored(ordered.select("id", "share", "body").mapInArrow(_coded, CODED_SQL), "coded")
+    finally:
+        spark.conf.set(length, before)
     blocks.drop()
     totals.drop()
     return out
