@@ -1,5 +1,6 @@
 """Every registered query of the core runs, and equals its SQL where it has one."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -44,3 +45,10 @@ def test_coverage_and_groups_of_whole_tables(spark, sf):
         sizes.setdefault(name, set()).add(size)
     groups = {r["name"]: r["sibling_group"] for r in QUERIES["sibling_groups"](spark, sf).collect()}
     assert groups == {f"{k} {s}cm": len(v) > 1 for k, v in sizes.items() for s in v}
+
+
+def test_pages_of_one_address_are_looked_up_each(spark, tmp_path):
+    pages = "(0, 'a'), (1, 'a'), (4, 'a'), (2, 'b'), (3, 'b'), (8, 'c'), (12, 'c'), (5, NULL), (16, NULL), (7, 'e'), (7, 'e'), (7, 'f'), (20, 'f'), (-3, 'a'), (-4, 'e'), (24, ''), (NULL, 'a'), (NULL, 'd'), (NULL, NULL)"
+    duckdb.sql(f"COPY (SELECT page_id::BIGINT AS page_id, url FROM (VALUES {pages}) t(page_id, url)) TO '{tmp_path}/pages.parquet'")
+    mine, theirs = both(text_queries.cache_lookup(spark, str(tmp_path)), ORACLES["cache_lookup"], connect(str(tmp_path)))
+    assert mine == theirs and len(mine) == 19
