@@ -41,4 +41,19 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN n USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op8_near_dedup": OP8}
+TERMS = r"unnest(regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+OP13 = f"""
+WITH said AS (SELECT doc_id, {TERMS.format("text")} AS term FROM documents),
+held AS (SELECT doc_id, term, count(*) AS tf FROM said GROUP BY ALL),
+size AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY 1),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+asked AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {TERMS.format("text")} AS term FROM benchmark)),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN weight USING (term) JOIN held USING (term) JOIN size USING (doc_id), whole GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op8_near_dedup": OP8, "op13_wand_search": OP13}
