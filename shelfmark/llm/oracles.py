@@ -56,4 +56,17 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 QUALIFY rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op8_near_dedup": OP8, "op13_wand_search": OP13}
+OP11 = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({NORMAL}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+said AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS ws FROM piece),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM said GROUP BY 1),
+f AS (SELECT lang, p, len(p) AS m, count(*) AS a FROM (SELECT lang, ws[i:i + m - 1] AS p FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM said, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(ws) >= m)) GROUP BY lang, p),
+candidate AS (SELECT lang, p, m, a, array_to_string(p, ' ') AS phrase FROM f WHERE m >= 2 AND a >= 100),
+cut AS (SELECT c.lang, c.phrase, c.m, c.a, k, x.a AS l, y.a AS r, n, (1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS score FROM (SELECT *, unnest(range(1, m)) AS k FROM candidate) c
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:c.m] JOIN total ON total.lang = c.lang),
+worst AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM worst w WHERE NOT EXISTS (SELECT 1 FROM candidate x WHERE x.lang = w.lang AND x.m > w.m AND x.a >= w.a AND contains(' ' || x.phrase || ' ', ' ' || w.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM kept QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_dedup": OP1, "op2_substring_dedup": OP2, "op8_near_dedup": OP8, "op11_phrase_growth": OP11, "op13_wand_search": OP13}
