@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, masked_lm, minhash, near_dedup, phrase_growth, quality_gam, ring_sharding, substring_dedup, wand_search
+from shelfmark.llm import bpe_automaton, exact_dedup, harmonic_packing, language_bigru, masked_lm, minhash, near_dedup, phrase_growth, quality_gam, ring_sharding, substring_dedup, toxicity_channel, wand_search
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,11 @@ def op11_phrase_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_growth.collocations(documents(spark, sf_dir), least=100, top=2000)
 
 
+def op12_toxicity_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity_channel.score(docs, toxicity_channel.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op13_wand_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wand_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
 
@@ -81,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_automaton": op9_bpe_automaton,
     "op4_ring_sharding": op4_ring_sharding,
     "op11_phrase_growth": op11_phrase_growth,
+    "op12_toxicity_channel": op12_toxicity_channel,
     "op13_wand_search": op13_wand_search,
 }
