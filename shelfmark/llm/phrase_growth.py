@@ -1,8 +1,8 @@
 """Phrase collocations: contiguous patterns grown from frequent prefixes, PrefixSpan-style.
 
-1. Words are counted in each lang. A word that is too rare ends every phrase, so from here on it is a break.
-2. Pairs of neighbours are counted in buckets: a filter that says which pairs may be frequent, and which are hot.
-3. Each occurrence of a pair is projected: the pair and the words that may follow, five in all, equal projections of
+1. Words and pairs of neighbours are counted in each lang, the pairs in buckets: a filter that says which may be frequent, and which are hot.
+2. Threes of which both pairs may be frequent are counted the same way.
+3. Each occurrence of a frequent pair is projected: the pair and the words that may follow, five in all, equal projections of
    a task as one row with a count. A prefix is dealt to one task, which grows it to the right, depth first, over
    slices of its sorted projections. The projections of a hot prefix are dealt to all tasks instead; each of
    these gives its share of the counts, and the shares are summed.
@@ -14,7 +14,6 @@ another word; so what is counted is exact. The filters have a fixed size: more w
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import count
 
@@ -34,8 +33,8 @@ LONGEST = 5
 FILTER_BITS, CHUNK = 1 << 26, 1 << 15
 #: Occurrences from which on a prefix of two words is hot.
 HOT = 1 << 20
-#: Distinct words, pairs and projections that a worker holds before it sends them on.
-HELD_WORDS, HELD_PAIRS, HELD_ROWS = 1 << 19, 1 << 22, 1 << 19
+#: Distinct words, runs of words and projections that a worker holds before it sends them on.
+HELD_WORDS, HELD_RUNS, HELD_ROWS = 1 << 19, 1 << 22, 1 << 19
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes(10 if c in _BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -49,12 +48,12 @@ def tokens(body: bytes) -> list[bytes]:
 class Numbers(dict):
     """The words of one lang as numbers from 1 on, 0 for the end of a piece and -1 for no word. Forgets all when it is full."""
 
-    def __init__(self, lang: bytes, seed: int, bits: int):
+    def __init__(self, lang: bytes, seed: int, bits: int, most: float = HELD_WORDS):
         super().__init__()
-        self.lang, self.seed, self.bits = lang + b"\0", seed, bits
+        self.lang, self.seed, self.bits, self.most = lang + b"\0", seed, bits, most
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= HELD_WORDS:
+        if len(self) >= self.most:
             self.clear()
         n = {b"": -1, b"\n": 0}.get(word)
         if n is None:
@@ -62,45 +61,35 @@ class Numbers(dict):
         self[word] = n
         return n
 
+    def of(self, body: bytes) -> np.ndarray:
+        """A text as numbers, with 0 where a piece ends, last of all too."""
+        said = tokens(body)
+        found = np.fromiter(map(self.__getitem__, said), np.int64, len(said))
+        return np.append(found[found >= 0], 0)
+
 
 def by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
     for langs, bodies in rows(batches, "lang", "text"):
         yield from zip(langs, bodies, strict=True)
 
 
-WORDS = pa.schema([("lang", pa.binary()), ("word", pa.binary()), ("number", pa.int64()), ("n", pa.int64())])
-
-
-def counted_words(source: DataFrame, seed: int, bits: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, Counter] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, words in held.items():
-                numbers = Numbers(lang, seed, bits)
-                words.pop(b"", None)
-                words.pop(b"\n", None)
-                yield batch(WORDS, [lang] * len(words), list(words), [numbers[w] for w in words], list(words.values()))
-            held.clear()
+def numbered(batches: Iterator[pa.RecordBatch], seed: int, bits: int) -> Iterator[np.ndarray]:
+    langs: dict[bytes, Numbers] = {}
+    for lang, body in by_lang(batches):
+        yield langs.setdefault(lang, Numbers(lang, seed, bits)).of(body)
 
-        for lang, body in by_lang(batches):
-            held.setdefault(lang, Counter()).update(tokens(body))
-            if sum(map(len, held.values())) >= HELD_WORDS:
-                yield from out()
-        yield from out()
 
-    sent = source.mapInArrow(run, "lang binary, word binary, number long, n long")
-    return sent.groupBy("lang", "word", "number").agg(F.sum("n").alias("n"))
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
 
 
-def words_and_seed(source: DataFrame, least: int, bits: int) -> tuple[Stored, int]:
-    """The counted words, and the first seed with which no word that occurs least times shares its number."""
-    for seed in count():
-        words = Stored(counted_words(source, seed, bits), "words")
-        shared = words.df().groupBy("number").agg(F.count(F.lit(1)).alias("words"), F.max("n").alias("most")).filter((F.col("words") > 1) & (F.col("most") >= least))
-        if shared.isEmpty():
-            return words, seed
-        words.drop()
+def bucket(*columns: np.ndarray) -> np.ndarray:
+    """The places of runs of words in their filter."""
+    return (_mixed(list(columns)) >> np.uint64(20)).astype(np.int64) & (FILTER_BITS - 1)
 
 
 class Bits:
@@ -115,69 +104,68 @@ class Bits:
         return (self.packed[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
 
 
-def word_filter(frequent: DataFrame) -> Bits:
-    place = F.col("number").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1
-    made = frequent.groupBy((F.bitmap_bucket_number(place) - 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).toArrow()
-    return Bits(list(zip(made.column("k").to_pylist(), made.column("bits").to_pylist(), strict=True)))
+COUNTED = pa.schema([("lang", pa.binary()), ("word", pa.binary()), ("number", pa.int64()), ("n", pa.int64()), ("chunk", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
+BITMAPS = pa.schema([("chunk", pa.int32()), ("frequent", pa.binary()), ("hot", pa.binary())])
 
 
-def _mixed(columns: list[np.ndarray]) -> np.ndarray:
-    h = np.zeros(len(columns[0]), np.uint64)
-    for c in columns:
-        h = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    return h
+def chunks_of(places: np.ndarray) -> tuple[list, list, list]:
+    """How often each place comes, a row for each chunk of the filter: chunk, places in it, counts."""
+    places, counts = np.unique(places, return_counts=True)
+    cuts = np.flatnonzero(np.diff(places >> 15, prepend=-1))
+    parts = [slice(lo, hi) for lo, hi in zip(cuts, np.append(cuts[1:], len(places)), strict=True)]
+    return [int(places[p][0]) >> 15 for p in parts], [(places[p] & CHUNK - 1).astype(np.uint16).tobytes() for p in parts], [counts[p].astype(np.uint32).tobytes() for p in parts]
 
 
-def bucket(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The place of a pair in the filter of pairs."""
-    return (_mixed([x, y]) >> np.uint64(20)).astype(np.int64) & (FILTER_BITS - 1)
+def counted(source: DataFrame, seed: int, bits: int) -> DataFrame:
+    """Two kinds of rows: words of a lang with their number and count, and chunks of counted pairs. Both are parts of sums."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs: dict[bytes, tuple[Numbers, list[np.ndarray]]] = {}
+        size = 0
 
-def numbered(batches: Iterator[pa.RecordBatch], seed: int, bits: int, known: Bits) -> Iterator[np.ndarray]:
-    """Each text as numbers of words that may be frequent, with 0 for all that ends a phrase, last of all too."""
-    langs: dict[bytes, Numbers] = {}
-    for lang, body in by_lang(batches):
-        numbers = langs.setdefault(lang, Numbers(lang, seed, bits))
-        said = tokens(body)
-        found = np.fromiter(map(numbers.__getitem__, said), np.int64, len(said))
-        found = found[found >= 0]
-        found[~known.has(found & (FILTER_BITS - 1))] = 0
-        yield np.append(found, 0)
+        def out() -> Iterator[pa.RecordBatch]:
+            pairs = []
+            for lang, (numbers, held) in langs.items():
+                found = np.concatenate(held)
+                held.clear()
+                x, y = found[:-1], found[1:]
+                both = (x > 0) & (y > 0)
+                pairs.append(bucket(x[both], y[both]).astype(np.int32))
+                known, counts = np.unique(found[found > 0], return_counts=True)
+                # Of words that share a number one has the count here; such numbers are found out later and drawn again.
+                own = {n: w for w, n in numbers.items() if n > 0}
+                numbers.clear()
+                nothing = [None] * len(known)
+                yield batch(COUNTED, [lang] * len(known), [own[n] for n in known.tolist()], pa.array(known), pa.array(counts), nothing, nothing, nothing)
+            places = np.concatenate(pairs)
+            if len(places):
+                chunks = chunks_of(places)
+                nothing = [None] * len(chunks[0])
+                yield batch(COUNTED, nothing, nothing, nothing, nothing, *chunks)
 
+        for lang, body in by_lang(batches):
+            if lang not in langs:
+                langs[lang] = (Numbers(lang, seed, bits, float("inf")), [])
+            langs[lang][1].append(langs[lang][0].of(body))
+            size += len(langs[lang][1][-1])
+            if size >= HELD_RUNS or sum(len(n) for n, _ in langs.values()) >= HELD_WORDS:
+                yield from out()
+                langs.clear()
+                size = 0
+        if langs:
+            yield from out()
 
-PAIRS = pa.schema([("chunk", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
-BITMAPS = pa.schema([("chunk", pa.int32()), ("frequent", pa.binary()), ("hot", pa.binary())])
+    return source.mapInArrow(run, "lang binary, word binary, number long, n long, chunk int, places binary, counts binary")
 
 
-def pair_filters(source: DataFrame, known: Bits, seed: int, bits: int, least: int, hot: int) -> tuple[Bits, Bits]:
-    """Which buckets of pairs hold least occurrences, and which hold hot ones. No pair with as many is missed."""
+def merged(chunks: DataFrame, least: int, hot: int) -> tuple[Bits, Bits]:
+    """Which places of a filter hold least, and which hold hot occurrences: never one too few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            places, counts = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.flatnonzero(np.diff(places >> 15, prepend=-1))
-            for lo, hi in zip(cuts, np.append(cuts[1:], len(places)), strict=True):
-                yield batch(PAIRS, [int(places[lo]) >> 15], [(places[lo:hi] & CHUNK - 1).astype(np.uint16).tobytes()], [counts[lo:hi].astype(np.uint32).tobytes()])
-
-        for found in numbered(batches, seed, bits, known):
-            x, y = found[:-1], found[1:]
-            both = (x > 0) & (y > 0)
-            held.append(bucket(x[both], y[both]).astype(np.int32))
-            size += len(held[-1])
-            if size >= HELD_PAIRS:
-                yield from out()
-                held, size = [], 0
-        if size:
-            yield from out()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, totals = None, np.zeros(CHUNK, np.int64)
         packed = lambda x: [np.packbits(x, bitorder="little").tobytes()]
-        for chunks, places, counts in rows(batches, "chunk", "places", "counts"):
-            for k, p, c in zip(chunks, places, counts, strict=True):
+        for ks, places, counts in rows(batches, "chunk", "places", "counts"):
+            for k, p, c in zip(ks, places, counts, strict=True):
                 if k != at and at is not None:
                     yield batch(BITMAPS, [at], packed(totals >= least), packed(totals >= hot))
                     totals[:] = 0
@@ -186,29 +174,70 @@ def pair_filters(source: DataFrame, known: Bits, seed: int, bits: int, least: in
         if at is not None:
             yield batch(BITMAPS, [at], packed(totals >= least), packed(totals >= hot))
 
-    sent = source.mapInArrow(run, "chunk int, places binary, counts binary")
-    made = sent.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(merge, "chunk int, frequent binary, hot binary").toArrow()  # two filters of FILTER_BITS
+    made = chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "chunk int, frequent binary, hot binary").toArrow()  # two filters of FILTER_BITS
     each = [made.column(c).to_pylist() for c in ("chunk", "frequent", "hot")]
     return Bits(list(zip(each[0], each[1], strict=True))), Bits(list(zip(each[0], each[2], strict=True)))
 
 
+def words_and_pairs(source: DataFrame, least: int, bits: int, hot: int) -> tuple[Stored, int, Bits, Bits]:
+    """The counted words, the first seed with which no word that occurs least times shares its number, and the filters of pairs."""
+    for seed in count():
+        parts = Stored(counted(source, seed, bits), "counts")
+        words = Stored(parts.df().filter("chunk IS NULL").groupBy("lang", "word", "number").agg(F.sum("n").alias("n")), "words")
+        shared = words.df().groupBy("number").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).filter((F.col("words") > 1) & (F.col("n") >= least))
+        if shared.isEmpty():
+            pairs = merged(parts.df().filter("chunk IS NOT NULL").select("chunk", "places", "counts"), least, hot)
+            parts.drop()
+            return words, seed, *pairs
+        parts.drop()
+        words.drop()
+
+
+THREES = pa.schema(list(COUNTED)[4:])
+
+
+def pairs_on(found: np.ndarray, pairs: Bits) -> np.ndarray:
+    """Where a pair begins that may be frequent; as long as found."""
+    x, y = found[:-1], found[1:]
+    on = (x > 0) & (y > 0)
+    on[on] = pairs.has(bucket(x[on], y[on]))
+    return np.append(on, False)
+
+
+def counted_threes(source: DataFrame, pairs: Bits, seed: int, bits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for found in numbered(batches, seed, bits):
+            on = pairs_on(found, pairs)
+            at = np.flatnonzero(on[:-1] & on[1:])
+            held.append(bucket(found[at], found[at + 1], found[at + 2]).astype(np.int32))
+            size += len(at)
+            if size >= HELD_RUNS:
+                yield batch(THREES, *chunks_of(np.concatenate(held)))
+                held, size = [], 0
+        if size:
+            yield batch(THREES, *chunks_of(np.concatenate(held)))
+
+    return source.mapInArrow(run, "chunk int, places binary, counts binary")
+
+
 WORD = [f"w{k}" for k in range(1, LONGEST + 1)]
 PROJECTED = pa.schema([*[(w, pa.int64()) for w in WORD], ("n", pa.int64()), ("hot", pa.bool_()), ("deal", pa.int64())])
 GROWN = pa.schema([*[(w, pa.int64()) for w in WORD], ("n", pa.int64())])
 
 
-def project(found: np.ndarray, frequent: Bits) -> np.ndarray:
+def project(found: np.ndarray, pairs: Bits, threes: Bits) -> np.ndarray:
     """A row for each pair that may be frequent: it and what may follow, up to LONGEST words, then zeros."""
-    x, y = found[:-1], found[1:]
-    goes_on = (x > 0) & (y > 0)
-    goes_on[goes_on] = frequent.has(bucket(x[goes_on], y[goes_on]))
-    starts = np.flatnonzero(goes_on)
+    on = pairs_on(found, pairs)
+    goes_on = np.zeros(len(found) + LONGEST, bool)  # from here a third word may follow
+    at = np.flatnonzero(on[:-1] & on[1:])
+    goes_on[at] = threes.has(bucket(found[at], found[at + 1], found[at + 2]))
+    starts = np.flatnonzero(on)
     out = np.zeros((len(starts), LONGEST), np.int64)
-    out[:, 0] = found[starts]
+    out[:, 0], out[:, 1] = found[starts], found[starts + 1]
     still = np.ones(len(starts), bool)
-    padded = np.append(goes_on, np.zeros(LONGEST, bool))
-    for k in range(1, LONGEST):
-        still &= padded[starts + k - 1]
+    for k in range(2, LONGEST):
+        still &= goes_on[starts + k - 2]
         out[still, k] = found[starts[still] + k]
     return out
 
@@ -245,7 +274,7 @@ def shares(projected: np.ndarray, counts: np.ndarray, out: list[tuple]) -> None:
             out.append((*projected[cuts[k], :depth].tolist(), *[0] * (LONGEST - depth), int(totals[k])))
 
 
-def phrases(source: DataFrame, known: Bits, frequent: Bits, hot: Bits, seed: int, bits: int, least: int) -> DataFrame:
+def phrases(source: DataFrame, pairs: Bits, threes: Bits, hot: Bits, seed: int, bits: int, least: int) -> DataFrame:
     """(w1, .., w5, n): phrases of two words and more that occur least times; shorter ones end in zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,8 +288,8 @@ def phrases(source: DataFrame, known: Bits, frequent: Bits, hot: Bits, seed: int
                 part = slice(k, k + (1 << 16))
                 yield batch(PROJECTED, *[pa.array(found[part, j]) for j in range(LONGEST)], *(pa.array(x[part]) for x in (counts, is_hot, deal)))
 
-        for one in numbered(batches, seed, bits, known):
-            held.append(project(one, frequent))
+        for one in numbered(batches, seed, bits):
+            held.append(project(one, pairs, threes))
             size += len(held[-1])
             if size >= HELD_ROWS:
                 yield from out()
@@ -325,13 +354,11 @@ def collocations(
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).cast("binary").alias("lang"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
-    words, seed = words_and_seed(source, least, bits)
+    words, seed, pairs, is_hot = words_and_pairs(source, least, bits, hot)
+    threes, _ = merged(counted_threes(source, pairs, seed, bits), least, hot)
+    found = Stored(phrases(source, pairs, threes, is_hot, seed, bits, least), "phrases")
     totals = words.df().groupBy("lang").agg(F.sum("n").alias("total"))
-    common = words.df().filter(F.col("n") >= least)
-    known = word_filter(common)
-    frequent, is_hot = pair_filters(source, known, seed, bits, least, hot)
-    found = Stored(phrases(source, known, frequent, is_hot, seed, bits, least), "phrases")
-    return ranked(found.df(), common.join(totals, "lang"), top)
+    return ranked(found.df(), words.df().filter(F.col("n") >= least).join(totals, "lang"), top)
 
 
 def ranked(found: DataFrame, common: DataFrame, top: int | None) -> DataFrame:

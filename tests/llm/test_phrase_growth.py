@@ -85,7 +85,7 @@ def test_equals_brute_force(spark, hot):
 
 
 def test_small_flushes_and_best_rows(spark, monkeypatch):
-    for name, value in (("HELD_ROWS", 7), ("HELD_PAIRS", 9), ("HELD_WORDS", 11)):
+    for name, value in (("HELD_ROWS", 7), ("HELD_RUNS", 9), ("HELD_WORDS", 11)):
         monkeypatch.setattr(phrase_growth, name, value)
     rows = corpus(5)
     assert got(frame(spark, rows), least=4, top=5) == brute(rows, 4, 5)
@@ -94,8 +94,7 @@ def test_small_flushes_and_best_rows(spark, monkeypatch):
 def test_numbers_that_words_share_are_drawn_again(spark):
     rows = corpus(7)
     source = frame(spark, rows).select(F.lit(b"en").alias("lang"), F.col("text").cast("binary").alias("text")).filter("text IS NOT NULL")
-    _, seed = phrase_growth.words_and_seed(source, 50, 17)
-    assert seed > 0
+    assert phrase_growth.words_and_pairs(source, 50, 17, 1 << 20)[1] > 0
     assert got(frame(spark, rows), least=50, top=None, bits=17) == brute(rows, 50)
 
 
