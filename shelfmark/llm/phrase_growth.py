@@ -3,8 +3,8 @@
 1. Words and pairs of neighbours are counted in each lang, the pairs in buckets: a filter that says which may be frequent, and which are hot.
 2. Threes of which both pairs may be frequent are counted the same way.
 3. Each occurrence of a frequent pair is projected: the pair and the words that may follow, five in all, equal projections of
-   a task as one row with a count. A prefix is dealt to one task, which grows it to the right, depth first, over
-   slices of its sorted projections. The projections of a hot prefix are dealt to all tasks instead; each of
+   a task once with a count. Projections travel packed, by buckets of prefixes of about equal size. A prefix is in one bucket, whose task grows it to the
+   right, depth first, over slices of its sorted projections. The projections of a hot prefix are dealt to all buckets instead; each of
    these gives its share of the counts, and the shares are summed.
 4. Candidates are cut, scored in whole numbers, dropped under longer ones of the same count, and ranked.
 
@@ -29,6 +29,8 @@ from shelfmark.llm.common import Stored, batch, rows, small_batches
 
 #: Words of the longest phrase.
 LONGEST = 5
+#: Occurrences of a bucket of prefixes, about, and buckets at least.
+BUCKET, LEAST_BUCKETS = 1 << 20, 64
 #: Bits of a filter, and of the part of it that one row carries (what Spark's bitmap functions have).
 FILTER_BITS, CHUNK = 1 << 26, 1 << 15
 #: Occurrences from which on a prefix of two words is hot.
@@ -105,7 +107,7 @@ class Bits:
 
 
 COUNTED = pa.schema([("lang", pa.binary()), ("word", pa.binary()), ("number", pa.int64()), ("n", pa.int64()), ("chunk", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
-BITMAPS = pa.schema([("chunk", pa.int32()), ("frequent", pa.binary()), ("hot", pa.binary())])
+BITMAPS = pa.schema([("chunk", pa.int32()), ("frequent", pa.binary()), ("hot", pa.binary()), ("n", pa.int64())])
 
 
 def chunks_of(places: np.ndarray) -> tuple[list, list, list]:
@@ -158,29 +160,33 @@ def counted(source: DataFrame, seed: int, bits: int) -> DataFrame:
     return source.mapInArrow(run, "lang binary, word binary, number long, n long, chunk int, places binary, counts binary")
 
 
-def merged(chunks: DataFrame, least: int, hot: int) -> tuple[Bits, Bits]:
-    """Which places of a filter hold least, and which hold hot occurrences: never one too few."""
+def merged(chunks: DataFrame, least: int, hot: int) -> tuple[Bits, Bits, int]:
+    """Which places of a filter hold least, and which hold hot occurrences: never one too few. How many occurrences the first have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, totals = None, np.zeros(CHUNK, np.int64)
-        packed = lambda x: [np.packbits(x, bitorder="little").tobytes()]
+
+        def out() -> pa.RecordBatch:
+            frequent, is_hot = (np.packbits(totals >= x, bitorder="little").tobytes() for x in (least, hot))
+            return batch(BITMAPS, [at], [frequent], [is_hot], [int(totals[totals >= least].sum())])
+
         for ks, places, counts in rows(batches, "chunk", "places", "counts"):
             for k, p, c in zip(ks, places, counts, strict=True):
                 if k != at and at is not None:
-                    yield batch(BITMAPS, [at], packed(totals >= least), packed(totals >= hot))
+                    yield out()
                     totals[:] = 0
                 at = k
                 totals[np.frombuffer(p, np.uint16)] += np.frombuffer(c, np.uint32)
         if at is not None:
-            yield batch(BITMAPS, [at], packed(totals >= least), packed(totals >= hot))
+            yield out()
 
-    made = chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "chunk int, frequent binary, hot binary").toArrow()  # two filters of FILTER_BITS
-    each = [made.column(c).to_pylist() for c in ("chunk", "frequent", "hot")]
-    return Bits(list(zip(each[0], each[1], strict=True))), Bits(list(zip(each[0], each[2], strict=True)))
+    made = chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, "chunk int, frequent binary, hot binary, n long").toArrow()  # two filters of FILTER_BITS
+    ks, frequent, is_hot, n = (made.column(c).to_pylist() for c in BITMAPS.names)
+    return Bits(list(zip(ks, frequent, strict=True))), Bits(list(zip(ks, is_hot, strict=True))), sum(n)
 
 
-def words_and_pairs(source: DataFrame, least: int, bits: int, hot: int) -> tuple[Stored, int, Bits, Bits]:
-    """The counted words, the first seed with which no word that occurs least times shares its number, and the filters of pairs."""
+def words_and_pairs(source: DataFrame, least: int, bits: int, hot: int) -> tuple[Stored, int, Bits, Bits, int]:
+    """The counted words, the first seed with which no word that occurs least times shares its number, the filters of pairs and how many occurrences may be frequent."""
     for seed in count():
         parts = Stored(counted(source, seed, bits), "counts")
         words = Stored(parts.df().filter("chunk IS NULL").groupBy("lang", "word", "number").agg(F.sum("n").alias("n")), "words")
@@ -222,7 +228,7 @@ def counted_threes(source: DataFrame, pairs: Bits, seed: int, bits: int) -> Data
 
 
 WORD = [f"w{k}" for k in range(1, LONGEST + 1)]
-PROJECTED = pa.schema([*[(w, pa.int64()) for w in WORD], ("n", pa.int64()), ("hot", pa.bool_()), ("deal", pa.int64())])
+PROJECTED = pa.schema([("bucket", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
 GROWN = pa.schema([*[(w, pa.int64()) for w in WORD], ("n", pa.int64())])
 
 
@@ -245,8 +251,7 @@ def project(found: np.ndarray, pairs: Bits, threes: Bits) -> np.ndarray:
 def folded(projected: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Equal rows as one, and how many each stands for. Rows of one hash lie together; only rows that are equal are counted as such."""
     projected = projected[np.argsort(_mixed(list(projected.T)), kind="stable")]
-    new = np.append(True, (projected[1:] != projected[:-1]).any(axis=1)) if len(projected) else np.zeros(0, bool)
-    starts = np.flatnonzero(new)
+    starts = changes(projected, LONGEST)
     return projected[starts], np.diff(np.append(starts, len(projected)))
 
 
@@ -268,13 +273,32 @@ def grow(projected: np.ndarray, upto: np.ndarray, lo: int, hi: int, depth: int,
 def shares(projected: np.ndarray, counts: np.ndarray, out: list[tuple]) -> None:
     """Appends every prefix of two words and more with what it has here: a share of a hot prefix's counts."""
     for depth in range(2, LONGEST + 1):
-        cuts = np.flatnonzero(np.append(True, (projected[1:, :depth] != projected[:-1, :depth]).any(axis=1)))
+        cuts = changes(projected, depth)
         totals = np.add.reduceat(counts, cuts)
         for k in np.flatnonzero(projected[cuts, depth - 1] > 0):
             out.append((*projected[cuts[k], :depth].tolist(), *[0] * (LONGEST - depth), int(totals[k])))
 
 
-def phrases(source: DataFrame, pairs: Bits, threes: Bits, hot: Bits, seed: int, bits: int, least: int) -> DataFrame:
+def changes(projected: np.ndarray, depth: int) -> np.ndarray:
+    """Where rows begin whose first depth words are not those of the row before."""
+    return np.flatnonzero(np.append(True, (projected[1:, :depth] != projected[:-1, :depth]).any(axis=1))[: len(projected)])
+
+
+def grown(projected: np.ndarray, counts: np.ndarray, is_hot: np.ndarray, least: int) -> list[tuple]:
+    """The phrases of a bucket with their counts, or their shares of these."""
+    order = np.lexsort(projected.T[::-1])
+    projected, counts, is_hot = projected[order], counts[order], is_hot[order]
+    out: list[tuple] = []
+    if is_hot.any():
+        shares(projected[is_hot], counts[is_hot], out)
+    projected, counts = projected[~is_hot], counts[~is_hot]
+    upto, cuts = np.append(0, np.cumsum(counts)), np.append(changes(projected, 2), len(projected))
+    for k in np.flatnonzero(upto[cuts[1:]] - upto[cuts[:-1]] >= least):
+        grow(projected, upto, int(cuts[k]), int(cuts[k + 1]), 1, least, out)
+    return out
+
+
+def phrases(source: DataFrame, pairs: Bits, threes: Bits, hot: Bits, seed: int, bits: int, least: int, buckets: int) -> DataFrame:
     """(w1, .., w5, n): phrases of two words and more that occur least times; shorter ones end in zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +307,11 @@ def phrases(source: DataFrame, pairs: Bits, threes: Bits, hot: Bits, seed: int,
         def out() -> Iterator[pa.RecordBatch]:
             found, counts = folded(np.concatenate(held))
             is_hot = hot.has(bucket(found[:, 0], found[:, 1]))
-            deal = np.where(is_hot, _mixed(list(found.T)), _mixed([found[:, 0], found[:, 1]])).astype(np.int64)
-            for k in range(0, len(found), 1 << 16):
-                part = slice(k, k + (1 << 16))
-                yield batch(PROJECTED, *[pa.array(found[part, j]) for j in range(LONGEST)], *(pa.array(x[part]) for x in (counts, is_hot, deal)))
+            deal = (np.where(is_hot, _mixed(list(found.T)), _mixed([found[:, 0], found[:, 1]])) >> np.uint64(8)).astype(np.int64) % buckets
+            order = np.argsort(deal, kind="stable")
+            found, counts, deal = found[order], counts[order], deal[order]
+            for lo, hi in zip(cuts := changes(deal[:, None], 1), [*cuts[1:], len(deal)], strict=True):
+                yield batch(PROJECTED, [int(deal[lo])], [found[lo:hi].T.tobytes()], [counts[lo:hi].tobytes()])
 
         for one in numbered(batches, seed, bits):
             held.append(project(one, pairs, threes))
@@ -298,41 +323,26 @@ def phrases(source: DataFrame, pairs: Bits, threes: Bits, hot: Bits, seed: int,
             yield from out()
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Grows prefix after prefix of a sorted partition. One that is not hot is held whole: HOT rows at most."""
-        held: list[tuple[np.ndarray, ...]] = []
+        """Bucket after bucket; one is held whole. It has about BUCKET rows at most, and those of one prefix more: under HOT."""
+        at, held = None, []
 
-        def grown(last: bool) -> Iterator[pa.RecordBatch]:
-            rest, n, is_hot = (np.concatenate(x) for x in zip(*held, strict=True))
+        def out() -> Iterator[pa.RecordBatch]:
+            projected, counts = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            end = len(rest)
-            if not last and not is_hot[-1]:  # the last prefix may go on
-                end = int(np.flatnonzero((rest[:, :2] != rest[-1, :2]).any(axis=1))[-1]) + 1 if (rest[:, :2] != rest[-1, :2]).any() else 0
-                held.append((rest[end:], n[end:], is_hot[end:]))
-            rest, n, is_hot = rest[:end], n[:end], is_hot[:end]
-            out: list[tuple] = []
-            if end and is_hot.any():
-                shares(rest[is_hot], n[is_hot], out)
-            rest, n = rest[~is_hot], n[~is_hot]
-            if len(rest):
-                upto = np.append(0, np.cumsum(n))
-                cuts = np.append(np.flatnonzero(np.append(True, (rest[1:, :2] != rest[:-1, :2]).any(axis=1))), len(rest))
-                totals = upto[cuts[1:]] - upto[cuts[:-1]]
-                for k in np.flatnonzero(totals >= least):
-                    grow(rest, upto, int(cuts[k]), int(cuts[k + 1]), 1, least, out)
-            if out:
-                yield batch(GROWN, *map(list, zip(*out, strict=True)))
-
-        for b in batches:
-            column = lambda c: b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False)  # noqa: B023, E731
-            held.append((np.stack([column(w) for w in WORD], axis=1), column("n"), column("hot")))
-            if sum(len(x[0]) for x in held) >= HELD_ROWS:
-                yield from grown(False)
+            if found := grown(projected, counts, hot.has(bucket(projected[:, 0], projected[:, 1])), least):
+                yield batch(GROWN, *map(list, zip(*found, strict=True)))
+
+        for deals, projected, counts in rows(batches, "bucket", "words", "counts"):
+            for deal, p, n in zip(deals, projected, counts, strict=True):
+                if held and deal != at:
+                    yield from out()
+                at = deal
+                held.append((np.frombuffer(p, np.int64).reshape(LONGEST, -1).T, np.frombuffer(n, np.int64)))
         if held:
-            yield from grown(True)
+            yield from out()
 
-    names = ", ".join(f"{w} long" for w in WORD)
-    sent = source.mapInArrow(run, f"{names}, n long, hot boolean, deal long").repartition("deal").sortWithinPartitions(*WORD)
-    found = sent.drop("deal").mapInArrow(tasks, f"{names}, n long")
+    sent = source.mapInArrow(run, "bucket long, words binary, counts binary").repartition("bucket").sortWithinPartitions("bucket")
+    found = sent.mapInArrow(tasks, f"{', '.join(f'{w} long' for w in WORD)}, n long")
     return found.groupBy(*WORD).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
@@ -354,9 +364,9 @@ def collocations(
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).cast("binary").alias("lang"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
-    words, seed, pairs, is_hot = words_and_pairs(source, least, bits, hot)
-    threes, _ = merged(counted_threes(source, pairs, seed, bits), least, hot)
-    found = Stored(phrases(source, pairs, threes, is_hot, seed, bits, least), "phrases")
+    words, seed, pairs, is_hot, n = words_and_pairs(source, least, bits, hot)
+    threes, _, _ = merged(counted_threes(source, pairs, seed, bits), least, hot)
+    found = Stored(phrases(source, pairs, threes, is_hot, seed, bits, least, max(LEAST_BUCKETS, -(-n // BUCKET))), "phrases")
     totals = words.df().groupBy("lang").agg(F.sum("n").alias("total"))
     return ranked(found.df(), words.df().filter(F.col("n") >= least).join(totals, "lang"), top)
 
