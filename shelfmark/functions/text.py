@@ -32,7 +32,9 @@ UNITS = "連|mm|cm|ml|l|g|kg|枚|個|コ|袋|本|巻|組|カン|缶|パック|
 
 @F.pandas_udf(StringType())
 def nfkc(value: pd.Series) -> pd.Series:
-    return value.map(lambda s: s if s is None or s.isascii() else unicodedata.normalize("NFKC", s), na_action="ignore")
+    """ASCII is as it is; of other texts each different one of a batch is normalised once."""
+    other = {s: unicodedata.normalize("NFKC", s) for s in set(value.dropna()) if not s.isascii()}
+    return value.map(lambda s: other.get(s, s), na_action="ignore") if other else value
 
 
 def blank_null(value: Column) -> Column:
@@ -49,6 +51,11 @@ def key_form(value: Column) -> Column:
     return compact(nfkc(blank_null(value)))
 
 
+def key_of(*values: Column) -> Column:
+    """Several values in key_form() as one string, normalised in one go; a separator keeps them apart."""
+    return key_form(F.concat_ws("\x1f", *map(blank_null, values)))
+
+
 def let(value: Column, f: Callable[[Column], Column]) -> Column:
     """f of a value that is worked out once, however often f uses it."""
     return F.transform(F.array(value), f)[0]
@@ -106,6 +113,23 @@ def numeric_signatures(value: Column, normal: bool = True) -> Column:
     return F.array_distinct(F.when(F.size(with_unit) > 0, with_unit).otherwise(bare))
 
 
+def number_tokens(value: Column) -> Column:
+    """The numbers of a text in NFKC, each once."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(nfkc(blank_null(value))), F.lit(r"(\d+(?:\.\d+)?)"), F.lit(1)))
+
+
+def signature_support(wanted: Column, shown: Column, numbers: Column) -> Column:
+    """The share of a name's variants (numeric_signatures) that a text evidences; 1 where a name has none.
+
+    A variant with a unit is evidenced by its letters in the text's comparable form, also with the unit before the number; a bare number only by an equal
+    number of the text (number_tokens).
+    """
+    bare = lambda s: s.rlike(r"^[\d.]+$")
+    written = lambda s: F.array(s, F.regexp_replace(s, r"^([\d.]+)(.+)$", "$2$1"))
+    seen = F.filter(wanted, lambda s: F.when(bare(s), F.array_contains(numbers, s)).otherwise(F.exists(written(s), lambda w: shown.contains(w))))
+    return F.when(F.size(wanted) == 0, 1.0).otherwise(F.size(seen) / F.size(wanted))
+
+
 def price_hypotheses(text: Column, longest: int = 8) -> Column:
     """Prices that one recognised word may mean: runs of digits, pieces of merged runs, letters taken for digits; 20 to 9999, each once."""
     def pieces(run: Column) -> Column:

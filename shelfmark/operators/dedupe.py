@@ -23,9 +23,10 @@ def later_ones(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFr
 
 
 def policy_key(normal: bool = True) -> list[Column]:
-    """Store, period, name, specification and price; names compared in NFKC, or as they are where normal is False."""
-    form = text.key_form if normal else text.compact
-    return [form(F.col("store_id")), text.blank_null(F.col("sale_start")), text.blank_null(F.col("sale_end")), form(F.col("product_name")), form(F.col("specification")), F.col("price_in_tax_yen")]
+    """Store, period, name, specification and price; names are compared in NFKC, or for the older reports, with normal=False, as they are."""
+    names = [F.col(c) for c in ("store_id", "product_name", "specification")]
+    form = [text.key_of(*names)] if normal else [text.compact(c) for c in names]
+    return [*form, text.blank_null(F.col("sale_start")), text.blank_null(F.col("sale_end")), F.col("price_in_tax_yen")]
 
 
 def strong_key() -> list[Column]:
@@ -44,9 +45,9 @@ def priced(df: DataFrame) -> DataFrame:
     return whole.withColumn("price_in_tax_yen", inc).drop("__ex", "__inc", "__rate").filter("price_in_tax_yen > 0 AND coalesce(price_ex_tax_yen, 0) >= 0")
 
 
-def output_policy(df: DataFrame, order: list[Column], drop_household: bool = False, normal: bool = True) -> DataFrame:
+def output_policy(df: DataFrame, order: list[Column], drop_household: bool = False) -> DataFrame:
     """Priced rows, the first of each policy key. drop_household: the older policy, which leaves household goods out."""
     out = priced(df)
     if drop_household:
         out = out.filter(~text.is_household_good(F.col("category"), F.col("product_name")))
-    return first_wins(out, policy_key(normal), order)
+    return first_wins(out, policy_key(), order)

@@ -44,8 +44,11 @@ def ranks(texts: DataFrame, names: DataFrame) -> DataFrame:
     Each text is scored against the whole dictionary, in tiles of TEXTS by NAMES that are joined by their number. Vetoed
     names come last; then the score, the support, and the dictionary's order.
     """
-    pairs = all_pairs(texts.select("text").distinct(), ["text"], siblings(names), ["name", "ordinal"])
-    scored = pairs.withColumns({"base_score": fuzzy.base_score_udf("name", "text"), "support": fuzzy.support_udf("name", "text")})
+    shown = texts.select("text").distinct().withColumns({"__shown": text.comparable(F.col("text")), "__numbers": text.number_tokens(F.col("text"))})
+    wanted = siblings(names).withColumn("__wanted", text.numeric_signatures(F.col("name")))
+    pairs = all_pairs(shown, ["text"], wanted, ["name", "ordinal"])
+    support = text.signature_support(F.col("__wanted"), F.col("__shown"), F.col("__numbers"))
+    scored = pairs.withColumns({"base_score": fuzzy.base_score_udf("name", "text"), "support": support}).drop("__shown", "__numbers", "__wanted")
     veto = F.col("numeric") & (F.col("support") <= 0)
     gain = F.when(veto, -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)
     scored = scored.withColumns({"veto": veto, "score": F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("base_score") + gain))})

@@ -64,3 +64,9 @@ def same_content(a: DataFrame, b: DataFrame, by: list[str] | None = None) -> Dat
     counts = bag_counts(a, b, a.columns)
     more = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0))
     return counts.groupBy(*(by or [])).agg(more("expected", "got").alias("only_first"), more("got", "expected").alias("only_second"))
+
+
+def looked_up(rows: DataFrame, held: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with whether their key is among those of held; each key of held counts once, a null key is never found."""
+    known = held.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(name, F.lit(True))
+    return rows.join(known, key, "left").select(*rows.columns, F.coalesce(F.col(name), F.lit(False)).alias(name))

@@ -42,12 +42,12 @@ def policy_normalize(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shelf(spark: SparkSession, d: str, lines: str = "true", period: str = "true") -> DataFrame:
-    """The published products: priced, the first of each key. These names are ASCII, so NFKC has nothing to do.
+    """The published products: priced, the first of each key.
 
     lines and period narrow the days before anything is sorted, the one in the scan, the other by the period. Days
     are part of the key, so the same rows come first as in the whole table.
     """
-    return dedupe.output_policy(products(spark, d, lines).filter(period), order(*ORDINAL), normal=False)
+    return dedupe.output_policy(products(spark, d, lines).filter(period), order(*ORDINAL))
 
 
 @query("dedupe_first_wins", f"WITH {PRODUCTS} SELECT {ORDER_SQL}, store_id, product_name, inc AS price_in_tax_yen FROM shelf")

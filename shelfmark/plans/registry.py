@@ -41,8 +41,12 @@ def order(*columns: str) -> list[Column]:
     return [F.col(c) for c in columns]
 
 
+#: Capitals, and the wide letters that NFKC makes them of.
+WIDE = ("".join(map(chr, range(65, 91))), "".join(map(chr, range(0xFF21, 0xFF3B))))
+
+
 def products(spark: SparkSession, sf_dir: str, lines: str = "true") -> DataFrame:
-    """lineitem and part as product rows: some without a price, some negative, a tenth twice with the name written otherwise.
+    """lineitem and part as product rows: some without a price, some negative, a tenth twice with the name written otherwise, half of these in wide letters.
 
     lines: a condition on lineitem, which its scan takes.
     """
@@ -65,11 +69,12 @@ def products(spark: SparkSession, sf_dir: str, lines: str = "true") -> DataFrame
         )
     )
     copies = F.explode(F.when(k % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    again = F.when(F.col("copy") == 1, F.concat(F.lit("  "), F.upper("p_name"))).otherwise(F.col("p_name"))
+    capitals = F.concat(F.lit("  "), F.upper("p_name"))
+    again = F.when(F.col("copy") == 0, F.col("p_name")).when(k % 20 == 0, F.translate(capitals, *WIDE)).otherwise(capitals)
     return base.withColumn("copy", copies).withColumn("product_name", again).drop("p_name")
 
 
-PRODUCTS = """
+PRODUCTS = f"""
 base AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_suppkey AS VARCHAR) AS store_id, p_name, p_brand AS category, CAST(p_size AS VARCHAR) || 'cm' AS specification,
          CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_orderkey % 89 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS price_ex,
@@ -79,12 +84,12 @@ base AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 product AS (
   SELECT *, 0 AS copy, p_name AS product_name FROM base
-  UNION ALL SELECT *, 1, '  ' || upper(p_name) FROM base WHERE l_orderkey % 10 = 0),
+  UNION ALL SELECT *, 1, '  ' || CASE WHEN l_orderkey % 20 = 0 THEN translate(upper(p_name), '{WIDE[0]}', '{WIDE[1]}') ELSE upper(p_name) END FROM base WHERE l_orderkey % 10 = 0),
 priced AS (
   SELECT *, CAST(floor(price_ex) AS BIGINT) AS ex, CAST(coalesce(floor(price_in), floor(floor(price_ex) * (1.0::DOUBLE + tax_rate))) AS BIGINT) AS inc FROM product),
 sold AS (SELECT * FROM priced WHERE inc > 0 AND coalesce(ex, 0) >= 0),
 shelf AS (
   SELECT * FROM sold QUALIFY row_number() OVER (
-    PARTITION BY store_id, sale_start, sale_end, lower(regexp_replace(product_name, '\\s+', '', 'g')), lower(regexp_replace(specification, '\\s+', '', 'g')), inc
+    PARTITION BY store_id, sale_start, sale_end, lower(regexp_replace(translate(product_name, '{WIDE[1]}', '{WIDE[0]}'), '\\s+', '', 'g')), lower(regexp_replace(specification, '\\s+', '', 'g')), inc
     ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, copy) = 1)
 """

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions import dates, fuzzy, text, urls
-from shelfmark.operators import gates, names
+from shelfmark.operators import gates, names, sets
 from shelfmark.plans.registry import query, spread, table
 
 YEAR = 2026
@@ -103,7 +103,7 @@ def ordered_concat(spark: SparkSession, d: str) -> DataFrame:
 )
 def longest_fragment(spark: SparkSession, d: str) -> DataFrame:
     docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    return docs.select("doc_id", text.longest_fragment(F.col("text"), normal=False).alias("name"))
+    return docs.select("doc_id", text.longest_fragment(F.col("text")).alias("name"))
 
 
 @query(
@@ -114,7 +114,7 @@ def longest_fragment(spark: SparkSession, d: str) -> DataFrame:
 def numeric_signatures(spark: SparkSession, d: str) -> DataFrame:
     s, q = F.col("p_size").cast("string"), (F.col("p_size") % 4).cast("string")
     shown = F.concat("p_name", F.lit(" "), s, F.lit(" cm "), q, F.when(F.col("p_size") % 3 == 0, "本").otherwise(""))
-    return table(spark, d, "part").select("p_partkey", F.array_join(text.numeric_signatures(shown, normal=False), ",").alias("sigs"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(text.numeric_signatures(shown), ",").alias("sigs"))
 
 
 @query(
@@ -294,17 +294,15 @@ def manifest_lint(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "cache_lookup",
-    "SELECT page_id, substr(sha256(url), 1, 20) || '.jpg' AS cache_name, page_id % 4 <> 0 AS present FROM pages",
+    """SELECT page_id, substr(sha256(url), 1, 20) || '.jpg' AS cache_name, url IS NOT NULL AND coalesce(bool_or(page_id % 4 <> 0) OVER (PARTITION BY url), false) AS present FROM pages""",
 )
 def cache_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Which pages a cache holds, by page and hash of the address: what is held for one page is not held for another of its address.
+    """Which pages a cache holds: the address alone names what is held, so all pages of an address that one of them brought in are present.
 
-    A page without an address has no name and is looked up as such; of a page without an id nothing is known.
+    A page without an address has no name and is not held.
     """
     p = table(spark, d, "pages").select("page_id", urls.cache_name(F.col("url")).alias("cache_name"))
-    held = p.filter("page_id % 4 <> 0").select(F.col("page_id").alias("held_id"), F.col("cache_name").alias("held_name")).distinct()
-    found = p.join(held, (F.col("page_id") == F.col("held_id")) & F.col("cache_name").eqNullSafe(F.col("held_name")), "left")
-    return found.select("page_id", "cache_name", F.when(F.col("page_id").isNotNull(), F.col("held_id").isNotNull()).alias("present"))
+    return sets.looked_up(p, p.filter("page_id % 4 <> 0"), "cache_name", "present")
 
 
 @query("mime_kinds", "SELECT CASE doc_id % 4 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/png' WHEN 2 THEN 'image/webp' END AS mime, count(*) AS n FROM documents GROUP BY 1")

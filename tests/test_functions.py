@@ -162,10 +162,15 @@ def test_partial_ratio():
             assert fuzzy.partial_ratio(a, b) == pytest.approx(slow(a, b)), (a, b)
 
 
-def test_support():
-    assert fuzzy.signature_support("ヨーグルト3連", "ヨーグルト 連 3") == 1.0
-    assert fuzzy.signature_support("ヨーグルト3連", "ヨーグルト4連") == 0.0
-    assert fuzzy.signature_support("商品1", "商品 199円") == 0.0
+def test_support(spark):
+    cases = [
+        ("ヨーグルト3連", "ヨーグルト 連 3", 1.0), ("ヨーグルト3連", "ヨーグルト4連", 0.0), ("商品1", "商品 199円", 0.0), ("商品1", "商品 1 円", 1.0), ("水1.5l 6本", "水 1.5L", 0.5),
+        ("水１．５Ｌ", "水 l1.5", 1.0), ("りんご", "何でも", 1.0), ("卵10個", None, 0.0), (None, "卵10個", 1.0), ("", "", 1.0), ("卵 10 個 10個", "１０ 個", 1.0),
+    ]
+    rows = spark.createDataFrame(cases, "name string, text string, want double")
+    read = rows.select("*", text.numeric_signatures(F.col("name")).alias("wanted"), text.comparable(F.col("text")).alias("shown"), text.number_tokens(F.col("text")).alias("numbers"))
+    seen = read.withColumn("got", text.signature_support(F.col("wanted"), F.col("shown"), F.col("numbers")))
+    assert [r["got"] for r in seen.collect()] == [c[2] for c in cases]
     assert fuzzy.dictionary_score("りんご", "国産りんご") == pytest.approx(100.0)
 
 

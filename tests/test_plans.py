@@ -30,12 +30,19 @@ def test_joins_have_a_key(spark, sf, name):
         assert "BroadcastNestedLoopJoin" not in line or "Cross" in line
 
 
-@pytest.mark.parametrize("name", ["tax_floor", "dedupe_first_wins", "row_integrity", "temporal_rules", "price_hypotheses", "gap_sessionize", "map_diff", "knn_template"])
+@pytest.mark.parametrize("name", ["tax_floor", "row_integrity", "temporal_rules", "price_hypotheses", "gap_sessionize", "map_diff", "knn_template"])
 def test_no_python_where_expressions_do(spark, sf, name):
     p = plan(QUERIES[name](spark, sf))
     assert "Python" not in p and "Pandas" not in p and "ArrowEval" not in p
 
 
+def test_a_key_is_normalised_in_one_go(spark, sf):
+    """NFKC is Python's: one function over one text a row, before the rows are sent."""
+    p = plan(product_queries.dedupe_first_wins(spark, sf))
+    assert p.count("ArrowEvalPython") == 1 and p.count("pythonUDF0") >= 1 and "pythonUDF1" not in p
+    assert p.index("Exchange hashpartitioning") < p.index("ArrowEvalPython")  # below it in the tree
+
+
 def test_crowded_cells_are_limited_before_they_are_collected(spark, sf):
     """The join has brought a cell's words together already, so the limit needs no shuffle of its own."""
     p = plan(QUERIES["token_in_cell_topk"](spark, sf))
