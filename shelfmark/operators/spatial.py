@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators import ranges
+
 
 def first_match(joined: DataFrame, keys: list[str], order: list[str], keep: list[str]) -> DataFrame:
     """Of each key's matches the least in order, as one aggregate: nothing is sorted and a hot key is combined before the shuffle."""
@@ -18,7 +20,7 @@ def point_in_region(points: DataFrame, regions: DataFrame, key: str, ids: list[s
     order: the regions' columns that decide, such as whether the date was read there, then the ordinal.
     """
     inside = (F.col("x") >= F.col("x1")) & (F.col("x") < F.col("x2")) & (F.col("y") >= F.col("y1")) & (F.col("y") < F.col("y2"))
-    hits = points.join(regions, key).filter(inside)
+    hits = ranges.stab(points, regions, [key], [("x", "x1", "x2"), ("y", "y1", "y2")]).filter(inside)
     found = first_match(hits, [key, *ids], order, keep)
     return points.join(found, [key, *ids], "left")
 
@@ -29,8 +31,8 @@ def tokens_in_cells(tokens: DataFrame, cells: DataFrame, key: str | list[str], c
     key: what a token and a cell must share, an image or an image and a variant of it.
     """
     key = [key] if isinstance(key, str) else key
-    near = F.col("x").between(F.col("x1") - slack, F.col("x2") + slack) & F.col("y").between(F.col("y1") - slack, F.col("y2") + slack)
-    hits = tokens.join(cells, key).filter(near)
+    wider = cells.withColumns({"__x1": F.col("x1") - slack, "__x2": F.col("x2") + slack, "__y1": F.col("y1") - slack, "__y2": F.col("y2") + slack})
+    hits = ranges.stab(tokens, wider, key, [("x", "__x1", "__x2"), ("y", "__y1", "__y2")])
     # The limit is taken below the shuffle too, so a crowded cell sends limit rows a task.
     first = hits.withColumn("__rn", F.row_number().over(Window.partitionBy(*key, cell).orderBy(*order, "text")))
     if limit is not None:
@@ -40,8 +42,8 @@ def tokens_in_cells(tokens: DataFrame, cells: DataFrame, key: str | list[str], c
 
 
 def overlapping(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Pairs of intervals [a_lo, a_hi] and [b_lo, b_hi] of one key that meet."""
-    return a.join(b, key).filter((F.col("a_lo") <= F.col("b_hi")) & (F.col("b_lo") <= F.col("a_hi")))
+    """Pairs of intervals [a_lo, a_hi] and [b_lo, b_hi] of one key that meet; one that ends before it begins meets none."""
+    return ranges.meeting(a, b, [key], ("a_lo", "a_hi"), ("b_lo", "b_hi"))
 
 
 def nearest_separator(gaps: DataFrame, lines: DataFrame, key: str, gap: str, strong: float = 0.55) -> DataFrame:
@@ -49,7 +51,7 @@ def nearest_separator(gaps: DataFrame, lines: DataFrame, key: str, gap: str, str
 
     A line is strong if it has at least that share of the longest one in the gap; ties go to the lesser position.
     """
-    inside = gaps.join(lines, key).filter((F.col("pos") > F.col("lo")) & (F.col("pos") < F.col("hi")))
+    inside = ranges.stab(lines, gaps, [key], [("pos", "lo", "hi")]).filter((F.col("pos") > F.col("lo")) & (F.col("pos") < F.col("hi")))
     longest = inside.groupBy(key, gap).agg(F.max("length").alias("longest"))
     near = inside.join(longest, [key, gap]).filter(F.col("length") >= F.col("longest") * strong).withColumn("__far", F.abs(F.col("pos") - F.col("target")))
     best = first_match(near, [key, gap], ["__far", "pos"], ["pos"])
@@ -79,8 +81,11 @@ def row_windows(points: DataFrame, key: str, ident: str, y: str, height: Column,
 def left_neighbour(glyphs: DataFrame, key: str, glyph: str, reach: float, lo: float = 0.78, hi: float = 1.25) -> DataFrame:
     """Each glyph with the nearest one to its left (key, left, right, height) within reach and of like height."""
     other = glyphs.select(F.col(key), F.col(glyph).alias("neighbour"), F.col("right").alias("__r"), F.col("height").alias("__h"))
+    # Sought a little further: the exact gap decides.
+    reaching = glyphs.withColumns({"__from": F.col("left") - reach - 1, "__to": F.col("left") + 1})
     gap = F.col("left") - F.col("__r")
-    near = glyphs.join(other, key).filter((F.col(glyph) != F.col("neighbour")) & gap.between(0, reach) & F.col("__h").between(F.col("height") * lo, F.col("height") * hi)).withColumn("__gap", gap)
+    met = ranges.stab(other, reaching, [key], [("__r", "__from", "__to")])
+    near = met.filter((F.col(glyph) != F.col("neighbour")) & gap.between(0, reach) & F.col("__h").between(F.col("height") * lo, F.col("height") * hi)).withColumn("__gap", gap)
     return first_match(near, [key, glyph], ["__gap", "neighbour"], ["neighbour"])
 
 
