@@ -3,25 +3,33 @@
 from __future__ import annotations
 
 from bisect import insort
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from math import floor
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
+from shelfmark.operators import ranges
 
-def gap_groups(df: DataFrame, key: list[str], order: list[Column], gap: Column, most: Column) -> DataFrame:
-    """df with group: a number that goes up where the gap to the row before (an expression with lag) is over most."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    new = F.when(gap > most, 1).otherwise(0)
-    return df.withColumn("__new", new).withColumn("group", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__new")
 
+def gap_groups(df: DataFrame, key: list[str], by: str, ties: list[str], most: float, value: str | None = None) -> DataFrame:
+    """df with group: a number that goes up where a row's value (its place on the axis by, unless another is given) is more than most above that of the row before.
 
-def sticky(df: DataFrame, key: list[str], order: list[Column], flag: Column, name: str = "sticky") -> DataFrame:
-    """df with whether the flag was up in this row or any before it."""
-    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.max(flag).over(w))
+    No task sees all rows of a key: see ranges.carried().
+    """
+    value = value or by
+    parted = ranges.cut(df, by)
+    stepped = ranges.carried(parted, key, by, ties, previous={"__before": F.col(value)})
+    new = F.when(F.col(value) - F.col("__before") > most, 1).otherwise(0)
+    return ranges.carried(stepped, key, by, ties, total={"group": new}).withColumn("group", F.col("group").cast("long")).drop("__before", "__part")
+
+
+def sticky(df: DataFrame, key: list[str], by: str, ties: list[str], flag: Column, name: str = "sticky") -> DataFrame:
+    """df with whether the flag was up in this row or any before it. No task sees all rows of a key."""
+    return ranges.carried(df, key, by, ties, most={name: flag})
 
 
 def _grouped(df: DataFrame, key: list[str], schema: str, f: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
@@ -100,18 +108,29 @@ def greedy_dedupe(df: DataFrame, key: str, ident: str, order: list[str], value:
     return _grouped(df, [key], f"{key} {kinds[key]}, {ident} {kinds[ident]}", run)
 
 
-def suppress_repeats(df: DataFrame, key: str, ident: str, pos: str, value: str, within: float) -> DataFrame:
-    """(key, ident) of the rows that stay: a row goes if the last one kept has its value and is within so much of it."""
-    kinds = dict(df.dtypes)
+class _LastKept:
+    """A table function over the rows of one key in order: it holds the last row it kept and nothing else."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([pos, ident])
-        keep, last = [], None
-        for p, v in zip(rows[pos], rows[value], strict=True):
-            stays = last is None or last[1] != v or abs(p - last[0]) > within
-            keep.append(stays)
-            if stays:
-                last = (p, v)
-        return rows.loc[keep, [key, ident]]
+    def __init__(self):
+        self.last: tuple | None = None
+
+    @staticmethod
+    def analyze(rows: AnalyzeArgument, pos: AnalyzeArgument, value: AnalyzeArgument, within: AnalyzeArgument) -> AnalyzeResult:
+        return AnalyzeResult(schema=rows.dataType)
+
+    def eval(self, row: Row, pos: str, value: str, within: float) -> Iterator[tuple]:
+        place = float("nan") if row[pos] is None else row[pos]
+        if self.last is None or self.last[1] != row[value] or abs(place - self.last[0]) > within:
+            self.last = (place, row[value])
+            yield tuple(row)
 
-    return _grouped(df.select(key, ident, pos, value), [key], f"{key} {kinds[key]}, {ident} {kinds[ident]}", run)
+
+def suppress_repeats(df: DataFrame, key: str, ident: str, pos: str, value: str, within: float) -> DataFrame:
+    """(key, ident) of the rows that stay: a row goes if the last one kept has its value and is within so much of it.
+
+    Rows come in order of pos and ident, those without a place last: these stay only where the value changes. A key's rows are streamed past the last one
+    kept, so one key may have any number of them. A null value is a value, a null key a key.
+    """
+    kept = udtf(_LastKept)
+    rows = df.select(key, ident, pos, value).asTable().partitionBy(key).orderBy(F.asc_nulls_last(pos), ident)
+    return kept(rows, F.lit(pos), F.lit(value), F.lit(float(within))).select(key, ident)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text
-from shelfmark.operators import cluster, gates, names, ranking, sets, spatial
+from shelfmark.operators import cascade, cluster, components, gates, names, ranges, ranking, sets, spatial, votes
 from shelfmark.plans.registry import query, table
 
 #: Seconds since midnight and since the first day of the events, in whole microseconds, so that no clock enters.
@@ -118,11 +118,33 @@ def adjacent_bounds(spark: SparkSession, d: str) -> DataFrame:
 def gap_sessionize(spark: SparkSession, d: str) -> DataFrame:
     """Runs of events with no gap over six hours, of two and more."""
     e = table(spark, d, "events").select("user_id", "event_id", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).cast("long").alias("s"))
-    w = Window.partitionBy("user_id").orderBy("s", "event_id")
-    g = cluster.gap_groups(e, ["user_id"], [F.col("s"), F.col("event_id")], F.col("s") - F.lag("s").over(w), F.lit(21600))
+    g = cluster.gap_groups(e, ["user_id"], "s", ["event_id"], 21600)
     return g.groupBy("user_id", F.col("group").alias("session")).agg(F.min("s").alias("first_s"), F.max("s").alias("last_s"), F.count(F.lit(1)).alias("n")).filter("n >= 2")
 
 
+@query(
+    "filled_forward",
+    """SELECT user_id, event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS paid FROM events""",
+)
+def filled_forward(spark: SparkSession, d: str) -> DataFrame:
+    """What each user last paid, up to each event."""
+    e = table(spark, d, "events").select("user_id", "event_id", "ts", F.when(F.col("event_type") == "purchase", F.col("value")).alias("price"))
+    return ranges.filled_forward(e, ["user_id"], "ts", ["event_id"], "price", "paid").select("user_id", "event_id", "paid")
+
+
+@query(
+    "asof_order",
+    """WITH e AS (SELECT event_id, user_id, TIMESTAMP '1995-01-01' + to_seconds(CAST(epoch(ts) AS BIGINT) % 200000000) AS moment FROM events)
+    SELECT event_id, o_orderkey, o_totalprice FROM e ASOF LEFT JOIN (SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1, 2) o ON e.user_id = o_custkey AND moment >= o_orderdate""",
+)
+def asof_order(spark: SparkSession, d: str) -> DataFrame:
+    """Each event with its customer's latest order before it; events are set back into the years of the orders."""
+    at = F.timestamp_seconds(F.lit(788918400) + F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000) % 200_000_000)
+    e = table(spark, d, "events").select("event_id", "user_id", at.alias("at"))
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").cast("timestamp").alias("placed"), "o_orderkey", "o_totalprice")
+    return ranges.asof_join(e, o, ["user_id"], "at", ["event_id"], "placed", ["o_orderkey"], ["o_orderkey", "o_totalprice"]).select("event_id", "o_orderkey", "o_totalprice")
+
+
 @query(
     "sticky_gap",
     """WITH l AS (SELECT user_id, event_id, value, value - lag(value) OVER w > 150 AS jump, lead(value) OVER w AS ahead, ts FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
@@ -130,10 +152,10 @@ def gap_sessionize(spark: SparkSession, d: str) -> DataFrame:
 )
 def sticky_gap(spark: SparkSession, d: str) -> DataFrame:
     """From the first large jump on a user's rows are tall; each ends where the next begins."""
-    e = table(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    shown = e.withColumn("jump", F.coalesce(F.col("value") - F.lag("value").over(w) > 150, F.lit(False))).withColumn("below", F.coalesce(F.lead("value").over(w), F.col("value") + 1))
-    return cluster.sticky(shown, ["user_id"], [F.col("ts"), F.col("event_id")], F.col("jump"), "tall").select("user_id", "event_id", "tall", "below")
+    e = ranges.cut(table(spark, d, "events").select("user_id", "event_id", "value", "ts"), "ts")
+    stepped = ranges.carried(e, ["user_id"], "ts", ["event_id"], previous={"before": F.col("value")}, following={"ahead": F.col("value")})
+    jump = F.coalesce(F.col("value") - F.col("before") > 150, F.lit(False))
+    return cluster.sticky(stepped, ["user_id"], "ts", ["event_id"], jump, "tall").select("user_id", "event_id", "tall", F.coalesce("ahead", F.col("value") + 1).alias("below"))
 
 
 @query(
@@ -443,3 +465,46 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
 
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return windowed_counts(e, "6 hours").select(F.unix_seconds("start").alias("start_s"), "event_type", "n")
+
+
+@query(
+    "grid_components",
+    """WITH RECURSIVE c AS (SELECT DISTINCT user_id, CAST(floor(value) AS BIGINT) AS x, CAST(hour(ts) AS BIGINT) AS y FROM events),
+    r AS (SELECT user_id, x, y, x AS rx, y AS ry FROM c UNION SELECT r.user_id, r.x, r.y, c.x, c.y FROM r JOIN c ON c.user_id = r.user_id AND c.x - r.rx BETWEEN -1 AND 1 AND c.y - r.ry BETWEEN -1 AND 1),
+    l AS (SELECT user_id, x, y, min(ry * 1000000 + rx) AS least FROM r GROUP BY ALL)
+    SELECT user_id, least % 1000000 AS least_x, least // 1000000 AS least_y, count(*) AS cells, min(x) AS x1, min(y) AS y1, max(x) AS x2, max(y) AS y2, count(*) / ((max(x) - min(x) + 1) * (max(y) - min(y) + 1)) AS fill FROM l GROUP BY user_id, least""",
+)
+def grid_components(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's page with a cell for every whole value and hour that has an event: the cells that touch, and the box around them."""
+    cells = table(spark, d, "events").select("user_id", F.floor("value").alias("x"), F.hour("ts").alias("y"))
+    return components.component_boxes(components.grid_components(cells, ["user_id"], "x", "y"), ["user_id"])
+
+
+VOTING = ", ".join(f"({k}, {c}, {s})" for k, (c, s) in enumerate(votes.directions(12)))
+
+
+@query(
+    "line_votes",
+    f"""WITH n(angle, c, s) AS (VALUES {VOTING}),
+    v AS (SELECT event_type, angle, CAST(floor((CAST(floor(value * 2) AS BIGINT) * c + hour(ts) * 10 * s) / {float(votes.UNIT * 8)}::DOUBLE) AS BIGINT) AS o, count(*) AS votes FROM events, n GROUP BY ALL HAVING count(*) >= 12),
+    w AS (SELECT event_type, pmod AS angle, CASE WHEN a BETWEEN 0 AND 11 THEN o ELSE -o - 1 END + b AS o, votes, -angle AS t1, -v_o AS t2 FROM (SELECT v.*, o AS v_o, angle + i AS a, (angle + i + 12) % 12 AS pmod, j AS b FROM v, (VALUES (-1), (0), (1)) x(i), (VALUES (-1), (0), (1)) y(j) WHERE i <> 0 OR j <> 0))
+    SELECT v.event_type, CAST(v.angle AS INTEGER) AS angle, v.o AS offset, v.votes FROM v
+    WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.event_type = v.event_type AND w.angle = v.angle AND w.o = v.o AND (w.votes > v.votes OR (w.votes = v.votes AND (w.t1 > -v.angle OR (w.t1 = -v.angle AND w.t2 > -v.o)))))""",
+)
+def line_votes(spark: SparkSession, d: str) -> DataFrame:
+    """Each kind's page with a point for every event: the lines that most of their points lie on."""
+    p = table(spark, d, "events").select("event_type", F.floor(F.col("value") * 2).alias("x"), (F.hour("ts") * 10).alias("y"))
+    return votes.line_votes(p, ["event_type"], "x", "y", angles=12, step=8, least=12)
+
+
+@query(
+    "staged_cascade",
+    """SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN upper(p_name) WHEN p_partkey % 3 = 0 THEN p_brand WHEN contains(p_name, 'e') THEN p_type END AS name,
+    CASE WHEN p_size % 2 = 0 THEN 'whole' WHEN p_partkey % 3 = 0 THEN 'brand' WHEN contains(p_name, 'e') THEN 'kind' END AS reading FROM part""",
+)
+def staged_cascade(spark: SparkSession, d: str) -> DataFrame:
+    """Three readings of each part's name, each tried on what is still unresolved."""
+    parts = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    reading = lambda able, shown: lambda left: left.filter(able).select("p_partkey", shown.alias("name"))
+    readings = [("whole", reading("p_size % 2 = 0", F.upper("p_name"))), ("brand", reading("p_partkey % 3 = 0", F.col("p_brand"))), ("kind", reading("contains(p_name, 'e')", F.col("p_type")))]
+    return cascade.cascade(parts, "p_partkey", readings)[0].select("p_partkey", "name", "reading")
