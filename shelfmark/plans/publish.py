@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.operators import gates
 
 #: Seconds that a writer may take, from its lock to its pointer; a lock older than that was left by a crash.
 LEASE = 6 * 3600.0
@@ -63,9 +64,9 @@ class Store:
         name = self.current_id()
         return self.spark.read.parquet(f"{self.root}/{name}") if name else None
 
-    def publish(self, rows: DataFrame, gate: Callable[[DataFrame], list[str]], fault: Callable[[str], None] = lambda _: None) -> str:
-        """Writes the snapshot, reads it back for the gate, and points to it. fault is called at each step, for tests."""
-        name = f"snapshot-{uuid.uuid4().hex}"
+    def publish(self, rows: DataFrame, gate: Callable[[DataFrame], list[str]], fault: Callable[[str], None] = lambda _: None, called: str = "snapshot") -> str:
+        """Writes the snapshot, reads it back for the gate, and points to it. fault is called at each step, for tests; called begins the name."""
+        name = f"{called}-{uuid.uuid4().hex}"
         staged = f"{self.root}/{name}"
         self._lock(name)
         try:
@@ -120,10 +121,13 @@ class Store:
                 self.fs.delete(status.getPath(), True)
 
 
-def update(store: Store, old_fingerprints: dict[str, str], new_fingerprints: dict[str, str], extract: Callable[[], DataFrame], gate: Callable[[DataFrame], list[str]]) -> str:
-    """unchanged, or published: nothing is extracted while every store's fingerprint stays and the current snapshot passes."""
+def update(store: Store, old_fingerprints: DataFrame, new_fingerprints: DataFrame, extract: Callable[[], DataFrame], gate: Callable[[DataFrame], list[str]]) -> str:
+    """unchanged, or published: nothing is extracted while every store's fingerprint stays and the current snapshot passes.
+
+    Fingerprints are tables (store_id, fingerprint), such as streaming.state keeps; a store without one is always looked at anew.
+    """
     now = store.current()
-    same = bool(new_fingerprints) and all(new_fingerprints.values()) and old_fingerprints == new_fingerprints
+    same = gates.same_maps(old_fingerprints, new_fingerprints, "store_id", "fingerprint").first()["unchanged"]
     if same and now is not None and not gate(now):
         return "unchanged"
     store.publish(extract(), gate)

@@ -171,3 +171,23 @@ def token_rows(words: DataFrame, target_height: int) -> DataFrame:
         "image_id", "ordinal", F.trim("text").alias("text"), "confidence", r(F.col("left") * inv).alias("x1"), r(F.col("top") * inv).alias("y1"),
         r((F.col("left") + F.col("width")) * inv).alias("x2"), r((F.col("top") + F.col("height")) * inv).alias("y2"), F.col("height").alias("scaled_height"), F.lit(target_height).alias("target_height"),
     )
+
+
+def write_issue(rows: DataFrame, path: str, by: str = "store_id") -> None:
+    """Writes the rows of some stores into their folders, in place of what these had; other stores' files are not touched.
+
+    A store of which there are no rows keeps its issue: to take one down is drop_issue()'s work. The setting for this is the writer's own, not the session's.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
+def read_issue(spark: SparkSession, path: str, stores: list | None = None, by: str = "store_id") -> DataFrame:
+    """The rows of these stores, or all; only their folders are listed and read."""
+    rows = spark.read.parquet(path)
+    return rows if stores is None else rows.filter(F.col(by).isin(stores))
+
+
+def drop_issue(spark: SparkSession, path: str, store: str, by: str = "store_id") -> bool:
+    """Takes one store's issue down; False if it had none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={store}")
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

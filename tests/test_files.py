@@ -245,8 +245,11 @@ def test_publish_and_faults(spark, tmp_path):
     with pytest.raises(publish.GateError):
         store.publish(new, lambda df: ["bad"])
     assert [r["a"] for r in store.current().collect()] == [1]
-    assert publish.update(store, {"s": "f"}, {"s": "f"}, lambda: new, passes) == "unchanged"
-    assert publish.update(store, {"s": "f"}, {"s": "g"}, lambda: new, passes) == "published"
+    prints = lambda *rows: spark.createDataFrame(rows, "store_id string, fingerprint string")
+    assert publish.update(store, prints(("s", "f")), prints(("s", "f")), lambda: new, passes) == "unchanged"
+    for odd in (prints(("s", "")), prints(("s", None)), prints(), prints(("s", "f"), ("t", "f"))):
+        assert publish.update(store, odd, odd if odd.count() < 2 else prints(("s", "f")), lambda: old, passes) == "published"
+    assert publish.update(store, prints(("s", "f")), prints(("s", "g")), lambda: new, passes) == "published"
     assert sorted(r["a"] for r in store.current().collect()) == [2, 3]
     second = store.current_id()
     third = late.publish(old, passes)
