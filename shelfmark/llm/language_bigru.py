@@ -13,15 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import batch, rows, small_batches, texts
+from shelfmark.llm.common import Stored, batch, rows, small_batches, texts
 from shelfmark.llm.quality_gam import fold
 
-#: Labelled documents of each language that the network is trained on, at most: those with the least hashes of their ids. All segments
-#: of their whole texts are used, up to a bound for each language, beyond which those with the least hashes are.
-TRAIN_DOCS, TRAIN_SEGMENTS = 1000, 1 << 16
+#: Labelled documents of each language that the network is trained on, about: those whose hash is under the share that so many are. All segments
+#: of their whole texts are used, up to about a bound for each language, and one for all that the languages share out; beyond it, likewise, those with small hashes.
+TRAIN_DOCS, TRAIN_SEGMENTS, ALL_SEGMENTS = 1000, 1 << 16, 1 << 18
+#: Languages that are learned, the most frequent.
+MOST_LANGS = 1000
 #: Every segment is in a training step once at least; with few of them, steps are as many as this.
 TRAIN_LENGTH, STEPS, TRAIN_BATCH, RATE, SEED = 64, 500, 512, 0.01, 7
 HIDDEN = 8
@@ -191,26 +193,38 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, train_segments: int = TRAIN_SEGMENTS) -> BiGRU:
-    """Fits on documents with a language outside the held-out fold: on all of them up to train_docs of each language, so that a rare language is learned too.
+    """Fits on documents with a language outside the held-out fold: on all of them up to about train_docs of each language, so that a rare language is learned too.
 
-    Whole texts are used, up to train_segments pieces of 64 bytes for each language. Rows without a language or an id teach nothing;
-    without any others the network knows no language.
+    Whole texts are used, up to about train_segments pieces of 64 bytes for each language. What is taken is told by hashes alone, so no task gathers a
+    language. Rows alike in id and text count once. Rows without a language or an id teach nothing; without any others the network knows no language.
     """
     small_batches(docs.sparkSession)
     key, tongue = F.col(f"`{doc_id}`"), F.col(f"`{lang}`")
     source = docs.select(key.alias("doc_id"), tongue.alias("lang"), F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"))
     source = source.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(fold() != 0)
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = source.select("doc_id", "lang").withColumn("k", F.row_number().over(least)).filter(F.col("k") <= train_docs).select("doc_id", "lang").distinct()
-    pieces = source.join(F.broadcast(few), ["doc_id", "lang"], "left_semi").mapInArrow(_pieces, "doc_id long, lang string, place long, part binary")
-    spread = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "place"), "doc_id", "place", "part")
-    # No more than train_segments for each language, whatever the input.
-    got = pieces.withColumn("k", F.row_number().over(spread)).filter(F.col("k") <= train_segments).select("lang", "k", "part").collect()
-    got = sorted((r["lang"], r["k"], bytes(r["part"])) for r in got)
-    langs = sorted({g[0] for g in got})
+    counts = source.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
+    if not counts:
+        return BiGRU.new([])
+    hashed = source.withColumn("key", F.xxhash64("doc_id", "text"))
+    taken = hashed.filter(_under(F.col("key"), {r["lang"]: train_docs / r["n"] for r in counts})).groupBy("doc_id", "lang", "key").agg(F.min("text").alias("text"))
+    few = Stored(taken.drop("key"), "languages")
+    most = min(train_segments, ALL_SEGMENTS // len(counts))
+    sizes = few.df().groupBy("lang").agg(F.sum(F.ceil(F.octet_length("text") / TRAIN_LENGTH)).alias("n")).collect()  # a row for each language
+    pieces = few.df().mapInArrow(_pieces, "doc_id long, lang string, place long, part binary")
+    # About ALL_SEGMENTS in all, whatever the input.
+    got = pieces.filter(_under(F.xxhash64("doc_id", "place", "part"), {r["lang"]: most / max(1, r["n"]) for r in sizes})).select("lang", F.xxhash64("place", "doc_id", "part").alias("k"), "part").toArrow()
+    few.drop()
+    found = sorted(zip(*(got.column(c).to_pylist() for c in ("lang", "k", "part")), strict=True))
+    langs = sorted({g[0] for g in found})
     if not langs:
         return BiGRU.new([])
-    return fit(np.concatenate([segments(g[2], TRAIN_LENGTH) for g in got]), np.array([langs.index(g[0]) for g in got]), langs)
+    return fit(np.concatenate([segments(g[2], TRAIN_LENGTH) for g in found]), np.array([langs.index(g[0]) for g in found]), langs)
+
+
+def _under(key: Column, shares: dict[str, float]) -> Column:
+    """Whether a hash is in the share of its language; none is for other languages."""
+    bounds = F.create_map(*[F.lit(x) for lang, share in shares.items() for x in (lang, int(min(1.0, share) * 2**31))]) if shares else F.create_map(F.lit(""), F.lit(0))
+    return F.coalesce(F.pmod(key, F.lit(2**31)) < F.try_element_at(bounds, F.col("lang")), F.lit(False))
 
 
 def languages(docs: DataFrame, net: BiGRU, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
