@@ -133,7 +133,7 @@ def merged(f: np.ndarray, n: np.ndarray, g: np.ndarray, m: np.ndarray) -> tuple[
 
 
 HASHED = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("text_sha256", pa.string()), ("text_key", pa.int64())])
-NORMAL = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("normal", pa.binary())])
+NORMAL = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("normal", pa.binary()), ("text_key", pa.int64())])
 FILTERS = pa.schema([("shard", pa.int64()), ("filter", pa.binary())])
 REPEATED = pa.schema([("fp", pa.int64()), ("copies", pa.int64())])
 
@@ -153,9 +153,9 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for ids, bodies in rows(batches, "doc_id", "text"):
+    for ids, bodies, keys in rows(batches, "doc_id", "text", "text_key"):
         normal = [b.lower() for b in bodies]
-        yield batch(NORMAL, ids, _signed([fingerprint(b) for b in normal]), normal)
+        yield batch(NORMAL, ids, _signed([fingerprint(b) for b in normal]), normal, keys)
 
 
 def _filters(shard_bits: int):
@@ -199,16 +199,22 @@ def repeated_fingerprints(hashed: DataFrame, total: int) -> DataFrame:
     return filters.groupBy("shard").applyInArrow(_merged(bits), "fp long, copies long")
 
 
-def _judged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    small_batches(docs.sparkSession)
-    source = texts(docs, doc_id, text)
+def _hashed_and_repeated(source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row's fingerprints, and those that come more than once: (fp), broadcast where there are few."""
     hashed = Stored(source.mapInArrow(_hashed, "doc_id long, fp long, text_sha256 string, text_key long"), "fingerprints").df()
     repeated = Stored(repeated_fingerprints(hashed, hashed.count()), "repeated").df()
     few = repeated.count() <= BROADCAST_ROWS
     suspects = repeated.select("fp")
-    bodies = source.mapInArrow(_normal, "doc_id long, fp long, normal binary")
+    return hashed, F.broadcast(suspects) if few else suspects
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    small_batches(docs.sparkSession)
+    source = texts(docs, doc_id, text)
+    hashed, suspects = _hashed_and_repeated(source)
+    bodies = source.mapInArrow(_normal, "doc_id long, fp long, normal binary, text_key long")
     groups = (
-        bodies.join(F.broadcast(suspects) if few else suspects, "fp", "left_semi")
+        bodies.join(suspects, "fp", "left_semi")
         .groupBy("fp", "normal")  # whole texts: equal fingerprints are verified byte by byte
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .select(F.sha2("normal", 256).alias("text_sha256"), "keep_id", "group_size", F.lit(True).alias("grouped"))
@@ -220,7 +226,6 @@ def _judged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep).alias("kept"),
         "text_sha256",
-        "text_key",
     )
 
 
@@ -233,13 +238,21 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     kept; a null doc_id is never kept unless its whole group has none, whose keep_id is
     then null. An empty table gives an empty result.
     """
-    return _judged(docs, doc_id, text).drop("text_key")
+    return _judged(docs, doc_id, text)
 
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of docs, all columns unchanged, for each different text: one that exact_duplicates() keeps.
 
     Where several rows have the largest doc_id, one of them stays. Rows that share a doc_id and differ in text are judged by their texts.
+    Null and empty texts are equal; an empty table stays empty.
     """
-    stays = _judged(docs, doc_id, text).filter("kept").groupBy("text_sha256").agg(F.min(F.struct("doc_id", "text_key")).alias("row")).select("row.*")
+    small_batches(docs.sparkSession)
+    source = texts(docs, doc_id, text)
+    hashed, suspects = _hashed_and_repeated(source)
+    # Of each group the winner comes from one aggregate, combined before the shuffle: a group of any size sends a row a task. Of rows with its id the least key.
+    best = F.max(F.struct("doc_id", F.bitwise_not("text_key").alias("turned"))).alias("best")
+    winners = source.mapInArrow(_normal, "doc_id long, fp long, normal binary, text_key long").join(suspects, "fp", "left_semi").groupBy("fp", "normal").agg(best)
+    alone = hashed.join(suspects, "fp", "left_anti").select("doc_id", "text_key")
+    stays = alone.unionByName(winners.select("best.doc_id", F.bitwise_not("best.turned").alias("text_key")))
     return one_row_each(docs, stays, doc_id, text)
