@@ -49,9 +49,9 @@ def cut(df: DataFrame, by: str, parts: int = PARTS, name: str = "__part") -> Dat
     return df.withColumn(name, F.when(place.isNull(), 0).otherwise(tree(0, len(found)) + 1))
 
 
-def _same(key: list[str], renamed: list[str]) -> Column:
-    """Equality of keys, null with null."""
-    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(r)) for k, r in zip(key, renamed, strict=True)])
+def same_key(key: list[str], renamed: list[str]) -> Column:
+    """Equality of keys, null with null; no key is one key."""
+    return reduce(lambda a, b: a & b, [F.lit(True), *[F.col(f"`{k}`").eqNullSafe(F.col(r)) for k, r in zip(key, renamed, strict=True)]])
 
 
 def carried(
@@ -103,7 +103,7 @@ def carried(
             carry = (F.sum if kind == "total" else F.max)(s["v"]).over(earlier)
         scans.append(carry.alias(f"__c{i}"))
     carries = parts_of.select(*owners, "__own", *scans)
-    joined = work.join(carries, _same(key, owners) & (F.col("__part") == F.col("__own")), "left")
+    joined = work.join(carries, same_key(key, owners) & (F.col("__part") == F.col("__own")), "left")
     own = Window.partitionBy(*[F.col(f"`{k}`") for k in key], "__part").orderBy(*[F.col(f"`{c}`") for c in (by, *ties)])
     upto = own.rowsBetween(Window.unboundedPreceding, 0)
     out = {}

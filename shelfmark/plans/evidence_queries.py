@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text
-from shelfmark.operators import cascade, cluster, components, gates, names, ranges, ranking, sets, spatial, votes
+from shelfmark.operators import cascade, cluster, components, gates, names, ranges, ranking, sets, sheets, sketches, spatial, votes
 from shelfmark.plans.registry import query, table
 
 #: Seconds since midnight and since the first day of the events, in whole microseconds, so that no clock enters.
@@ -508,3 +508,25 @@ def staged_cascade(spark: SparkSession, d: str) -> DataFrame:
     reading = lambda able, shown: lambda left: left.filter(able).select("p_partkey", shown.alias("name"))
     readings = [("whole", reading("p_size % 2 = 0", F.upper("p_name"))), ("brand", reading("p_partkey % 3 = 0", F.col("p_brand"))), ("kind", reading("contains(p_name, 'e')", F.col("p_type")))]
     return cascade.cascade(parts, "p_partkey", readings)[0].select("p_partkey", "name", "reading")
+
+
+@query(
+    "sheet_layout",
+    """WITH b AS (SELECT p_brand, p_partkey, p_size % 23 + 5 AS w, p_size % 7 + 3 AS h FROM part), m AS (SELECT p_brand, max(w) AS mw, max(h) AS mh FROM b GROUP BY 1),
+    f AS (SELECT *, sum(w) OVER (PARTITION BY p_brand ORDER BY h DESC, p_partkey) - w AS f FROM b), s AS (SELECT f.*, mh, CAST(f // (201 - mw) AS BIGINT) AS shelf FROM f JOIN m USING (p_brand)),
+    d AS (SELECT p_brand, shelf, min(f) AS fst, max(h) AS deep, max(mh) AS mh FROM s GROUP BY 1, 2), t AS (SELECT *, sum(deep) OVER (PARTITION BY p_brand ORDER BY shelf) - deep AS top FROM d),
+    g AS (SELECT *, CAST(top // (101 - mh) AS BIGINT) AS sheet FROM t), y AS (SELECT *, top - min(top) OVER (PARTITION BY p_brand, sheet) AS y FROM g)
+    SELECT s.p_brand, p_partkey, dense_rank() OVER (PARTITION BY s.p_brand ORDER BY sheet) - 1 AS sheet, CAST(f - fst AS BIGINT) AS x, CAST(y AS BIGINT) AS y FROM s JOIN y USING (p_brand, shelf)""",
+)
+def sheet_layout(spark: SparkSession, d: str) -> DataFrame:
+    """A box for each part, on sheets of 200 by 100 for each brand."""
+    b = table(spark, d, "part").select("p_brand", "p_partkey", (F.col("p_size") % 23 + 5).alias("w"), (F.col("p_size") % 7 + 3).alias("h"))
+    return sheets.sheet_layout(b, ["p_brand"], "p_partkey", "w", "h", 200, 100).select("p_brand", "p_partkey", "sheet", "x", "y")
+
+
+@query("distinct_by_period")
+def distinct_by_period(spark: SparkSession, d: str) -> DataFrame:
+    """Each kind's users and quantiles of values by week, from a sketch for each day: an estimate, so without SQL."""
+    e = table(spark, d, "events").select("event_type", "user_id", "value", F.col("ts").cast("date").alias("d"))
+    days = sketches.daily(e, F.col("d"), ["event_type"], "user_id", "value")
+    return sketches.by_period(days, F.date_trunc("week", F.col("day")).cast("date"), ["event_type"])

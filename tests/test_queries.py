@@ -9,7 +9,7 @@ from shelfmark.plans.queries import ORACLES, QUERIES
 from shelfmark.plans.registry import products
 from tests.oracle import both, connect
 
-ROWS_ONLY = {"dictionary_resolve", "page_discovery", "record_scores"}
+ROWS_ONLY = {"dictionary_resolve", "distinct_by_period", "page_discovery", "record_scores"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
