@@ -173,7 +173,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return made.filter("edge IS NULL").unionByName(seams).drop("place", "edge", "body")
 
 
-BANDED = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary()), ("bands", pa.list_(pa.int64()))])
+BANDED = pa.schema([("doc_id", pa.int64()), ("set", pa.binary()), ("shingles", pa.binary()), ("bands", pa.list_(pa.int64()))])
 #: Bands of a signature and places of each: a pair at similarity 0.75 is missed once in 40 million.
 BANDS, PLACES = 32, 3
 #: Members of a band that one side of a tile holds on average.
@@ -217,25 +217,53 @@ def _candidates(banded: DataFrame) -> DataFrame:
     return tiles.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_tiles, PAIRED_SQL).distinct()
 
 
-def similar_pairs(docs: DataFrame, threshold: float = 0.75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Links between different shingle sets: a, b (least doc_id of each set, a < b), jaccard >= threshold.
+def _classes(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, set) for each row of docs, and (set, doc_id, shingles, bands) for each different set of shingles that a row with an id has: its least id.
 
-    Signature bands are joined in Spark, and the Jaccard similarity of each candidate pair
-    is verified on the full sets. Copies are folded first, so that there are as many members of a band as
-    different texts; all pairs of them are verified, in tiles if the band is large. Texts without any doc_id have no links, and neither
-    have null texts or those without words. Ties do not arise: every pair that is similar enough is returned. An empty table gives an empty result.
+    set is a 128-bit hash of the set, null for no words; bands are of the first minima of the fingerprint's own signature.
     """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = permutations(BANDS * PLACES, SEED + 1)
+        a, b = (x[: BANDS * PLACES] for x in permutations(PERMUTATIONS))
         for ids, bodies in rows(batches, "doc_id", "text"):
-            sets = [np.unique(shingle_hashes(words(x.lower()))) for x in bodies]
+            sets = [np.unique(shingle_hashes(words(x))) for x in bodies]
             sig = signatures(sets, a, b).reshape(len(sets), BANDS, PLACES)
-            yield batch(BANDED, ids, [s.tobytes() for s in sets], [[xxhash.xxh3_64_intdigest(bytes([k]) + band.tobytes()) >> 1 for k, band in enumerate(s)] if len(x) else [] for s, x in zip(sig, sets, strict=True)])
+            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            yield batch(BANDED, ids, keys, [s.tobytes() for s in sets], [[xxhash.xxh3_64_intdigest(bytes([k]) + band.tobytes()) >> 1 for k, band in enumerate(s)] if len(x) else [] for s, x in zip(sig, sets, strict=True)])
+
+    made = Stored(texts(docs, doc_id, text).select("doc_id", "text").mapInArrow(run, "doc_id long, set binary, shingles binary, bands array<long>"), "shingles").df()
+    # Copies are folded below the shuffle: a set of any number of rows sends a row a task.
+    sets = made.filter("set IS NOT NULL AND doc_id IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("shingles", "bands")).alias("own"))
+    return made.select("doc_id", "set"), Stored(sets.select("set", "doc_id", "own.shingles", "own.bands"), "sets").df()
+
+
+def near_links(docs: DataFrame, threshold: float = 0.75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of docs: doc_id, class_id, n_links.
+
+    class_id is the least doc_id of the rows that have the same set of shingles, n_links the number of other classes that are similar
+    enough: copies are in their class and no links. Rows without words are in no class, those whose set no row with an id has neither; they have no links. An empty table gives an empty result.
+    """
+    members, sets = _classes(docs, doc_id, text)
+    pairs = Stored(_similar(sets, threshold), "links").df()
+    ends = pairs.select(F.col("a").alias("class_id")).unionAll(pairs.select("b"))
+    counts = ends.groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))
+    classes = sets.select("set", F.col("doc_id").alias("class_id")).join(counts, "class_id", "left")
+    return members.join(classes, "set", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def similar_pairs(docs: DataFrame, threshold: float = 0.75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Links between classes of documents with one set of shingles: a, b (least doc_id of each, a < b), jaccard >= threshold. near_links() says which class a row is in.
+
+    Bands of the fingerprint's own signature are joined in Spark, and the Jaccard similarity of each candidate pair
+    is verified on the full sets. There are as many members of a band as
+    different sets; all pairs of them are verified, in tiles if the band is large. Sets without any doc_id have no links, and neither
+    have null texts or those without words. Ties do not arise: every pair that is similar enough is returned. An empty table gives an empty result.
+    """
+    return _similar(_classes(docs, doc_id, text)[1], threshold)
+
 
-    sets = texts(docs, doc_id, text).mapInArrow(run, "doc_id long, shingles binary, bands array<long>").groupBy("shingles").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    sets = Stored(sets.filter("doc_id IS NOT NULL"), "shingles").df()
+def _similar(sets: DataFrame, threshold: float) -> DataFrame:
     pairs = _candidates(sets.select("doc_id", F.explode(F.array_distinct("bands")).alias("band")))
     left, right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
 

@@ -55,7 +55,7 @@ def test_similar_pairs_are_verified(spark):
     pairs = minhash.similar_pairs(frame(spark)).collect()
     assert pairs
     for p in pairs:
-        assert p["jaccard"] == pytest.approx(jaccard(ids[p["a"]].lower(), ids[p["b"]].lower())) and p["jaccard"] >= 0.75
+        assert p["jaccard"] == pytest.approx(jaccard(ids[p["a"]], ids[p["b"]])) and p["jaccard"] >= 0.75
 
 
 def held_out(doc_id):
@@ -340,3 +340,25 @@ def test_similar_pairs_are_all_there(spark, monkeypatch, tile):
     expected = {(a, b) for x, a in first.items() for y, b in first.items() if a < b and jaccard(x, y) >= 0.75}
     got = [(r["a"], r["b"]) for r in minhash.similar_pairs(frame(spark, rows).repartition(3)).collect()]
     assert len(got) == len(set(got)) and set(got) == expected and any(a > 0 for a, _ in expected)
+
+
+def shingle_set(text):
+    ws = (text or "").encode().split()
+    return frozenset(tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))) if ws else None
+
+
+def test_every_row_has_its_class_and_links(spark):
+    """300 near copies, copies of some, other case, nulls: a row for each, none lost."""
+    base = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join([*base, f"e{k % 290}"]), "en", "s", 0) for k in range(300)]
+    rows += [(1000, " ".join(base).upper(), "en", "s", 0), (1001, "  ".join(base), "en", "s", 0), (1002, " ".join(base[:50]), "en", "s", 0), (None, " ".join([*base, "e3"]), "en", "s", 0)]
+    rows += [(1003, None, "en", "s", 0), (1004, "", "en", "s", 0), (None, "nobody has this", "en", "s", 0), (1005, "short one", "en", "s", 0), (1005, "short one", "en", "s", 0)]
+    sets = {}
+    for doc, text, *_ in rows:
+        if shingle_set(text) and doc is not None:
+            sets[shingle_set(text)] = min(doc, sets.get(shingle_set(text), doc))
+    links = {s: sum(x != s and 100 * len(x & s) >= 75 * len(x | s) for x in sets) for s in sets}
+    want = sorted(((d, sets.get(shingle_set(t)), links.get(shingle_set(t), 0)) for d, t, *_ in rows), key=str)
+    got = sorted((tuple(r) for r in minhash.near_links(clashing(frame(spark, rows)).repartition(3)).collect()), key=str)
+    assert got == want and max(n for _, _, n in got) > 280
+    assert minhash.near_links(frame(spark, [])).collect() == []
