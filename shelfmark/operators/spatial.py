@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.operators import ranges
+from shelfmark.operators import names, ranges
+
+#: Templates that are broadcast, at most.
+TEMPLATES = 10_000
 
 
 def first_match(joined: DataFrame, keys: list[str], order: list[str], keep: list[str]) -> DataFrame:
@@ -90,9 +93,13 @@ def left_neighbour(glyphs: DataFrame, key: str, glyph: str, reach: float, lo: fl
 
 
 def nearest_template(vectors: DataFrame, templates: DataFrame, value: Column, template: Column, keys: list[str], label: str) -> DataFrame:
-    """Each vector with the label of the template at the least mean squared distance, and that distance. templates: a bounded set."""
+    """Each vector with the label of the template at the least mean squared distance, and that distance.
+
+    Up to TEMPLATES templates are broadcast; more meet the vectors in tiles. keys tell vectors apart, labels templates.
+    """
     dist = F.aggregate(F.zip_with(value, template, lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x) / F.size(value)
-    pairs = vectors.crossJoin(F.broadcast(templates)).withColumn("distance", dist)
+    few = templates.limit(TEMPLATES + 1).count() <= TEMPLATES
+    pairs = (vectors.crossJoin(F.broadcast(templates)) if few else names.all_pairs(vectors, keys, templates, [label])).withColumn("distance", dist)
     return first_match(pairs, keys, ["distance", label], [label, "distance"])
 
 

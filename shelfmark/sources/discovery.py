@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from shelfmark.functions import dates, urls
+from shelfmark.operators.stored import Table
 from shelfmark.sources import files, images
 
 TRIES, MOST_BYTES = 3, 60 << 20
@@ -147,7 +148,8 @@ def group_images(found: DataFrame, folder: str | None = None, timeout: float = 6
 
     each = found.select("id", "page_url", F.posexplode("images").alias("source_index", "url")).repartition(tasks, "id", "source_index")
     kinds = dict(found.dtypes)
-    got = each.mapInPandas(run, f"id {kinds['id']}, source_index int, content binary, error string").persist()  # fetched once
+    # Fetched once: files and hashes are both of what is stored, whatever a second fetch would bring.
+    got = Table(each.mapInPandas(run, f"id {kinds['id']}, source_index int, content binary, error string"), "fetched").read()
     sha = F.sha2("content", 256)
     name = F.concat(F.substring(sha, 1, 20), F.lit(".jpg"))
     if folder:

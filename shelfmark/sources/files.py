@@ -44,7 +44,7 @@ def read_products(spark: SparkSession, path: str, keep_text: bool = False) -> Da
 
 def read_of_type(spark: SparkSession, path: str, source_type: str) -> DataFrame:
     """Rows of one source type; the filter reaches the scan."""
-    return spark.read.option("header", True).csv(path).filter(F.col("source_type") == source_type)
+    return read_csv(spark, path).filter(F.col("source_type") == source_type)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

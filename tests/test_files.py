@@ -269,3 +269,9 @@ def test_streams(spark, sf, tmp_path):
     sessions = []
     updates.run_available(updates.sessions(updates.event_stream(spark, source, events.schema), late="1 hour"), str(tmp_path / "c2"), lambda df, _: sessions.extend(df.collect()))
     assert sum(r["n"] for r in sessions) > 0
+
+
+def test_a_quoted_line_break_stays_in_its_row(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('source_type,verification_note,product_name\na,"two\nlines ""quoted""",x\nb,plain,y\n', encoding="utf-8")
+    got = files.read_of_type(spark, f"{tmp_path}/x.csv", "a").collect()
+    assert [tuple(r) for r in got] == [("a", 'two\nlines "quoted"', "x")]

@@ -144,3 +144,15 @@ def test_separators_between_many_gaps(spark):
     lines = spark.range(2000).select(F.lit(1).alias("k"), (F.col("id") + 0.25).alias("pos"), (F.col("id") % 7 + 1).alias("length"))
     assert spatial.nearest_separator(gaps, lines, "k", "gap").filter("separator <> gap + 0.25").count() == 0
     assert ranges.candidates(lines, gaps, ["k"], [("pos", "lo", "hi")]).count() <= 3 * 2000
+
+
+def test_many_templates_meet_in_tiles(spark, monkeypatch):
+    r = random.Random(1)
+    vectors = spark.createDataFrame([(k, [r.random() for _ in range(3)]) for k in range(40)], "id long, v array<double>")
+    templates = spark.createDataFrame([(f"t{k}", [r.choice([0.0, 0.5, 1.0]) for _ in range(3)]) for k in range(25)], "label string, t array<double>")
+    run = lambda: spatial.nearest_template(vectors, templates, F.col("v"), F.col("t"), ["id"], "label")
+    few = run()
+    monkeypatch.setattr(spatial, "TEMPLATES", 10)
+    many = run()
+    assert "CartesianProduct" not in plan(many) and "NestedLoop" not in plan(many)
+    assert sorted(map(tuple, few.select("id", "label").collect())) == sorted(map(tuple, many.select("id", "label").collect()))
