@@ -38,27 +38,81 @@ def all_pairs(left: DataFrame, left_key: list[str], right: DataFrame, right_key:
     return a.hint("merge").join(b, ["__across", "__down"]).drop("__across", "__down")
 
 
-def ranks(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """Every different text (text) against every name of the dictionary (name, ordinal), with its rank.
+def bag(value: Column) -> Column:
+    """A text's characters as an array in which a character's second occurrence is not its first: what two texts share as bags is then an intersection."""
+    letters = F.filter(F.split(value, ""), lambda c: c != "")
+    return F.transform(letters, lambda c, i: F.concat(c, F.size(F.filter(F.slice(letters, 1, i + 1), lambda d: d == c)).cast("string")))
 
-    Each text is scored against the whole dictionary, in tiles of TEXTS by NAMES that are joined by their number. Vetoed
-    names come last; then the score, the support, and the dictionary's order.
-    """
-    shown = texts.select("text").distinct().withColumns({"__shown": text.comparable(F.col("text")), "__numbers": text.number_tokens(F.col("text"))})
-    wanted = siblings(names).withColumn("__wanted", text.numeric_signatures(F.col("name")))
-    pairs = all_pairs(shown, ["text"], wanted, ["name", "ordinal"])
+
+def _bound(left: Column, right: Column) -> Column:
+    """The most that a partial ratio can be: the shared characters in a stretch of as many."""
+    shared = F.size(F.array_intersect(left, right))
+    return F.when(F.least(F.size(left), F.size(right)) > 0, 200.0 * shared / (F.least(F.size(left), F.size(right)) + shared)).otherwise(0.0)
+
+
+def _share(name: Column, shown: Column) -> Column:
+    return F.when(F.size(name) > 0, 100.0 * F.size(F.array_intersect(name, shown)) / F.size(name)).otherwise(0.0)
+
+
+#: Names of each text that are scored first; their scores say which others can still be among the best.
+FIRST = 4
+
+
+def _within(score: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), score + F.col("__gain")))
+
+
+def _scored(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("base_score", fuzzy.base_score_udf("name", "text")).withColumn("score", _within(F.col("base_score")))
+
+
+def bounded_pairs(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """Every different text with every name: support, veto, and the most that the pair can score, told by the characters it shares. Expressions alone, but for NFKC of each text and name."""
+    forms = lambda df, c: df.withColumns({"__whole": text.comparable(F.col(c)), "__bare": text.without_numbers(F.col(c))})
+    bags = lambda df, p: df.withColumns({f"__{p}w": bag(F.col("__whole")), f"__{p}b": bag(F.col("__bare"))})
+    read = forms(texts.select("text").distinct(), "text").withColumn("__numbers", text.number_tokens(F.col("text")))
+    known = forms(siblings(names), "name").withColumn("__wanted", text.numeric_signatures(F.col("name")))
+    pairs = all_pairs(bags(read, "t").withColumnRenamed("__whole", "__shown").drop("__bare"), ["text"], bags(known, "n").drop("__whole", "__bare"), ["name", "ordinal"])
+    n, t, m, u = (F.col(c) for c in ("__nw", "__tw", "__nb", "__tb"))
+    most = 0.30 * _bound(n, t) + 0.20 * _bound(m, u) + 0.25 * _share(n, t) + 0.25 * _share(m, u)
     support = text.signature_support(F.col("__wanted"), F.col("__shown"), F.col("__numbers"))
-    scored = pairs.withColumns({"base_score": fuzzy.base_score_udf("name", "text"), "support": support}).drop("__shown", "__numbers", "__wanted")
+    kept = pairs.select("text", "name", "ordinal", "sibling_group", "numeric", support.alias("support"), F.when((F.size(n) > 0) & (F.size(t) > 0), most).otherwise(0.0).alias("__most"))
     veto = F.col("numeric") & (F.col("support") <= 0)
-    gain = F.when(veto, -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)
-    scored = scored.withColumns({"veto": veto, "score": F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.col("base_score") + gain))})
+    gain = F.when(F.col("veto"), -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)
+    # A little more than the bound, for what is lost in rounding.
+    return kept.withColumn("veto", veto).withColumn("__gain", gain).withColumn("__most", _within(F.col("__most")) + 1e-6)
+
+
+def able_pairs(pairs: DataFrame, most: int) -> DataFrame:
+    """The pairs of bounded_pairs() that can be among the most best of their text.
+
+    The FIRST names by their bound are scored; a name whose bound is below the worst of the most best of these can't be better. A text that has fewer
+    names than most keeps them all.
+    """
+    first = _scored(pairs.withColumn("__k", F.row_number().over(Window.partitionBy("text").orderBy("veto", F.desc("__most"), "ordinal", "name"))).filter(F.col("__k") <= max(FIRST, most)))
+    rank = F.row_number().over(Window.partitionBy("text").orderBy("veto", F.desc("score")))
+    worst = first.withColumn("__k", rank).filter(F.col("__k") == most).select(F.col("text").alias("__text"), F.col("veto").alias("__veto"), F.col("score").alias("__least"))
+    met = pairs.join(worst, F.col("text").eqNullSafe(F.col("__text")), "left")
+    could = (F.col("veto") < F.col("__veto")) | ((F.col("veto") == F.col("__veto")) & (F.col("__most") >= F.col("__least")))
+    return met.filter(F.col("__least").isNull() | could).drop("__text", "__veto", "__least")
+
+
+def ranks(texts: DataFrame, names: DataFrame, most: int | None = None) -> DataFrame:
+    """Every different text (text) against the names of the dictionary (name, ordinal), with their rank: all names, or the most best, for which few pairs need be scored.
+
+    Texts and names meet in tiles of TEXTS by NAMES that are joined by their number. Vetoed
+    names come last; then the score, the support, and the dictionary's order.
+    """
+    pairs = bounded_pairs(texts, names)
+    scored = _scored(pairs if most is None else able_pairs(pairs, most)).drop("__most", "__gain")
     order = Window.partitionBy("text").orderBy(F.col("veto"), F.desc("score"), F.desc("support"), "ordinal")
-    return scored.withColumn("rank", F.row_number().over(order))
+    ranked = scored.withColumn("rank", F.row_number().over(order))
+    return ranked if most is None else ranked.filter(F.col("rank") <= most)
 
 
 def resolve(texts: DataFrame, names: DataFrame, min_score: float = MIN_SCORE, min_margin: float = MIN_MARGIN) -> DataFrame:
     """A row for each text: text_id, name, status, score, margin, reason. Without a dictionary all texts stay unverified."""
-    top = ranks(texts, names).filter("rank <= 2")
+    top = ranks(texts, names, 2)
     best = top.groupBy("text").agg(*[F.max(F.when(F.col("rank") == k, F.struct("name", "score", "veto", "support", "sibling_group"))).alias(f"r{k}") for k in (1, 2)])
     j = texts.join(best, "text", "left")
     one, two = F.col("r1"), F.col("r2")

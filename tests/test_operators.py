@@ -82,6 +82,24 @@ def test_every_text_is_ranked_against_every_name(spark, monkeypatch, size):
         assert all(r["base_score"] == fuzzy.base_score(r["name"], text) for r in mine)
 
 
+def test_the_best_names_without_scoring_all(spark):
+    """The best two of each text are those of the whole ranking; few pairs come to be scored."""
+    import random
+
+    r = random.Random(3)
+    letters = "牛乳豆うどん天然水国産鶏大容量国産 ring clock large"
+    entries = [("".join(r.choice(letters) for _ in range(r.randint(0, 9))) + r.choice(["", "3本", "500ml", "１２枚"]), k) for k in range(160)]
+    reads = [(k, "".join(c for c in r.choice(entries)[0] if r.random() < 0.85) + r.choice(["", "3本", " 1"])) for k in range(40)] + [(98, None), (99, ""), (100, "x"), (101, "x")]
+    t, d = spark.createDataFrame(reads, "text_id int, text string"), spark.createDataFrame(entries, "name string, ordinal int")
+    key = lambda rows: sorted((x["text"] or "~", x["rank"], x["name"], x["ordinal"], x["score"], x["support"], x["veto"]) for x in rows)
+    whole = names.ranks(t, d).collect()
+    assert key(names.ranks(t, d, 2).collect()) == key(x for x in whole if x["rank"] <= 2)
+    assert key(names.ranks(t, d.limit(1), 2).collect()) == key(names.ranks(t, d.limit(1)).collect())
+    pairs = names.bounded_pairs(t, d)
+    over = names._scored(pairs).filter(F.col("score") > F.col("__most"))
+    assert over.count() == 0 and names.able_pairs(pairs, 2).count() < 0.35 * pairs.count()
+
+
 def test_all_parts_are_resolved_and_scored(spark, sf):
     from shelfmark.plans import text_queries
 
