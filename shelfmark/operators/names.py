@@ -50,7 +50,8 @@ def _bound(left: Column, right: Column) -> Column:
     return F.when(F.least(F.size(left), F.size(right)) > 0, 200.0 * shared / (F.least(F.size(left), F.size(right)) + shared)).otherwise(0.0)
 
 
-def _share(name: Column, shown: Column) -> Column:
+def coverage(name: Column, shown: Column) -> Column:
+    """How much of a name's bag of characters a text's bag has, in percent; 0 for an empty name."""
     return F.when(F.size(name) > 0, 100.0 * F.size(F.array_intersect(name, shown)) / F.size(name)).otherwise(0.0)
 
 
@@ -74,7 +75,7 @@ def bounded_pairs(texts: DataFrame, names: DataFrame) -> DataFrame:
     known = forms(siblings(names), "name").withColumn("__wanted", text.numeric_signatures(F.col("name")))
     pairs = all_pairs(bags(read, "t").withColumnRenamed("__whole", "__shown").drop("__bare"), ["text"], bags(known, "n").drop("__whole", "__bare"), ["name", "ordinal"])
     n, t, m, u = (F.col(c) for c in ("__nw", "__tw", "__nb", "__tb"))
-    most = 0.30 * _bound(n, t) + 0.20 * _bound(m, u) + 0.25 * _share(n, t) + 0.25 * _share(m, u)
+    most = 0.30 * _bound(n, t) + 0.20 * _bound(m, u) + 0.25 * coverage(n, t) + 0.25 * coverage(m, u)
     support = text.signature_support(F.col("__wanted"), F.col("__shown"), F.col("__numbers"))
     kept = pairs.select("text", "name", "ordinal", "sibling_group", "numeric", support.alias("support"), F.when((F.size(n) > 0) & (F.size(t) > 0), most).otherwise(0.0).alias("__most"))
     veto = F.col("numeric") & (F.col("support") <= 0)
@@ -156,13 +157,14 @@ def majority(reads: DataFrame, key: str, read: str, ordinal: str) -> DataFrame:
 def like_names(names: DataFrame, least: float = LIKE) -> DataFrame:
     """(name, like): pairs of different names whose Indel ratio, of their Japanese letters, is least or more.
 
-    Names are compared in tiles; a pair too unlike in length is not scored. A name that has no such letters is like none.
+    Names are compared in tiles; a pair that shares too few letters is not scored. A name that has no such letters is like none.
     """
-    shown = names.select("name").distinct().withColumn("letters", text.japanese_only(F.col("name"))).filter("letters <> ''")
-    others = shown.select(F.col("name").alias("like"), F.col("letters").alias("other"))
+    shown = names.select("name").distinct().withColumn("letters", text.japanese_only(F.col("name"))).filter("letters <> ''").withColumn("__bag", bag(F.col("letters")))
+    others = shown.select(F.col("name").alias("like"), F.col("letters").alias("other"), F.col("__bag").alias("__other"))
     pairs = all_pairs(shown, ["name"], others, ["like"]).filter("name <> like")
     a, b = F.length("letters"), F.length("other")
-    could = pairs.filter(200 * F.least(a, b) >= least * (a + b))  # a common subsequence is no longer than the shorter
+    # A common subsequence is no longer than the shorter name, and than what they share as bags.
+    could = pairs.filter(200 * F.least(a, b) >= least * (a + b)).filter(200 * F.size(F.array_intersect("__bag", "__other")) >= least * (a + b))
     return could.filter(fuzzy.ratio_udf("letters", "other") >= least).select("name", "like")
 
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions import dates, fuzzy, text, urls
+from shelfmark.functions import dates, text, urls
 from shelfmark.operators import gates, names, sets
 from shelfmark.plans.registry import query, spread, table
 
@@ -50,10 +50,10 @@ def dictionary_resolve(spark: SparkSession, d: str) -> DataFrame:
 )
 def char_coverage(spark: SparkSession, d: str) -> DataFrame:
     """How much of each name every text holds, as bags of characters."""
-    n = table(spark, d, "part").select("p_name").distinct()
-    b = table(spark, d, "benchmark").select("item_id", text.compact(F.col("text")).alias("t"))
+    n = table(spark, d, "part").select("p_name").distinct().withColumn("own", names.bag(text.compact(F.col("p_name"))))
+    b = table(spark, d, "benchmark").select("item_id", names.bag(text.compact(F.col("text"))).alias("shown"))
     pairs = names.all_pairs(b, ["item_id"], n, ["p_name"])
-    return pairs.select("p_name", "item_id", F.round(fuzzy.coverage_udf(text.compact(F.col("p_name")), F.col("t")), 6).alias("coverage"))
+    return pairs.select("p_name", "item_id", F.round(names.coverage(F.col("own"), F.col("shown")), 6).alias("coverage"))
 
 
 KANA = ("abcdefghijklmnopqrstuvwxyz", "あいうえおかきくけこさしすせそたちつてとなにぬねのは")

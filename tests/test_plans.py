@@ -30,7 +30,7 @@ def test_joins_have_a_key(spark, sf, name):
         assert "BroadcastNestedLoopJoin" not in line or "Cross" in line
 
 
-@pytest.mark.parametrize("name", ["tax_floor", "row_integrity", "temporal_rules", "price_hypotheses", "gap_sessionize", "map_diff", "knn_template"])
+@pytest.mark.parametrize("name", ["tax_floor", "char_coverage", "row_integrity", "temporal_rules", "price_hypotheses", "gap_sessionize", "map_diff", "knn_template"])
 def test_no_python_where_expressions_do(spark, sf, name):
     p = plan(QUERIES[name](spark, sf))
     assert "Python" not in p and "Pandas" not in p and "ArrowEval" not in p
