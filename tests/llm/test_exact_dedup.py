@@ -75,3 +75,22 @@ def test_very_long_texts(spark):
     rows = [(k, long if k % 2 else long.lower(), "en", "s", 0) for k in range(6)] + [(9, long + "c", "en", "s", 0)]
     got = exact_duplicates(frame(spark, rows)).collect()
     assert sorted((r["doc_id"], r["keep_id"], r["group_size"]) for r in got) == [(k, 5, 6) for k in range(6)] + [(9, 9, 1)]
+
+
+def test_many_repeats_are_joined_by_a_shuffle(spark, monkeypatch):
+    """Beyond the bound on what is broadcast the results are the same."""
+    from shelfmark.llm import exact_dedup
+
+    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    got = exact_duplicates(frame(spark)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == brute(awkward())
+    assert {r["doc_id"] for r in drop_exact_duplicates(frame(spark)).collect()} == {x[0] for x in brute(awkward()) if x[3]}
+
+
+def test_a_group_sends_one_row_a_task(spark):
+    """Winners come from an aggregate that is combined before the shuffle; no window or join gathers a text's rows."""
+    rows = [(k, "copy" if k % 3 else f"own {k}", "en", "s", 0) for k in range(200)]
+    out = drop_exact_duplicates(frame(spark, rows))
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in p and "text_sha256" not in p.replace("text_sha256:", "")
+    assert {r["doc_id"] for r in out.collect()} == {k for k in range(200) if k % 3 == 0} | {199}

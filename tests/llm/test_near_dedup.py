@@ -120,3 +120,9 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 100), (200, 201)], "a long, b long")
     found = {r["node"]: r["root"] for r in components.components(edges).df().collect()}
     assert found == {**{k: 0 for k in range(61)}, 100: 100, 200: 200, 201: 200}
+
+
+def test_many_bands_are_joined_by_a_shuffle(spark, monkeypatch):
+    """Beyond the bound on what is broadcast the results are the same."""
+    monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", 0)
+    assert got(frame(spark)) == brute(awkward())
