@@ -21,10 +21,9 @@ def gap_groups(df: DataFrame, key: list[str], by: str, ties: list[str], most: fl
     No task sees all rows of a key: see ranges.carried().
     """
     value = value or by
-    parted = ranges.cut(df, by)
-    stepped = ranges.carried(parted, key, by, ties, previous={"__before": F.col(value)})
+    stepped = ranges.carried(ranges.placed(df, key, by), key, by, ties, previous={"__before": F.col(value)})
     new = F.when(F.col(value) - F.col("__before") > most, 1).otherwise(0)
-    return ranges.carried(stepped, key, by, ties, total={"group": new}).withColumn("group", F.col("group").cast("long")).drop("__before", "__part")
+    return ranges.carried(stepped, key, by, ties, total={"group": new}).withColumn("group", F.col("group").cast("long")).drop("__before", "__key", "__part")
 
 
 def sticky(df: DataFrame, key: list[str], by: str, ties: list[str], flag: Column, name: str = "sticky") -> DataFrame:

@@ -44,15 +44,14 @@ def bag(value: Column) -> Column:
     return F.transform(letters, lambda c, i: F.concat(c, F.size(F.filter(F.slice(letters, 1, i + 1), lambda d: d == c)).cast("string")))
 
 
-def _bound(left: Column, right: Column) -> Column:
-    """The most that a partial ratio can be: the shared characters in a stretch of as many."""
-    shared = F.size(F.array_intersect(left, right))
-    return F.when(F.least(F.size(left), F.size(right)) > 0, 200.0 * shared / (F.least(F.size(left), F.size(right)) + shared)).otherwise(0.0)
+def _bound(shared: Column, n: Column, m: Column) -> Column:
+    """The most that a partial ratio of texts of n and m characters can be: the shared ones in a stretch of as many."""
+    return F.when(F.least(n, m) > 0, 200.0 * shared / (F.least(n, m) + shared)).otherwise(0.0)
 
 
-def coverage(name: Column, shown: Column) -> Column:
-    """How much of a name's bag of characters a text's bag has, in percent; 0 for an empty name."""
-    return F.when(F.size(name) > 0, 100.0 * F.size(F.array_intersect(name, shown)) / F.size(name)).otherwise(0.0)
+def coverage(shared: Column, n: Column) -> Column:
+    """How much of a name's n characters a text has, in percent; 0 for an empty name."""
+    return F.when(n > 0, 100.0 * shared / n).otherwise(0.0)
 
 
 #: Names of each text that are scored first; their scores say which others can still be among the best.
@@ -74,10 +73,12 @@ def bounded_pairs(texts: DataFrame, names: DataFrame) -> DataFrame:
     read = forms(texts.select("text").distinct(), "text").withColumn("__numbers", text.number_tokens(F.col("text")))
     known = forms(siblings(names), "name").withColumn("__wanted", text.numeric_signatures(F.col("name")))
     pairs = all_pairs(bags(read, "t").withColumnRenamed("__whole", "__shown").drop("__bare"), ["text"], bags(known, "n").drop("__whole", "__bare"), ["name", "ordinal"])
-    n, t, m, u = (F.col(c) for c in ("__nw", "__tw", "__nb", "__tb"))
-    most = 0.30 * _bound(n, t) + 0.20 * _bound(m, u) + 0.25 * coverage(n, t) + 0.25 * coverage(m, u)
+    shares = {"__sw": F.size(F.array_intersect("__nw", "__tw")), "__sb": F.size(F.array_intersect("__nb", "__tb"))}
+    pairs = pairs.withColumns(shares)  # once a pair, as they are dear
+    whole, bare, n, t, m, u = (F.col("__sw"), F.col("__sb"), *(F.size(c) for c in ("__nw", "__tw", "__nb", "__tb")))
+    most = 0.30 * _bound(whole, n, t) + 0.20 * _bound(bare, m, u) + 0.25 * coverage(whole, n) + 0.25 * coverage(bare, m)
     support = text.signature_support(F.col("__wanted"), F.col("__shown"), F.col("__numbers"))
-    kept = pairs.select("text", "name", "ordinal", "sibling_group", "numeric", support.alias("support"), F.when((F.size(n) > 0) & (F.size(t) > 0), most).otherwise(0.0).alias("__most"))
+    kept = pairs.select("text", "name", "ordinal", "sibling_group", "numeric", support.alias("support"), F.when((n > 0) & (t > 0), most).otherwise(0.0).alias("__most"))
     veto = F.col("numeric") & (F.col("support") <= 0)
     gain = F.when(F.col("veto"), -40.0).when(F.col("numeric"), F.when(F.col("sibling_group"), 18.0).otherwise(8.0) * F.col("support")).otherwise(0.0)
     # A little more than the bound, for what is lost in rounding.

@@ -72,9 +72,7 @@ def carried(
     greatest value up to this row, nulls left out. Null keys are one key. Rows of which neither axis nor ties differ come in any order.
     """
     looks = [(kind, name, c) for kind, group in (("last", last), ("previous", previous), ("following", following), ("total", total), ("most", most)) for name, c in (group or {}).items()]
-    work = df if "__part" in df.columns else cut(df, by, parts)
-    values = {f"__v{i}": c for i, (_, _, c) in enumerate(looks)}
-    work = work.withColumns(values)
+    work = placed(df, key, by, parts).withColumns({f"__v{i}": c for i, (_, _, c) in enumerate(looks)})
     order = F.struct(*[F.col(f"`{c}`") for c in (by, *ties)])
     summaries = []
     for i, (kind, _, _) in enumerate(looks):
@@ -86,10 +84,9 @@ def carried(
             summaries.append((F.max_by if kind == "previous" else F.min_by)(F.struct(v.alias("v")), order))
         else:
             summaries.append(F.struct((F.sum(v) if kind == "total" else F.max(v)).alias("v")))
-    owners = [f"__k{i}" for i in range(len(key))]
-    parts_of = work.groupBy(*[F.col(f"`{k}`").alias(o) for k, o in zip(key, owners, strict=True)], F.col("__part").alias("__own")).agg(*[s.alias(f"__s{i}") for i, s in enumerate(summaries)])
-    earlier = Window.partitionBy(*owners).orderBy("__own").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*owners).orderBy("__own").rowsBetween(1, Window.unboundedFollowing)
+    parts_of = work.groupBy("__key", "__part").agg(*[s.alias(f"__s{i}") for i, s in enumerate(summaries)])
+    earlier = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy("__key").orderBy("__part").rowsBetween(1, Window.unboundedFollowing)
     scans = []
     for i, (kind, _, _) in enumerate(looks):
         s = F.col(f"__s{i}")
@@ -102,9 +99,9 @@ def carried(
         else:
             carry = (F.sum if kind == "total" else F.max)(s["v"]).over(earlier)
         scans.append(carry.alias(f"__c{i}"))
-    carries = parts_of.select(*owners, "__own", *scans)
-    joined = work.join(carries, same_key(key, owners) & (F.col("__part") == F.col("__own")), "left")
-    own = Window.partitionBy(*[F.col(f"`{k}`") for k in key], "__part").orderBy(*[F.col(f"`{c}`") for c in (by, *ties)])
+    carries = parts_of.select("__key", "__part", *scans)
+    joined = work.join(carries, ["__key", "__part"], "left")
+    own = Window.partitionBy("__key", "__part").orderBy(*[F.col(f"`{c}`") for c in (by, *ties)])
     upto = own.rowsBetween(Window.unboundedPreceding, 0)
     out = {}
     for i, (kind, name, _) in enumerate(looks):
@@ -123,6 +120,15 @@ def carried(
     return joined.withColumns(out).select(*[F.col(f"`{c}`") for c in df.columns], *[n for n in out if n not in df.columns])
 
 
+def placed(df: DataFrame, key: list[str], by: str, parts: int = PARTS) -> DataFrame:
+    """df dealt by key and part of the axis, with these as __key and __part: carried() takes it as it is, so several looks along one axis deal the rows once."""
+    if "__part" in df.columns:
+        return df
+    # A struct is never null, and null fields of it are equal: a null key is a key.
+    owner = F.struct(*[F.col(f"`{k}`") for k in key]) if key else F.struct(F.lit(0))
+    return cut(df, by, parts).withColumn("__key", owner).repartition("__key", "__part")
+
+
 def filled_forward(df: DataFrame, key: list[str], by: str, ties: list[str], value: str, name: str, parts: int = PARTS) -> DataFrame:
     """df with the last value that isn't null up to each row of its key; null before the first."""
     return carried(df, key, by, ties, last={name: F.col(f"`{value}`")}, parts=parts)

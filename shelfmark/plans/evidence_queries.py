@@ -152,7 +152,7 @@ def asof_order(spark: SparkSession, d: str) -> DataFrame:
 )
 def sticky_gap(spark: SparkSession, d: str) -> DataFrame:
     """From the first large jump on a user's rows are tall; each ends where the next begins."""
-    e = ranges.cut(table(spark, d, "events").select("user_id", "event_id", "value", "ts"), "ts")
+    e = ranges.placed(table(spark, d, "events").select("user_id", "event_id", "value", "ts"), ["user_id"], "ts")
     stepped = ranges.carried(e, ["user_id"], "ts", ["event_id"], previous={"before": F.col("value")}, following={"ahead": F.col("value")})
     jump = F.coalesce(F.col("value") - F.col("before") > 150, F.lit(False))
     return cluster.sticky(stepped, ["user_id"], "ts", ["event_id"], jump, "tall").select("user_id", "event_id", "tall", F.coalesce("ahead", F.col("value") + 1).alias("below"))

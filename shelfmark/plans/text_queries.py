@@ -53,7 +53,7 @@ def char_coverage(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "part").select("p_name").distinct().withColumn("own", names.bag(text.compact(F.col("p_name"))))
     b = table(spark, d, "benchmark").select("item_id", names.bag(text.compact(F.col("text"))).alias("shown"))
     pairs = names.all_pairs(b, ["item_id"], n, ["p_name"])
-    return pairs.select("p_name", "item_id", F.round(names.coverage(F.col("own"), F.col("shown")), 6).alias("coverage"))
+    return pairs.select("p_name", "item_id", F.round(names.coverage(F.size(F.array_intersect("own", "shown")), F.size("own")), 6).alias("coverage"))
 
 
 KANA = ("abcdefghijklmnopqrstuvwxyz", "あいうえおかきくけこさしすせそたちつてとなにぬねのは")

@@ -66,9 +66,11 @@ def windows(df):
 
 @pytest.mark.parametrize("name", ["filled_forward", "gap_sessionize", "sticky_gap", "asof_order"])
 def test_no_window_holds_a_key(spark, sf, name):
-    """Windows are of parts of a key, or of summaries of parts."""
-    found = windows(QUERIES[name](spark, sf))
-    assert found and all("__part" in x.split("], [")[1] or "__own" in x for x in found)
+    """Windows are of parts of a key, or of summaries of parts, which are aggregates."""
+    p = plan(QUERIES[name](spark, sf)).splitlines()
+    found = [k for k, x in enumerate(p) if "Window [" in x]
+    whole = [k for k in found if "__part" not in p[k].split("], [")[1]]
+    assert found and whole and all(any("Aggregate(" in x and "__part" in x for x in p[k : k + 7]) for k in whole)
 
 
 def test_a_hot_key_is_spread(spark):
