@@ -28,31 +28,33 @@ def linked(links: DataFrame) -> DataFrame:
     with a null end count for nothing.
     """
     whole = links.filter("a IS NOT NULL AND b IS NOT NULL")
-    roots = Table(whole.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")), "roots")
     left = Table(whole.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "links")
+    roots = whole.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
     while not left.read().isEmpty():
         # Upwards only: a node's parent is less than it, so there are no rings.
         parents = Table(left.read().groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("up")), "parents")
         while True:
             above = parents.read().select(F.col("node").alias("up"), F.col("up").alias("further"))
-            jumped = Table(parents.read().join(above, "up", "left").select("node", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved")), "parents")
+            beyond = above.select(F.col("up").alias("further"), F.col("further").alias("furthest"))
+            leaps = parents.read().join(above, "up", "left").join(beyond, "further", "left")
+            jumped = Table(leaps.select("node", F.coalesce("furthest", "further", "up").alias("up"), F.col("furthest").isNotNull().alias("moved")), "parents")
             more = not jumped.read().filter("moved").isEmpty()
             parents.drop()
             parents = jumped
             if not more:
                 break
+        # Each round's parents are kept for the roots, which are read off at the end.
         up = parents.read().select(F.col("node").alias("root"), "up")
-        risen = Table(roots.read().join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "roots")
+        roots = roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
         ends = left.read()
         for end in ("hi", "lo"):
             ends = ends.join(parents.read().select(F.col("node").alias(end), F.col("up").alias(f"{end}_up")), end, "left")
         drawn = ends.select(F.coalesce("hi_up", "hi").alias("x"), F.coalesce("lo_up", "lo").alias("y")).filter("x <> y")
         redrawn = Table(drawn.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo")).distinct(), "links")
-        for old in (roots, left, parents):
-            old.drop()
-        roots, left = risen, redrawn
+        left.drop()
+        left = redrawn
     left.drop()
-    return roots.read()
+    return roots
 
 
 def runs_joined(xs: list[int], ys: list[int], diagonal: bool) -> list[int]:
