@@ -96,6 +96,56 @@ def test_many_shards_and_parts(spark, monkeypatch):
     assert got(frame(spark)) == brute(awkward())
 
 
+def passages(n):
+    """Texts that share passages of a pool in twos and threes, each between words of its own."""
+    r = random.Random(7)
+    pool = [prose(r, 90) for _ in range(n // 3)]
+    return [(k, f"{prose(r, 60, 'xyz')} {r.choice(pool)} {prose(r, 60, 'uvw')} {r.choice(pool)}", "en", "s", 0) for k in range(n)]
+
+
+def stored(monkeypatch):
+    """Rows of each table that is stored from now on."""
+    seen = {}
+
+    class Counted(sd.Stored):
+        def __init__(self, df, name):
+            super().__init__(df, name)
+            seen[name] = self.df().count()
+
+    monkeypatch.setattr(sd, "Stored", Counted)
+    return seen
+
+
+def test_windows_meet_where_they_are_found(spark, monkeypatch):
+    """Of a shard that is one part no window is stored or crosses the network, only the stretches that texts lose."""
+    rows, seen = passages(60), stored(monkeypatch)
+    monkeypatch.setattr(sd, "SHARD_PHRASES", 5)
+    assert got(frame(spark, rows)) == brute(rows)
+    assert sum(x[2] for x in brute(rows)) > 2000 and seen["windows"] <= 2 * len(rows) and seen["met"] == 0
+
+
+def test_shards_in_parts_share_what_is_first(spark, monkeypatch):
+    """A hot passage beside others in shards of several parts, which also hold few windows at once: windows travel packed, equal ones of a part once."""
+    hot = prose(random.Random(8), 90)
+    rows = passages(60) + [(100 + k, f"{prose(random.Random(k), 30, 'rst')} {hot}", "en", "s", 0) for k in range(40)]
+    rows += [(100, rows[0][1] + " under an id of its own", "en", "s", 0), (7, hot, "en", "s", 0)]
+    seen = stored(monkeypatch)
+    monkeypatch.setattr(sd, "PART_BYTES", 20_000)
+    assert got(frame(spark, rows)) == brute(rows)
+    assert seen["met"] > 0 and seen["windows"] < 3 * len(rows)
+    monkeypatch.setattr(sd, "PART_BYTES", 6_000)
+    monkeypatch.setattr(sd, "HELD_WINDOWS", 40)
+    monkeypatch.setattr(sd, "BROADCAST_PHRASES", -1)
+    assert got(frame(spark, rows).repartition(3)) == brute(rows)
+
+
+def test_later_windows_and_their_stretches():
+    docs, h = np.array([5, 3, 5, 9, 3, 3]), np.array([[1, 1], [1, 1], [1, 2], [1, 2], [7, 7], [7, 7]])
+    assert sd.later_windows(docs, h).tolist() == [True, False, False, True, False, False]
+    starts, stops = sd.stretches(np.array([0, 1, 51, 102, 110]))
+    assert (starts.tolist(), stops.tolist()) == ([0, 102], [101, 160])
+
+
 def test_a_very_long_text(spark):
     r = random.Random(6)
     long = prose(r, 180_000)  # over 0.7 MB
